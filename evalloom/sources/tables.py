@@ -61,12 +61,12 @@ def kv_to_map(
     """A key/value table as one row holding a map.
 
     A key that occurs more than once keeps the value latest by `order` (the greatest value where no
-    order is given). Duplicates are folded map-side, so only distinct keys meet in the last task; a
-    table with more than `max_keys` of them is not metadata and raises.
+    order is given). Duplicates are folded map-side, so only distinct keys meet in the last task. A
+    table with more than `max_keys` of them is not metadata: that raises, nothing is left out.
     """
     order = F.col("value") if order is None else (F.col(order) if isinstance(order, str) else order)
     folded = df.groupBy("key").agg(F.max_by("value", order).alias("value"))
-    kept = folded.agg(
+    kept = folded.limit(max_keys + 1).agg(
         F.count(F.lit(1)).alias("n"),
         F.array_sort(F.collect_list(F.struct("key", "value"))).alias("entries"),
     )
