@@ -25,8 +25,18 @@ def sliding_pass_rate(
     df: DataFrame, *by: str, ts: str = "ts", rating: str = "rating", width: str = "1 day",
     slide: str = "1 hour", delay: str = "1 hour",
 ) -> DataFrame:
-    """Pass rate over the last `width`, every `slide`."""
-    windows = df.withWatermark(ts, delay).groupBy(F.window(ts, width, slide), *by)
-    return windows.agg(
-        F.count(pass_flag(rating)).alias("judged"), F.avg(pass_flag(rating)).alias("pass_rate")
-    ).select(F.col("window.end").alias("until"), *by, "judged", "pass_rate")
+    """Pass rate over the last `width`, every `slide`.
+
+    Rows are folded into one tumbling window per `slide` first; only those few are then copied into
+    every sliding window they belong to.
+    """
+    folded = df.withWatermark(ts, delay).groupBy(F.window(ts, slide), *by).agg(
+        F.count(pass_flag(rating)).alias("judged"), F.sum(pass_flag(rating)).alias("passed")
+    )
+    windows = folded.groupBy(F.window(F.window_time("window"), width, slide), *by)
+    return windows.agg(F.sum("judged").alias("judged"), F.sum("passed").alias("passed")).select(
+        F.col("window.end").alias("until"),
+        *by,
+        "judged",
+        (F.col("passed") / F.nullif(F.col("judged"), F.lit(0))).alias("pass_rate"),
+    )
