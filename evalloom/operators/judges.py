@@ -98,3 +98,17 @@ def term_frequency_topics(df: DataFrame, text: str, label: str, k: int) -> DataF
     best = top_per_group(counted, [label], [F.desc("n"), F.col("word")], k, F.col("word"), 16)
     ranked = best.groupBy(label).agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "word"))).alias("w"))
     return ranked.select(label, F.col("w.word").alias("keywords"))
+
+
+def recall_of(retrieved: DataFrame, expected: DataFrame, item: str, key: str = "query_id") -> DataFrame:
+    """Retrieval recall per request from one row per (request, document) on each side.
+
+    Nothing is gathered per request, so a request that expects very many documents is no problem.
+    Requests that expect none are left out.
+    """
+    hits = retrieved.select(key, item).distinct().withColumn("__hit", F.lit(1))
+    wanted = expected.select(key, item).distinct()
+    counted = wanted.join(hits, [key, item], "left").groupBy(key).agg(
+        F.count(F.lit(1)).alias("expected"), F.count("__hit").alias("found")
+    )
+    return counted.withColumn("recall", F.col("found") / F.col("expected"))

@@ -9,8 +9,8 @@ from evalloom import constants as K
 from evalloom.functions import text as X
 from evalloom.operators import evalset as E
 from evalloom.operators import joins as J
+from evalloom.operators import monitoring as MO
 from evalloom.operators import predicates as P
-from evalloom.operators import sampling as R
 from evalloom.operators import traces as T
 from evalloom.plans.base import EVALS, LOG, eval_rows, query, request_log
 from evalloom.sources import load
@@ -40,12 +40,10 @@ def assessments(spark: SparkSession, base: str) -> DataFrame:
 
 
 def selected_requests(spark: SparkSession, base: str) -> DataFrame:
-    log = status_log(spark, base)
     as_of = P.latest(load(spark, "events", base), "ts")
-    fresh = P.since(P.unprocessed(log), "ts", as_of, 14)
-    sampled = R.hash_sample(fresh, K.SAMPLE_RATE, "request_id", 7).select("request_id")
-    feedback = J.with_feedback(log, assessments(spark, base), as_of, ts="ts", days=14)
-    return sampled.union(feedback).distinct()
+    return MO.select_requests(
+        status_log(spark, base), assessments(spark, base), as_of, days=14, ts="ts", seed=7
+    )
 
 
 @query("feedback_join", f"WITH {STATUS}, {FEEDBACK} SELECT request_id FROM feedback")
