@@ -49,5 +49,6 @@ RETRY_MAX_SECONDS = 60
 # Reciprocal rank fusion constant of Cormack, Clarke and Buettcher (SIGIR 2009).
 RRF_K = 60
 
-# What Python's str.strip() removes, as a regex class that Java and RE2 both accept.
+# What Python's str.strip() removes: as a regex class that Java and RE2 both accept, and as characters.
 PY_SPACE = r"[\s\x0b\x1c-\x1f\x85\p{Z}]"
+PY_SPACE_CHARS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())

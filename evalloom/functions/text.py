@@ -18,7 +18,7 @@ def as_column(value: ColumnLike) -> Column:
 
 def strip(value: ColumnLike) -> Column:
     """Remove outer white space of any kind. (`trim` removes blanks only.)"""
-    return F.regexp_replace(as_column(value), f"^{K.PY_SPACE}+|{K.PY_SPACE}+$", "")
+    return F.trim(as_column(value), F.lit(K.PY_SPACE_CHARS))
 
 
 def translate_sku(sku: ColumnLike) -> Column:
@@ -59,7 +59,7 @@ def render_notes(facts: ColumnLike) -> Column:
 
 
 def _undash(line: Column) -> Column:
-    return strip(F.regexp_replace(line, "^[- ]+", ""))
+    return strip(F.ltrim(line, F.lit("- ")))
 
 
 def parse_notes(notes: ColumnLike) -> Column:

@@ -33,8 +33,10 @@ def salient_keywords(
     asked = queries.select("query_id", F.explode(F.array_distinct(words(text))).alias("word"))
     if stop_words:
         asked = asked.filter(~F.col("word").isin(*stop_words))
+    # Only the asked words are counted: the corpus vocabulary never crosses the network.
     frequency = (
         docs.select(F.explode(F.array_distinct(words(content))).alias("word"))
+        .join(asked.select("word").distinct(), "word", "left_semi")
         .groupBy("word").agg(F.count(F.lit(1)).alias("df"))
     )
     known = asked.join(frequency, "word")
@@ -59,15 +61,17 @@ def _tokens(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(text, F.lit(r"(\s+|\S+)"), 1))
 
 
-def _grams(text: Column) -> Column:
-    """Every distinct substring of one to GRAM characters."""
-    size = F.length(text)
+def _grams(text: Column, sizes: list[int]) -> Column:
+    """Every distinct substring of one of the sizes."""
+    length = F.length(text)
 
-    def of_length(n: int) -> Column:
-        starts = F.when(size >= n, F.sequence(F.lit(1), size - n + 1)).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda at: F.substring(text, at, F.lit(n)))
+    def of_size(n: int) -> Column:
+        starts = F.when(length >= n, F.sequence(F.lit(1), length - n + 1))
+        return F.transform(
+            F.coalesce(starts, F.array().cast("array<int>")), lambda at: F.substring(text, at, F.lit(n))
+        )
 
-    return F.array_distinct(F.concat(*[of_length(n) for n in range(1, GRAM + 1)]))
+    return F.array_distinct(F.concat(*[of_size(n) for n in sizes]))
 
 
 def _hits_by_scan(docs: DataFrame, keywords: list[str]) -> DataFrame:
@@ -97,11 +101,13 @@ def _hits_by_vocabulary(docs: DataFrame, keywords: DataFrame) -> DataFrame:
     looked_up = keywords.select("keyword", piece.alias("piece")).withColumn(
         "gram", F.substring("piece", 1, GRAM)
     )
+    # At most GRAM values: the sizes that are looked up at all.
+    sizes = sorted(row.n for row in looked_up.select(F.length("gram").alias("n")).distinct().collect())
     spread = docs.select(
         "corpus_pos", _n_chars(docs), F.explode(_tokens(F.lower("content"))).alias("token")
     )
     vocabulary = spread.select("token").distinct()
-    grams = vocabulary.select("token", F.explode(_grams(F.col("token"))).alias("gram"))
+    grams = vocabulary.select("token", F.explode(_grams(F.col("token"), sizes)).alias("gram"))
     pairs = stage(
         grams.join(looked_up, "gram")
         .filter(F.contains("token", "piece"))

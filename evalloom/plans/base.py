@@ -78,8 +78,13 @@ def request_log(spark: SparkSession, base: str) -> DataFrame:
     ).withColumn("rating", F.when(F.col("tokens") >= 50, "yes").when(F.col("tokens") >= 10, "no"))
 
 
+def documents(spark: SparkSession, base: str) -> DataFrame:
+    """The documents, for queries that work through their text."""
+    return load(spark, "documents", base, spread_by="doc_id")
+
+
 def eval_rows(spark: SparkSession, base: str) -> DataFrame:
-    docs = load(spark, "documents", base)
+    docs = documents(spark, base)
     number = F.col("doc_id").cast("string")
     state = F.col("n_chars") % 5
     return docs.select(
@@ -100,7 +105,7 @@ def eval_rows(spark: SparkSession, base: str) -> DataFrame:
 
 
 def corpus(spark: SparkSession, base: str) -> DataFrame:
-    return load(spark, "documents", base).select(
+    return documents(spark, base).select(
         F.col("doc_id").alias("corpus_pos"), F.col("text").alias("content"), "n_chars"
     )
 

@@ -11,7 +11,7 @@ from evalloom.functions import text as X
 from evalloom.operators import evalset as E
 from evalloom.operators import traces as T
 from evalloom.operators import vectors as V
-from evalloom.plans.base import as_text, query, sql_sentences, sql_strip, sql_text
+from evalloom.plans.base import as_text, documents, query, sql_sentences, sql_strip, sql_text
 from evalloom.sources import load
 
 # Parts have no SKU: this makes one from type and key, and every third is not in the old format.
@@ -42,7 +42,7 @@ def translate_sku(spark: SparkSession, base: str) -> DataFrame:
         lambda w: w <> ''), '|') AS keywords FROM documents""",
 )
 def parse_keywords(spark: SparkSession, base: str) -> DataFrame:
-    docs = load(spark, "documents", base)
+    docs = documents(spark, base)
     return docs.select("doc_id", F.array_join(X.parse_keywords("text"), "|").alias("keywords"))
 
 
@@ -53,7 +53,7 @@ NOTES_SQL = f"""notes AS (
 
 
 def graded_docs(spark: SparkSession, base: str) -> DataFrame:
-    docs = load(spark, "documents", base)
+    docs = documents(spark, base)
     return docs.select("doc_id", "text", X.render_notes(X.sentences("text")).alias("notes"))
 
 

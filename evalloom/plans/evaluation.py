@@ -14,7 +14,7 @@ from evalloom.operators import monitoring as MO
 from evalloom.operators import predicates as P
 from evalloom.operators import retrieval as R
 from evalloom.operators import sampling as S
-from evalloom.plans.base import corpus, query, sql_sentences, sql_words
+from evalloom.plans.base import corpus, documents, query, sql_sentences, sql_words
 from evalloom.plans.columns import NOTES_SQL, sql_parse_notes
 from evalloom.plans.combining import SELECTED, assessments, status_log
 from evalloom.plans.ranking import PAIRS, benchmark_queries
@@ -40,7 +40,7 @@ def sql_yes_no(x: str) -> str:
 
 
 def docs_to_ask(spark: SparkSession, base: str) -> DataFrame:
-    docs = load(spark, "documents", base)
+    docs = documents(spark, base)
     return docs.select(F.col("doc_id").alias("corpus_pos"), F.col("doc_id").cast("string").alias("doc_uri"), F.col("text").alias("content"))
 
 
@@ -87,7 +87,7 @@ ANSWER_FACTS = f"list_filter({sql_sentences('response')}, lambda f, i: list_posi
           WHEN response <> '' THEN {ANSWER_FACTS} ELSE expected_facts END, '|') AS facts FROM legacy""",
 )
 def migrate_evals(spark: SparkSession, base: str) -> DataFrame:
-    docs = load(spark, "documents", base)
+    docs = documents(spark, base)
     third = F.col("n_chars") % 3
     legacy = docs.select(
         F.concat(F.lit("old-"), F.col("doc_id").cast("string")).alias("request_id"),
@@ -193,7 +193,7 @@ FACTS = f"""facts AS (SELECT doc_id, text, {sql_sentences("text || '. ' || sourc
 def fact_coverage(spark: SparkSession, base: str) -> DataFrame:
     # Two facts are added to the document's own sentences that it rarely holds.
     facts = X.sentences(F.concat("text", F.lit(". "), "source", F.lit(". Src1")))
-    docs = load(spark, "documents", base).select("doc_id", "text", facts.alias("facts"))
+    docs = documents(spark, base).select("doc_id", "text", facts.alias("facts"))
     return docs.select(
         "doc_id",
         F.round(JF.fact_coverage("text", "facts"), 6).alias("coverage"),
@@ -212,7 +212,7 @@ UNSAFE = ("worthless", "password", "kill")
        SELECT lang, count(*) AS docs, round(avg(CAST(safe AS INTEGER)), 6) AS safety_rate FROM s GROUP BY lang""",
 )
 def safety_rate(spark: SparkSession, base: str) -> DataFrame:
-    docs = load(spark, "documents", base).select("doc_id", "lang", "text")
+    docs = documents(spark, base).select("doc_id", "lang", "text")
     judged = J.safety(docs, load(spark, "labels", base), "text", UNSAFE)
     return judged.groupBy("lang").agg(
         F.count(F.lit(1)).alias("docs"), F.round(F.avg(F.col("safe").cast("int")), 6).alias("safety_rate")
@@ -224,7 +224,7 @@ PII_ANY = " OR ".join(f"regexp_matches(text, '{p.replace(chr(39), chr(39) * 2)}'
 
 @query("pii_score", f"SELECT doc_id, CASE WHEN {PII_ANY} THEN 1 ELSE 5 END AS pii_score FROM documents")
 def pii_score(spark: SparkSession, base: str) -> DataFrame:
-    return load(spark, "documents", base).select("doc_id", JF.pii_score("text").alias("pii_score"))
+    return documents(spark, base).select("doc_id", JF.pii_score("text").alias("pii_score"))
 
 
 @query(
@@ -235,7 +235,7 @@ def pii_score(spark: SparkSession, base: str) -> DataFrame:
     ) + " FROM documents",
 )
 def pii_counts(spark: SparkSession, base: str) -> DataFrame:
-    return load(spark, "documents", base).select("doc_id", *JF.pii_counts("text").values())
+    return documents(spark, base).select("doc_id", *JF.pii_counts("text").values())
 
 
 PANEL = f"""{BEST}, {HOLDERS}, first_holder AS (SELECT query_id, min(corpus_pos) AS holder FROM holders GROUP BY 1),
@@ -298,7 +298,7 @@ def sql_topic(text: str) -> str:
 
 @query("topic_keyword", f"SELECT doc_id, {sql_topic('text')} AS topic FROM documents")
 def topic_keyword(spark: SparkSession, base: str) -> DataFrame:
-    return load(spark, "documents", base).select("doc_id", JF.topic_keyword("text", TOPICS).alias("topic"))
+    return documents(spark, base).select("doc_id", JF.topic_keyword("text", TOPICS).alias("topic"))
 
 
 @query(

@@ -11,7 +11,7 @@ from evalloom import constants as K
 from evalloom.functions.judging import PII_PATTERNS
 from evalloom.operators import traces as T
 from evalloom.operators import udfs as U
-from evalloom.plans.base import query
+from evalloom.plans.base import documents, query
 from evalloom.plans.columns import MESSAGES, SKU_TRANSLATED, sku_parts
 from evalloom.sources import load
 
@@ -85,7 +85,7 @@ def email_judge() -> Callable[[str], str]:
         CAST(NULL AS VARCHAR) AS no_email_error FROM documents""",
 )
 def prompt_judge(spark: SparkSession, base: str) -> DataFrame:
-    docs = load(spark, "documents", base).select("doc_id", "text")
+    docs = documents(spark, base).select("doc_id", "text")
     template = "Rate 5 if this text shows no address and 1 if it does: '{response}'"
     return U.prompt_judge(docs, "no_email", template, email_judge, response="text", attempts=1).drop("text")
 
@@ -98,7 +98,7 @@ CHUNKS = """WITH starts AS (
 @query("udtf_chunks", CHUNKS)
 def udtf_chunks(spark: SparkSession, base: str) -> DataFrame:
     U.register_chunker(spark)
-    load(spark, "documents", base).createOrReplaceTempView("documents_to_chunk")
+    documents(spark, base).createOrReplaceTempView("documents_to_chunk")
     return spark.sql(
         "SELECT doc_id, c.chunk_no, c.chunk FROM documents_to_chunk, LATERAL chunk_text(text, 400, 50) AS c"
     )
@@ -106,7 +106,7 @@ def udtf_chunks(spark: SparkSession, base: str) -> DataFrame:
 
 @query("chunk_docs", CHUNKS)
 def chunk_docs(spark: SparkSession, base: str) -> DataFrame:
-    return U.chunk_docs(load(spark, "documents", base).select("doc_id", "text"), "text", 400, 50)
+    return U.chunk_docs(documents(spark, base).select("doc_id", "text"), "text", 400, 50)
 
 
 @query(

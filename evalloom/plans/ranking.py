@@ -12,7 +12,7 @@ from evalloom.operators import predicates as P
 from evalloom.operators import retrieval as R
 from evalloom.operators import sampling as S
 from evalloom.operators import vectors as V
-from evalloom.plans.base import LOG, as_text, corpus, query, request_log, sql_text, sql_words
+from evalloom.plans.base import LOG, as_text, corpus, documents, query, request_log, sql_text, sql_words
 from evalloom.session import stage
 from evalloom.sources import load
 
@@ -65,7 +65,7 @@ SCORED = ("the", "THE", "ment", "sch", "", "zurü")
     ) + " AS score FROM documents",
 )
 def keyword_scores(spark: SparkSession, base: str) -> DataFrame:
-    docs = load(spark, "documents", base)
+    docs = documents(spark, base)
     return docs.select("doc_id", X.keyword_score("text", SCORED).alias("score"))
 
 
@@ -143,9 +143,9 @@ def vector_topk_ann(spark: SparkSession, base: str) -> DataFrame:
     "hybrid_topk",
     f"""WITH {topk_sql(20)}, spread AS (
           SELECT label, unnest({sql_words('text')}) AS word FROM documents JOIN embeddings ON doc_id = vec_id),
-        terms AS (
-          SELECT CAST(label AS BIGINT) AS query_id, word, count(*) AS n FROM spread WHERE length(word) >= 6 GROUP BY 1, 2
-          QUALIFY row_number() OVER (PARTITION BY label ORDER BY n DESC, word) <= 4),
+        counted AS (
+          SELECT CAST(label AS BIGINT) AS query_id, word, count(*) AS n FROM spread WHERE length(word) >= 6 GROUP BY 1, 2),
+        terms AS (SELECT * FROM counted QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY n DESC, word) <= 4),
         matched AS (
           SELECT query_id, doc_id, sum(CAST(contains(lower(text), word) AS INTEGER)) AS score FROM terms, documents
           GROUP BY 1, 2 HAVING score > 0),
@@ -162,7 +162,7 @@ def vector_topk_ann(spark: SparkSession, base: str) -> DataFrame:
 )
 def hybrid_topk(spark: SparkSession, base: str) -> DataFrame:
     vectors = load(spark, "embeddings", base)
-    docs = load(spark, "documents", base)
+    docs = documents(spark, base)
     labelled = docs.join(vectors.select(F.col("vec_id").alias("doc_id"), "label"), "doc_id")
     terms = JD.term_frequency_topics(labelled, "text", "label", 4)
     asked = stage(terms.select(F.col("label").cast("bigint").alias("query_id"), "keywords"), "topic-terms")

@@ -9,7 +9,7 @@ from evalloom.operators import evalset as E
 from evalloom.operators import metrics as M
 from evalloom.operators import predicates as P
 from evalloom.operators import traces as T
-from evalloom.plans.base import EVALS, LOG, as_text, eval_rows, query, request_log, sql_text, sql_words
+from evalloom.plans.base import EVALS, LOG, as_text, documents, eval_rows, query, request_log, sql_text, sql_words
 from evalloom.sources import load
 
 PASS = "CASE rating WHEN 'yes' THEN 1 WHEN 'no' THEN 0 END"
@@ -164,7 +164,7 @@ def top_issues(spark: SparkSession, base: str) -> DataFrame:
         GROUP BY word ORDER BY n DESC, word LIMIT 50""",
 )
 def word_frequency(spark: SparkSession, base: str) -> DataFrame:
-    return M.word_counts(load(spark, "documents", base), "text", 50)
+    return M.word_counts(documents(spark, base), "text", 50)
 
 
 @query("review_progress", f"WITH {EVALS} SELECT review_status, count(*) AS evals FROM evals GROUP BY 1")

@@ -10,11 +10,24 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def load(spark: SparkSession, name: str, base: str | None = None) -> DataFrame:
-    """The catalog table `name`, or `<base>/<name>.parquet` if a folder is given."""
-    if base is None:
-        return spark.table(name)
-    return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
+# A table read in fewer partitions than this is small enough to be moved.
+SMALL_PARTITIONS = 32
+
+
+def load(
+    spark: SparkSession, name: str, base: str | None = None, *, spread_by: str | None = None
+) -> DataFrame:
+    """The catalog table `name`, or `<base>/<name>.parquet` if a folder is given.
+
+    `spread_by` is for work that spends far more on a row than reading it takes: a table in so few files
+    that it would leave cores idle is spread by that column. Larger tables stay where they are.
+    """
+    table = spark.table(name) if base is None else spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
+    if spread_by is not None:
+        cores = spark.sparkContext.defaultParallelism
+        if table.rdd.getNumPartitions() < min(cores, SMALL_PARTITIONS):
+            return table.repartition(cores, spread_by)
+    return table
 
 
 def load_jsonl(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
