@@ -93,11 +93,10 @@ def _hits_by_vocabulary(docs: DataFrame, keywords: DataFrame) -> DataFrame:
     few (token, keyword) pairs are staged, so the pass over the corpus that follows broadcasts them if
     they are small. Only keywords that hold several pieces need a second look at the text.
     """
-    piece = F.element_at(F.array_sort(
-        F.transform(
-            _tokens(F.col("keyword")), lambda t: F.struct(F.length(t).alias("size"), t.alias("piece"))
-        )
-    ), -1)["piece"]
+    sized = F.transform(
+        _tokens(F.col("keyword")), lambda t: F.struct(F.length(t).alias("size"), t.alias("piece"))
+    )
+    piece = F.array_max(sized)["piece"]
     looked_up = keywords.select("keyword", piece.alias("piece")).withColumn(
         "gram", F.substring("piece", 1, GRAM)
     )
