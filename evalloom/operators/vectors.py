@@ -137,6 +137,8 @@ def vector_topk(
     queries = queries.select("query_id", "embedding").filter(F.col("embedding").isNotNull())
     vectors = vectors.select("vec_id", "embedding").filter(F.col("embedding").isNotNull())
     head = queries.limit(max_queries + 1).collect()
+    if not head:
+        return _rank(vectors.sparkSession.createDataFrame([], TOPK_SCHEMA), k)
     if len(head) <= max_queries:
         return _rank(_by_broadcast(head, vectors, k, normalise, digits), k)
     blocks = -(-queries.count() // max_queries)
@@ -150,11 +152,12 @@ def dot(a: Column, b: Column) -> Column:
 
 
 def lsh_signatures(
-    vectors: DataFrame, *, dimensions: int, tables: int = 12, bits: int = 6, seed: int = 0
+    vectors: DataFrame, *, dimensions: int, tables: int = 16, bits: int = 8, seed: int = 0
 ) -> DataFrame:
     """Add `signatures`: per hash table, which side of `bits` random hyperplanes the vector lies on.
 
-    For a corpus this is computed once and kept as a table.
+    For a corpus this is computed once and kept as a table. More bits make smaller buckets, for larger
+    corpora; more tables find more of the neighbours.
     """
     planes = np.random.default_rng(seed).normal(size=(dimensions, tables * bits))
     weights = 1 << np.arange(bits)
@@ -170,15 +173,20 @@ def lsh_signatures(
     return vectors.filter(F.col("embedding").isNotNull()).mapInArrow(sign, f"{fields}, signatures array<int>")
 
 
-def vector_topk_ann(queries: DataFrame, index: DataFrame, k: int = K.NUM_RESULTS, *, digits: int = 6) -> DataFrame:
-    """Approximate k nearest: vectors that share a hash bucket with the query, ranked by exact cosine.
+def vector_topk_ann(
+    queries: DataFrame, index: DataFrame, k: int = K.NUM_RESULTS, *, bits: int = 8, digits: int = 6
+) -> DataFrame:
+    """Approximate k nearest: vectors near the query's hash buckets, ranked by exact cosine.
 
-    Both sides come from `lsh_signatures`. The join is on (table, signature); what it finds is scored as
-    it streams past, repeats fold map-side, and each task passes on k rows per query.
+    Both sides come from `lsh_signatures` with the same `bits`. In every table a query looks into its own
+    bucket and the `bits` buckets across one hyperplane, so the join is on (table, signature). What it
+    finds is scored as it streams past, and repeats fold map-side.
     """
+    flips = [F.lit(0)] + [F.lit(1 << bit) for bit in range(bits)]
     asked = queries.select(
-        "query_id", F.col("embedding").alias("asked"), F.posexplode("signatures").alias("table", "signature")
-    )
+        "query_id", F.col("embedding").alias("asked"), F.posexplode("signatures").alias("table", "own")
+    ).select("query_id", "asked", "table", F.explode(F.array(*flips)).alias("flip"), "own")
+    asked = asked.withColumn("signature", F.col("own").bitwiseXOR(F.col("flip"))).drop("own", "flip")
     held = index.select("vec_id", "embedding", F.posexplode("signatures").alias("table", "signature"))
     met = held.join(asked, ["table", "signature"])
     a, b = F.col("embedding"), F.col("asked")
