@@ -56,11 +56,16 @@ def _n_chars(docs: DataFrame) -> Column:
     return known.alias("n_chars")
 
 
-def _tokens(text: Column) -> Column:
-    """Runs of white space and runs of anything else: a keyword without both lies inside one run."""
+def _runs(text: Column) -> Column:
+    """Runs of white space and runs of anything else: text without both kinds lies inside one run."""
     return F.array_distinct(F.regexp_extract_all(text, F.lit(r"(\s+|\S+)"), 1))
 
 
+def _tokens(text: Column) -> Column:
+    """Runs without white space, perhaps with an empty one. Much faster than looking for both kinds."""
+    return F.array_distinct(F.split(text, r"\s+"))
+
+
 def _grams(text: Column, sizes: list[int]) -> Column:
     """Every distinct substring of one of the sizes."""
     length = F.length(text)
@@ -88,23 +93,25 @@ def _hits_by_scan(docs: DataFrame, keywords: list[str]) -> DataFrame:
 def _hits_by_vocabulary(docs: DataFrame, keywords: DataFrame) -> DataFrame:
     """Match any number of keywords through the corpus vocabulary, with equi-joins only.
 
-    A keyword is looked up by the longest piece of it that is all white space or free of it. That piece
-    lies inside one token, so it is matched against the distinct tokens, which share a gram with it. The
-    few (token, keyword) pairs are staged, so the pass over the corpus that follows broadcasts them if
+    A keyword is looked up by its longest piece without white space. (One that is all white space is looked
+    up whole, among the runs of white space.) That piece lies inside one token of every text that holds the
+    keyword, so it is matched against the distinct tokens, which share a gram with it. The few (token,
+    keyword) pairs are staged, so the pass over the corpus that follows broadcasts them if
     they are small. Only keywords that hold several pieces need a second look at the text.
     """
     sized = F.transform(
-        _tokens(F.col("keyword")), lambda t: F.struct(F.length(t).alias("size"), t.alias("piece"))
+        _runs(F.col("keyword")), lambda t: F.struct(F.length(t).alias("size"), t.alias("piece"))
     )
-    piece = F.array_max(sized)["piece"]
-    looked_up = keywords.select("keyword", piece.alias("piece")).withColumn(
+    spaced = F.size(F.filter(sized, lambda t: ~t["piece"].rlike(r"^\s"))) == 0
+    longest = F.array_max(F.when(spaced, sized).otherwise(F.filter(sized, lambda t: ~t["piece"].rlike(r"^\s"))))
+    looked_up = keywords.select("keyword", longest["piece"].alias("piece"), spaced.alias("spaced")).withColumn(
         "gram", F.substring("piece", 1, GRAM)
     )
-    # At most GRAM values: the sizes that are looked up at all.
-    sizes = sorted(row.n for row in looked_up.select(F.length("gram").alias("n")).distinct().collect())
-    spread = docs.select(
-        "corpus_pos", _n_chars(docs), F.explode(_tokens(F.lower("content"))).alias("token")
-    )
+    # What has to be looked up, at most 2 * GRAM rows: gram sizes, and whether white space is a keyword.
+    kinds = looked_up.select(F.length("gram").alias("n"), "spaced").distinct().collect()
+    sizes = sorted({row.n for row in kinds})
+    split = _runs if any(row.spaced for row in kinds) else _tokens
+    spread = docs.select("corpus_pos", _n_chars(docs), F.explode(split(F.lower("content"))).alias("token"))
     vocabulary = spread.select("token").distinct()
     grams = vocabulary.select("token", F.explode(_grams(F.col("token"), sizes)).alias("gram"))
     pairs = stage(
