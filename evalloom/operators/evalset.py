@@ -12,7 +12,7 @@ from evalloom import constants as K
 from evalloom.functions import text as X
 from evalloom.functions.messages import tag_list
 from evalloom.operators.metrics import dedup_first
-from evalloom.operators.sampling import corpus_rank, segmented_lag
+from evalloom.operators.sampling import position_at_rank, segmented_lag
 
 REQUEST = "What does {} state in part {}?"
 GENERATED = "doc_uri string, question_no int, request string, expected_facts array<string>"
@@ -32,8 +32,7 @@ def plan_evals(
     if num_evals is None:
         quota = F.lit(per_doc)
     else:
-        ranked = corpus_rank(docs.select(position), position)
-        last = ranked.filter(F.col("rank") == F.lit(num_evals) % F.col("total")).agg(F.max(position)).scalar()
+        last = position_at_rank(docs, lambda count: F.lit(num_evals) % count, position)
         total = docs.agg(F.count(F.lit(1))).scalar()
         extra = F.when(F.col(position) <= last, F.lit(1)).otherwise(F.lit(0))
         quota = (F.floor(F.lit(num_evals) / total) + extra).cast("int")

@@ -209,7 +209,7 @@ def keyword_rank(
 
 def fit_budget(
     ranked: DataFrame, budget: int, *, group: str = "query_id", order: list[Column] | None = None,
-    spread: str = "corpus_pos", salts: int = 16,
+    spread: str = "corpus_pos", salts: int = 256,
 ) -> DataFrame:
     """Keep the best documents of each query until `budget` characters are used.
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -57,7 +59,7 @@ def top_per_group(df: DataFrame, group: list[str], order: list[Column], n: int,
 
 def cap_per_hour(
     df: DataFrame, n: int = K.HOURLY_CAP, *, ts: str = "timestamp", key: str = "request_id",
-    seed: int | str = 0, salts: int = 32,
+    seed: int | str = 0, salts: int = 256,
 ) -> DataFrame:
     """At most n random rows per clock hour. The rest is not marked, so it comes back next time."""
     timed = df.withColumn("__hour", F.date_trunc("hour", ts)).withColumn("__draw", hash_order(key, seed))
@@ -65,26 +67,28 @@ def cap_per_hour(
     return top_per_group(timed, ["__hour"], order, n, F.col(key), salts).drop("__hour", "__draw")
 
 
-def corpus_rank(df: DataFrame, position: str = "corpus_pos", width: int = 1_000_000) -> DataFrame:
-    """Add `rank` (1 for the lowest position) and `total`, for unique integer positions.
+def position_at_rank(
+    df: DataFrame, rank: Callable[[Column], Column], position: str = "corpus_pos", width: int = 1_000_000
+) -> Column:
+    """The position with a given rank (1 for the lowest), as a scalar subquery; null if there is none.
 
-    Positions are counted per range of `width`, the running count of the ranges gives each range its
-    offset, and rows are numbered inside their range: no task sees more than `width` rows.
+    `rank` gets the number of rows. Positions are unique integers. They are counted per range of `width`,
+    the running count says which one range holds the rank, and only that range is sorted.
     """
-    ranged = df.withColumn("__range", F.floor(F.col(position) / width))
+    ranged = df.select(position, F.floor(F.col(position) / width).alias("__range"))
     counts = ranged.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"))
-    every = W.orderBy("__range")
-    offsets = counts.select(
-        "__range",
-        (F.sum("__n").over(every.rowsBetween(W.unboundedPreceding, 0)) - F.col("__n")).alias("__before"),
-        F.sum("__n").over(W.partitionBy()).alias("total"),
-    )
-    numbered = ranged.withColumn("__row", F.row_number().over(W.partitionBy("__range").orderBy(position)))
-    return (
-        numbered.join(offsets, "__range")
-        .withColumn("rank", F.col("__before") + F.col("__row"))
-        .drop("__range", "__row", "__before")
+    through = F.sum("__n").over(W.orderBy("__range").rowsBetween(W.unboundedPreceding, 0))
+    total = F.sum("__n").over(W.partitionBy())
+    target = (
+        counts.withColumn("__through", through).withColumn("__rank", rank(total))
+        .filter((F.col("__rank") <= F.col("__through")) & (F.col("__rank") > F.col("__through") - F.col("__n")))
+        .select("__range", (F.col("__rank") - F.col("__through") + F.col("__n")).alias("__wanted"))
     )
+    # The ranges do not overlap, so the target is one row at most.
+    inside = ranged.join(F.broadcast(target), "__range")
+    row = F.row_number().over(W.partitionBy("__range").orderBy(position))
+    found = inside.withColumn("__row", row).filter(F.col("__row") == F.col("__wanted"))
+    return found.agg(F.max(position)).scalar()
 
 
 def segmented_lag(

@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from evalloom import constants as K
+from evalloom.session import stage
 
 TOPK_SCHEMA = "query_id bigint, vec_id bigint, score double"
 
@@ -179,22 +180,27 @@ def vector_topk_ann(
     """Approximate k nearest: vectors near the query's hash buckets, ranked by exact cosine.
 
     Both sides come from `lsh_signatures` with the same `bits`. In every table a query looks into its own
-    bucket and the `bits` buckets across one hyperplane, so the join is on (table, signature). What it
-    finds is scored as it streams past, and repeats fold map-side.
+    bucket and the `bits` buckets across one hyperplane. Only ids and signatures are joined, on (table,
+    signature); the pairs that meet are staged, so that their vectors are then fetched by a broadcast
+    join if the pairs are few and by one shuffle of the index if they are many.
     """
-    flips = [F.lit(0)] + [F.lit(1 << bit) for bit in range(bits)]
-    asked = queries.select(
-        "query_id", F.col("embedding").alias("asked"), F.posexplode("signatures").alias("table", "own")
-    ).select("query_id", "asked", "table", F.explode(F.array(*flips)).alias("flip"), "own")
-    asked = asked.withColumn("signature", F.col("own").bitwiseXOR(F.col("flip"))).drop("own", "flip")
-    held = index.select("vec_id", "embedding", F.posexplode("signatures").alias("table", "signature"))
-    met = held.join(asked, ["table", "signature"])
+    flips = F.array(F.lit(0), *[F.lit(1 << bit) for bit in range(bits)])
+    own = queries.select("query_id", F.posexplode("signatures").alias("table", "own"))
+    asked = own.select("query_id", "table", "own", F.explode(flips).alias("flip")).select(
+        "query_id", "table", F.col("own").bitwiseXOR(F.col("flip")).alias("signature")
+    )
+    held = index.select("vec_id", F.posexplode("signatures").alias("table", "signature"))
+    buckets = stage(asked, "query-buckets")
+    met = stage(held.join(buckets, ["table", "signature"]).select("query_id", "vec_id").distinct(), "lsh-pairs")
     a, b = F.col("embedding"), F.col("asked")
     norms = F.sqrt(dot(a, a)) * F.sqrt(dot(b, b))
-    scored = met.select(
+    fetched = index.select("vec_id", "embedding").join(met, "vec_id").join(
+        queries.select("query_id", F.col("embedding").alias("asked")), "query_id"
+    )
+    scored = fetched.select(
         "query_id", "vec_id", F.round(dot(a, b) / F.nullif(norms, F.lit(0.0)), digits).alias("score")
-    ).filter(F.col("score").isNotNull())
-    return _rank(scored.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")), k)
+    )
+    return _rank(scored.filter(F.col("score").isNotNull()), k)
 
 
 def centroids(vectors: DataFrame, label: str = "label") -> DataFrame:

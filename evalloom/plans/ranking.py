@@ -134,7 +134,8 @@ def similarity_threshold(spark: SparkSession, base: str) -> DataFrame:
 
 @query("vector_topk_ann")
 def vector_topk_ann(spark: SparkSession, base: str) -> DataFrame:
-    index = V.lsh_signatures(load(spark, "embeddings", base).select("vec_id", "embedding"), dimensions=64)
+    vectors = load(spark, "embeddings", base).select("vec_id", "embedding")
+    index = stage(V.lsh_signatures(vectors, dimensions=64), "vector-index")
     asked = V.lsh_signatures(topic_queries(spark, base), dimensions=64)
     return V.vector_topk_ann(asked, index, 10)
 

@@ -17,6 +17,8 @@ def build_session(app: str = "evalloom", master: str | None = None, **conf: str)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+        # Rank filters up to this many rows per group are cut before the shuffle as well.
+        .config("spark.sql.optimizer.windowGroupLimitThreshold", "10000")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     if master:

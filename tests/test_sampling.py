@@ -38,11 +38,15 @@ def test_prefixes(spark):
 
 
 @pytest.mark.parametrize("width", [1, 4, 1000])
-def test_corpus_rank_over_gaps(spark, width):
+def test_position_at_rank_over_gaps(spark, width):
     positions = [0, 3, 4, 17, 18, 19, 400]
-    ranked = S.corpus_rank(spark.createDataFrame([(p,) for p in positions], "corpus_pos bigint"), width=width)
-    found = {r.corpus_pos: (r["rank"], r.total) for r in ranked.collect()}
-    assert found == {p: (n + 1, 7) for n, p in enumerate(positions)}
+    table = spark.createDataFrame([(p,) for p in positions], "corpus_pos bigint")
+    ranks = [0, 1, 3, 4, 7, 8]
+    found = spark.range(1).select(
+        *[S.position_at_rank(table, lambda total, r=r: F.lit(r), width=width).alias(f"r{r}") for r in ranks],
+        S.position_at_rank(table, lambda total: total - 1, width=width).alias("last"),
+    ).first()
+    assert tuple(found) == (None, 0, 4, 17, 400, None, 19)
 
 
 @pytest.mark.parametrize("width", [1, 3, 1000])
