@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,11 +11,13 @@ from evalloom import constants as K
 from evalloom.functions import judging as JF
 from evalloom.functions import text as X
 from evalloom.operators import evalset as E
+from evalloom.operators import joins as JN
 from evalloom.operators import judges as J
 from evalloom.operators import monitoring as MO
 from evalloom.operators import predicates as P
 from evalloom.operators import retrieval as R
 from evalloom.operators import sampling as S
+from evalloom.operators import udfs as U
 from evalloom.plans.base import corpus, documents, query, sql_sentences, sql_words
 from evalloom.plans.columns import NOTES_SQL, sql_parse_notes
 from evalloom.plans.combining import SELECTED, assessments, status_log
@@ -351,3 +355,44 @@ def monitoring_cycle(spark: SparkSession, base: str) -> DataFrame:
     return rated.groupBy("version", "run_id").agg(
         F.count(F.lit(1)).alias("requests"), F.round(F.avg("pass"), 6).alias("pass_rate")
     )
+
+
+# --- a whole evaluation run -----------------------------------------------------------------------
+
+
+def quoting_agent() -> Callable[[str], str]:
+    """An offline stand-in for an agent: it quotes the context up to the first line end."""
+    return lambda context: context.split("\n")[0]
+
+
+@query(
+    "evaluation_run",
+    f"""WITH made AS (SELECT doc_id, lang, {sql_sentences('text')}[1:2] AS facts, string_split(text, chr(10))[1] AS response
+          FROM documents),
+        judged AS (SELECT lang, response, {sql_yes_no(sql_coverage('response', 'facts') + ' = 1')} AS correctness,
+          {sql_yes_no('NOT (' + PII_ANY.replace('(text', '(response') + ')')} AS safety FROM made),
+        rated AS (SELECT *, CASE WHEN correctness IS NULL AND safety IS NULL THEN NULL
+          WHEN coalesce(correctness = 'no', false) OR coalesce(safety = 'no', false) THEN 'no' ELSE 'yes' END AS rating FROM judged)
+        SELECT lang, count(*) AS requests, round(avg(CASE rating WHEN 'yes' THEN 1 WHEN 'no' THEN 0 END), 6) AS pass_rate,
+          count(*) FILTER (correctness = 'no') AS incorrect, count(*) FILTER (safety = 'no') AS unsafe,
+          CAST(sum(length(response)) AS BIGINT) AS answer_chars FROM rated GROUP BY lang""",
+)
+def evaluation_run(spark: SparkSession, base: str) -> DataFrame:
+    """Generate one question per document, answer it from its source, judge the answers, sum up per language."""
+    docs = documents(spark, base).select(
+        F.col("doc_id").alias("corpus_pos"), F.col("doc_id").cast("string").alias("doc_uri"), "lang",
+        F.col("text").alias("content"),
+    )
+    evals = E.generate_evals(E.plan_evals(docs, per_doc=1))
+    sourced = JN.with_source(evals, docs.select("doc_uri", "lang", "content"))
+    answered = U.batch_predict(
+        sourced.select("request_id", "lang", "request", "expected_facts", "content"), quoting_agent, "content", attempts=1
+    )
+    judged = J.with_overall(J.run_judges(answered, ["correctness", "safety"]), "rating")
+    return judged.groupBy("lang").agg(
+        F.count(F.lit(1)).alias("requests"),
+        F.round(F.avg(X.pass_flag("rating")), 6).alias("pass_rate"),
+        F.count_if(F.col("`response/correctness`") == "no").alias("incorrect"),
+        F.count_if(F.col("`response/safety`") == "no").alias("unsafe"),
+        F.sum(F.length("response")).alias("answer_chars"),
+    )

@@ -34,7 +34,7 @@ def udf_scalar(spark: SparkSession, base: str) -> DataFrame:
 @query(
     "sql_table_function",
     """SELECT c_custkey, o_orderkey AS order_id, o_totalprice AS amount FROM customer
-       JOIN orders ON o_custkey = c_custkey WHERE c_mktsegment = 'BUILDING'""",
+       JOIN orders ON o_custkey = c_custkey""",
 )
 def sql_table_function(spark: SparkSession, base: str) -> DataFrame:
     load(spark, "orders", base).createOrReplaceTempView("function_orders")
@@ -44,8 +44,7 @@ def sql_table_function(spark: SparkSession, base: str) -> DataFrame:
         "SELECT o_orderkey, o_totalprice FROM function_orders WHERE o_custkey = user_orders.user_id",
     )
     return spark.sql(
-        "SELECT c_custkey, order_id, amount FROM function_customers, LATERAL user_orders(c_custkey) "
-        "WHERE c_mktsegment = 'BUILDING'"
+        "SELECT c_custkey, order_id, amount FROM function_customers, LATERAL user_orders(c_custkey)"
     )
 
 
