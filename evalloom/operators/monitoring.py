@@ -13,6 +13,7 @@ from evalloom.operators.metrics import dedup_first
 from evalloom.operators.predicates import since, unprocessed
 from evalloom.operators.sampling import cap_per_hour, hash_sample
 from evalloom.operators.traces import advance_status
+from evalloom.session import stage
 
 
 def select_requests(
@@ -35,10 +36,13 @@ def run_cycle(
     Unprocessed requests that are not picked become `skipped`; picked ones are judged, at most `cap` per
     hour, and get the run id and the columns `judge` returns for them; picked ones over the cap stay
     `to_process` and are judged by a later cycle. `judge` gets one row per request id and must keep it.
+
+    The picked ids and the verdicts are staged: ids are read twice, and judging costs too much to be
+    repeated when a task is lost.
     """
-    picked = select_requests(log, assessments, as_of, rate=rate, days=days, ts=ts, seed=seed)
+    picked = stage(select_requests(log, assessments, as_of, rate=rate, days=days, ts=ts, seed=seed), "picked")
     marked = advance_status(log, picked)
     waiting = marked.filter(F.col("run_id") == K.TO_PROCESS)
     once = dedup_first(waiting, "request_id", F.col(ts))
     judged = judge(cap_per_hour(once, cap, ts=ts, seed=seed)).withColumn("run_id", F.lit(run_id))
-    return merge_matched(marked, judged, "request_id")
+    return merge_matched(marked, stage(judged, "verdicts"), "request_id")

@@ -14,6 +14,13 @@ TABLES = (
 ).split()
 SQL_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean"}
 
+# Only these run Python: vector products, user callables and user functions.
+PYTHON = {
+    "batch_predict", "evaluation_run", "hybrid_topk", "prompt_judge", "similarity_threshold", "topic_centroid",
+    "udf_scalar", "udtf_chunks", "vector_topk",
+}
+PYTHON_NODES = ("PythonUDF", "MapInArrow", "MapInPandas", "ArrowEvalPython", "BatchEvalPython", "FlatMap", "PythonUDTF")
+
 pytestmark = pytest.mark.skipif(not BASE.exists(), reason="test tables are not there")
 
 
@@ -30,8 +37,13 @@ def ordered(rows):
 
 
 @pytest.mark.parametrize("name", sorted(entry_points.oracle_sql()))
-def test_same_rows_as_sql(spark, duck, name):
+def test_same_rows_as_sql(spark, duck, name, capsys):
     df = entry_points.queries()[name](spark, str(BASE))
+    capsys.readouterr()
+    df.explain()
+    plan = capsys.readouterr().out
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+    assert any(node in plan for node in PYTHON_NODES) == (name in PYTHON)
     columns = sorted(df.columns)
     ours = [tuple(row[c] for c in columns) for row in df.collect()]
     found = duck.execute(entry_points.oracle_sql()[name])
@@ -52,3 +64,17 @@ def test_entry_returns_rows(spark):
     df = entry_points.entry(spark)
     assert df.columns == ["query_id", "rank", "corpus_pos", "score", "kept_chars"]
     assert df.count() > 0
+
+
+def test_filters_and_columns_reach_the_scan(spark, capsys):
+    entry_points.queries()["filter_range"](spark, str(BASE)).explain()
+    plan = capsys.readouterr().out
+    assert "GreaterThanOrEqual(p_size,10)" in plan and "LessThan(p_size,30)" in plan
+    assert "p_type" not in plan
+
+
+@pytest.mark.parametrize("name", ["dedup_first", "hourly_cap", "latest_revision"])
+def test_ranks_are_cut_before_the_shuffle(spark, name, capsys):
+    entry_points.queries()[name](spark, str(BASE)).explain()
+    plan = capsys.readouterr().out
+    assert "WindowGroupLimit" in plan and "Partial" in plan

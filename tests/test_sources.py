@@ -51,3 +51,23 @@ def test_stage_uses_the_shared_folder(spark):
     assert staged.count() == 5 and staged.columns == ["id", "b"]
     assert shared in staged.inputFiles()[0]
     assert session.stage(spark.range(0), "none").count() == 0
+
+
+class _Cluster:
+    """Just enough of a session on a cluster."""
+
+    class conf:
+        get = staticmethod(lambda key, default=None: default)
+
+    class sparkContext:
+        master = "spark://host:7077"
+        getConf = staticmethod(dict)
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_folder(_Cluster)
+
+
+def test_scratch_paths_do_not_repeat(spark):
+    assert session.scratch_path(spark, "x") != session.scratch_path(spark, "x")
