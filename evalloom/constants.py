@@ -9,6 +9,12 @@ NOTES_HEADER = (
     "(NOTE: It is sufficient for the answer to mention these facts **implicitly** "
     "because explicit agreement is not required!):"
 )
+PROMPT = """Given the following context
+  {context}
+  ###############
+  Answer the following query to the best of your knowledge:
+  {user_query}
+"""
 HUMAN_SOURCE = "HUMAN_SOURCE"
 SYNTHETIC_SOURCE = "SYNTHETIC_FROM_DOC"
 TO_PROCESS = "to_process"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -151,11 +152,19 @@ def place_prompt(messages: ColumnLike, prompt: ColumnLike, place: str = "user")
     raise ValueError(f"place must be 'user' or 'system', not {place!r}")
 
 
-def fill_prompt(context: ColumnLike, question: ColumnLike) -> Column:
-    """Context, a ruler, and the question."""
-    return F.concat(
-        F.lit("Given the following context\n"),
-        as_column(context),
-        F.lit("\n###############\nAnswer the following query to the best of your knowledge:\n"),
-        as_column(question),
-    )
+def fill_template(template: str, **values: ColumnLike) -> Column:
+    """A template with named slots such as `{context}` filled per row. A null value gives null."""
+    parts = []
+    for literal, slot, _, _ in string.Formatter().parse(template):
+        if literal:
+            parts.append(F.lit(literal))
+        if slot is not None:
+            if slot not in values:
+                raise ValueError(f"nothing to fill {{{slot}}} with")
+            parts.append(as_column(values[slot]))
+    return F.concat(*parts) if parts else F.lit("")
+
+
+def fill_prompt(context: ColumnLike, question: ColumnLike, template: str = K.PROMPT) -> Column:
+    """The prompt that puts a question after its context."""
+    return fill_template(template, context=context, user_query=question)

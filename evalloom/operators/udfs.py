@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from evalloom import constants as K
+from evalloom.functions.text import fill_template
 
 _SQL_TYPES: dict[Any, T.DataType] = {
     str: T.StringType(), int: T.LongType(), float: T.DoubleType(), bool: T.BooleanType(),
@@ -106,8 +107,7 @@ def prompt_judge(
     """Add a judge defined by a prompt template holding `{response}`, answered by a user callable."""
     if "{response}" not in template:
         raise ValueError("the template must hold {response}")
-    before, after = template.split("{response}", 1)
-    prompt = F.concat(F.lit(before), F.col(response), F.lit(after))
+    prompt = fill_template(template, response=response)
     judged = batch_predict(
         df.withColumn("__prompt", prompt), make_client, "__prompt", output=name, attempts=attempts
     )

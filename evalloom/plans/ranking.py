@@ -91,8 +91,7 @@ def context_budget(spark: SparkSession, base: str) -> DataFrame:
           SELECT query_id, string_agg(substr(text, 1, kept_chars), chr(10) || chr(10) ORDER BY rank) AS context
           FROM kept JOIN documents ON doc_id = corpus_pos GROUP BY 1),
         prompts AS (
-          SELECT item_id AS query_id, 'Given the following context' || chr(10) || coalesce(context, '') || chr(10)
-            || '###############' || chr(10) || 'Answer the following query to the best of your knowledge:' || chr(10) || text
+          SELECT item_id AS query_id, replace(replace('{K.PROMPT}', '{{user_query}}', text), '{{context}}', coalesce(context, ''))
             AS prompt FROM benchmark LEFT JOIN contexts ON item_id = query_id)
         SELECT query_id, CAST(length(prompt) AS INTEGER) AS prompt_chars, md5(prompt) AS prompt_md5 FROM prompts""",
 )
@@ -132,6 +131,21 @@ def similarity_threshold(spark: SparkSession, base: str) -> DataFrame:
     return P.min_score(vector_topk(spark, base), 0.5)
 
 
+@query(
+    "filtered_search",
+    f"""WITH {CENTROIDS}, nearest AS (
+          SELECT n.query_id, CAST(row_number() OVER (PARTITION BY n.query_id ORDER BY score DESC, n.vec_id) AS INTEGER) AS rank,
+            n.vec_id, score FROM near n JOIN embeddings e ON e.vec_id = n.vec_id WHERE e.label IN (1, 2, 3, 4, 5)
+          QUALIFY rank <= 5)
+        SELECT query_id, rank, vec_id, score FROM nearest WHERE score >= 0.2""",
+)
+def filtered_search(spark: SparkSession, base: str) -> DataFrame:
+    """Filter spec before the search, so it reaches the scan; score threshold after it."""
+    spec = [{"field": "label", "filter": [1, 2, 3, 4, 5]}]
+    vectors = load(spark, "embeddings", base).filter(P.compile_filters(spec, ["label"]))
+    return P.min_score(V.vector_topk(topic_queries(spark, base), vectors), 0.2)
+
+
 @query("vector_topk_ann")
 def vector_topk_ann(spark: SparkSession, base: str) -> DataFrame:
     vectors = load(spark, "embeddings", base).select("vec_id", "embedding")

@@ -16,7 +16,7 @@ SQL_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR"
 
 # Only these run Python: vector products, user callables and user functions.
 PYTHON = {
-    "batch_predict", "evaluation_run", "hybrid_topk", "prompt_judge", "similarity_threshold", "topic_centroid",
+    "batch_predict", "evaluation_run", "filtered_search", "hybrid_topk", "prompt_judge", "similarity_threshold", "topic_centroid",
     "udf_scalar", "udtf_chunks", "vector_topk",
 }
 PYTHON_NODES = ("PythonUDF", "MapInArrow", "MapInPandas", "ArrowEvalPython", "BatchEvalPython", "FlatMap", "PythonUDTF")

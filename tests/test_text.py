@@ -109,3 +109,11 @@ def test_place_prompt(one):
     assert placed([], "system") == [("system", "P")]
     with pytest.raises(ValueError):
         X.place_prompt("m", F.lit("P"), "assistant")
+
+
+def test_fill_template(one):
+    filled = X.fill_template("{{kept}} <{a}> {a}", a="a")
+    assert one(filled, row=("x{y}",)) == "{kept} <x{y}> x{y}"
+    assert one(filled, row=(None,)) is None
+    with pytest.raises(ValueError, match="question"):
+        X.fill_template("{question}", a="a")
