@@ -25,9 +25,16 @@ def append_stream(
     writer.trigger(availableNow=True).start(out).awaitTermination()
 
 
-def ingest(spark: SparkSession, source: str, schema: StructType, out: str, checkpoint: str) -> None:
-    """Append the request rows that arrived since the last run, marked as not judged yet."""
-    append_stream(with_status_columns(request_stream(spark, source, schema)), out, checkpoint)
+def ingest(
+    spark: SparkSession, source: str, schema: StructType, out: str, checkpoint: str,
+    partition_by: tuple[str, ...] = (),
+) -> None:
+    """Append the request rows that arrived since the last run, marked as not judged yet.
+
+    A log partitioned by `date` lets later look-backs skip the folders of older days.
+    """
+    fresh = with_status_columns(request_stream(spark, source, schema))
+    append_stream(fresh, out, checkpoint, partition_by)
 
 
 def evaluate_batches(

@@ -52,6 +52,17 @@ def test_ingest_takes_each_row_once(spark, tmp_path, drop):
     assert spark.read.parquet(out).filter("run_id IS NOT NULL").count() == 0
 
 
+def test_partitioned_ingest_prunes_days(spark, tmp_path, drop, capsys):
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    folder = drop([("a", at(0), "v1", "yes"), ("b", at(30), "v2", "no")])
+    ST.ingest(spark, folder, schema_of(spark), out, checkpoint, ("version",))
+    found = spark.read.parquet(out).filter("version = 'v2'")
+    assert [r.request_id for r in found.collect()] == ["b"]
+    capsys.readouterr()
+    found.explain()
+    assert "PartitionFilters: [isnotnull(version" in capsys.readouterr().out
+
+
 def test_batches_own_their_output(spark, tmp_path, drop):
     out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
     folder = drop([("a", at(0), "v1", "yes")])
