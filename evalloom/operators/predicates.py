@@ -51,10 +51,14 @@ def result_columns(key: str, text: str, uri: str, extras: Sequence[str] = ()) ->
 
 
 def exclude_uri(df: DataFrame, paths: Sequence[str] = K.EXCLUDED_PATHS, uri: str = "doc_uri") -> DataFrame:
-    """Drop documents whose URI holds one of `paths`: one alternation, so one regex pass per row."""
+    """Drop documents whose URI holds one of `paths`: one alternation, so one regex pass per row.
+
+    A document without a URI holds none of them and stays.
+    """
     if not paths:
         return df
-    return df.filter(~F.col(uri).rlike("|".join(re.escape(p) for p in paths)))
+    listed = F.col(uri).rlike("|".join(re.escape(p) for p in paths))
+    return df.filter(~F.coalesce(listed, F.lit(False)))
 
 
 def by_review_status(df: DataFrame, status: str | None) -> DataFrame:

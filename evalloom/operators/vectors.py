@@ -224,19 +224,23 @@ def nearest_topic(
     """The nearest topic centroid of every vector: `vec_id, topic, score`, ties to the lower topic.
 
     Up to `max_topics` topics are broadcast and the vectors are read once; more go through the grid of
-    blocks and slices, where each vector asks for its one nearest topic.
+    blocks and slices, where each vector asks for its one nearest topic. A null vector has a null topic.
     """
-    vectors = vectors.select("vec_id", "embedding").filter(F.col("embedding").isNotNull())
+    vectors = vectors.select("vec_id", "embedding")
     topics = topics.select("query_id", "embedding").filter(F.col("embedding").isNotNull())
     head = topics.orderBy("query_id").limit(max_topics + 1).collect()
-    if len(head) <= max_topics:
+    if 0 < len(head) <= max_topics:
         return _nearest_of(head, vectors, digits)
-    asking = vectors.withColumnRenamed("vec_id", "query_id")
+    none = (F.lit(None).cast("bigint").alias("topic"), F.lit(None).cast("double").alias("score"))
+    if not head:
+        return vectors.select("vec_id", *none)
+    asking = vectors.filter(F.col("embedding").isNotNull()).withColumnRenamed("vec_id", "query_id")
     held = topics.withColumnRenamed("query_id", "vec_id")
     blocks = max(1, -(-asking.count() // slice_rows))
     slices = -(-held.count() // max_topics)
     best = _rank(_by_grid(asking, held, 1, True, digits, blocks, slices), 1)
-    return best.select(F.col("query_id").alias("vec_id"), F.col("vec_id").alias("topic"), "score")
+    named = best.select(F.col("query_id").alias("vec_id"), F.col("vec_id").alias("topic"), "score")
+    return named.unionByName(vectors.filter(F.col("embedding").isNull()).select("vec_id", *none))
 
 
 def _nearest_of(topics: list, vectors: DataFrame, digits: int) -> DataFrame:
@@ -247,15 +251,17 @@ def _nearest_of(topics: list, vectors: DataFrame, digits: int) -> DataFrame:
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, matrix = shared.value
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            scores = np.round(_matrix(batch.column("embedding"), True) @ matrix.T, digits)
-            at = scores.argmax(axis=1)
+            embedding = batch.column("embedding")
+            given = embedding.is_valid().to_numpy(zero_copy_only=False)
+            topic, score = np.zeros(len(given), np.int64), np.zeros(len(given))
+            if given.any():
+                scores = np.round(_matrix(embedding.drop_null(), True) @ matrix.T, digits)
+                topic[given], score[given] = ids[scores.argmax(axis=1)], scores.max(axis=1)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("vec_id"),
-                    pa.array(ids[at], pa.int64()),
-                    pa.array(scores[np.arange(len(at)), at], pa.float64()),
+                    pa.array(topic, pa.int64(), mask=~given),
+                    pa.array(score, pa.float64(), mask=~given),
                 ],
                 names=["vec_id", "topic", "score"],
             )

@@ -70,7 +70,8 @@ def test_centroids_and_topics(spark):
     centres = V.centroids(table)
     assert {r.query_id: r.embedding for r in centres.collect()} == {0: [0.9, 0.1], 1: [0.0, 1.0]}
     for limits in ({}, {"max_topics": 1, "slice_rows": 2}):
-        assert {r.vec_id: r.topic for r in V.nearest_topic(table, centres, **limits).collect()} == {0: 0, 1: 0, 2: 1}
+        assert {r.vec_id: r.topic for r in V.nearest_topic(table, centres, **limits).collect()} == {0: 0, 1: 0, 2: 1, 3: None}
+    assert {r.topic for r in V.nearest_topic(table, centres.limit(0)).collect()} == {None}
 
 
 def test_as_document(spark):
