@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Names of staged folders: a label and a random number.
+STAGED = re.compile(r"^[a-z_]+-[0-9a-f]{32}$")
+
+
 def build_session(app: str = "evalloom", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators are tuned for; keyword names use `__` for dots."""
     builder = (
@@ -29,20 +32,18 @@ def build_session(app: str = "evalloom", master: str | None = None, **conf: str)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach.
+    """The folder every executor can reach: `spark.checkpoint.dir`.
 
-    It is the cluster's `spark.checkpoint.dir`. Only a local-mode session without one gets a folder of
-    its own, since there driver and executors are the same process.
+    A local-mode session without one uses the warehouse, which driver and executors share there. On a cluster
+    the folder must be named.
     """
     context = spark.sparkContext
     base = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base
-    if not context.master.startswith("local"):
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    base = os.path.join(tempfile.gettempdir(), f"evalloom-{context.applicationId}")
-    spark.conf.set("spark.checkpoint.dir", base)
-    return base
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/staged"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -61,3 +62,13 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Remove the staged tables of this session's folder. Call it when no DataFrame built on them is needed any more."""
+    base = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    files = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if files.exists(base):
+        for entry in files.listStatus(base):
+            if STAGED.search(entry.getPath().getName()):
+                files.delete(entry.getPath(), True)
