@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evalloom.llm import decontamination, language, licences, near_vectors, sharding
+from evalloom.llm import decontamination, language, licences, near_vectors, packing, sharding, token_blocks
 from evalloom.sources import load
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_cutting_stock(spark: SparkSession, base: str) -> DataFrame:
+    return packing.pack(load(spark, "documents", base))
+
+
 def op3_interleaved_shards(spark: SparkSession, base: str) -> DataFrame:
     return sharding.interleave(load(spark, "documents", base), 24).drop("stratum")
 
@@ -28,6 +32,10 @@ def op5_language(spark: SparkSession, base: str) -> DataFrame:
     return language.identify(docs, language.fit(docs, fold != 2), held_out=fold == 2)
 
 
+def op8_token_blocks(spark: SparkSession, base: str) -> DataFrame:
+    return token_blocks.token_blocks(load(spark, "documents", base))
+
+
 def op9_licences(spark: SparkSession, base: str) -> DataFrame:
     return licences.licence_scan(load(spark, "documents", base))
 
@@ -39,7 +47,7 @@ def op10_near_vectors(spark: SparkSession, base: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        op3_interleaved_shards, op4_benchmark_hits, op5_language, op9_licences, op10_near_vectors,
+        op2_cutting_stock, op3_interleaved_shards, op4_benchmark_hits, op5_language, op8_token_blocks, op9_licences, op10_near_vectors,
     )
 }
 ORACLE: dict[str, str] = {}
