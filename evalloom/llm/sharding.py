@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-ROWS_PER_BUCKET = 20_000
+ROWS_PER_BUCKET = 2_000
 LAW = "rows"
 
 
