@@ -7,12 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evalloom.llm import decontamination, language, licences, near_vectors, packing, sharding, token_blocks
+from evalloom.llm import decontamination, language, licences, near_vectors, packing, scoring, sharding, token_blocks
 from evalloom.sources import load
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_log_bilinear(spark: SparkSession, base: str) -> DataFrame:
+    fold = language.fold(F.col("doc_id"), 7)
+    return scoring.score(load(spark, "documents", base), fold != 2, fold == 2)
+
+
 def op2_cutting_stock(spark: SparkSession, base: str) -> DataFrame:
     return packing.pack(load(spark, "documents", base))
 
@@ -47,7 +52,7 @@ def op10_near_vectors(spark: SparkSession, base: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        op2_cutting_stock, op3_interleaved_shards, op4_benchmark_hits, op5_language, op8_token_blocks, op9_licences, op10_near_vectors,
+        op1_log_bilinear, op2_cutting_stock, op3_interleaved_shards, op4_benchmark_hits, op5_language, op8_token_blocks, op9_licences, op10_near_vectors,
     )
 }
 ORACLE: dict[str, str] = {}
