@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evalloom.llm.common import as_bytes, numbered, portions, spaced_words
+from evalloom.llm.common import as_bytes, numbered, portions, ranges, spaced_words
 from evalloom.session import stage
 
 END = 0  # the class of the end mark, and of what stands before a text
@@ -30,10 +30,12 @@ class Shape:
 
     words: int = 159  # most frequent words with a class of their own
     buckets: int = 96  # classes of all other words, by their last bytes
-    size: int = 24  # of a representation
-    noise: int = 48  # noise samples of a mini-batch
-    batch: int = 8192
-    rate: float = 0.15
+    size: int = 16  # of a representation
+    noise: int = 64  # noise samples of a step
+    batch: int = 256  # contexts of a step
+    epochs: int = 2
+    block: int = 4_000_000  # tokens counted before a task learns from them
+    rate: float = 0.05
     rounds: int = 2
     head: int = 100_000  # words whose counts are sent to every task; the others are joined
 
@@ -65,36 +67,52 @@ class LogBilinear:
         self.r1, self.r2, self.q = (rng.normal(0.0, 0.3 / np.sqrt(d), (n, d)) for _ in range(3))
         self.noise = (frequency + 1.0) / (frequency + 1.0).sum()
         self.b = np.log(self.noise)
-        self.sums = {x: np.full(getattr(self, x).shape, 0.05) for x in self.names}
+        self.sums = {x: np.full(getattr(self, x).shape, 1e-8) for x in self.names}
 
     def _step(self, name: str, gradient: np.ndarray) -> None:
         self.sums[name] += gradient**2
         getattr(self, name)[...] -= self.shape.rate * gradient / np.sqrt(self.sums[name])
 
-    def learn(self, classes: np.ndarray, before: np.ndarray, second: np.ndarray, rng: np.random.Generator) -> None:
-        """One mini-batch: tell each word from noise that all its contexts share."""
+    def learn(self, words: np.ndarray, counts: np.ndarray, context: np.ndarray, contexts: np.ndarray,
+              rng: np.random.Generator) -> None:
+        """One step over some contexts and all words seen after them: tell the words from noise that the contexts
+        share. `context` is the place of each word's context in `contexts`; counts weigh both sides."""
         n, d = self.q.shape
         k = self.shape.noise
+        before, second = contexts % n, contexts // n
+        weight = counts / counts.sum()
+        share = np.bincount(context, weight, len(contexts))
         noise = rng.choice(n, k, p=self.noise)
-        context = self.r1[before] + self.r2[second]
         log_noise = np.log(k * self.noise)
-        target = np.einsum("ij,ij->i", context, self.q[classes]) + self.b[classes] - log_noise[classes]
-        other = context @ self.q[noise].T + self.b[noise] - log_noise[noise]
-        missed = -1.0 / (1.0 + np.exp(np.clip(target, -30, 30))) / len(classes)
-        taken = 1.0 / (1.0 + np.exp(-np.clip(other, -30, 30))) / len(classes)
-        to_context = taken @ self.q[noise] + missed[:, None] * self.q[classes]
+        hidden = self.r1[before] + self.r2[second]
+        target = np.einsum("ij,ij->i", hidden[context], self.q[words]) + self.b[words] - log_noise[words]
+        other = hidden @ self.q[noise].T + self.b[noise] - log_noise[noise]
+        missed = -weight / (1.0 + np.exp(np.clip(target, -30, 30)))
+        taken = share[:, None] / (1.0 + np.exp(-np.clip(other, -30, 30)))
 
-        def gather(index: np.ndarray, values: np.ndarray) -> np.ndarray:
+        def gather(index: np.ndarray, values: np.ndarray, rows: int) -> np.ndarray:
             flat = (index[:, None] * d + np.arange(d)).ravel()
-            return np.bincount(flat, values.ravel(), n * d).reshape(n, d)
+            return np.bincount(flat, values.ravel(), rows * d).reshape(rows, d)
 
-        to_q = gather(classes, missed[:, None] * context) + gather(noise, taken.T @ context)
-        to_b = np.bincount(classes, missed, n) + np.bincount(noise, taken.sum(axis=0), n)
-        self._step("r1", gather(before, to_context))
-        self._step("r2", gather(second, to_context))
+        to_hidden = taken @ self.q[noise] + gather(context, missed[:, None] * self.q[words], len(contexts))
+        to_q = gather(words, missed[:, None] * hidden[context], n) + gather(noise, taken.T @ hidden, n)
+        to_b = np.bincount(words, missed, n) + np.bincount(noise, taken.sum(axis=0), n)
+        self._step("r1", gather(before, to_hidden, n))
+        self._step("r2", gather(second, to_hidden, n))
         self._step("q", to_q)
         self._step("b", to_b)
 
+    def learn_all(self, keys: np.ndarray, counts: np.ndarray, rng: np.random.Generator) -> None:
+        """`epochs` passes over counted triples (second * n + before) * n + word, some contexts at a time."""
+        n = len(self.q)
+        contexts, first, sizes = np.unique(keys // n, return_index=True, return_counts=True)
+        for _ in range(self.shape.epochs):
+            order = rng.permutation(len(contexts))
+            for a in range(0, len(order), self.shape.batch):
+                part = order[a : a + self.shape.batch]
+                at = ranges(first[part], sizes[part])
+                self.learn(keys[at] % n, counts[at], np.repeat(np.arange(len(part)), sizes[part]), contexts[part], rng)
+
     def vector(self) -> np.ndarray:
         return np.concatenate([getattr(self, x).ravel() for x in self.names])
 
@@ -172,17 +190,24 @@ def train(texts: DataFrame, model: LogBilinear, classes: Classes) -> LogBilinear
             own = LogBilinear(shape, frequency)
             own.noise = frequency
             own.load(start)
-            seen = 0
+            n, seen, held, size = shape.classes, 0, [], 0
+
+            def learn() -> None:
+                keys, place = np.unique(np.concatenate([x for x, _ in held]), return_inverse=True)
+                counts = np.bincount(place, np.concatenate([x for _, x in held]))
+                own.learn_all(keys, counts, np.random.default_rng([turn, seen]))
+
             for batch in batches:
-                rng = np.random.default_rng([turn, batch.num_rows, seen])
                 texts = as_bytes(batch.column("text"))
                 for a, b in portions(texts):
                     token, before, second, _ = contexts([spaced_words(x or b"") for x in texts[a:b]], classes)
-                    order = rng.permutation(len(token))
-                    for c in range(0, len(order), shape.batch):
-                        part = order[c : c + shape.batch]
-                        own.learn(token[part], before[part], second[part], rng)
-                    seen += len(token)
+                    held.append(np.unique((second * n + before) * n + token, return_counts=True))
+                    seen, size = seen + len(token), size + len(token)
+                    if size >= shape.block:
+                        learn()
+                        held, size = [], 0
+            if held:
+                learn()
             if seen:
                 values = own.vector() * seen
                 yield pa.RecordBatch.from_arrays(
