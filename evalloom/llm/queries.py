@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evalloom.llm import decontamination, language, licences, near_vectors, packing, scoring, sharding, token_blocks
+from evalloom.llm import decontamination, language, licences, near_text, near_vectors, packing, scoring, sharding, token_blocks
 from evalloom.sources import load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,10 @@ def op5_language(spark: SparkSession, base: str) -> DataFrame:
     return language.identify(docs, language.fit(docs, fold != 2), held_out=fold == 2)
 
 
+def op6_partenum_join(spark: SparkSession, base: str) -> DataFrame:
+    return near_text.near_text(load(spark, "documents", base)).drop("row", "first_row")
+
+
 def op8_token_blocks(spark: SparkSession, base: str) -> DataFrame:
     return token_blocks.token_blocks(load(spark, "documents", base))
 
@@ -52,7 +56,8 @@ def op10_near_vectors(spark: SparkSession, base: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        op1_log_bilinear, op2_cutting_stock, op3_interleaved_shards, op4_benchmark_hits, op5_language, op8_token_blocks, op9_licences, op10_near_vectors,
+        op1_log_bilinear, op2_cutting_stock, op3_interleaved_shards, op4_benchmark_hits, op5_language,
+        op6_partenum_join, op8_token_blocks, op9_licences, op10_near_vectors,
     )
 }
 ORACLE: dict[str, str] = {}
