@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evalloom.llm import decontamination, language, licences, near_text, near_vectors, packing, scoring, sharding, token_blocks
+from evalloom.llm import decontamination, language, licences, near_text, near_vectors, packing, scoring, sharding, suffix_dedup, token_blocks
 from evalloom.sources import load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,10 @@ def op6_partenum_join(spark: SparkSession, base: str) -> DataFrame:
     return near_text.near_text(load(spark, "documents", base)).drop("row", "first_row")
 
 
+def op7_repeated_strings(spark: SparkSession, base: str) -> DataFrame:
+    return suffix_dedup.repeats(load(spark, "documents", base)).drop("row", "kept")
+
+
 def op8_token_blocks(spark: SparkSession, base: str) -> DataFrame:
     return token_blocks.token_blocks(load(spark, "documents", base))
 
@@ -57,7 +61,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_log_bilinear, op2_cutting_stock, op3_interleaved_shards, op4_benchmark_hits, op5_language,
-        op6_partenum_join, op8_token_blocks, op9_licences, op10_near_vectors,
+        op6_partenum_join, op7_repeated_strings, op8_token_blocks, op9_licences, op10_near_vectors,
     )
 }
 ORACLE: dict[str, str] = {}
