@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from evalloom.session import stage
+
 LETTERS_DIGITS = bytes(range(48, 58)) + bytes(range(97, 123)) + bytes(range(128, 256))
 # A-Z to lower case; what is neither an ASCII letter or digit nor part of a longer character becomes a space.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b in LETTERS_DIGITS else 32 for b in range(256))
@@ -24,6 +26,15 @@ def numbered(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(F.monotonically_increasing_id().alias("row"), *columns)
 
 
+def fixed(df: DataFrame) -> DataFrame:
+    """The table for operators that read it more than once and know its rows by `row`.
+
+    What a shuffle computes may come in another order on a second run, so it is written first.
+    """
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return stage(df, "fixed") if "Exchange" in plan or "Python" in plan or "Arrow" in plan else df
+
+
 def plain_words(text: bytes) -> list[bytes]:
     """Lower-case words of letters, digits and characters beyond ASCII."""
     return text.translate(FOLD).split()

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evalloom.llm.common import as_bytes, numbered, plain_words, portions, ranges
+from evalloom.llm.common import as_bytes, fixed, numbered, plain_words, portions, ranges
 
 WINDOW = 10
 BLOCK_BYTES = 16 << 20
@@ -187,7 +187,7 @@ def benchmark_hits(
     Nulls: a null text has no words; a null item text is no item; an item without id hits words but is not
     listed. Repeated documents are judged each; repeated items count once. Empty tables give no rows or no hits.
     """
-    rows = numbered(docs, F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    rows = numbered(fixed(docs), F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     passes = []
     for tests in blocks(benchmark, text, item, window, block_bytes):
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from evalloom.llm.common import as_bytes, numbered, portions
+from evalloom.llm.common import as_bytes, fixed, numbered, portions
 from evalloom.llm.graph import components
 from evalloom.llm.shingles import OWN, SKETCH, SMALLEST, WORDS, WordHashes, fingerprint, shingle_sets, signatures, sketch
 from evalloom.session import stage
@@ -269,7 +269,7 @@ def near_text(
     gives no rows. Other columns are left out.
     """
     similarity = percent / 100
-    rows = numbered(docs, F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    rows = numbered(fixed(docs), F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     described = stage(_described(rows, width, similarity), "sets")
     named = ["n", "f1", "f2"]
     first = described.filter("n > 0").groupBy(*named).agg(F.min("row").alias("class"))
@@ -333,6 +333,7 @@ def one_of_each(docs: DataFrame, *, text: str = "text", key: str = "doc_id", **o
 
     Of each component the row of the smallest key stays, of equal keys the first.
     """
+    docs = fixed(docs)
     gone = stage(near_text(docs, text=text, key=key, **options).filter("row <> first_row").select("row"), "gone")
     name = "__row_of_near_text"
     while name in docs.columns:

@@ -18,6 +18,7 @@ from evalloom.session import stage
 
 END = 0  # the class of the end mark, and of what stands before a text
 LONGEST_HEAD = 64
+LEVELS = 64  # of counts, from one power of two to the next
 COUNTS = "word binary, bucket int, n long"
 PARTS = (
     "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, model double, tail array<binary>"
@@ -225,6 +226,20 @@ def train(texts: DataFrame, model: LogBilinear, classes: Classes) -> LogBilinear
     return model
 
 
+def frequent(counts: DataFrame, most: int) -> list:
+    """The most frequent words, `most` at most, in order. Counts fall into a few thousand levels; the levels that fit
+    are taken whole, so no task sends more to the driver than what is kept."""
+    short = counts.filter(F.octet_length("word") <= LONGEST_HEAD).withColumn("level", F.floor(F.log2("n") * LEVELS))
+    left, lowest = most, None
+    for row in short.groupBy("level").count().orderBy(F.desc("level")).collect():
+        left -= row["count"]
+        if left < 0:
+            break
+        lowest = row.level
+    kept = [] if lowest is None else short.filter(F.col("level") >= lowest).select("word", "bucket", "n").collect()
+    return sorted(kept, key=lambda r: (-r.n, bytes(r.word)))
+
+
 def score(docs: DataFrame, training: Column, held_out: Column, *, text: str = "text", key: str = "doc_id",
           shape: Shape | None = None) -> DataFrame:
     """Base and model log10 probabilities of every whole text, learnt from the rows where `training` holds.
@@ -246,7 +261,7 @@ def score(docs: DataFrame, training: Column, held_out: Column, *, text: str = "t
         F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect()}
     total = sum(n for n, _ in buckets.values()) + ends
     distinct = sum(v for _, v in buckets.values()) + (ends > 0)
-    head = counts.filter(F.octet_length("word") <= LONGEST_HEAD).orderBy(F.desc("n"), "word").limit(shape.head).collect()
+    head = frequent(counts, shape.head)
     own = [bytes(r.word) for r in head[: shape.words]]
     classes = Classes(own, shape)
     size, kinds = np.zeros(shape.classes), np.zeros(shape.classes)

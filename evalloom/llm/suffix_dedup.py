@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from evalloom.llm.anchors import GRAM, Anchors
 from evalloom.llm.bwt import least_of_equal
-from evalloom.llm.common import as_bytes, numbered, portions, ranges
+from evalloom.llm.common import as_bytes, fixed, numbered, portions, ranges
 from evalloom.session import stage
 
 LENGTH = 50
@@ -130,7 +130,7 @@ def repeats(
     Nulls: a null text is empty. A null key is larger than any other. Of equal keys neither is smaller; repeated rows
     are judged each. An empty table gives no rows. Other columns are left out.
     """
-    rows = numbered(docs, F.coalesce(F.col(key).cast("long"), F.lit(int(LAST))).alias("doc_id"),
+    rows = numbered(fixed(docs), F.coalesce(F.col(key).cast("long"), F.lit(int(LAST))).alias("doc_id"),
                     F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8").alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = min(30, max(0, int(np.ceil(np.log2(max(1, total / bucket_bytes))))))
@@ -296,6 +296,7 @@ def without_repeats(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
 
     A character that loses some of its bytes loses all. Documents of which nothing is left stay, with an empty text.
     """
+    docs = fixed(docs)
     changed = repeats(docs, text=text, key=key, **options).filter("n_removed > 0")
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
