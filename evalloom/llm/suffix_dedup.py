@@ -160,9 +160,16 @@ def repeats(
         chunk = table.column("chunk").to_pylist()
         once = [np.frombuffer(x, "<u4") for x in table.column("once").to_pylist()]
         several = [np.frombuffer(x, "<u4") for x in table.column("several").to_pylist()]
-        values, counts = np.unique(np.concatenate(once + several + several), return_counts=True)
-        common = values[counts > 1]
-        back = [x[np.isin(x, common)].tobytes() + y.tobytes() for x, y in zip(once, several, strict=True)]
+        # Anchors that several texts of a chunk have count twice.
+        every = np.concatenate(once + several)
+        twice = np.arange(len(every)) >= sum(map(len, once))
+        order = np.argsort(every, kind="stable")
+        first = np.flatnonzero(np.concatenate([[True], np.diff(every[order]) != 0]))
+        size = np.diff(np.append(first, len(order)))
+        common = np.empty(len(every), bool)
+        common[order] = np.repeat((size > 1) | np.logical_or.reduceat(twice[order], first), size)
+        ends = np.cumsum([0, *map(len, once)])
+        back = [x[common[i:j]].tobytes() + y.tobytes() for x, y, i, j in zip(once, several, ends, ends[1:], strict=False)]
         kept = [i for i, x in enumerate(back) if x]
         return pa.table({
             "chunk": pa.array([chunk[i] for i in kept], pa.int64()), "bucket": pa.array([bucket] * len(kept), pa.int32()),
