@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from evalloom.llm.common import as_bytes, fixed, numbered, portions
 from evalloom.llm.graph import components
-from evalloom.llm.shingles import OWN, SKETCH, SMALLEST, WORDS, WordHashes, fingerprint, shingle_sets, signatures, sketch
+from evalloom.llm.shingles import (
+    OWN, SKETCH, SMALLEST, WORDS, WordHashes, differing, fingerprint, shingle_sets, signatures, sketch, wide_sketch,
+)
 from evalloom.session import stage
 
 PERCENT = 75
@@ -20,9 +22,9 @@ CROWD = 8  # signatures of more documents than this do not make pairs by themsel
 ENTRIES = 500_000  # signatures of a bucket, about
 FLUSH = 2_000_000
 LEADERS = 3
-SETS = "row long, doc_id long, n long, f1 long, f2 long, own int, below int, signed int, sketch array<long>"
-DEALT = "bucket int, base long, high binary, low binary, place binary"
-MADE = "a long, b long, kind int, signature long"
+SETS = "row long, doc_id long, n long, f1 long, f2 long, own int, below int, signed int, sketch array<long>, wide binary"
+DEALT = "bucket int, base long, signatures binary, places binary"
+MADE = "a long, b long, kind int"
 
 
 def _sets(texts: list[bytes | None], hashes: WordHashes, width: int) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -32,7 +34,8 @@ def _sets(texts: list[bytes | None], hashes: WordHashes, width: int) -> Iterator
 
 def _described(rows: DataFrame, width: int, similarity: float) -> DataFrame:
     names = [x.split()[0] for x in SETS.split(", ")]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64())]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64()),
+             pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -42,7 +45,8 @@ def _described(rows: DataFrame, width: int, similarity: float) -> DataFrame:
                 for found in sets:
                     _, kind = signatures(found, similarity)
                     filled = np.bincount(kind, minlength=3)
-                    row = (len(found), *fingerprint(found), int(filled[0]), int(filled[1]), len(kind), sketch(found))
+                    row = (len(found), *fingerprint(found), int(filled[0]), int(filled[1]), len(kind), sketch(found),
+                           wide_sketch(found))
                     for x, y in zip(out, row, strict=True):
                         x.append(y)
             yield pa.RecordBatch.from_arrays(
@@ -54,7 +58,7 @@ def _described(rows: DataFrame, width: int, similarity: float) -> DataFrame:
 
 
 def _dealt(rows: DataFrame, width: int, similarity: float, bits: int, crowd: int) -> DataFrame:
-    """Signatures in buckets by their first bits: a row holds what one task has for one bucket.
+    """Signatures in buckets by their first bits: a row holds the next 32 bits of what one task has for one bucket.
 
     A set that a task has seen is signed once there, since equal sets are joined by their fingerprints. Of a
     signature that many of a task's documents share, the bucket gets enough to see that; the others go to rows
@@ -78,12 +82,11 @@ def _dealt(rows: DataFrame, width: int, similarity: float, bits: int, crowd: int
             cuts = np.arange(0, len(s), ENTRIES) if negative else np.flatnonzero(np.concatenate([[True], b[1:] != b[:-1]]))
             for x, y in zip(cuts, np.append(cuts[1:], len(s)), strict=True):
                 number = -1 - (base * 31 + int(x)) % (1 << 30) if negative else int(b[x])
-                low = s[x:y]
-                row = (number, base, (low >> np.uint64(32)).astype("<u4").tobytes(), low.astype("<u4").tobytes(),
-                       p[x:y].astype("<u4").tobytes())
+                low = s[x:y] >> np.uint64(32 - bits)
+                row = (number, base, low.astype("<u4").tobytes(), p[x:y].astype("<u4").tobytes())
                 for column, value in zip(out, row, strict=True):
                     column.append(value)
-        kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+        kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary()]
         yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,13 +116,17 @@ def _dealt(rows: DataFrame, width: int, similarity: float, bits: int, crowd: int
 
 
 def _met(dealt: DataFrame, crowd: int) -> DataFrame:
-    """Pairs of documents with a signature in common; of crowded signatures the members instead."""
+    """Pairs of documents with a signature in common; of crowded signatures the members instead.
+
+    Signatures that only agree in their bucket and 32 more bits make pairs that go later, or a crowd that is none,
+    whose members meet elsewhere.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         signature, member = [], []
-        for base, high, low, place in zip(*(table.column(x).to_pylist() for x in ("base", "high", "low", "place")), strict=True):
-            signature.append((np.frombuffer(high, "<u4").astype(np.uint64) << np.uint64(32)) | np.frombuffer(low, "<u4"))
-            at = np.frombuffer(place, "<u4").astype(np.int64)
+        for base, raw, places in zip(*(table.column(x).to_pylist() for x in ("base", "signatures", "places")), strict=True):
+            signature.append(np.frombuffer(raw, "<u4"))
+            at = np.frombuffer(places, "<u4").astype(np.int64)
             member.append(((base + (at >> 2)) << 2) | (at & 3))
         s, m = np.concatenate(signature), np.concatenate(member)
         if table.column("bucket")[0].as_py() < 0:
@@ -140,13 +147,10 @@ def _met(dealt: DataFrame, crowd: int) -> DataFrame:
         both = np.unique(np.concatenate(pairs, axis=1), axis=1) if pairs else np.empty((2, 0), np.int64)
         both = both[:, both[0] != both[1]]
         n, k = both.shape[1], int(crowded.sum())
-        empty = np.ones(n, bool)
         return pa.table({
             "a": pa.array(np.concatenate([both[0], m[crowded] >> 2])),
-            "b": pa.array(np.concatenate([both[1], np.zeros(k, np.int64)]), mask=np.concatenate([~empty, np.ones(k, bool)])),
+            "b": pa.array(np.concatenate([both[1], np.zeros(k, np.int64)]), mask=np.arange(n + k) >= n),
             "kind": pa.array(np.concatenate([np.zeros(n, np.int64), m[crowded] & 3]).astype(np.int32)),
-            "signature": pa.array(np.concatenate([np.zeros(n, np.int64), s[crowded].view(np.int64)]),
-                                  mask=np.concatenate([empty, np.zeros(k, bool)])),
         })
 
     return dealt.groupBy("bucket").applyInArrow(run, MADE)
@@ -162,6 +166,21 @@ def _possible(percent: int) -> Column:
     return size & (differ * (100 + percent) <= (100 - percent) * (F.col("a_n") + F.col("b_n")))
 
 
+def _by_wide_sketch(pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose wide sketches, where both sets are large, leave it open that they are similar."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = batch.column("a_n").to_numpy() + batch.column("b_n").to_numpy()
+            keep = [
+                a is None or b is None or differing(a, b) * (100 + percent) <= (100 - percent) * n
+                for a, b, n in zip(batch.column("a_wide").to_pylist(), batch.column("b_wide").to_pylist(), sizes.tolist(), strict=True)
+            ]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return pairs.select("a", "b", "a_n", "b_n", "a_wide", "b_wide").mapInArrow(run, "a long, b long")
+
+
 def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose sets have a Jaccard similarity of at least `percent`, exactly."""
     both = pairs.join(sets.select(F.col("row").alias("a"), F.col("members").alias("x")), "a").join(
@@ -283,11 +302,12 @@ def near_text(
         to = moved.select(F.col("row").alias(column), F.col("class").alias("__to"))
         return df.join(to, column, "left").withColumn(column, F.coalesce("__to", column)).drop("__to")
 
-    info = described.select("row", "n", "sketch")
     pairs = of_class(of_class(met.filter("b is not null").select("a", "b").distinct(), "a"), "b")
     pairs = pairs.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    pairs = pairs.join(info.toDF("a", "a_n", "a_sketch"), "a").join(info.toDF("b", "b_n", "b_sketch"), "b")
-    pairs = stage(pairs.filter(_possible(percent)).select("a", "b"), "pairs")
+    full = described.select("row", "n", "sketch", "wide")
+    pairs = pairs.join(full.toDF("a", "a_n", "a_sketch", "a_wide"), "a").join(
+        full.toDF("b", "b_n", "b_sketch", "b_wide"), "b").filter(_possible(percent))
+    pairs = stage(_by_wide_sketch(pairs, percent), "pairs")
     # A set may have missed a link if its partitions outside crowded signatures are not more than its limit.
     crowded = met.filter("b is null").groupBy(F.col("a").alias("row")).agg(
         F.sum((F.col("kind") == OWN).cast("int")).alias("own_crowded"),

@@ -137,3 +137,22 @@ def sketch(found: np.ndarray) -> np.ndarray:
     bit = (mix(found + np.uint64(5)) % np.uint64(SKETCH)).astype(np.int64)
     odd = (np.bincount(bit, minlength=SKETCH) & 1).astype(np.uint8)
     return np.packbits(odd, bitorder="little").view("<i8")
+
+
+def wide_sketch(found: np.ndarray) -> bytes | None:
+    """Parities of a set that is large for SKETCH bits: at least as many as it has shingles, a power of two."""
+    if len(found) <= SKETCH // 2:
+        return None
+    bits = 1 << (len(found) - 1).bit_length()
+    bit = (mix(found + np.uint64(5)) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(bit, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def differing(a: bytes, b: bytes) -> int:
+    """In how many shingles two sets differ at least, by their wide sketches; the longer one is folded."""
+    x, y = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
+    if len(x) < len(y):
+        x, y = y, x
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
