@@ -95,17 +95,19 @@ class CrossParser:
             text, _ = symbols([x + "\n" for x in samples[language]], self.table)
             text = text[:most].tobytes()
             edges = suffix_automaton(text)
-            step = np.empty((len(edges), SYMBOLS), np.int64)
-            root = np.zeros(SYMBOLS, np.int64)
-            root[list(edges[0])] = list(edges[0].values())
-            step[:] = (root + base) * SYMBOLS * 2 + 1
+            # One state more: after a symbol that the text lacks, which is a phrase of its own.
+            step = np.empty((len(edges) + 1, SYMBOLS), np.int64)
+            begin = np.full(SYMBOLS, len(edges))
+            begin[list(edges[0])] = list(edges[0].values())
+            step[:] = (begin + base) * SYMBOLS * 2 + 1
+            step[0] -= 1  # nothing ends at the beginning
             for state, out in enumerate(edges):
                 if out:
                     step[state, list(out)] = (np.array(list(out.values())) + base) * SYMBOLS * 2
             steps.append(step.ravel())
             self.roots.append(base * SYMBOLS * 2)
             bits.append(np.log2(max(len(text), 2)))
-            base += len(edges)
+            base += len(edges) + 1
         self.steps = np.concatenate(steps).astype(np.int32) if steps else np.empty(0, np.int32)
         self.bits = np.array(bits)
 

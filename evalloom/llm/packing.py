@@ -48,7 +48,7 @@ def relaxed(demand: np.ndarray, capacity: int, gap: float = GAP) -> list[tuple[n
     """Patterns and how often each is cut, whole or not, so that the demand of each length is met with the fewest
     sequences: the linear program over all patterns, to within `gap` of its lower bound.
 
-    Revised simplex. It starts from patterns of one or two lengths; the knapsack over the dual prices finds the column of
+    Revised simplex (plain sums: threads of a matrix library do not help at this size). It starts from patterns of one or two lengths; the knapsack over the dual prices finds the column of
     least reduced cost. Its value bounds the optimum from below, and so do the tokens over the width.
     """
     lengths = np.flatnonzero(demand)
@@ -57,20 +57,23 @@ def relaxed(demand: np.ndarray, capacity: int, gap: float = GAP) -> list[tuple[n
         return []
     # Of two lengths that fill a sequence together, the rarer one starts in pairs with the other.
     columns, need = [], demand[lengths].astype(float)
-    for length in lengths:
+    at = {int(length): i for i, length in enumerate(lengths)}
+    inverse = np.zeros((m, m))
+    for i, length in enumerate(lengths.tolist()):
         column = np.zeros(capacity + 1, np.int64)
         rest = capacity - length
-        if rest != length and rest > 0 and (demand[length], length) < (demand[rest], rest):
+        if rest in at and (demand[length], length) < (demand[rest], rest):
             column[[length, rest]] = 1
+            inverse[i, i], inverse[at[rest], i] = 1.0, -1.0 / (capacity // rest)
         else:
             column[length] = capacity // length
+            inverse[i, i] = 1.0 / (capacity // length)
         columns.append(column)
-    inverse = np.linalg.inv(np.array([x[lengths] for x in columns], float).T)
-    amount = inverse @ need
+    amount = (inverse * need).sum(axis=1)
     cost = np.ones(m)
     material = need @ lengths / capacity
     for _ in range(50 * m + 200):
-        price = cost @ inverse
+        price = (cost[:, None] * inverse).sum(axis=0)
         worst = int(np.argmin(price))
         if price[worst] < -1e-9:  # more of this length than asked for does no harm
             entering, entering_cost = np.zeros(m), 0.0
@@ -84,7 +87,8 @@ def relaxed(demand: np.ndarray, capacity: int, gap: float = GAP) -> list[tuple[n
             if worth <= 1.0 + 1e-9 or cost @ amount <= bound * (1.0 + gap):
                 break
             entering, entering_cost = column[lengths].astype(float), 1.0
-        step = inverse @ entering
+        used = np.flatnonzero(entering)
+        step = (inverse[:, used] * entering[used]).sum(axis=1)
         rising = np.flatnonzero(step > 1e-9)
         if not len(rising):
             break
