@@ -38,6 +38,26 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return near[np.lexsort((ids[near], -scores[near]))[:k]]
 
 
+def usable(vector: str | Column, *, dimensions: int | None = None, direction: bool = True) -> Column:
+    """Whether a vector can be compared: not null, every component a finite number, of the asked length.
+
+    With `direction` a zero vector is not usable either, since it has no cosine. One rule for exact and
+    approximate search, topics and their centroids: what fails it is treated like a null vector.
+    """
+    vector = F.col(vector) if isinstance(vector, str) else vector
+    finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    good = (F.size(vector) > 0 if dimensions is None else F.size(vector) == dimensions) & finite
+    if direction:
+        good = good & F.exists(vector, lambda x: x != 0)
+    return F.coalesce(good, F.lit(False))
+
+
+def _length(vectors: DataFrame, direction: bool) -> int | None:
+    """The length of the usable vector of the lowest `query_id`: what others are held to."""
+    lengths = vectors.filter(usable("embedding", direction=direction) & F.col("query_id").isNotNull())
+    return lengths.agg(F.min_by(F.size("embedding"), "query_id")).first()[0]
+
+
 class _Leaders:
     """The k best vectors of each query seen so far by one task."""
 
@@ -47,7 +67,11 @@ class _Leaders:
         self.scores = [np.empty(0, np.float64) for _ in query_ids]
         self.floor = np.full(len(query_ids), -np.inf)
 
-    def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+    def add(self, ids: np.ndarray, vectors: np.ndarray, chunk: int = 4096) -> None:
+        for a in range(0, len(ids), chunk):
+            self._add(ids[a : a + chunk], vectors[a : a + chunk])
+
+    def _add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
         scores = np.round(vectors @ self.queries.T, self.digits)
         for q in np.flatnonzero(scores.max(axis=0) >= self.floor):
             here = _best(scores[:, q], ids, self.k)
@@ -130,13 +154,16 @@ def vector_topk(
     Up to `max_queries` queries are broadcast, and the corpus is read once in Arrow batches, where every
     task keeps only its k best per query. More queries than that are cut into blocks and the corpus into
     slices of about `slice_rows`, joined as a grid. Scores are rounded to `digits` before they are ranked.
-    Null vectors are never near anything.
+    Vectors that are not `usable` are never near anything, and neither are those of another length than the
+    first query's; rows without an id are left out.
     """
     if metric not in ("cosine", "dot"):
         raise ValueError(f"metric must be 'cosine' or 'dot', not {metric!r}")
     normalise = metric == "cosine"
-    queries = queries.select("query_id", "embedding").filter(F.col("embedding").isNotNull())
-    vectors = vectors.select("vec_id", "embedding").filter(F.col("embedding").isNotNull())
+    queries = queries.select("query_id", "embedding")
+    good = usable("embedding", dimensions=_length(queries, normalise) or 0, direction=normalise)
+    queries = queries.filter(good & F.col("query_id").isNotNull())
+    vectors = vectors.select("vec_id", "embedding").filter(good & F.col("vec_id").isNotNull())
     head = queries.limit(max_queries + 1).collect()
     if not head:
         return _rank(vectors.sparkSession.createDataFrame([], TOPK_SCHEMA), k)
@@ -171,7 +198,7 @@ def lsh_signatures(
             yield pa.RecordBatch.from_arrays([*batch.columns, column], names=[*batch.schema.names, "signatures"])
 
     fields = ", ".join(f"`{n}` {t}" for n, t in vectors.dtypes)
-    return vectors.filter(F.col("embedding").isNotNull()).mapInArrow(sign, f"{fields}, signatures array<int>")
+    return vectors.filter(usable("embedding", dimensions=dimensions)).mapInArrow(sign, f"{fields}, signatures array<int>")
 
 
 def vector_topk_ann(
@@ -206,10 +233,12 @@ def vector_topk_ann(
 def centroids(vectors: DataFrame, label: str = "label") -> DataFrame:
     """The mean vector of each label as `query_id, embedding`.
 
-    Values are averaged per (label, dimension), which folds map-side however large a label is.
+    Values are averaged per (label, dimension), which folds map-side however large a label is. Vectors that are
+    not `usable` and rows without a label are left out.
     """
+    good = usable("embedding", direction=False) & F.col(label).isNotNull()
     means = (
-        vectors.select(F.col(label).cast("bigint").alias("query_id"), F.posexplode("embedding").alias("at", "x"))
+        vectors.filter(good).select(F.col(label).cast("bigint").alias("query_id"), F.posexplode("embedding").alias("at", "x"))
         .groupBy("query_id", "at").agg(F.avg("x").alias("x"))
     )
     return means.groupBy("query_id").agg(
@@ -224,10 +253,12 @@ def nearest_topic(
     """The nearest topic centroid of every vector: `vec_id, topic, score`, ties to the lower topic.
 
     Up to `max_topics` topics are broadcast and the vectors are read once; more go through the grid of
-    blocks and slices, where each vector asks for its one nearest topic. A null vector has a null topic.
+    blocks and slices, where each vector asks for its one nearest topic. A vector that is not `usable`, or of
+    another length than the first topic, has a null topic.
     """
-    vectors = vectors.select("vec_id", "embedding")
-    topics = topics.select("query_id", "embedding").filter(F.col("embedding").isNotNull())
+    good = usable("embedding", dimensions=_length(topics, True) or 0)
+    vectors = vectors.select("vec_id", F.when(good, F.col("embedding")).alias("embedding"))
+    topics = topics.select("query_id", "embedding").filter(good & F.col("query_id").isNotNull())
     head = topics.orderBy("query_id").limit(max_topics + 1).collect()
     if 0 < len(head) <= max_topics:
         return _nearest_of(head, vectors, digits)

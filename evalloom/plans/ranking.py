@@ -126,9 +126,9 @@ def vector_topk(spark: SparkSession, base: str) -> DataFrame:
     return V.vector_topk(topic_queries(spark, base), load(spark, "embeddings", base), 10)
 
 
-@query("similarity_threshold", f"WITH {topk_sql(10)} SELECT * FROM nearest WHERE score >= 0.5")
+@query("similarity_threshold", f"WITH {topk_sql(10)} SELECT * FROM nearest WHERE score >= 0.36")
 def similarity_threshold(spark: SparkSession, base: str) -> DataFrame:
-    return P.min_score(vector_topk(spark, base), 0.5)
+    return P.min_score(vector_topk(spark, base), 0.36)
 
 
 @query(
@@ -137,13 +137,13 @@ def similarity_threshold(spark: SparkSession, base: str) -> DataFrame:
           SELECT n.query_id, CAST(row_number() OVER (PARTITION BY n.query_id ORDER BY score DESC, n.vec_id) AS INTEGER) AS rank,
             n.vec_id, score FROM near n JOIN embeddings e ON e.vec_id = n.vec_id WHERE e.label IN (1, 2, 3, 4, 5)
           QUALIFY rank <= 5)
-        SELECT query_id, rank, vec_id, score FROM nearest WHERE score >= 0.2""",
+        SELECT query_id, rank, vec_id, score FROM nearest WHERE score >= 0.36""",
 )
 def filtered_search(spark: SparkSession, base: str) -> DataFrame:
     """Filter spec before the search, so it reaches the scan; score threshold after it."""
     spec = [{"field": "label", "filter": [1, 2, 3, 4, 5]}]
     vectors = load(spark, "embeddings", base).filter(P.compile_filters(spec, ["label"]))
-    return P.min_score(V.vector_topk(topic_queries(spark, base), vectors), 0.2)
+    return P.min_score(V.vector_topk(topic_queries(spark, base), vectors), 0.36)
 
 
 @query("vector_topk_ann")

@@ -79,3 +79,29 @@ def test_as_document(spark):
     row = V.as_document(hits, "body").first()
     assert row.page_content == "text"
     assert row.metadata == {"similarity_score": "0.5", "id": "1", "uri": "u"}
+
+
+BAD = [
+    (2001, [float("nan")] + [1.0] * 7), (2002, [None] + [1.0] * 7), (2003, [float("inf")] + [1.0] * 7), (2004, [1.0] * 5),
+    (2005, [0.0] * 8), (2006, []), (None, [1.0] * 8),
+]
+
+
+@pytest.mark.parametrize("limits", [{}, {"max_queries": 2, "slice_rows": 50}])
+def test_bad_vectors_change_nothing_for_the_others(spark, queries, vectors, limits):
+    bad = spark.createDataFrame(BAD, "vec_id bigint, embedding array<double>")
+    asked = queries.union(spark.createDataFrame([(q, v) for q, v in BAD], "query_id bigint, embedding array<double>"))
+    found = V.vector_topk(asked, vectors.union(bad), 5, **limits).collect()
+    assert sorted(found) == sorted(V.vector_topk(queries, vectors, 5).collect())
+
+
+@pytest.mark.parametrize("limits", [{}, {"max_topics": 1, "slice_rows": 50}])
+def test_bad_vectors_move_no_topic(spark, vectors, limits):
+    labelled = vectors.filter("vec_id < 60").withColumn("label", F.col("vec_id") % 3)
+    bad = spark.createDataFrame([(i, v, 1) for i, v in BAD[:3]] + [(2009, [1.0] * 8, None)],
+                                "vec_id bigint, embedding array<double>, label bigint")
+    clean = {r.vec_id: r.topic for r in V.nearest_topic(labelled, V.centroids(labelled), **limits).collect()}
+    both = labelled.union(bad)
+    found = {r.vec_id: r.topic for r in V.nearest_topic(both, V.centroids(both), **limits).collect()}
+    assert {k: v for k, v in found.items() if k < 2000} == clean
+    assert found[2001] is None and found[2002] is None and found[2003] is None and found[2009] is not None
