@@ -15,21 +15,72 @@ from evalloom.operators.sampling import segmented_lag
 
 def messages_from_turns(
     turns: DataFrame, *, key: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text",
-    segment_turns: int = 1000,
+    part_turns: int = 1000,
 ) -> DataFrame:
-    """One row per conversation with its messages in order.
+    """The messages of each conversation in order, in numbered parts of `part_turns` turns.
 
-    A conversation is cut every `segment_turns` turns, so one of any length never meets in one task or
-    row; `segment` numbers the parts and is 0 throughout for those that fit in one.
+    Parts keep a row bounded; a part is not a conversation. What depends on the first or last message of a
+    conversation, or counts over it, is done on its turns: `last_query`, `history`, `with_system`,
+    `without_system`, `answered`, `tool_depth`.
     """
-    part = F.floor(F.col(turn) / segment_turns)
-    gathered = turns.groupBy(key, part.alias("segment")).agg(
+    part = F.floor(F.col(turn) / part_turns)
+    gathered = turns.groupBy(key, part.alias("part")).agg(
         F.array_sort(
             F.collect_list(F.struct(F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(text).alias("content")))
         ).alias("turns")
     )
     messages = F.transform("turns", lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content")))
-    return gathered.select(key, "segment", messages.alias("messages"))
+    return gathered.select(key, "part", messages.alias("messages"))
+
+
+def last_query(turns: DataFrame, *, key: str = "conv_id", turn: str = "turn", text: str = "text") -> DataFrame:
+    """The content of each conversation's last turn, folded map-side however long it is."""
+    return turns.groupBy(key).agg(F.max_by(text, turn).alias("user_query"))
+
+
+def history(turns: DataFrame, *, key: str = "conv_id", turn: str = "turn") -> DataFrame:
+    """Every turn but the last of each conversation."""
+    last = turns.groupBy(key).agg(F.max(turn).alias("__last"))
+    return turns.join(last, key).filter(F.col(turn) < F.col("__last")).drop("__last")
+
+
+def _first(turns: DataFrame, key: str, turn: str, role: str) -> DataFrame:
+    return turns.groupBy(key).agg(F.min(turn).alias("__first"), F.min_by(role, turn).alias("__opens"))
+
+
+def with_system(
+    turns: DataFrame, prompt: str, *, key: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text"
+) -> DataFrame:
+    """The turns, with a system turn before the first one of each conversation that does not open with one."""
+    lacking = _first(turns, key, turn, role).filter(~F.col("__opens").eqNullSafe("system"))
+    added = lacking.select(
+        key, (F.col("__first") - 1).cast(turns.schema[turn].dataType).alias(turn), F.lit("system").alias(role),
+        F.lit(prompt).alias(text),
+    )
+    return turns.select(key, turn, role, text).unionByName(added)
+
+
+def without_system(turns: DataFrame, *, key: str = "conv_id", turn: str = "turn", role: str = "role") -> DataFrame:
+    """The turns without the first of a conversation if it is a system turn."""
+    opens = _first(turns, key, turn, role).filter(F.col("__opens") == "system").select(key, F.col("__first").alias(turn))
+    return turns.join(opens, [key, turn], "left_anti")
+
+
+def answered(
+    turns: DataFrame, more: DataFrame, *, key: str = "conv_id", turn: str = "turn", place: str = "place"
+) -> DataFrame:
+    """The turns, followed in each conversation by its rows of `more` in order of `place` (1, 2, ...)."""
+    last = turns.groupBy(key).agg(F.max(turn).alias("__last"))
+    added = more.join(last, key).withColumn(turn, (F.col("__last") + F.col(place)).cast(turns.schema[turn].dataType))
+    return turns.unionByName(added.select(*turns.columns))
+
+
+def tool_depth(
+    turns: DataFrame, *, key: str = "conv_id", role: str = "role", limit: int = K.MAX_TOOL_ITERATIONS
+) -> DataFrame:
+    """Tool results per conversation, and whether they reach the ceiling on tool-call rounds."""
+    depth = F.sum(F.when(F.col(role) == "tool", 1).otherwise(0)).cast("int")
+    return turns.groupBy(key).agg(depth.alias("depth")).withColumn("at_limit", F.col("depth") >= limit)
 
 
 def spans(df: DataFrame, trace: str = "trace", *keys: str) -> DataFrame:
@@ -51,7 +102,7 @@ def span_latency(spans: DataFrame, *, exact_bin: float | None = None) -> DataFra
 
 
 def loop_depth(df: DataFrame, messages: str = "messages", limit: int = K.MAX_TOOL_ITERATIONS) -> DataFrame:
-    """Tool results per request, and whether they reach the ceiling on tool-call rounds."""
+    """Tool results per request that holds its messages, and whether they reach the ceiling on tool-call rounds."""
     depth: Column = tool_turns(messages)
     return df.withColumn("depth", depth).withColumn("at_limit", F.col("depth") >= limit)
 

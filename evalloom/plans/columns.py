@@ -138,35 +138,25 @@ def hour_bucket(spark: SparkSession, base: str) -> DataFrame:
 
 # --- chat messages --------------------------------------------------------------------------------
 
-MESSAGES = """messages AS (
-  SELECT conv_id, turn // 1000 AS segment, list({'role': role, 'content': text} ORDER BY turn) AS messages
-  FROM conversations GROUP BY 1, 2)"""
+# One text per message, to compare.
+SHOWN = "md5(role || ':' || text)"
 
 
-def conversations(spark: SparkSession, base: str) -> DataFrame:
-    return T.messages_from_turns(load(spark, "conversations", base))
-
-
-def shown(messages: Column) -> Column:
-    """Messages as one text, to compare."""
-    return F.md5(F.array_join(F.transform(messages, lambda m: F.concat(m["role"], F.lit(":"), m["content"])), "|"))
-
-
-def sql_shown(messages: str) -> str:
-    return f"md5(array_to_string(list_transform({messages}, lambda m: m.role || ':' || m.content), '|'))"
-
-
-KEYS = "conv_id, segment"
+def shown(turns: DataFrame) -> DataFrame:
+    return turns.select("conv_id", "turn", "role", F.md5(F.concat("role", F.lit(":"), "text")).alias("shown"))
 
 
 @query(
     "messages_from_turns",
-    f"WITH {MESSAGES} SELECT {KEYS}, CAST(len(messages) AS INTEGER) AS turns, {sql_shown('messages')} AS shown FROM messages",
+    """WITH m AS (SELECT conv_id, turn // 3 AS part, list({'role': role, 'content': text} ORDER BY turn) AS messages
+               FROM conversations GROUP BY 1, 2)
+       SELECT conv_id, part, CAST(len(messages) AS INTEGER) AS turns,
+              md5(array_to_string(list_transform(messages, lambda m: m.role || ':' || m.content), '|')) AS shown FROM m""",
 )
 def messages_from_turns(spark: SparkSession, base: str) -> DataFrame:
-    return conversations(spark, base).select(
-        "conv_id", "segment", F.size("messages").alias("turns"), shown(F.col("messages")).alias("shown")
-    )
+    parts = T.messages_from_turns(load(spark, "conversations", base), part_turns=3)
+    text = F.array_join(F.transform("messages", lambda m: F.concat(m["role"], F.lit(":"), m["content"])), "|")
+    return parts.select("conv_id", "part", F.size("messages").alias("turns"), F.md5(text).alias("shown"))
 
 
 @query(
@@ -181,53 +171,59 @@ def parse_request_json(spark: SparkSession, base: str) -> DataFrame:
     return parsed.select("conv_id", "turn", "m.role", "m.content")
 
 
-@query("user_query", f"WITH {MESSAGES} SELECT {KEYS}, messages[-1].content AS user_query FROM messages")
+@query("user_query", "SELECT conv_id, arg_max(text, turn) AS user_query FROM conversations GROUP BY 1")
 def user_query(spark: SparkSession, base: str) -> DataFrame:
-    return conversations(spark, base).select("conv_id", "segment", M.user_query("messages").alias("user_query"))
+    return T.last_query(load(spark, "conversations", base))
 
 
-@query("chat_history", f"WITH {MESSAGES} SELECT {KEYS}, {sql_shown('messages[:-2]')} AS history FROM messages")
+@query(
+    "chat_history",
+    f"""SELECT conv_id, turn, role, {SHOWN} AS shown FROM conversations
+        QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) > 1""",
+)
 def chat_history(spark: SparkSession, base: str) -> DataFrame:
-    return conversations(spark, base).select(
-        "conv_id", "segment", shown(M.chat_history("messages")).alias("history")
-    )
+    return shown(T.history(load(spark, "conversations", base)))
 
 
 PROMPT = "Answer from the documents."
-WITH_SYSTEM = f"""CASE WHEN messages[1].role = 'system' THEN messages
-  ELSE list_concat([{{'role': 'system', 'content': '{PROMPT}'}}], messages) END"""
+FIRST = "first AS (SELECT conv_id, min(turn) AS turn, arg_min(role, turn) AS role FROM conversations GROUP BY 1)"
 
 
-@query("ensure_system_prompt", f"WITH {MESSAGES} SELECT {KEYS}, {sql_shown(WITH_SYSTEM)} AS shown FROM messages")
+@query(
+    "ensure_system_prompt",
+    f"""WITH {FIRST}, added AS (SELECT conv_id, turn - 1 AS turn, 'system' AS role, '{PROMPT}' AS text FROM first
+          WHERE role <> 'system')
+        SELECT conv_id, turn, role, {SHOWN} AS shown FROM conversations
+        UNION ALL SELECT conv_id, turn, role, {SHOWN} FROM added""",
+)
 def ensure_system_prompt(spark: SparkSession, base: str) -> DataFrame:
-    return conversations(spark, base).select(
-        "conv_id", "segment", shown(M.ensure_system("messages", PROMPT)).alias("shown")
-    )
+    return shown(T.with_system(load(spark, "conversations", base), PROMPT))
 
 
 @query(
     "strip_system_prompt",
-    f"""WITH {MESSAGES} SELECT {KEYS},
-        {sql_shown("CASE WHEN messages[1].role = 'system' THEN messages[2:] ELSE messages END")} AS shown FROM messages""",
+    f"""WITH {FIRST} SELECT c.conv_id, c.turn, c.role, md5(c.role || ':' || text) AS shown
+        FROM conversations c JOIN first f USING (conv_id) WHERE NOT (c.turn = f.turn AND f.role = 'system')""",
 )
 def strip_system_prompt(spark: SparkSession, base: str) -> DataFrame:
-    return conversations(spark, base).select(
-        "conv_id", "segment", shown(M.strip_system("messages")).alias("shown")
-    )
-
-
-ANSWERED = "list_concat(messages, [{'role': 'assistant', 'content': messages[-1].content}, {'role': 'tool', 'content': '[]'}])"
+    return shown(T.without_system(load(spark, "conversations", base)))
 
 
-@query("append_messages", f"WITH {MESSAGES} SELECT {KEYS}, {sql_shown(ANSWERED)} AS shown FROM messages")
+@query(
+    "append_messages",
+    f"""WITH l AS (SELECT conv_id, max(turn) AS last, arg_max(text, turn) AS said FROM conversations GROUP BY 1),
+          more AS (SELECT conv_id, last + 1 AS turn, 'assistant' AS role, said AS text FROM l
+                   UNION ALL SELECT conv_id, last + 2, 'tool', '[]' FROM l)
+        SELECT conv_id, turn, role, {SHOWN} AS shown FROM conversations
+        UNION ALL SELECT conv_id, turn, role, {SHOWN} FROM more""",
+)
 def append_messages(spark: SparkSession, base: str) -> DataFrame:
-    def turn(role: str, content: Column) -> Column:
-        return F.array(F.struct(F.lit(role).alias("role"), content.alias("content")))
-
-    appended = M.append_turns(
-        "messages", turn("assistant", M.user_query("messages")), turn("tool", F.lit("[]"))
-    )
-    return conversations(spark, base).select("conv_id", "segment", shown(appended).alias("shown"))
+    turns = load(spark, "conversations", base)
+    more = T.last_query(turns).select("conv_id", F.explode(F.array(
+        F.struct(F.lit(1).alias("place"), F.lit("assistant").alias("role"), F.col("user_query").alias("text")),
+        F.struct(F.lit(2).alias("place"), F.lit("tool").alias("role"), F.lit("[]").alias("text")),
+    )).alias("m")).select("conv_id", "m.*")
+    return shown(T.answered(turns, more))
 
 
 @query(

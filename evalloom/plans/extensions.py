@@ -12,7 +12,7 @@ from evalloom.functions.judging import PII_PATTERNS
 from evalloom.operators import traces as T
 from evalloom.operators import udfs as U
 from evalloom.plans.base import documents, query
-from evalloom.plans.columns import MESSAGES, SKU_TRANSLATED, sku_parts
+from evalloom.plans.columns import SKU_TRANSLATED, sku_parts
 from evalloom.sources import load
 
 
@@ -110,12 +110,11 @@ def chunk_docs(spark: SparkSession, base: str) -> DataFrame:
 
 @query(
     "loop_depth",
-    f"""WITH {MESSAGES}, d AS (SELECT conv_id, segment, CAST(len(list_filter(messages,
-          lambda m: m.role = 'assistant')) AS INTEGER) AS depth FROM messages)
-        SELECT *, depth >= 3 AS at_limit FROM d""",
+    """SELECT conv_id, CAST(count(*) FILTER (role = 'assistant') AS INTEGER) AS depth,
+              count(*) FILTER (role = 'assistant') >= 3 AS at_limit FROM conversations GROUP BY 1""",
 )
 def loop_depth(spark: SparkSession, base: str) -> DataFrame:
     # The conversations hold no tool turns: assistant turns stand for them.
     turns = load(spark, "conversations", base)
     as_tools = turns.withColumn("role", F.when(F.col("role") == "assistant", "tool").otherwise(F.col("role")))
-    return T.loop_depth(T.messages_from_turns(as_tools), limit=3).drop("messages")
+    return T.tool_depth(as_tools, limit=3)

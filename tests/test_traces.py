@@ -11,13 +11,36 @@ from evalloom.operators import traces as T
 def test_long_conversations_are_cut_in_parts(spark):
     turns = [("long", n, "user" if n % 2 else "assistant", f"t{n}") for n in range(25)] + [("short", 3, "user", "x")]
     table = spark.createDataFrame(turns, "conv_id string, turn int, role string, text string").repartition(4)
-    parts = sorted(T.messages_from_turns(table, segment_turns=10).collect())
-    assert [(r.conv_id, r.segment, len(r.messages)) for r in parts] == [
+    parts = sorted(T.messages_from_turns(table, part_turns=10).collect())
+    assert [(r.conv_id, r.part, len(r.messages)) for r in parts] == [
         ("long", 0, 10), ("long", 1, 10), ("long", 2, 5), ("short", 0, 1),
     ]
     assert [m.content for r in parts[:3] for m in r.messages] == [f"t{n}" for n in range(25)]
 
 
+def test_long_conversations_stay_whole(spark):
+    """2,500 turns: the first and last message, counts and order are those of the whole conversation."""
+    roles = ["user", "assistant", "tool", "assistant"]
+    turns = [("long", n, roles[n % 4], f"t{n}") for n in range(2500)]
+    turns += [("led", 5, "system", "s"), ("led", 7, "user", "q"), ("one", 2, "user", "only")]
+    table = spark.createDataFrame(turns, "conv_id string, turn int, role string, text string").repartition(4)
+
+    def of(df, key):
+        return [(r.turn, r.role, r.text) for r in sorted(df.filter(F.col("conv_id") == key).collect(), key=lambda r: r.turn)]
+
+    assert {r.conv_id: r.user_query for r in T.last_query(table).collect()} == {"long": "t2499", "led": "q", "one": "only"}
+    assert len(of(T.history(table), "long")) == 2499 and of(T.history(table), "one") == []
+    with_system = T.with_system(table, "p")
+    assert of(with_system, "long")[:2] == [(-1, "system", "p"), (0, "user", "t0")] and len(of(with_system, "long")) == 2501
+    assert of(with_system, "led") == [(5, "system", "s"), (7, "user", "q")]
+    assert of(T.without_system(table), "led") == [(7, "user", "q")] and len(of(T.without_system(table), "long")) == 2500
+    more = spark.createDataFrame([("long", 1, "assistant", "a"), ("long", 2, "tool", "[]")],
+                                 "conv_id string, place int, role string, text string")
+    assert of(T.answered(table, more), "long")[-3:] == [(2499, "assistant", "t2499"), (2500, "assistant", "a"), (2501, "tool", "[]")]
+    assert {r.conv_id: (r.depth, r.at_limit) for r in T.tool_depth(table, limit=625).collect()} == {
+        "long": (625, True), "led": (0, False), "one": (0, False)}
+
+
 def test_spans(spark):
     trace = json.dumps(
         [{"name": "agent", "span_type": "AGENT", "start": 0, "end": 9}, {"name": "llm", "span_type": "CHAT_MODEL", "start": 2}]
