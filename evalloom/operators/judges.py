@@ -91,24 +91,31 @@ def judge_agreement(df: DataFrame, judge: str, human: str) -> DataFrame:
     return table.select("*", seen.alias("accuracy"), kappa.alias("kappa"))
 
 
-def term_frequency_topics(df: DataFrame, text: str, label: str, k: int) -> DataFrame:
-    """The k most frequent longer words of each label, as `label, keywords`: a topic list made from data."""
-    spread = df.select(label, F.explode(words(text)).alias("word")).filter(F.length("word") >= 6)
+def term_frequency_topics(df: DataFrame, text: str, label: str, k: int, *, min_letters: int = 1) -> DataFrame:
+    """The k most frequent words of each label, as `label, keywords`: a topic list made from data.
+
+    Words of fewer than `min_letters` letters, which are mostly not about a topic, are no candidates.
+    """
+    spread = df.select(label, F.explode(words(text)).alias("word")).filter(F.length("word") >= min_letters)
     counted = spread.groupBy(label, "word").agg(F.count(F.lit(1)).alias("n"))
     best = top_per_group(counted, [label], [F.desc("n"), F.col("word")], k, F.col("word"), 16)
     ranked = best.groupBy(label).agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "word"))).alias("w"))
     return ranked.select(label, F.col("w.word").alias("keywords"))
 
 
-def recall_of(retrieved: DataFrame, expected: DataFrame, item: str, key: str = "query_id") -> DataFrame:
+def recall_of(
+    retrieved: DataFrame, expected: DataFrame, item: str, key: str = "query_id", requests: DataFrame | None = None
+) -> DataFrame:
     """Retrieval recall per request from one row per (request, document) on each side.
 
-    Nothing is gathered per request, so a request that expects very many documents is no problem.
-    Requests that expect none are left out.
+    Nothing is gathered per request, so a request that expects very many documents is no problem. With `requests`
+    (one row per key) every request is returned; one that expects no document has a null recall.
     """
     hits = retrieved.select(key, item).distinct().withColumn("__hit", F.lit(1))
     wanted = expected.select(key, item).distinct()
     counted = wanted.join(hits, [key, item], "left").groupBy(key).agg(
         F.count(F.lit(1)).alias("expected"), F.count("__hit").alias("found")
     )
-    return counted.withColumn("recall", F.col("found") / F.col("expected"))
+    if requests is not None:
+        counted = requests.select(key).distinct().join(counted, key, "left").na.fill(0, ["expected", "found"])
+    return counted.withColumn("recall", F.col("found") / F.nullif(F.col("expected"), F.lit(0)))

@@ -7,6 +7,7 @@ import inspect
 import random
 import time
 import typing
+from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -75,27 +76,30 @@ def with_retry(
 def batch_predict(
     df: DataFrame, make_client: Callable[[], Callable[[Any], Any]], column: str, *,
     output: str = "response", attempts: int = K.RETRY_ATTEMPTS, min_seconds: float = K.RETRY_MIN_SECONDS,
+    concurrency: int = 1,
 ) -> DataFrame:
     """Run a user callable over one column, adding its text `output` and an `error`.
 
-    The client is made once per task. A value the callable still fails on after its retries gives a null
-    output and the error text; it does not fail the job.
+    The client is made once per task, and called by `concurrency` threads at a time, for clients that wait for
+    an answer; rows keep their order. A value the callable still fails on after its retries gives a null output
+    and the error text; it does not fail the job.
     """
     fields = ", ".join(f"`{name}` {kind}" for name, kind in df.dtypes)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         call = with_retry(make_client(), attempts, min_seconds=min_seconds)
-        for batch in batches:
-            outputs, errors = [], []
-            for value in batch[column]:
-                try:
-                    outputs.append(call(value))
-                    errors.append(None)
-                except Exception as error:
-                    outputs.append(None)
-                    errors.append(f"{type(error).__name__}: {error}")
-            yield batch.assign(**{output: pd.Series(outputs, batch.index, dtype=object),
-                                  "error": pd.Series(errors, batch.index, dtype=object)})
+
+        def ask(value: Any) -> tuple[Any, str | None]:
+            try:
+                return call(value), None
+            except Exception as error:
+                return None, f"{type(error).__name__}: {error}"
+
+        with ThreadPoolExecutor(concurrency) as threads:
+            for batch in batches:
+                found = list(threads.map(ask, batch[column]))
+                yield batch.assign(**{output: pd.Series([x for x, _ in found], batch.index, dtype=object),
+                                      "error": pd.Series([x for _, x in found], batch.index, dtype=object)})
 
     return df.mapInPandas(run, f"{fields}, `{output}` string, error string")
 

@@ -161,12 +161,15 @@ def messages_from_turns(spark: SparkSession, base: str) -> DataFrame:
 
 @query(
     "parse_request_json",
-    """SELECT conv_id, turn, role, text AS content FROM conversations""",
+    """SELECT conv_id, turn, role, text AS content FROM conversations WHERE conv_id % 10 <> 3""",
 )
 def parse_request_json(spark: SparkSession, base: str) -> DataFrame:
     turns = load(spark, "conversations", base)
     body = F.struct(F.array(F.struct("role", F.col("text").alias("content"))).alias("messages"))
-    raw = turns.select("conv_id", "turn", F.to_json(body).alias("request_raw"))
+    # Some bodies are cut off on the way: they hold no messages.
+    whole = F.to_json(body)
+    sent = F.when(F.col("conv_id") % 10 == 3, F.expr("left(r, length(r) - 2)")).otherwise(F.col("r"))
+    raw = turns.withColumn("r", whole).select("conv_id", "turn", sent.alias("request_raw"))
     parsed = raw.select("conv_id", "turn", F.explode(M.parse_request("request_raw")["messages"]).alias("m"))
     return parsed.select("conv_id", "turn", "m.role", "m.content")
 

@@ -156,14 +156,16 @@ def chunk_precision(spark: SparkSession, base: str) -> DataFrame:
 
 @query(
     "retrieval_recall",
-    f"""WITH {PAIRS}, {HOLDERS} SELECT h.query_id, count(*) AS expected, count(r.corpus_pos) AS found,
-          round(count(r.corpus_pos) / count(*), 6) AS recall
-        FROM holders h LEFT JOIN (SELECT * FROM ranked WHERE rank <= 10) r
+    f"""WITH {PAIRS}, {HOLDERS} SELECT b.item_id AS query_id, count(h.corpus_pos) AS expected, count(r.corpus_pos) AS found,
+          round(count(r.corpus_pos) / nullif(count(h.corpus_pos), 0), 6) AS recall
+        FROM benchmark b LEFT JOIN holders h ON h.query_id = b.item_id
+          LEFT JOIN (SELECT * FROM ranked WHERE rank <= 10) r
           ON r.query_id = h.query_id AND r.corpus_pos = h.corpus_pos GROUP BY 1""",
 )
 def retrieval_recall(spark: SparkSession, base: str) -> DataFrame:
     retrieved = R.keyword_rank(benchmark_queries(spark, base), corpus(spark, base), 10)
-    recall = J.recall_of(retrieved, holders(spark, base), "corpus_pos")
+    asked = load(spark, "benchmark", base).select(F.col("item_id").alias("query_id"))
+    recall = J.recall_of(retrieved, holders(spark, base), "corpus_pos", requests=asked)
     return recall.select("query_id", "expected", "found", F.round("recall", 6).alias("recall"))
 
 
@@ -242,26 +244,35 @@ def pii_counts(spark: SparkSession, base: str) -> DataFrame:
     return documents(spark, base).select("doc_id", *JF.pii_counts("text").values())
 
 
-PANEL = f"""{BEST}, {HOLDERS}, first_holder AS (SELECT query_id, min(corpus_pos) AS holder FROM holders GROUP BY 1),
+PANEL = f"""{BEST}, {HOLDERS}, all_holders AS (SELECT query_id, min(corpus_pos) AS lowest, max(corpus_pos) AS highest FROM holders GROUP BY 1),
+  second AS (SELECT query_id, response AS context FROM best WHERE rank = 2),
   panel AS (SELECT b.query_id,
-    {sql_yes_no(sql_overlap('request', 'response') + ' >= 0.2')} AS "retrieval/chunk_relevance",
-    {sql_yes_no('holder = corpus_pos')} AS "retrieval/context_sufficiency",
+    {sql_yes_no(sql_overlap('request', "coalesce(context, '')") + ' >= 0.2')} AS "retrieval/chunk_relevance",
+    {sql_yes_no('lowest = corpus_pos AND highest = corpus_pos')} AS "retrieval/context_sufficiency",
     {sql_yes_no(sql_coverage('response', sql_sentences('request')) + ' = 1')} AS "response/correctness",
-    {sql_yes_no(sql_overlap('response', 'response') + ' >= 0.5')} AS "response/groundedness",
+    {sql_yes_no(sql_overlap('response', "coalesce(context, '')") + ' >= 0.5')} AS "response/groundedness",
     {sql_yes_no(sql_overlap('request', 'response') + ' >= 0.2')} AS "response/relevance_to_query",
     {sql_yes_no('NOT (' + PII_ANY.replace('(text', '(response') + ')')} AS "response/safety"
-  FROM best b LEFT JOIN first_holder f ON f.query_id = b.query_id WHERE rank = 1)"""
+  FROM best b LEFT JOIN all_holders f ON f.query_id = b.query_id LEFT JOIN second s ON s.query_id = b.query_id WHERE rank = 1)"""
 
 
 def panel(spark: SparkSession, base: str) -> DataFrame:
-    """Judge the best document of every benchmark passage as if it were the answer."""
-    first = holders(spark, base).groupBy("query_id").agg(F.min("corpus_pos").alias("holder"))
-    rows = best_documents(spark, base).filter("rank = 1").join(first, "query_id", "left").select(
+    """Judge the best document of every benchmark passage as if it were the answer, and the second as its context.
+
+    One document is retrieved. Whether it is all that is expected shows in the lowest and highest of those that
+    hold the passage, so they need not be gathered.
+    """
+    ends = holders(spark, base).groupBy("query_id").agg(
+        F.array_distinct(F.array(F.min("corpus_pos"), F.max("corpus_pos"))).alias("expected")
+    )
+    best = best_documents(spark, base)
+    second = best.filter("rank = 2").select("query_id", F.col("response").alias("context"))
+    rows = best.filter("rank = 1").join(ends, "query_id", "left").join(second, "query_id", "left").select(
         "query_id", "request", "response",
-        F.col("response").alias("context"),
+        F.coalesce("context", F.lit("")).alias("context"),
         X.sentences("request").alias("expected_facts"),
         F.array("corpus_pos").alias("retrieved"),
-        F.when(F.col("holder").isNotNull(), F.array("holder")).alias("expected"),
+        "expected",
     )
     judged = J.run_judges(rows, K.JUDGES)
     return judged.select("query_id", *[F.col(f"`{c}`") for c in J.judge_columns(judged)])

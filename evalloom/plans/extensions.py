@@ -49,8 +49,16 @@ def sql_table_function(spark: SparkSession, base: str) -> DataFrame:
 
 
 def first_sentence_agent() -> Callable[[str], str]:
-    """An offline stand-in for an agent: it answers with the first sentence, and refuses `ß`."""
+    """An offline stand-in for an agent: it answers with the first sentence, and refuses `ß`.
+
+    As a busy service does, it turns away the first two calls for each question.
+    """
+    calls: dict[str, int] = {}
+
     def answer(question: str) -> str:
+        calls[question] = calls.get(question, 0) + 1
+        if calls[question] <= 2:
+            raise ConnectionError("busy")
         if "ß" in question:
             raise ValueError("unsupported letter")
         return question.split(".")[0]
@@ -66,8 +74,7 @@ def first_sentence_agent() -> Callable[[str], str]:
 )
 def batch_predict(spark: SparkSession, base: str) -> DataFrame:
     asked = load(spark, "conversations", base).filter("role = 'user'").select("conv_id", "turn", "text")
-    # A wrong input fails the same way again, so it is not retried here.
-    return U.batch_predict(asked, first_sentence_agent, "text", attempts=1).drop("text")
+    return U.batch_predict(asked, first_sentence_agent, "text", attempts=3, min_seconds=0.0, concurrency=4).drop("text")
 
 
 def email_judge() -> Callable[[str], str]:

@@ -179,7 +179,7 @@ def hybrid_topk(spark: SparkSession, base: str) -> DataFrame:
     vectors = load(spark, "embeddings", base)
     docs = documents(spark, base)
     labelled = docs.join(vectors.select(F.col("vec_id").alias("doc_id"), "label"), "doc_id")
-    terms = JD.term_frequency_topics(labelled, "text", "label", 4)
+    terms = JD.term_frequency_topics(labelled, "text", "label", 4, min_letters=6)
     asked = stage(terms.select(F.col("label").cast("bigint").alias("query_id"), "keywords"), "topic-terms")
     by_keyword = R.keyword_rank(asked, corpus(spark, base), 20, min_score=1)
     by_vector = V.vector_topk(topic_queries(spark, base), vectors, 20)

@@ -3,6 +3,7 @@
 from evalloom.sources.tables import (
     append_evolving,
     from_records,
+    fold_kv,
     kv_to_map,
     legacy_layout,
     load,
@@ -12,6 +13,6 @@ from evalloom.sources.tables import (
 )
 
 __all__ = [
-    "append_evolving", "from_records", "kv_to_map", "legacy_layout", "load", "load_jsonl", "save",
+    "append_evolving", "fold_kv", "from_records", "kv_to_map", "legacy_layout", "load", "load_jsonl", "save",
     "save_jsonl",
 ]

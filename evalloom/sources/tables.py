@@ -68,21 +68,16 @@ def legacy_layout(columns: Iterable[str]) -> str:
     return "metadata" if set(columns) == {"key", "value"} else "view"
 
 
-def kv_to_map(
-    df: DataFrame, order: Column | str | None = None, *, max_keys: int = 100_000
-) -> DataFrame:
-    """A key/value table as one row holding a map.
+def fold_kv(df: DataFrame, order: Column | str | None = None) -> DataFrame:
+    """A key/value table with one row per key, to be joined on however many keys there are.
 
-    A key that occurs more than once keeps the value latest by `order` (the greatest value where no
-    order is given). Duplicates are folded map-side, so only distinct keys meet in the last task. A
-    table with more than `max_keys` of them is not metadata: that raises, nothing is left out.
+    A key that occurs more than once keeps the value latest by `order` (the greatest value where no order is given).
     """
     order = F.col("value") if order is None else (F.col(order) if isinstance(order, str) else order)
-    folded = df.groupBy("key").agg(F.max_by("value", order).alias("value"))
-    kept = folded.limit(max_keys + 1).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.array_sort(F.collect_list(F.struct("key", "value"))).alias("entries"),
-    )
-    too_many = F.raise_error(F.lit(f"more than {max_keys} metadata keys"))
-    entries = F.when(F.col("n") > max_keys, too_many.cast("array<struct<key:string,value:string>>"))
-    return kept.select(F.map_from_entries(entries.otherwise(F.col("entries"))).alias("metadata"))
+    return df.groupBy("key").agg(F.max_by("value", order).alias("value"))
+
+
+def kv_to_map(df: DataFrame, order: Column | str | None = None) -> DataFrame:
+    """The rows of `fold_kv` as one row holding a map, for metadata that a caller wants at hand."""
+    entries = F.array_sort(F.collect_list(F.struct("key", "value")))
+    return fold_kv(df, order).agg(F.map_from_entries(entries).alias("metadata"))

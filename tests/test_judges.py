@@ -102,6 +102,9 @@ def test_recall_of(spark):
     wanted = spark.createDataFrame([(1, 5), (1, 6), (2, 7)], "query_id int, doc int")
     found = spark.createDataFrame([(1, 6), (1, 9), (3, 7)], "query_id int, doc int")
     assert {r.query_id: r.recall for r in J.recall_of(found, wanted, "doc").collect()} == {1: 0.5, 2: 0.0}
+    asked = spark.createDataFrame([(1,), (2,), (4,)], "query_id int")
+    every = J.recall_of(found, wanted, "doc", requests=asked)
+    assert {r.query_id: (r.expected, r.found, r.recall) for r in every.collect()} == {1: (2, 1, 0.5), 2: (1, 0, 0.0), 4: (0, 0, None)}
 
 
 def test_safety(spark):
