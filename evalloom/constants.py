@@ -20,7 +20,6 @@ SYNTHETIC_SOURCE = "SYNTHETIC_FROM_DOC"
 TO_PROCESS = "to_process"
 SKIPPED = "skipped"
 PRECISION_COLUMN = "retrieval/llm_judged/chunk_relevance/precision"
-RATING_COLUMN = "response/overall_assessment/rating"
 JUDGES = (
     "chunk_relevance",
     "context_sufficiency",
@@ -29,18 +28,6 @@ JUDGES = (
     "relevance_to_query",
     "safety",
 )
-REVIEW_STATES = ("DRAFT", "REVIEWED", "ACCEPTED", "REJECTED")
-SPAN_TYPES = ("AGENT", "CHAIN", "RETRIEVER", "PARSER", "TOOL", "FUNCTION", "CHAT_MODEL")
-EXCLUDED_PATHS = (
-    "/archive/",
-    "/release-notes/",
-    "/resources/",
-    "/sql/language-manual/",
-    "/admin/",
-    "/migration/",
-    "/dev-tools/",
-    "/error-messages/",
-)
 MAX_CONTEXT_CHARS = 4096 * 4
 MAX_TOOL_ITERATIONS = 10
 LOOKBACK_DAYS = 30

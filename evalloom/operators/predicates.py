@@ -50,7 +50,7 @@ def result_columns(key: str, text: str, uri: str, extras: Sequence[str] = ()) ->
     return list(dict.fromkeys([key, text, uri, *extras]))
 
 
-def exclude_uri(df: DataFrame, paths: Sequence[str] = K.EXCLUDED_PATHS, uri: str = "doc_uri") -> DataFrame:
+def exclude_uri(df: DataFrame, paths: Sequence[str], uri: str = "doc_uri") -> DataFrame:
     """Drop documents whose URI holds one of `paths`: one alternation, so one regex pass per row.
 
     A document without a URI holds none of them and stays.

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -179,15 +180,25 @@ def dot(a: Column, b: Column) -> Column:
     return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
 
 
+def hyperplanes(dimensions: int, tables: int, bits: int, seed: int) -> np.ndarray:
+    """Normals with components 1 and -1, by the first digit of a digest, so that any engine can make the same."""
+    def side(table: int, bit: int, dimension: int) -> int:
+        return 1 if hashlib.md5(f"{seed}:{table}:{bit}:{dimension}".encode()).hexdigest()[0] < "8" else -1
+
+    return np.array(
+        [[side(t, b, d) for t in range(tables) for b in range(bits)] for d in range(dimensions)], np.float64
+    )
+
+
 def lsh_signatures(
     vectors: DataFrame, *, dimensions: int, tables: int = 16, bits: int = 8, seed: int = 0
 ) -> DataFrame:
     """Add `signatures`: per hash table, which side of `bits` random hyperplanes the vector lies on.
 
-    For a corpus this is computed once and kept as a table. More bits make smaller buckets, for larger
-    corpora; more tables find more of the neighbours.
+    For a corpus this is computed once and kept as a table. A bucket holds about n / 2^`bits` vectors, so the
+    caller chooses `bits` by the size of the corpus; more tables find more of the neighbours.
     """
-    planes = np.random.default_rng(seed).normal(size=(dimensions, tables * bits))
+    planes = hyperplanes(dimensions, tables, bits, seed)
     weights = 1 << np.arange(bits)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

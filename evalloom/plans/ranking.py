@@ -146,7 +146,23 @@ def filtered_search(spark: SparkSession, base: str) -> DataFrame:
     return P.min_score(V.vector_topk(topic_queries(spark, base), vectors), 0.36)
 
 
-@query("vector_topk_ann")
+# The sides of 8 hyperplanes in each of 16 tables; a query also looks into the buckets across one plane.
+BUCKETS = """planes AS (
+    SELECT t, b, d, CASE WHEN substr(md5('0:' || t || ':' || b || ':' || d), 1, 1) < '8' THEN 1 ELSE -1 END AS s
+    FROM range(16) ts(t), range(8) bs(b), range(64) ds(d)),
+  held_sides AS (SELECT vec_id, t, b, sum(CAST(x AS DOUBLE) * s) AS side FROM dims JOIN planes ON d = dim - 1 GROUP BY 1, 2, 3),
+  held AS (SELECT vec_id, t, CAST(sum(CASE WHEN side > 0 THEN 1 << b ELSE 0 END) AS INTEGER) AS signature FROM held_sides GROUP BY 1, 2),
+  asked_sides AS (SELECT label, t, b, sum(x * s) AS side FROM centres JOIN planes ON d = dim - 1 GROUP BY 1, 2, 3),
+  asked AS (SELECT label, t, CAST(sum(CASE WHEN side > 0 THEN 1 << b ELSE 0 END) AS INTEGER) AS signature FROM asked_sides GROUP BY 1, 2),
+  met AS (SELECT DISTINCT label AS query_id, vec_id FROM asked a JOIN held h ON a.t = h.t AND bit_count(xor(a.signature, h.signature)) <= 1)"""
+
+
+@query(
+    "vector_topk_ann",
+    f"""WITH {CENTROIDS}, {BUCKETS}
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+          vec_id, score FROM near JOIN met USING (query_id, vec_id) QUALIFY rank <= 10""",
+)
 def vector_topk_ann(spark: SparkSession, base: str) -> DataFrame:
     vectors = load(spark, "embeddings", base).select("vec_id", "embedding")
     index = stage(V.lsh_signatures(vectors, dimensions=64), "vector-index")

@@ -7,42 +7,8 @@ def _struct(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind, True) for name, kind in fields.items()])
 
 
-STRING, LONG, INT, DOUBLE = T.StringType(), T.LongType(), T.IntegerType(), T.DoubleType()
-TIMESTAMP, DATE = T.TimestampType(), T.DateType()
+STRING, LONG = T.StringType(), T.LongType()
 
-DOCUMENT = _struct(content=STRING, doc_uri=STRING)
-CHUNK = _struct(corpus_pos=LONG, chunk_id=STRING, content=STRING, doc_uri=STRING)
-PRODUCT_DOC = _struct(
-    indexed_doc=STRING, product_category=STRING, product_doc=STRING, product_id=STRING,
-    product_name=STRING, product_sub_category=STRING, search_score=DOUBLE,
-)
-TRANSCRIPT = _struct(
-    issue_area=STRING, issue_category=STRING, issue_sub_category=STRING, product_category=STRING,
-    product_sub_category=STRING, conversation=STRING, id=STRING, timestamp=TIMESTAMP, user_id=STRING,
-    search_score=DOUBLE,
-)
-CUSTOMER_ORDER = _struct(
-    user_id=STRING, amount=INT, order_id=STRING, item_count=INT, creation_date=TIMESTAMP
-)
 MESSAGE = _struct(role=STRING, content=STRING)
-MESSAGES = T.ArrayType(MESSAGE)
-REQUEST_BODY = _struct(messages=MESSAGES)
-EXPECTED_CONTEXT = T.ArrayType(_struct(doc_uri=STRING))
-EVAL_ROW = _struct(
-    request_id=STRING, request=STRING, expected_facts=T.ArrayType(STRING),
-    expected_retrieved_context=EXPECTED_CONTEXT,
-)
-MANAGED_EVAL = _struct(
-    request_id=STRING, request=STRING, expected_response=STRING, expected_facts=T.ArrayType(STRING),
-    expected_retrieved_context=EXPECTED_CONTEXT, source_type=STRING, source_id=STRING,
-    tags=T.ArrayType(STRING), review_status=STRING,
-)
-METADATA = _struct(key=STRING, value=STRING)
-REQUEST_LOG = _struct(
-    request_id=STRING, timestamp=TIMESTAMP, date=DATE, request_raw=STRING, request=STRING,
-    response=STRING, trace=STRING,
-)
-ASSESSMENT_LOG = _struct(request_id=STRING, timestamp=TIMESTAMP)
-RETRIEVED = _struct(page_content=STRING, metadata=T.MapType(STRING, STRING))
-SPAN = _struct(name=STRING, span_type=STRING, start=LONG, end=LONG)
-SPANS = T.ArrayType(SPAN)
+REQUEST_BODY = _struct(messages=T.ArrayType(MESSAGE))
+SPANS = T.ArrayType(_struct(name=STRING, span_type=STRING, start=LONG, end=LONG))

@@ -54,7 +54,6 @@ def test_exclude_uri_takes_paths_literally(spark):
     docs = spark.createDataFrame([("/a.b/x",), ("/aXb/x",), ("/admin/x",), (None,)], "doc_uri string")
     left = [r.doc_uri for r in P.exclude_uri(docs, ["/a.b/"]).orderBy("doc_uri").collect()]
     assert left == [None, "/aXb/x", "/admin/x"]
-    assert P.exclude_uri(docs).count() == 3
     assert P.exclude_uri(docs, []).count() == 4
 
 
