@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evalloom.llm import decontamination, language, licences, near_text, near_vectors, packing, scoring, sharding, suffix_dedup, token_blocks
+from evalloom.llm.oracles import ORACLE  # noqa: F401  (read with QUERIES)
 from evalloom.sources import load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,4 +65,3 @@ QUERIES: dict[str, Query] = {
         op6_partenum_join, op7_repeated_strings, op8_token_blocks, op9_licences, op10_near_vectors,
     )
 }
-ORACLE: dict[str, str] = {}
