@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,24 @@ def fixed(df: DataFrame) -> DataFrame:
     return stage(df, "fixed") if "Exchange" in plan or "Python" in plan or "Arrow" in plan else df
 
 
+def settle() -> None:
+    """Give back what a task no longer needs: workers stay, and would hold on to their largest arrays."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def settled(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """`run`, and then `settle`."""
+
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        settle()
+
+    return both
+
+
 def plain_words(text: bytes) -> list[bytes]:
     """Lower-case words of letters, digits and characters beyond ASCII."""
     return text.translate(FOLD).split()
@@ -49,7 +68,7 @@ def as_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
-def portions(values: list[bytes | None], most: int = 2 << 20) -> Iterator[tuple[int, int]]:
+def portions(values: list[bytes | None], most: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of rows holding about `most` bytes each; a longer text is a range of its own."""
     start = size = 0
     for i, value in enumerate(values):

@@ -10,11 +10,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evalloom.llm.common import as_bytes, fixed, numbered, plain_words, portions, ranges
+from evalloom.llm.common import as_bytes, fixed, numbered, plain_words, portions, ranges, settled
 
 WINDOW = 10
 BLOCK_BYTES = 16 << 20
-PORTION = 4 << 20
+PORTION = 2 << 20
 HITS = "row long, doc_id long, n_words long, hit_from array<int>, hit_to array<int>, items array<string>"
 LONGEST = "item string, start int, length int, doc_id long, at int"
 
@@ -206,7 +206,7 @@ def benchmark_hits(
                     names=["row", "doc_id", "n_words", "hit_from", "hit_to", "items"],
                 )
 
-        passes.append(rows.mapInArrow(search, HITS))
+        passes.append(rows.mapInArrow(settled(search), HITS))
     found = passes[0]
     if len(passes) > 1:
         for more in passes[1:]:
@@ -249,7 +249,7 @@ def decontaminate(
                     keep += [not x for x in array.hits(tests, len(words))[0]]
                 yield batch.filter(pa.array(keep, pa.bool_()))
 
-        kept = kept.mapInArrow(clean, docs.schema)
+        kept = kept.mapInArrow(settled(clean), docs.schema)
     return kept
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from evalloom.llm.common import portions, ranges
+from evalloom.llm.common import portions, ranges, settled
 
 UNKNOWN = "und"
 LETTERS = 46  # most frequent letters that have a symbol of their own
@@ -159,23 +159,26 @@ def fit(
     return CrossParser(texts, total)
 
 
-def _predict(parser: CrossParser, texts: list[str | None]) -> tuple[list[str], list[float], list[float]]:
+def _predict(parser: CrossParser, column: pa.Array) -> tuple[list[str], list[float], list[float]]:
+    """Label, score and mean phrase length of each text; some texts at a time are taken out of the batch."""
     labels, scores, lengths = [], [], []
-    for a, b in portions(texts, 4 << 20):
-        lowered = [(x or "").lower() for x in texts[a:b]]
-        found, sizes = symbols(lowered, parser.table)
-        costs = parser.costs(found, sizes) if parser.languages else np.zeros((b - a, 0))
-        for i, text in enumerate(lowered):
-            if costs.shape[1] == 0 or sizes[i] == 0 or not any(map(str.isalpha, text)):
-                labels.append(UNKNOWN)
-                scores.append(0.0)
-                lengths.append(0.0)
-                continue
-            best = int(np.argmin(costs[i]))
-            rest = np.delete(costs[i], best)
-            labels.append(parser.languages[best])
-            scores.append(float(1.0 - costs[i, best] / rest.min()) if len(rest) else 1.0)
-            lengths.append(float(sizes[i] * parser.bits[best] / costs[i, best]))
+    for start in range(0, len(column), 256):
+        texts = column.slice(start, 256).to_pylist()
+        for a, b in portions(texts):
+            lowered = [(x or "").lower() for x in texts[a:b]]
+            found, sizes = symbols(lowered, parser.table)
+            costs = parser.costs(found, sizes) if parser.languages else np.zeros((b - a, 0))
+            for i, text in enumerate(lowered):
+                if costs.shape[1] == 0 or sizes[i] == 0 or not any(map(str.isalpha, text)):
+                    labels.append(UNKNOWN)
+                    scores.append(0.0)
+                    lengths.append(0.0)
+                    continue
+                best = int(np.argmin(costs[i]))
+                rest = np.delete(costs[i], best)
+                labels.append(parser.languages[best])
+                scores.append(float(1.0 - costs[i, best] / rest.min()) if len(rest) else 1.0)
+                lengths.append(float(sizes[i] * parser.bits[best] / costs[i, best]))
     return labels, scores, lengths
 
 
@@ -193,14 +196,14 @@ def identify(docs: DataFrame, parser: CrossParser, *, text: str = "text", key: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            labels, scores, lengths = _predict(parser, batch.column("text").to_pylist())
+            labels, scores, lengths = _predict(parser, batch.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(labels, pa.string()),
                  pa.array(scores, pa.float64()), pa.array(lengths, pa.float64())],
                 names=["doc_id", "held_out", "lang_pred", "score", "phrase_symbols"],
             )
 
-    return rows.mapInArrow(run, SCHEMA)
+    return rows.mapInArrow(settled(run), SCHEMA)
 
 
 def keep_languages(docs: DataFrame, parser: CrossParser, *, text: str = "text", least: float = 1.2) -> DataFrame:
@@ -209,7 +212,7 @@ def keep_languages(docs: DataFrame, parser: CrossParser, *, text: str = "text",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            _, _, lengths = _predict(parser, batch.column(text).to_pylist())
+            _, _, lengths = _predict(parser, batch.column(text))
             yield batch.filter(pa.array([x >= least for x in lengths], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(settled(run), docs.schema)

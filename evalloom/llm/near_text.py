@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from evalloom.llm.common import as_bytes, fixed, numbered, portions
+from evalloom.llm.common import as_bytes, fixed, numbered, portions, settle, settled
 from evalloom.llm.graph import components
 from evalloom.llm.shingles import (
     OWN, SKETCH, SMALLEST, WORDS, WordHashes, differing, fingerprint, shingle_sets, signatures, sketch, wide_sketch,
@@ -20,7 +20,7 @@ from evalloom.session import stage
 PERCENT = 75
 CROWD = 8  # signatures of more documents than this do not make pairs by themselves
 ENTRIES = 500_000  # signatures of a bucket, about
-FLUSH = 2_000_000
+FLUSH = 1_000_000
 LEADERS = 3
 SETS = "row long, doc_id long, n long, f1 long, f2 long, own int, below int, signed int, sketch array<long>, wide binary"
 DEALT = "bucket int, base long, signatures binary, places binary"
@@ -54,7 +54,7 @@ def _described(rows: DataFrame, width: int, similarity: float) -> DataFrame:
                  *(pa.array(x, k) for x, k in zip(out, kinds[2:], strict=True))], names=names,
             )
 
-    return rows.mapInArrow(run, SETS)
+    return rows.mapInArrow(settled(run), SETS)
 
 
 def _dealt(rows: DataFrame, width: int, similarity: float, bits: int, crowd: int) -> DataFrame:
@@ -112,7 +112,7 @@ def _dealt(rows: DataFrame, width: int, similarity: float, bits: int, crowd: int
         if held:
             yield from pack(*map(np.concatenate, zip(*held, strict=True)), base)
 
-    return rows.mapInArrow(run, DEALT)
+    return rows.mapInArrow(settled(run), DEALT)
 
 
 def _met(dealt: DataFrame, crowd: int) -> DataFrame:
@@ -123,6 +123,7 @@ def _met(dealt: DataFrame, crowd: int) -> DataFrame:
     """
 
     def run(table: pa.Table) -> pa.Table:
+        settle()
         signature, member = [], []
         for base, raw, places in zip(*(table.column(x).to_pylist() for x in ("base", "signatures", "places")), strict=True):
             signature.append(np.frombuffer(raw, "<u4"))
@@ -198,7 +199,7 @@ def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             found = batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
             yield pa.RecordBatch.from_arrays(found.columns, names=["u", "v"])
 
-    return both.mapInArrow(run, "u long, v long")
+    return both.mapInArrow(settled(run), "u long, v long")
 
 
 def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
@@ -331,7 +332,7 @@ def near_text(
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(found, pa.binary())], names=["row", "members"])
 
     sets = stage(
-        rows.select("row", "text").join(wanted, "row", "left_semi").mapInArrow(members, "row long, members binary"), "members"
+        rows.select("row", "text").join(wanted, "row", "left_semi").mapInArrow(settled(members), "row long, members binary"), "members"
     )
     links = stage(_similar(pairs, sets, percent), "links")
     groups = _prefixes(sets.join(unsure, "row", "left_semi"), percent)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from evalloom.llm.common import numbered
+from evalloom.llm.common import numbered, settled
 from evalloom.llm.tokens import Tokens, pieces, texts_of
 from evalloom.session import stage
 
@@ -177,7 +177,7 @@ def cut(docs: DataFrame, *, text: str, key: str, width: int, quantum: int, token
                         x.append(y)
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], names=names)
 
-    return rows.mapInArrow(run, PIECES)
+    return rows.mapInArrow(settled(run), PIECES)
 
 
 def pack(

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evalloom.llm.common import as_bytes, numbered, portions, ranges, spaced_words
+from evalloom.llm.common import as_bytes, numbered, portions, ranges, settled, spaced_words
 from evalloom.session import stage
 
 END = 0  # the class of the end mark, and of what stands before a text
@@ -174,7 +174,7 @@ def word_counts(texts: DataFrame, shape: Shape) -> DataFrame:
                     held = Counter()
         yield rows(held)
 
-    return texts.mapInArrow(run, COUNTS).groupBy("word", "bucket").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(settled(run), COUNTS).groupBy("word", "bucket").agg(F.sum("n").alias("n"))
 
 
 def train(texts: DataFrame, model: LogBilinear, classes: Classes) -> LogBilinear:
@@ -216,7 +216,7 @@ def train(texts: DataFrame, model: LogBilinear, classes: Classes) -> LogBilinear
                     names=["i", "x"],
                 )
 
-        summed = texts.mapInArrow(run, "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).collect()
+        summed = texts.mapInArrow(settled(run), "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).collect()
         if not summed:
             break
         vector = np.zeros(len(start) + 1)
@@ -318,7 +318,7 @@ def score(docs: DataFrame, training: Column, held_out: Column, *, text: str = "t
                           pa.list_(pa.binary())]
                 yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds_, strict=True)], names=names)
 
-    parts = stage(rows.mapInArrow(run, PARTS), "scores")
+    parts = stage(rows.mapInArrow(settled(run), PARTS), "scores")
     tail = parts.select("row", F.explode("tail").alias("word")).join(counts, "word", "left")
     extra = F.sum(F.log10(F.coalesce("n", F.lit(0)) + 1.0))
     tail = tail.groupBy("row").agg(F.count("n").alias("n_known"), extra.alias("extra"))

@@ -12,13 +12,13 @@ from pyspark.sql import functions as F
 
 from evalloom.llm.anchors import GRAM, Anchors
 from evalloom.llm.bwt import least_of_equal
-from evalloom.llm.common import as_bytes, fixed, numbered, portions, ranges
+from evalloom.llm.common import as_bytes, fixed, numbered, portions, ranges, settle, settled
 from evalloom.session import stage
 
 LENGTH = 50
 ROWS = 512  # of a chunk
 BUCKET_BYTES = 8 << 20  # of text for each bucket of anchors
-SORTED_BYTES = 4 << 20
+SORTED_BYTES = 1 << 20
 LAST = np.iinfo(np.int64).max
 CHUNKS = "chunk long, texts binary"
 SEEN = "bucket int, chunk long, once binary, several binary"
@@ -156,6 +156,7 @@ def repeats(
             ], names=["bucket", "chunk", "once", "several"])
 
     def meet(table: pa.Table) -> pa.Table:
+        settle()
         bucket = table.column("bucket")[0].as_py()
         chunk = table.column("chunk").to_pylist()
         once = [np.frombuffer(x, "<u4") for x in table.column("once").to_pylist()]
@@ -177,6 +178,7 @@ def repeats(
         })
 
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
+        settle()
         out: list[list] = [[] for _ in range(6)]
         if left.num_rows and right.num_rows:
             table = _unpacked(left.column("texts")[0].as_py())
@@ -202,6 +204,7 @@ def repeats(
         return pa.table([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], names=names)
 
     def compare(table: pa.Table) -> pa.Table:
+        settle()
         known: dict[bytes, int] = {}
         anchors, number, least = [], [], []
         for sizes, low, anchor, data in zip(*(table.column(x).to_pylist() for x in ("sizes", "least", "anchors", "bytes")), strict=True):
@@ -252,6 +255,7 @@ def repeats(
         return pa.table([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], names=names)
 
     def remove(left: pa.Table, right: pa.Table) -> pa.Table:
+        settle()
         names = [x.split()[0] for x in RESULT.split(", ")]
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
         if not left.num_rows:
@@ -291,8 +295,8 @@ def repeats(
         doc_id = pa.array(keys, mask=keys == LAST)
         return pa.table([table.column("row"), doc_id, *(pa.array(x, k) for x, k in zip(out, kinds[2:], strict=True))], names=names)
 
-    texts = rows.mapInArrow(_packed, CHUNKS)
-    shared = rows.mapInArrow(see, SEEN).groupBy("bucket").applyInArrow(meet, SHARED)
+    texts = rows.mapInArrow(settled(_packed), CHUNKS)
+    shared = rows.mapInArrow(settled(see), SEEN).groupBy("bucket").applyInArrow(meet, SHARED)
     pieces = texts.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(cut, PIECES)
     least = pieces.groupBy("bucket").applyInArrow(compare, LEAST)
     return texts.groupBy("chunk").cogroup(least.groupBy("chunk")).applyInArrow(remove, RESULT)
@@ -314,6 +318,6 @@ def without_repeats(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
     row, new = "__row_of_repeats", "__kept_of_repeats"
     while {row, new} & {*docs.columns}:
         row, new = row + "_", new + "_"
-    changed = stage(changed.select("row", "kept").mapInArrow(decode, f"{row} long, {new} string"), "repeats")
+    changed = stage(changed.select("row", "kept").mapInArrow(settled(decode), f"{row} long, {new} string"), "repeats")
     counted = docs.withColumn(row, F.monotonically_increasing_id())
     return counted.join(changed, row, "left").withColumn(text, F.coalesce(new, text)).select(*docs.columns)
