@@ -29,6 +29,7 @@ def main() -> None:
     spark = build_session(
         "bench", f"local[{cpus}]",
         spark__sql__shuffle__partitions=cpus, spark__driver__memory="16g", spark__ui__enabled="false",
+        spark__checkpoint__dir=os.environ.get("BENCH_SHARED_DIR", str(Path.cwd() / "spark-warehouse" / "staged")),
     )
     spark.sparkContext.setLogLevel("ERROR")
     names = os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",")

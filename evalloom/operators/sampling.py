@@ -67,15 +67,26 @@ def cap_per_hour(
     return top_per_group(timed, ["__hour"], order, n, F.col(key), salts).drop("__hour", "__draw")
 
 
+RANGES = 65_536
+
+
 def position_at_rank(
-    df: DataFrame, rank: Callable[[Column], Column], position: str = "corpus_pos", width: int = 1_000_000
+    df: DataFrame, rank: Callable[[Column], Column], position: str = "corpus_pos", width: int | None = None
 ) -> Column:
     """The position with a given rank (1 for the lowest), as a scalar subquery; null if there is none.
 
-    `rank` gets the number of rows. Positions are unique integers. They are counted per range of `width`,
-    the running count says which one range holds the rank, and only that range is sorted.
+    `rank` gets the number of rows. Positions are unique integers, dense or as sparse as digests. They are counted
+    per range of `width`, the running count says which one range holds the rank, and only that range is sorted.
+    Without a `width` their span is cut into RANGES equal ranges, so the running count never sees more.
     """
-    ranged = df.select(position, F.floor(F.col(position) / width).alias("__range"))
+    if width is None:
+        # As a double a position keeps its order, and a span of 64 bits does not overflow.
+        low, high = (df.agg(f(position).cast("double")).scalar() for f in (F.min, F.max))
+        step = F.greatest((high - low + 1) / RANGES, F.lit(1.0))
+        place = F.floor((F.col(position).cast("double") - low) / step)
+    else:
+        place = F.floor(F.col(position) / width)
+    ranged = df.select(position, place.alias("__range"))
     counts = ranged.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"))
     through = F.sum("__n").over(W.orderBy("__range").rowsBetween(W.unboundedPreceding, 0))
     total = F.sum("__n").over(W.partitionBy())

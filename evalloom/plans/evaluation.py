@@ -200,11 +200,8 @@ def fact_coverage(spark: SparkSession, base: str) -> DataFrame:
     # Two facts are added to the document's own sentences that it rarely holds.
     facts = X.sentences(F.concat("text", F.lit(". "), "source", F.lit(". Src1")))
     docs = documents(spark, base).select("doc_id", "text", facts.alias("facts"))
-    return docs.select(
-        "doc_id",
-        F.round(JF.fact_coverage("text", "facts"), 6).alias("coverage"),
-        JF.correctness("text", "facts").alias("passed"),
-    )
+    covered = docs.select("doc_id", JF.fact_coverage("text", "facts").alias("share"))
+    return covered.select("doc_id", F.round("share", 6).alias("coverage"), (F.col("share") == 1).alias("passed"))
 
 
 UNSAFE = ("worthless", "password", "kill")

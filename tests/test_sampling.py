@@ -37,7 +37,7 @@ def test_prefixes(spark):
     assert some == [r.corpus_pos for r in S.random_n(rows.repartition(3), 4, "corpus_pos", 1).collect()]
 
 
-@pytest.mark.parametrize("width", [1, 4, 1000])
+@pytest.mark.parametrize("width", [None, 1, 4, 1000])
 def test_position_at_rank_over_gaps(spark, width):
     positions = [0, 3, 4, 17, 18, 19, 400]
     table = spark.createDataFrame([(p,) for p in positions], "corpus_pos bigint")
@@ -69,3 +69,14 @@ def test_top_per_group_is_exact_for_a_hot_group(spark):
     for group in ("rare", "hot"):
         wanted = sorted(((-r.s, r.id) for r in rows if r.g == group))[:5]
         assert sorted((-r.s, r.id) for r in best.collect() if r.g == group) == wanted
+
+
+def test_rank_among_sparse_positions(spark):
+    import random
+
+    rng = random.Random(9)
+    ids = sorted({rng.randrange(-(2**63), 2**63) for _ in range(500)} | {2**63 - 1, -(2**63)})
+    table = spark.createDataFrame([(i,) for i in ids], "corpus_pos bigint")
+    for n in (1, 2, 250, len(ids)):
+        found = spark.range(1).select(S.position_at_rank(table, lambda total: F.lit(n)).alias("p")).first().p
+        assert found == ids[n - 1]
