@@ -1,5 +1,6 @@
 """Packing, sharding, scoring, language and vectors."""
 
+import hashlib
 import math
 import random
 import zlib
@@ -148,6 +149,26 @@ def test_shards_are_even_and_hold_the_mixture(messy, messy_rows, shards):
             assert abs(sum(r.stratum == source for r in members) - n * len(members) / len(rows)) <= 3
 
 
+def test_shards_against_a_sort(messy, messy_rows):
+    strata = defaultdict(list)
+    for doc_id, text, _, source in messy_rows:
+        key = "null" if doc_id is None else str(doc_id)
+        digest = hashlib.md5(f"42/{key}/{brute.crc(text)}".encode()).hexdigest()
+        strata["n" if source is None else f"v{source}"].append((digest, doc_id, len((text or "").encode()) + 8, brute.crc(text)))
+    order = []
+    for name, members in strata.items():
+        for rank, (_, *row) in enumerate(sorted(members, key=lambda x: x[0])):
+            order.append(((2 * rank + 1) / (2 * len(members)), name, row))
+    order.sort(key=lambda x: x[:2])
+    expected, used = Counter(), Counter()
+    for at, (_, _, row) in enumerate(order):
+        shard = at * 24 // len(order)
+        expected[(*row, "rows", shard, used[shard], None)] += 1
+        used[shard] += 1
+    found = sharding.interleave(messy, 24, rows_per_bucket=9).drop("stratum").collect()
+    assert Counter(tuple(r) for r in found) == expected
+
+
 def test_sharding_stays_in_the_engine(messy, capsys):
     sharding.interleave(messy, 24).explain()
     plan = capsys.readouterr().out
