@@ -19,7 +19,7 @@ from evalloom.session import stage
 
 PERCENT = 75
 CROWD = 8  # signatures of more documents than this do not make pairs by themselves
-ENTRIES = 500_000  # signatures of a bucket, about
+ENTRIES = 250_000  # signatures of a bucket, about
 FLUSH = 1_000_000
 LEADERS = 3
 SETS = "row long, doc_id long, n long, f1 long, f2 long, own int, below int, signed int, sketch array<long>, wide binary"

@@ -17,8 +17,8 @@ from evalloom.session import stage
 
 LENGTH = 50
 ROWS = 512  # of a chunk
-BUCKET_BYTES = 8 << 20  # of text for each bucket of anchors
-SORTED_BYTES = 1 << 20
+BUCKET_BYTES = 4 << 20  # of text for each bucket of anchors
+SORTED_BYTES = 512 << 10
 LAST = np.iinfo(np.int64).max
 CHUNKS = "chunk long, texts binary"
 SEEN = "bucket int, chunk long, once binary, several binary"
