@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,15 +19,18 @@ from evalloom.llm.common import as_bytes, fixed, numbered, portions, ranges, set
 from evalloom.session import stage
 
 LENGTH = 50
-ROWS = 512  # of a chunk
+ROWS = 512  # of a chunk at most
+CHUNK_BYTES = 4 << 20  # of a chunk of several rows at most
 BUCKET_BYTES = 4 << 20  # of text for each bucket of anchors
+ANCHOR_BYTES = 1 << 20  # of an anchor's pieces that are compared in one task
 SORTED_BYTES = 512 << 10
+SPREAD = 4  # buckets of single windows for each bucket of anchors
 LAST = np.iinfo(np.int64).max
 CHUNKS = "chunk long, texts binary"
-SEEN = "bucket int, chunk long, once binary, several binary"
-SHARED = "chunk long, bucket int, anchors binary"
-PIECES = "bucket int, chunk long, sizes binary, least binary, anchors binary, bytes binary"
-LEAST = "chunk long, bucket int, anchors binary, counts binary, spans binary, least binary"
+SEEN = "bucket int, chunk long, once binary, several binary, sizes binary"
+SHARED = "chunk long, bucket int, anchors binary, hot binary"
+PIECES = "bucket int, chunk long, sizes binary, least binary, anchors binary, hot binary, bytes binary"
+LEAST = "chunk long, bucket int, anchors binary, hot binary, counts binary, spans binary, least binary"
 RESULT = "row long, doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
 
 
@@ -36,26 +42,31 @@ def _swell(data: bytes, size: int) -> bytes:
     return pa.decompress(data, size, codec="zstd", asbytes=True) if size else b""
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table]]:
-    """The rows of a partition by chunk: neighbours, whatever the batches."""
+def _chunks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[int, pa.Table]]:
+    """The rows of a partition by chunk: neighbours, whatever the batches, up to ROWS rows and `most` bytes of text.
+    A longer text is a chunk of its own. A chunk is known by its first row."""
     held: list[pa.RecordBatch] = []
-    current = None
+    current, rows, size = 0, 0, 0
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        chunk = batch.column("row").to_numpy() // ROWS
-        for part in np.split(np.arange(len(chunk)), np.flatnonzero(np.diff(chunk)) + 1):
-            if current is not None and chunk[part[0]] != current:
+        row = batch.column("row").to_pylist()
+        start = 0
+        for i, n in enumerate(pc.binary_length(batch.column("text")).to_pylist()):
+            if rows and (rows == ROWS or size + n > most):
+                if i > start:
+                    held.append(batch.slice(start, i - start))
                 yield current, pa.Table.from_batches(held)
-                held = []
-            current = int(chunk[part[0]])
-            held.append(batch.slice(part[0], len(part)))
+                held, start, rows, size = [], i, 0, 0
+            if not rows:
+                current = row[i]
+            rows, size = rows + 1, size + n
+        if batch.num_rows > start:
+            held.append(batch.slice(start))
     if held:
         yield current, pa.Table.from_batches(held)
 
 
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for chunk, table in _chunks(batches):
+def _packed(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    for chunk, table in _chunks(batches, most):
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
             writer.write_table(table.combine_chunks())
@@ -100,17 +111,39 @@ class Runs:
         return np.array(number, np.int64), list(known)
 
 
-def _keys(table: pa.Table) -> np.ndarray:
+def _keys(table: pa.Table, name: str = "anchors") -> np.ndarray:
     parts = [
         (np.uint64(bucket) << np.uint64(32)) | np.frombuffer(raw, "<u4").astype(np.uint64)
-        for bucket, raw in zip(table.column("bucket").to_pylist(), table.column("anchors").to_pylist(), strict=True)
+        for bucket, raw in zip(table.column("bucket").to_pylist(), table.column(name).to_pylist(), strict=True)
     ]
     return np.unique(np.concatenate(parts)) if parts else np.empty(0, np.uint64)
 
 
+def _single(pieces: list[bytes], length: int, buckets: int) -> tuple[list[bytes], np.ndarray, list[np.ndarray]]:
+    """The distinct windows of some pieces in order of their buckets, these buckets, and the windows of each piece."""
+    known: dict[bytes, int] = {}
+    places = [
+        np.array([known.setdefault(x[p : p + length], len(known)) for p in range(len(x) - length + 1)], np.int64) for x in pieces
+    ]
+    windows = list(known)
+    bucket = np.fromiter((zlib.crc32(x) % (SPREAD * buckets) + buckets for x in windows), np.int64, len(windows))
+    order = np.argsort(bucket, kind="stable")
+    back = np.empty(len(order), np.int64)
+    back[order] = np.arange(len(order))
+    return [windows[i] for i in order.tolist()], bucket[order], [back[x] for x in places]
+
+
+def _cuts(bucket: np.ndarray) -> list[tuple[int, int]]:
+    """Ranges of equal numbers that stand next to each other."""
+    if not len(bucket):
+        return []
+    cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+    return list(zip(cuts.tolist(), np.append(cuts[1:], len(bucket)).tolist(), strict=True))
+
+
 def repeats(
     docs: DataFrame, *, text: str = "text", key: str = "doc_id", length: int = LENGTH, gram: int = GRAM,
-    bucket_bytes: int = BUCKET_BYTES,
+    bucket_bytes: int = BUCKET_BYTES, anchor_bytes: int = ANCHOR_BYTES, chunk_bytes: int = CHUNK_BYTES,
 ) -> DataFrame:
     """Per document: bytes, removed bytes, maximal removed runs, and digest and bytes of what is left.
 
@@ -124,8 +157,9 @@ def repeats(
        that has it, and meet by anchor. Where an anchor has one distinct piece, its smallest key is that of all its
        windows; otherwise `bwt.least_of_equal` finds equal windows of different pieces.
     3. The chunks get the smallest key of each window of their pieces and remove those of larger keys.
-    A bucket has the anchors of `bucket_bytes` of text, so tasks stay as large as they are however large the table;
-    a string that a third of the documents hold counts once per chunk.
+    A bucket has the anchors of `bucket_bytes` of text, so tasks stay as large as they are however large the table.
+    The pieces of an anchor with more than `anchor_bytes` of them, before equal ones are folded, do not meet by anchor:
+    each distinct window of them goes once per chunk, as a piece of its own, to the bucket that its bytes name.
 
     Nulls: a null text is empty. A null key is larger than any other. Of equal keys neither is smaller; repeated rows
     are judged each. An empty table gives no rows. Other columns are left out.
@@ -133,27 +167,30 @@ def repeats(
     rows = numbered(fixed(docs), F.coalesce(F.col(key).cast("long"), F.lit(int(LAST))).alias("doc_id"),
                     F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8").alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = min(30, max(0, int(np.ceil(np.log2(max(1, total / bucket_bytes))))))
+    bits = min(28, max(0, int(np.ceil(np.log2(max(1, total / bucket_bytes))))))
+    buckets = 1 << bits  # of anchors; those of single windows come after them
 
     def see(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk, table in _chunks(batches):
+        for chunk, table in _chunks(batches, chunk_bytes):
             runs = Runs(as_bytes(table.column("text").combine_chunks()), length, gram, bits)
-            # Sorted by anchor, then by text: does the anchor have a second text here?
+            if not len(runs.key):
+                continue
+            # Sorted by anchor, then by text: does the anchor have a second text here, or many bytes of one?
             order = np.lexsort((runs.text, runs.key))
             anchor, owner = runs.key[order], runs.text[order]
-            first = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]])) if len(anchor) else np.empty(0, np.int64)
+            first = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
             last = np.append(first[1:], len(anchor)) - 1
-            several = owner[first] != owner[last]
+            size = np.add.reduceat(runs.count[order] + length - 1, first)
+            several = (owner[first] != owner[last]) | (size > 2 * length)
             anchor = anchor[first]
-            bucket = (anchor >> np.uint64(32)).astype(np.int64)
-            cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else np.empty(0, np.int64)
-            spans = list(zip(cuts.tolist(), np.append(cuts[1:], len(bucket)).tolist(), strict=True))
-            low = anchor.astype("<u4")
+            spans = _cuts((anchor >> np.uint64(32)).astype(np.int64))
+            low, size = anchor.astype("<u4"), np.minimum(size, (1 << 32) - 1).astype("<u4")
             yield pa.RecordBatch.from_arrays([
-                pa.array([int(bucket[a]) for a, _ in spans], pa.int32()), pa.array([chunk] * len(spans), pa.int64()),
+                pa.array([int(anchor[a]) >> 32 for a, _ in spans], pa.int32()), pa.array([chunk] * len(spans), pa.int64()),
                 pa.array([low[a:b][~several[a:b]].tobytes() for a, b in spans], pa.binary()),
                 pa.array([low[a:b][several[a:b]].tobytes() for a, b in spans], pa.binary()),
-            ], names=["bucket", "chunk", "once", "several"])
+                pa.array([size[a:b][several[a:b]].tobytes() for a, b in spans], pa.binary()),
+            ], names=["bucket", "chunk", "once", "several", "sizes"])
 
     def meet(table: pa.Table) -> pa.Table:
         settle()
@@ -163,48 +200,79 @@ def repeats(
         several = [np.frombuffer(x, "<u4") for x in table.column("several").to_pylist()]
         # Anchors that several texts of a chunk have count twice.
         every = np.concatenate(once + several)
+        sizes = np.concatenate([np.full(sum(map(len, once)), 2 * length),
+                                *(np.frombuffer(x, "<u4").astype(np.int64) for x in table.column("sizes").to_pylist())])
         twice = np.arange(len(every)) >= sum(map(len, once))
         order = np.argsort(every, kind="stable")
         first = np.flatnonzero(np.concatenate([[True], np.diff(every[order]) != 0]))
         size = np.diff(np.append(first, len(order)))
         common = np.empty(len(every), bool)
         common[order] = np.repeat((size > 1) | np.logical_or.reduceat(twice[order], first), size)
-        ends = np.cumsum([0, *map(len, once)])
-        back = [x[common[i:j]].tobytes() + y.tobytes() for x, y, i, j in zip(once, several, ends, ends[1:], strict=False)]
-        kept = [i for i, x in enumerate(back) if x]
+        hot = np.empty(len(every), bool)
+        hot[order] = np.repeat(np.add.reduceat(sizes[order], first) > anchor_bytes, size)
+        cold = common & ~hot
+        hot &= common
+        ends = np.cumsum([0, *map(len, once + several)])
+        n = len(once)
+        back, many = (
+            [x[kept[i:j]].tobytes() + y[kept[k:m]].tobytes()
+             for x, y, i, j, k, m in zip(once, several, ends, ends[1:], ends[n:], ends[n + 1 :], strict=False)]
+            for kept in (cold, hot)
+        )
+        kept = [i for i in range(n) if back[i] or many[i]]
         return pa.table({
             "chunk": pa.array([chunk[i] for i in kept], pa.int64()), "bucket": pa.array([bucket] * len(kept), pa.int32()),
-            "anchors": pa.array([back[i] for i in kept], pa.binary()),
+            "anchors": pa.array([back[i] for i in kept], pa.binary()), "hot": pa.array([many[i] for i in kept], pa.binary()),
         })
 
+    def cut_out(texts: list[bytes], cold: np.ndarray, hot: np.ndarray) -> tuple[Runs, np.ndarray, list[bytes], np.ndarray, np.ndarray]:
+        """The runs with one of the keys, the number of each run's piece, the pieces, their keys, and which are hot."""
+        runs = Runs(texts, length, gram, bits)
+        runs.shared(np.concatenate([cold, hot]))
+        number, pieces = runs.pieces(texts, length)
+        anchor = np.zeros(len(pieces), np.uint64)
+        anchor[number] = runs.key
+        return runs, number, pieces, anchor, np.isin(anchor, hot)
+
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
         settle()
-        out: list[list] = [[] for _ in range(6)]
+        names = [x.split()[0] for x in PIECES.split(", ")]
+        out: list[list] = [[] for _ in names]
         if left.num_rows and right.num_rows:
             table = _unpacked(left.column("texts")[0].as_py())
             texts = as_bytes(table.column("text").combine_chunks())
-            runs = Runs(texts, length, gram, bits)
-            runs.shared(_keys(right))
-            number, pieces = runs.pieces(texts, length)
+            many = _keys(right, "hot")
+            runs, number, pieces, anchor, hot = cut_out(texts, _keys(right), many)
             least = np.full(len(pieces), LAST)
             np.minimum.at(least, number, table.column("doc_id").to_numpy()[runs.text])
-            anchor = np.zeros(len(pieces), np.uint64)
-            anchor[number] = runs.key
-            bucket = (anchor >> np.uint64(32)).astype(np.int64)
-            cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else np.empty(0, np.int64)
             chunk = left.column("chunk")[0].as_py()
-            for a, b in zip(cuts.tolist(), np.append(cuts[1:], len(bucket)).tolist(), strict=True):
-                sizes = np.fromiter(map(len, pieces[a:b]), "<u4", b - a)
-                row = (int(bucket[a]), chunk, sizes.tobytes(), least[a:b].astype("<i8").tobytes(),
-                       anchor[a:b].astype("<u4").tobytes(), _squeeze(b"".join(pieces[a:b])))
+
+            def add(bucket: int, pieces: list[bytes], least: np.ndarray, anchors: bytes, hot: bytes) -> None:
+                sizes = np.fromiter(map(len, pieces), "<u4", len(pieces))
+                row = (bucket, chunk, sizes.tobytes(), least.astype("<i8").tobytes(), anchors, hot, _squeeze(b"".join(pieces)))
                 for x, y in zip(out, row, strict=True):
                     x.append(y)
-        kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 4]
-        names = [x.split()[0] for x in PIECES.split(", ")]
+
+            cold = np.flatnonzero(~hot)
+            bucket = (anchor[cold] >> np.uint64(32)).astype(np.int64)
+            for a, b in _cuts(bucket):
+                part = cold[a:b]
+                add(int(bucket[a]), [pieces[i] for i in part.tolist()], least[part], anchor[part].astype("<u4").tobytes(), b"")
+            if hot.any():
+                at = np.flatnonzero(hot).tolist()
+                windows, bucket, places = _single([pieces[i] for i in at], length, buckets)
+                low = np.full(len(windows), LAST)
+                for i, place in zip(at, places, strict=True):
+                    low[place] = np.minimum(low[place], least[i])
+                for a, b in _cuts(bucket):
+                    # The chunk's hot anchors come back with the first of its windows.
+                    add(int(bucket[a]), windows[a:b], low[a:b], b"", b"" if a else many.astype("<u8").tobytes())
+        kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 5]
         return pa.table([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], names=names)
 
     def compare(table: pa.Table) -> pa.Table:
         settle()
+        bucket = table.column("bucket")[0].as_py()
         known: dict[bytes, int] = {}
         anchors, number, least = [], [], []
         for sizes, low, anchor, data in zip(*(table.column(x).to_pylist() for x in ("sizes", "least", "anchors", "bytes")), strict=True):
@@ -216,14 +284,17 @@ def repeats(
         pieces = list(known)
         smallest = np.full(len(pieces), LAST)
         np.minimum.at(smallest, np.concatenate(number), np.concatenate(least))
-        anchor = np.zeros(len(pieces), np.uint32)
-        anchor[np.concatenate(number)] = np.concatenate(anchors)
         windows = np.fromiter(map(len, pieces), np.int64, len(pieces)) - length + 1
         # One span of windows with one smallest key, unless the anchor has other pieces too.
         found: list[tuple] = [((w,), (s,)) for w, s in zip(windows.tolist(), smallest.tolist(), strict=True)]
-        order = np.argsort(anchor, kind="stable")
-        first = np.flatnonzero(np.concatenate([[True], np.diff(anchor[order]) != 0]))
-        size = np.diff(np.append(first, len(order)))
+        # Single windows are equal or have nothing in common.
+        order = first = size = np.empty(0, np.int64)
+        if bucket < buckets:
+            anchor = np.zeros(len(pieces), np.uint32)
+            anchor[np.concatenate(number)] = np.concatenate(anchors)
+            order = np.argsort(anchor, kind="stable")
+            first = np.flatnonzero(np.concatenate([[True], np.diff(anchor[order]) != 0]))
+            size = np.diff(np.append(first, len(order)))
         group: list[int] = []
         held = 0
 
@@ -234,24 +305,24 @@ def repeats(
 
         for a, n in zip(first.tolist(), size.tolist(), strict=True):
             if n > 1:
-                group += order[a : a + n].tolist()
-                held += int((windows[order[a : a + n]] + length).sum())
-                if held >= SORTED_BYTES:
+                more = int((windows[order[a : a + n]] + length).sum())
+                if group and held + more > SORTED_BYTES:
                     solve()
                     group, held = [], 0
+                group += order[a : a + n].tolist()
+                held += more
         if group:
             solve()
-        out: list[list] = [[] for _ in range(6)]
-        bucket = table.column("bucket")[0].as_py()
-        for chunk, mine, low in zip(table.column("chunk").to_pylist(), number, anchors, strict=True):
+        names = [x.split()[0] for x in LEAST.split(", ")]
+        out: list[list] = [[] for _ in names]
+        for chunk, mine, low, many in zip(table.column("chunk").to_pylist(), number, anchors, table.column("hot").to_pylist(), strict=True):
             spans = [found[i] for i in mine.tolist()]
-            row = (chunk, bucket, low.tobytes(), np.fromiter((len(x) for x, _ in spans), "<u4", len(spans)).tobytes(),
+            row = (chunk, bucket, low.tobytes(), many, np.fromiter((len(x) for x, _ in spans), "<u4", len(spans)).tobytes(),
                    np.concatenate([x for x, _ in spans]).astype("<u4").tobytes(),
                    np.concatenate([x for _, x in spans]).astype("<i8").tobytes())
             for x, y in zip(out, row, strict=True):
                 x.append(y)
-        kinds = [pa.int64(), pa.int32(), *[pa.binary()] * 4]
-        names = [x.split()[0] for x in LEAST.split(", ")]
+        kinds = [pa.int64(), pa.int32(), *[pa.binary()] * 5]
         return pa.table([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], names=names)
 
     def remove(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -268,13 +339,28 @@ def repeats(
         change = np.zeros(int(sizes.sum()) + 1, np.int32)
         if right.num_rows:
             right = right.sort_by("bucket")
-            runs = Runs(texts, length, gram, bits)
-            runs.shared(_keys(right))
-            number, _ = runs.pieces(texts, length)
+            many = np.frombuffer(b"".join(right.column("hot").to_pylist()), "<u8")
+            runs, number, pieces, _, hot = cut_out(texts, _keys(right), many)
             counts, spans, least = (
                 np.concatenate([np.frombuffer(x, kind) for x in right.column(name).to_pylist()]).astype(np.int64)
                 for name, kind in (("counts", "<u4"), ("spans", "<u4"), ("least", "<i8"))
             )
+            if hot.any():
+                # What came back for single windows follows what came back for the other pieces.
+                _, _, places = _single([pieces[i] for i in np.flatnonzero(hot).tolist()], length, buckets)
+                cold = int((~hot).sum())
+                whole = np.empty(len(pieces), np.int64)
+                whole[~hot], whole[hot] = counts[:cold], list(map(len, places))
+                ends = np.cumsum(counts[:cold])
+                each = np.concatenate(places)
+                from_ = np.empty(len(pieces), np.int64)
+                from_[~hot] = ends - counts[:cold]
+                n = int(ends[-1]) if cold else 0
+                from_[hot] = n + np.cumsum(whole[hot]) - whole[hot]
+                spans = np.concatenate([spans[:n], np.ones(len(each), np.int64)])
+                least = np.concatenate([least[:n], least[n:][each]])
+                at = ranges(from_, whole)
+                counts, spans, least = whole, spans[at], least[at]
             first = np.cumsum(counts) - counts
             before = np.cumsum(spans) - spans
             at = ranges(first[number], counts[number])
@@ -295,7 +381,7 @@ def repeats(
         doc_id = pa.array(keys, mask=keys == LAST)
         return pa.table([table.column("row"), doc_id, *(pa.array(x, k) for x, k in zip(out, kinds[2:], strict=True))], names=names)
 
-    texts = rows.mapInArrow(settled(_packed), CHUNKS)
+    texts = rows.mapInArrow(settled(partial(_packed, most=chunk_bytes)), CHUNKS)
     shared = rows.mapInArrow(settled(see), SEEN).groupBy("bucket").applyInArrow(meet, SHARED)
     pieces = texts.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(cut, PIECES)
     least = pieces.groupBy("bucket").applyInArrow(compare, LEAST)

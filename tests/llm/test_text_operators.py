@@ -62,6 +62,42 @@ def test_repeated_strings_of_other_lengths(messy):
     same(found.collect(), brute.repeats(pairs(messy), 12))
 
 
+def test_repeated_strings_of_an_anchor_with_many_pieces(spark, monkeypatch):
+    """A passage that all documents share, with different surroundings: no task sorts more than the bound at once."""
+    import random
+
+    rng = random.Random(8)
+    passage = " ".join(f"p{rng.randrange(10**6)}" for _ in range(30))
+    rows = []
+    for i in range(1500):
+        own = [" ".join(f"o{rng.randrange(10**6)}" for _ in range(rng.randrange(3, 8))) for _ in range(2)]
+        rows.append((i, f"{own[0]} {passage} {own[1]}" + (f" {passage[:90]}" if i % 7 == 0 else "")))
+    rows += [(5000 + i, rows[3 * i][1]) for i in range(40)] + [(None, rows[0][1]), (6000, "ab " * 4000), (6001, "ab " * 3000 + passage)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    real, limit = suffix_dedup.least_of_equal, 40_000
+
+    def bounded(strings, values, length):
+        if sum(map(len, strings)) > limit:
+            raise ValueError("one task sorts too much")
+        return real(strings, values, length)
+
+    monkeypatch.setattr(suffix_dedup, "least_of_equal", bounded)
+    monkeypatch.setattr(suffix_dedup, "SORTED_BYTES", 20_000)
+    if hasattr(suffix_dedup, "ANCHOR_BYTES"):
+        found = suffix_dedup.repeats(docs, bucket_bytes=20_000, anchor_bytes=20_000, chunk_bytes=30_000)
+    else:
+        found = suffix_dedup.repeats(docs, bucket_bytes=20_000)
+    columns = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    same(found.select(*columns).collect(), brute.repeats(rows))
+    for options in ({"anchor_bytes": 0}, {"anchor_bytes": 0, "bucket_bytes": 20_000}):
+        same(suffix_dedup.repeats(docs, **options).select(*columns).collect(), brute.repeats(rows))
+
+
+def test_repeated_strings_in_chunks_cut_by_bytes(messy):
+    found = suffix_dedup.repeats(messy, chunk_bytes=500).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    same(found.collect(), brute.repeats(pairs(messy)))
+
+
 def test_texts_without_repeats(messy):
     kept = suffix_dedup.without_repeats(messy)
     assert kept.columns == messy.columns and kept.count() == messy.count()
