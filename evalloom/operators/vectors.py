@@ -53,10 +53,18 @@ def usable(vector: str | Column, *, dimensions: int | None = None, direction: bo
     return F.coalesce(good, F.lit(False))
 
 
-def _length(vectors: DataFrame, direction: bool) -> int | None:
-    """The length of the usable vector of the lowest `query_id`: what others are held to."""
-    lengths = vectors.filter(usable("embedding", direction=direction) & F.col("query_id").isNotNull())
-    return lengths.agg(F.min_by(F.size("embedding"), "query_id")).first()[0]
+def _lengths(vectors: DataFrame, direction: bool, count: str) -> DataFrame:
+    good = vectors.filter(usable("embedding", direction=direction))
+    return good.groupBy(F.size("embedding").alias("length")).agg(F.count(F.lit(1)).alias(count))
+
+
+def _length(queries: DataFrame, vectors: DataFrame, direction: bool) -> int:
+    """The length by which most pairs of a usable query and a usable vector can be compared, the longer one of two;
+    0 if there is no such pair."""
+    asked = _lengths(queries.filter(F.col("query_id").isNotNull()), direction, "asked")
+    met = asked.join(_lengths(vectors, direction, "held"), "length")
+    best = met.orderBy(F.desc(F.col("asked").cast("double") * F.col("held")), F.desc("length")).first()
+    return best.length if best else 0
 
 
 class _Leaders:
@@ -148,23 +156,27 @@ def _by_grid(
 
 def vector_topk(
     queries: DataFrame, vectors: DataFrame, k: int = K.NUM_RESULTS, *, metric: str = "cosine",
-    digits: int = 6, max_queries: int = 2048, slice_rows: int = 100_000,
+    digits: int = 6, max_queries: int = 2048, slice_rows: int = 100_000, dimensions: int | None = None,
 ) -> DataFrame:
     """Exact k nearest vectors of each query by `cosine` or `dot`, ties to the lower id.
 
     Up to `max_queries` queries are broadcast, and the corpus is read once in Arrow batches, where every
     task keeps only its k best per query. More queries than that are cut into blocks and the corpus into
     slices of about `slice_rows`, joined as a grid. Scores are rounded to `digits` before they are ranked.
-    Vectors that are not `usable` are never near anything, and neither are those of another length than the
-    first query's; rows without an id are left out.
+    Vectors that are not `usable` are never near anything, and neither are those of another length than
+    `dimensions`, by default the length by which most pairs of a query and a vector can be compared; rows without
+    an id are left out.
     """
     if metric not in ("cosine", "dot"):
         raise ValueError(f"metric must be 'cosine' or 'dot', not {metric!r}")
     normalise = metric == "cosine"
     queries = queries.select("query_id", "embedding")
-    good = usable("embedding", dimensions=_length(queries, normalise) or 0, direction=normalise)
+    vectors = vectors.select("vec_id", "embedding").filter(F.col("vec_id").isNotNull())
+    if dimensions is None:
+        dimensions = _length(queries, vectors, normalise)
+    good = usable("embedding", dimensions=dimensions, direction=normalise)
     queries = queries.filter(good & F.col("query_id").isNotNull())
-    vectors = vectors.select("vec_id", "embedding").filter(good & F.col("vec_id").isNotNull())
+    vectors = vectors.filter(good)
     head = queries.limit(max_queries + 1).collect()
     if not head:
         return _rank(vectors.sparkSession.createDataFrame([], TOPK_SCHEMA), k)
@@ -241,13 +253,18 @@ def vector_topk_ann(
     return _rank(scored.filter(F.col("score").isNotNull()), k)
 
 
-def centroids(vectors: DataFrame, label: str = "label") -> DataFrame:
+def centroids(vectors: DataFrame, label: str = "label", *, dimensions: int | None = None) -> DataFrame:
     """The mean vector of each label as `query_id, embedding`.
 
     Values are averaged per (label, dimension), which folds map-side however large a label is. Vectors that are
-    not `usable` and rows without a label are left out.
+    not `usable`, those of another length than `dimensions` (by default the length that most of the labelled vectors
+    have, the longer one of two) and rows without a label are left out.
     """
-    good = usable("embedding", direction=False) & F.col(label).isNotNull()
+    if dimensions is None:
+        lengths = _lengths(vectors.filter(F.col(label).isNotNull()), False, "n")
+        most = lengths.orderBy(F.desc("n"), F.desc("length")).first()
+        dimensions = most.length if most else 0
+    good = usable("embedding", dimensions=dimensions, direction=False) & F.col(label).isNotNull()
     means = (
         vectors.filter(good).select(F.col(label).cast("bigint").alias("query_id"), F.posexplode("embedding").alias("at", "x"))
         .groupBy("query_id", "at").agg(F.avg("x").alias("x"))
@@ -259,15 +276,18 @@ def centroids(vectors: DataFrame, label: str = "label") -> DataFrame:
 
 def nearest_topic(
     vectors: DataFrame, topics: DataFrame, *, digits: int = 6, max_topics: int = 2048,
-    slice_rows: int = 100_000,
+    slice_rows: int = 100_000, dimensions: int | None = None,
 ) -> DataFrame:
     """The nearest topic centroid of every vector: `vec_id, topic, score`, ties to the lower topic.
 
     Up to `max_topics` topics are broadcast and the vectors are read once; more go through the grid of
     blocks and slices, where each vector asks for its one nearest topic. A vector that is not `usable`, or of
-    another length than the first topic, has a null topic.
+    another length than `dimensions`, has a null topic; by default that is the length by which most pairs of a topic
+    and a vector can be compared.
     """
-    good = usable("embedding", dimensions=_length(topics, True) or 0)
+    if dimensions is None:
+        dimensions = _length(topics, vectors, True)
+    good = usable("embedding", dimensions=dimensions)
     vectors = vectors.select("vec_id", F.when(good, F.col("embedding")).alias("embedding"))
     topics = topics.select("query_id", "embedding").filter(good & F.col("query_id").isNotNull())
     head = topics.orderBy("query_id").limit(max_topics + 1).collect()

@@ -105,3 +105,33 @@ def test_bad_vectors_move_no_topic(spark, vectors, limits):
     found = {r.vec_id: r.topic for r in V.nearest_topic(both, V.centroids(both), **limits).collect()}
     assert {k: v for k, v in found.items() if k < 2000} == clean
     assert found[2001] is None and found[2002] is None and found[2003] is None and found[2009] is not None
+
+
+LONG_OR_SHORT = [(-2, [1.0] * 11, -1), (-1, [5.0] * 5, 0), (2010, [5.0] * 5, 1)]
+
+
+@pytest.mark.parametrize("limits", [{}, {"max_queries": 2, "slice_rows": 50}])
+def test_a_wrong_length_at_the_lowest_id_empties_no_search(spark, queries, vectors, limits):
+    bad = spark.createDataFrame([x[:2] for x in LONG_OR_SHORT], "vec_id bigint, embedding array<double>")
+    asked = spark.createDataFrame([x[:2] for x in LONG_OR_SHORT], "query_id bigint, embedding array<double>").union(queries)
+    clean = sorted(V.vector_topk(queries, vectors, 5).collect())
+    assert clean and sorted(V.vector_topk(asked, bad.union(vectors), 5, **limits).collect()) == clean
+    # One query of either length: the one that has vectors counts, and a caller may ask for any length.
+    two = asked.filter("query_id IN (-2, 0)")
+    assert {r.query_id for r in V.vector_topk(two, vectors, 5, **limits).collect()} == {0}
+    other = V.vector_topk(asked, bad.union(vectors), 5, dimensions=11, **limits).collect()
+    assert [(r.query_id, r.vec_id, r.score) for r in other] == [(-2, -2, 1.0)]
+
+
+@pytest.mark.parametrize("limits", [{}, {"max_topics": 1, "slice_rows": 50}])
+def test_a_wrong_length_in_the_lowest_label_moves_no_topic(spark, vectors, limits):
+    labelled = vectors.filter("vec_id < 60").withColumn("label", F.col("vec_id") % 3)
+    # One too long and one too short in the lowest label, one too short in the next.
+    bad = spark.createDataFrame([(i, v, max(k, 0)) for i, v, k in LONG_OR_SHORT], "vec_id bigint, embedding array<double>, label bigint")
+    both = bad.union(labelled)
+    centres = {r.query_id: r.embedding for r in V.centroids(both).collect()}
+    clean = {r.query_id: r.embedding for r in V.centroids(labelled).collect()}
+    assert {k: pytest.approx(v) for k, v in clean.items()} == centres
+    topics = {r.vec_id: r.topic for r in V.nearest_topic(labelled, V.centroids(labelled), **limits).collect()}
+    found = {r.vec_id: r.topic for r in V.nearest_topic(both, V.centroids(both), **limits).collect()}
+    assert found == topics | {-2: None, -1: None, 2010: None}
