@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -14,9 +16,7 @@ from pyspark.sql import functions as F
 from evalloom.llm.common import portions, ranges, settled
 
 UNKNOWN = "und"
-LETTERS = 46  # most frequent letters that have a symbol of their own
-OTHER = LETTERS + 1
-SYMBOLS = LETTERS + 2  # 0 stands for whatever lies between words
+PAGE = 256  # code points of a page of the alphabet
 SEGMENT = 256
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double, phrase_symbols double"
 
@@ -26,22 +26,33 @@ def fold(key: Column, n: int) -> Column:
     return F.crc32(key.cast("string").cast("binary")) % n
 
 
-def _table(texts: list[str]) -> np.ndarray:
-    """Symbols of the characters of the basic plane."""
-    seen = Counter(c for text in texts for c in text if c.isalpha() and ord(c) < 65536)
-    table = np.zeros(65536, np.uint8)
-    table[[i for i in range(65536) if chr(i).isalpha()]] = OTHER
-    for symbol, (c, _) in enumerate(sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:LETTERS], 1):
-        table[ord(c)] = symbol
-    return table
+@cache
+def _letters() -> np.ndarray:
+    return np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
 
 
-def symbols(lowered: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+class Alphabet:
+    """A symbol for each letter of some texts, frequent ones first, and 1 for all other letters; 0 stands for
+    whatever lies between words. Pages of code points with the same symbols are kept once."""
+
+    def __init__(self, texts: list[str]):
+        seen = Counter(c for text in texts for c in text if c.isalpha())
+        self.size = len(seen) + 2
+        table = _letters().astype(np.min_scalar_type(self.size))
+        for symbol, (c, _) in enumerate(sorted(seen.items(), key=lambda x: (-x[1], x[0])), 2):
+            table[ord(c)] = symbol
+        self.pages, page = np.unique(table.reshape(-1, PAGE), axis=0, return_inverse=True)
+        self.page = page.ravel().astype(np.uint16)
+
+    def __getitem__(self, points: np.ndarray) -> np.ndarray:
+        return self.pages[self.page[points // PAGE], points % PAGE]
+
+
+def symbols(lowered: list[str], table: Alphabet) -> tuple[np.ndarray, np.ndarray]:
     """The symbols of some lower-case texts, one after the other, and how many each has."""
     lengths = np.fromiter(map(len, lowered), np.int64, len(lowered))
     points = np.frombuffer("".join(lowered).encode("utf-32-le", "surrogatepass"), np.uint32)
-    found = table[np.minimum(points, 65535)]
-    found[points > 65535] = OTHER
+    found = table[points]
     owner = np.repeat(np.arange(len(lowered)), lengths)
     kept = found > 0
     # Of what lies between two words one symbol is kept.
@@ -49,7 +60,7 @@ def symbols(lowered: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return found[kept], np.bincount(owner[kept], minlength=len(lowered))
 
 
-def suffix_automaton(text: bytes) -> list[dict[int, int]]:
+def suffix_automaton(text: list[int]) -> list[dict[int, int]]:
     """Transitions of the smallest automaton of all substrings, built letter by letter."""
     edges: list[dict[int, int]] = [{}]
     link, length, last = [-1], [0], 0
@@ -79,36 +90,76 @@ def suffix_automaton(text: bytes) -> list[dict[int, int]]:
     return edges
 
 
+def interlaced(rows: list[dict[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """One array of all rows' entries, and the place of each row in it: that of its entry c is the row's place + c.
+
+    No two rows have the same place, so an entry names its row by it: (place of the row, value), -1 where none is.
+    Rows of several entries go where they fit; those of one entry fill the gaps.
+    """
+    width = 1 + max((c for row in rows for c in row), default=0)
+    taken, used = bytearray(4 * width + 2 * sum(map(len, rows)) + len(rows)), set()
+    places = np.zeros(len(rows), np.int64)
+    low, filling = width, False
+    for i in sorted(range(len(rows)), key=lambda i: -len(rows[i])):
+        row = sorted(rows[i]) or [0]
+        if len(row) == 1 and not filling:
+            low, filling = width, True
+        at = taken.find(0, low)
+        for tried in count(1):
+            if at < 0 or at + width >= len(taken):
+                at = len(taken) if at < 0 else at
+                taken.extend(bytes(len(taken) + width))
+            place = at - row[0]
+            if place not in used and not any(taken[place + c] for c in row):
+                break
+            at = taken.find(0, at + 1)
+            if tried % 16 == 0:
+                low = max(at, low)
+        used.add(place)
+        places[i] = place
+        for c in rows[i]:
+            taken[place + c] = 1
+        if filling:
+            low = at
+    entries = np.full((int(places.max(initial=0)) + width, 2), -1, np.int32)
+    for place, row in zip(places.tolist(), rows, strict=True):
+        for c, value in row.items():
+            entries[place + c] = place, value
+    return entries, places
+
+
 class CrossParser:
-    """One automaton per language in one table of steps.
+    """One automaton per language, their transitions interlaced in one array.
 
-    An entry is twice the next state's row, plus one if the step ends a phrase: no substring of the language's
-    text goes on with this symbol, and the next phrase begins with it.
+    A state is known by its place there. Where no substring of the language's text goes on with a symbol a phrase
+    ends, and the next one begins with it: `begin` has the state after each symbol of each language.
     """
 
     def __init__(self, samples: dict[str, list[str]], total: int):
         self.languages = sorted(samples)
-        self.table = _table([x for texts in samples.values() for x in texts])
+        self.table = Alphabet([x for texts in samples.values() for x in texts])
         most = total // max(len(samples), 1)
-        steps, self.roots, bits, base = [], [], [], 0
-        for language in self.languages:
+        rows, roots, bits = [], [], []
+        begin = np.empty((len(self.languages), self.table.size), np.int64)
+        for i, language in enumerate(self.languages):
             text, _ = symbols([x + "\n" for x in samples[language]], self.table)
-            text = text[:most].tobytes()
+            text = text[:most].tolist()
             edges = suffix_automaton(text)
+            base = len(rows)
+            roots.append(base)
+            rows += [{c: to + base for c, to in out.items()} for out in edges]
             # One state more: after a symbol that the text lacks, which is a phrase of its own.
-            step = np.empty((len(edges) + 1, SYMBOLS), np.int64)
-            begin = np.full(SYMBOLS, len(edges))
-            begin[list(edges[0])] = list(edges[0].values())
-            step[:] = (begin + base) * SYMBOLS * 2 + 1
-            step[0] -= 1  # nothing ends at the beginning
-            for state, out in enumerate(edges):
-                if out:
-                    step[state, list(out)] = (np.array(list(out.values())) + base) * SYMBOLS * 2
-            steps.append(step.ravel())
-            self.roots.append(base * SYMBOLS * 2)
+            begin[i] = len(rows)
+            begin[i, list(rows[base])] = list(rows[base].values())
+            rows.append({})
             bits.append(np.log2(max(len(text), 2)))
-            base += len(edges) + 1
-        self.steps = np.concatenate(steps).astype(np.int32) if steps else np.empty(0, np.int32)
+        entries, places = interlaced(rows)
+        if rows:
+            entries[:, 1] = np.where(entries[:, 0] < 0, -1, places[entries[:, 1]])
+        # The row of an entry in the upper half, the next state in the lower.
+        self.steps = (entries[:, 0].astype(np.int64) << 32) | entries[:, 1].astype(np.uint32)
+        self.roots = places[roots].astype(np.int32)
+        self.begin = (places[begin] if rows else begin).astype(np.int32)
         self.bits = np.array(bits)
 
     def costs(self, text: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -123,16 +174,19 @@ class CrossParser:
         length = np.minimum(np.repeat(sizes, pieces) - part * SEGMENT, SEGMENT)
         order = np.argsort(-length, kind="stable")
         start, length, owner = start[order], length[order], owner[order]
-        state = np.repeat(np.array(self.roots, np.int32)[:, None], len(start), axis=1)
+        state = np.repeat(self.roots[:, None], len(start), axis=1)
         phrases = np.ones(state.shape, np.int32)
         active = np.searchsorted(-length, -np.arange(SEGMENT), side="left")
         for t in range(SEGMENT):
             n = active[t]  # segments longer than t
             if not n:
                 break
-            entry = self.steps[(state[:, :n] >> 1) + text[start[:n] + t]]
-            phrases[:, :n] += entry & 1
-            state[:, :n] = entry
+            symbol = text[start[:n] + t]
+            entry = self.steps[state[:, :n] + symbol.astype(np.int32)]
+            ends = (entry >> 32) != state[:, :n]
+            if t:  # nothing ends at the beginning
+                phrases[:, :n] += ends
+            state[:, :n] = np.where(ends, self.begin[:, symbol], entry.astype(np.int32))
         total = np.stack([np.bincount(owner, p, len(sizes)) for p in phrases], axis=1)
         return total * self.bits
 

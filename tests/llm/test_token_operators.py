@@ -267,6 +267,45 @@ def test_language_of_messy_rows(messy, empty):
     assert language.identify(empty, parser, held_out=F.lit(False)).count() == 0
 
 
+def test_languages_of_many_scripts(spark):
+    """Every letter of a labelled script counts, within the basic plane and beyond; a script without a label goes."""
+    import random
+
+    rng = random.Random(4)
+    scripts = {
+        "de": range(97, 123), "el": range(0x3B1, 0x3CA), "ru": range(0x430, 0x450), "ar": range(0x628, 0x63B), "got": range(0x10330, 0x10341),
+        "ja": [*range(0x3042, 0x3094), *range(0x4E00, 0x4EC8)], "zh": range(0x4E00, 0x5000), "ko": range(0xAC00, 0xAD90),
+        "hy": range(0x561, 0x587), "ka": range(0x10D0, 0x10F1),
+    }
+    words = {k: ["".join(chr(rng.choice(x)) for _ in range(rng.randrange(2, 6))) for _ in range(150)] for k, x in scripts.items()}
+    joint = {"ja": "", "zh": ""}
+
+    def text(k, n):
+        return joint.get(k, " ").join(rng.choice(words[k]) for _ in range(n))
+
+    rows = [(100 * i + j, k if j < 12 and k != "ka" else None, text(k, rng.randrange(60, 90))) for i, k in enumerate(scripts) for j in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    parser = language.fit(docs, F.lit(True))
+    found = {r.doc_id: r.lang_pred for r in language.identify(docs, parser, held_out=F.lit(False)).collect()}
+    names = list(scripts)
+    wrong = {i: (names[i // 100], x) for i, x in found.items() if names[i // 100] not in (x, "ka")}
+    assert not wrong
+    kept = {r.doc_id for r in language.keep_languages(docs, parser).collect()}
+    assert kept == {i for i, _, _ in rows if names[i // 100] != "ka"}
+
+
+def test_rows_of_transitions_are_interlaced():
+    rng = np.random.default_rng(2)
+    for width in (3, 40, 5000):
+        rows = [dict.fromkeys(rng.integers(0, width, rng.choice([0, 1, 1, 1, 2, 3, 30])).tolist(), i) for i in range(600)]
+        rows[0] = dict.fromkeys(range(width), 0)
+        entries, places = language.interlaced(rows)
+        assert len({*places.tolist()}) == len(rows) and len(entries) < 6 * width + 3 * sum(map(len, rows)) + len(rows)
+        for i, (row, place) in enumerate(zip(rows, places.tolist(), strict=True)):
+            mine = {int(c) for c in np.flatnonzero(entries[place : place + width, 0] == place)}
+            assert mine == {*row} and all(entries[place + c, 1] == i for c in row)
+
+
 def vectors_expected(rows, cosine):
     def good(v):
         return v is not None and len(v) and all(x is not None and math.isfinite(x) for x in v) and any(v)
