@@ -90,6 +90,22 @@ def suffix_automaton(text: list[int]) -> list[dict[int, int]]:
     return edges
 
 
+def shared_out(found: np.ndarray, sizes: np.ndarray, most: int, least: int = SEGMENT) -> np.ndarray:
+    """The beginnings of some rows of symbols, `most` symbols together: rows longer than an equal share are cut to it,
+    and it is larger by what the shorter ones leave. A cut row ends with a 0. Shares are not below `least`: where
+    there is no room for that many, the last rows are left out."""
+    if len(found) <= most:
+        return found
+    order = np.sort(sizes)
+    left = most - np.concatenate([[0], np.cumsum(order)[:-1]])
+    share = left // np.arange(len(order), 0, -1)
+    kept = np.minimum(sizes, max(int(share[np.flatnonzero(share < order)[0]]), least))
+    kept = np.minimum(kept, np.maximum(most - (np.cumsum(kept) - kept), 0))
+    out = found[ranges(np.cumsum(sizes) - sizes, kept)]
+    out[(np.cumsum(kept) - 1)[(kept < sizes) & (kept > 0)]] = 0
+    return out
+
+
 def interlaced(rows: list[dict[int, int]]) -> tuple[np.ndarray, np.ndarray]:
     """One array of all rows' entries, and the place of each row in it: that of its entry c is the row's place + c.
 
@@ -142,8 +158,7 @@ class CrossParser:
         rows, roots, bits = [], [], []
         begin = np.empty((len(self.languages), self.table.size), np.int64)
         for i, language in enumerate(self.languages):
-            text, _ = symbols([x + "\n" for x in samples[language]], self.table)
-            text = text[:most].tolist()
+            text = shared_out(*symbols([x + "\n" for x in samples[language]], self.table), most).tolist()
             edges = suffix_automaton(text)
             base = len(rows)
             roots.append(base)
@@ -196,17 +211,21 @@ def fit(
     total: int = 65536, languages: int = 256,
 ) -> CrossParser:
     """Automata of a bounded sample: of each of the `languages` most frequent labels `rows` rows, chosen by a digest
-    of their text, with `chars` characters each; cut to `total` symbols over all languages, in equal shares."""
+    of their first `chars` characters; rows that begin with the same ones count once. Over all languages the sample
+    has `total` symbols in equal shares, and so have the rows of a label in its share, as many as get a SEGMENT.
+    A label beyond the `languages` most frequent is never predicted.
+    """
     known = docs.filter(training & F.col(label).isNotNull() & (F.length(text) > 0)).select(
         F.col(label).cast("string").alias("label"), F.col(text).alias("text")
     )
     counts = known.groupBy("label").count().orderBy(F.desc("count"), "label").limit(languages)
     names = [row.label for row in counts.collect()]
-    chosen = W.partitionBy("label").orderBy("digest", "text")
-    sample = known.filter(F.col("label").isin(names)).select(
-        "label", F.xxhash64("text").alias("digest"), F.substring("text", 1, chars).alias("text")
-    )
-    picked = sample.withColumn("place", F.row_number().over(chosen)).filter(F.col("place") <= rows)
+    chosen = W.partitionBy("label").orderBy("digest")
+    begin = F.substring("text", 1, chars)
+    sample = known.filter(F.col("label").isin(names)).select("label", F.xxhash64(begin).alias("digest"), begin.alias("text"))
+    distinct = sample.select("label", "digest").distinct()
+    places = distinct.withColumn("place", F.row_number().over(chosen)).filter(F.col("place") <= rows)
+    picked = sample.join(F.broadcast(places), ["label", "digest"]).groupBy("label", "place").agg(F.min("text").alias("text"))
     texts: dict[str, list[str]] = {}
     for row in sorted(picked.collect(), key=lambda x: (x.label, x.place)):
         texts.setdefault(row.label, []).append(row.text.lower())

@@ -294,6 +294,26 @@ def test_languages_of_many_scripts(spark):
     assert kept == {i for i, _, _ in rows if names[i // 100] != "ka"}
 
 
+def test_copies_do_not_fill_the_sample(spark):
+    """The text copied most has the lowest digest of its label, and is one row of the sample."""
+    texts = [" ".join(f"{chr(97 + i)}{chr(97 + j)}{chr(97 + k)}" for k in range(20)) for i in range(6) for j in range(5)]
+    first = spark.createDataFrame([(x,) for x in texts], "text string").orderBy(F.xxhash64("text")).first().text
+    rows = [(i, "l", x) for i, x in enumerate(texts)] + [(100 + i, "l", first) for i in range(200)] + [(900, "m", "zz yy")]
+    parser = language.fit(spark.createDataFrame(rows, "doc_id long, lang string, text string"), F.lit(True))
+    found, sizes = language.symbols([x.split(" ")[0] for x in texts], parser.table)
+    phrases = parser.costs(found, sizes)[:, 0] / parser.bits[0]
+    assert phrases.round().tolist() == [1] * len(texts)
+
+
+def test_shares_of_a_sample():
+    found = np.arange(1, 31, dtype=np.uint8)
+    sizes = np.array([3, 20, 7])
+    assert language.shared_out(found, sizes, 30).tolist() == found.tolist()
+    assert language.shared_out(found, sizes, 13, 1).tolist() == [1, 2, 3, 4, 5, 6, 7, 0, 24, 25, 26, 27, 0]
+    assert language.shared_out(found, sizes, 13, 8).tolist() == [1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 0, 24, 0]
+    assert language.shared_out(found, sizes, 2, 8).tolist() == [1, 0]
+
+
 def test_rows_of_transitions_are_interlaced():
     rng = np.random.default_rng(2)
     for width in (3, 40, 5000):
