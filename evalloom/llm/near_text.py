@@ -287,7 +287,12 @@ def near_text(
     Nulls: a null text, and one without words, has the empty set and links with nothing. A null key may link but
     names no component; a component of null keys alone has a null id. Repeated rows are classes. An empty table
     gives no rows. Other columns are left out.
+
+    `percent` must be so large that sets of fewer than SMALLEST shingles are similar only if they are equal: they have
+    no signatures. Sets sign in their own band and the one below, which holds wherever this does.
     """
+    if not 100 * (SMALLEST - 1) < percent * SMALLEST <= 100 * SMALLEST:
+        raise ValueError(f"percent must be above {100 * (SMALLEST - 1) / SMALLEST:.2f} and at most 100, not {percent!r}")
     similarity = percent / 100
     rows = numbered(fixed(docs), F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     described = stage(_described(rows, width, similarity), "sets")

@@ -43,6 +43,17 @@ def test_jaccard_join_in_families_of_distant_copies(spark):
     same(found.collect(), brute.near_text(rows))
 
 
+def test_jaccard_join_at_the_lowest_threshold(spark):
+    """Two of three shingles are similar by 66.7: that threshold and lower ones are refused, the next one is exact."""
+    words = [f"w{i}" for i in range(20)]
+    rows = [(n * 20 + k, " ".join(words[k : k + n])) for n in range(1, 17) for k in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for percent in (0, 33, 66, 101):
+        with pytest.raises(ValueError):
+            near_text.near_text(docs, percent=percent)
+    same(near_text.near_text(docs, percent=67).select("doc_id", "n_shingles", "component_id").collect(), brute.near_text(rows, 67))
+
+
 def test_jaccard_join_keeps_one_row_of_each(messy):
     kept = near_text.one_of_each(messy)
     assert kept.columns == messy.columns
