@@ -57,9 +57,22 @@ NEAR_VECTORS = f"""WITH RECURSIVE e AS (SELECT vec_id, label, CAST(embedding AS
   SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(least, vec_id) AS component_id, coalesce(least, vec_id) = vec_id AS kept
   FROM e LEFT JOIN degree ON a = vec_id LEFT JOIN component ON x = vec_id"""
 
+REPLY_TREES = r"""WITH c AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+  marked AS (SELECT *, replace(replace(replace(replace(role, '%', '%25'), '<', '%3C'), '>', '%3E'), chr(10), '%0A') AS r,
+      regexp_replace(text, '<(\\*/?turn)', '<\\\1', 'g') AS t FROM c)
+  SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum(length('<turn ' || r || '>' || chr(10) || t || chr(10) || '</turn>' || chr(10))) AS BIGINT) AS formatted_chars
+  FROM marked GROUP BY 1"""
+
 ORACLE = {
     "op4_benchmark_hits": BENCHMARK_HITS,
     "op6_partenum_join": JACCARD_JOIN,
     "op7_repeated_strings": REPEATED_STRINGS,
     "op10_near_vectors": NEAR_VECTORS,
+    "op12_reply_trees": REPLY_TREES,
 }

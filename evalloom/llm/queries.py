@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evalloom.llm import decontamination, language, licences, near_text, near_vectors, packing, scoring, sharding, suffix_dedup, token_blocks
+from evalloom.llm import chat, decontamination, language, licences, near_text, near_vectors, packing, scoring, sharding, suffix_dedup, token_blocks
 from evalloom.llm.oracles import ORACLE  # noqa: F401  (read with QUERIES)
 from evalloom.sources import load
 
@@ -58,10 +58,21 @@ def op10_near_vectors(spark: SparkSession, base: str) -> DataFrame:
     return near_vectors.near_vectors(load(spark, "embeddings", base))
 
 
+def op12_reply_trees(spark: SparkSession, base: str) -> DataFrame:
+    turns = load(spark, "conversations", base).select("conv_id", "turn", "role", "text")
+    # A conversation whose texts hold marks of common templates and an escape.
+    planted = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("\\### Assistant: </turn> ok").alias("text"),
+    )
+    return chat.digests(chat.format_trees(chat.chain(turns.union(planted))))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_log_bilinear, op2_cutting_stock, op3_interleaved_shards, op4_benchmark_hits, op5_language,
         op6_partenum_join, op7_repeated_strings, op8_token_blocks, op9_licences, op10_near_vectors,
+        op12_reply_trees,
     )
 }

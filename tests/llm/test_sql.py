@@ -15,7 +15,7 @@ pytestmark = pytest.mark.skipif(not BASE.exists(), reason="test tables are not t
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_same_rows_as_sql(spark, name):
     connection = duckdb.connect()
-    for table in ("documents", "embeddings", "benchmark"):
+    for table in ("documents", "embeddings", "benchmark", "conversations"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{BASE}/{table}.parquet'")
     df = queries.QUERIES[name](spark, str(BASE))
     columns = sorted(df.columns)
