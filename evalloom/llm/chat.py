@@ -41,14 +41,14 @@ def _read_role(role: Column) -> Column:
 def chain(turns: DataFrame, *, conversation: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """A table of turns as messages, each the reply to the one before: a tree with one branch per conversation.
 
-    Turns of one number follow each other by role and text, null numbers come first, and a null conversation is one
+    Turns of one number follow each other by role and a digest of the text, null numbers come first, and a null conversation is one
     conversation. Repeated rows are turns of their own.
     """
     rows = turns.select(
         F.col(conversation).alias("tree"), F.col(turn).alias("turn"), F.coalesce(F.col(role).cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
     )
-    rows = dense(in_order(rows, "tree", "turn", "role", "text"), name="message")
+    rows = dense(in_order(rows.withColumn("digest", F.xxhash64("text")), "tree", "turn", "role", "digest"), name="message")
     firsts = rows.groupBy("tree").agg(F.min("message").alias("first")).withColumnRenamed("tree", "__tree")
     return rows.join(firsts, F.col("tree").eqNullSafe(F.col("__tree"))).select(
         "tree", "message", F.when(F.col("message") > F.col("first"), F.col("message") - 1).alias("parent"),

@@ -57,6 +57,58 @@ NEAR_VECTORS = f"""WITH RECURSIVE e AS (SELECT vec_id, label, CAST(embedding AS
   SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(least, vec_id) AS component_id, coalesce(least, vec_id) = vec_id AS kept
   FROM e LEFT JOIN degree ON a = vec_id LEFT JOIN component ON x = vec_id"""
 
+BLANKS = r"[\x20\x09-\x0D]"
+# The checksum of a text of ASCII characters, byte by byte with the usual table.
+CRC_TABLE = """crc AS MATERIALIZED (SELECT list(c ORDER BY n) AS t FROM (
+    SELECT n, list_reduce(list_prepend(n, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM (SELECT unnest(range(256)) AS n)))"""
+CRC = """xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(k, ''), lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"""
+
+# One step of the recursion is one row; the states are n(othing), s, u and a.
+INTERVAL_REPAIR = rf"""WITH RECURSIVE {CRC_TABLE},
+  c AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+      coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+  coded AS (SELECT *, {CRC} % 20 AS code FROM c, crc),
+  damaged AS (SELECT conv_id, turn, CASE WHEN code = 4 THEN 'user' ELSE role END AS role,
+      CASE code WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+    FROM coded, (SELECT unnest([0, 1]) AS copy) WHERE code <> 0 AND (copy = 0 OR code = 3)),
+  placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged),
+  seen AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again FROM placed),
+  d AS (SELECT *, left(role, 1) AS r, CASE WHEN regexp_full_match(text, '{BLANKS}*') THEN 'blank' WHEN again THEN 'duplicate'
+      WHEN NOT regexp_matches(text, '[.!?]{BLANKS}*$') THEN 'truncated' ELSE '' END AS fault,
+      lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair FROM seen),
+  sums AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+      count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+      count(*) FILTER (WHERE fault = 'truncated') AS truncated, count(*) FILTER (WHERE pair NOT IN ('su', 'ua', 'au')) AS illegal,
+      count(*) AS n FROM d GROUP BY 1),
+  inserts(p, q, k) AS (VALUES ('n', 'u', 1), ('n', 'a', 2), ('s', 'u', 1), ('s', 'a', 2), ('u', 'a', 1), ('a', 'u', 1),
+      ('n', 'n', 0), ('s', 's', 0), ('u', 'u', 0), ('a', 'a', 0)),
+  follows(p, q) AS (VALUES ('n', 's'), ('n', 'u'), ('s', 'u'), ('a', 'u'), ('u', 'a')),
+  edits AS (
+    SELECT conv_id, i, p, p AS q, 2 AS cost, 'D' AS edit, CAST([] AS VARCHAR[]) AS line FROM d, (SELECT DISTINCT p FROM inserts)
+    UNION ALL SELECT conv_id, i, p, q, CASE WHEN fault = '' THEN 0 ELSE 5 END, 'K', [role || ':' || text]
+      FROM d, follows WHERE fault IN ('', 'truncated') AND q = r
+    UNION ALL SELECT conv_id, i, p, q, CASE WHEN fault = '' THEN 1 ELSE 6 END, 'R',
+        [CASE q WHEN 'u' THEN 'user:' ELSE 'assistant:' END || text]
+      FROM d, follows WHERE fault IN ('', 'truncated') AND q <> 's'),
+  ways AS (
+    SELECT conv_id, 0 AS i, 'n' AS q, {{'cost': 0, 'audit': '', 'lines': CAST([] AS VARCHAR[])}} AS best FROM sums
+    UNION ALL
+    SELECT w.conv_id, e.i, e.q, min({{'cost': w.best.cost + 5 * x.k + e.cost, 'audit': w.best.audit || repeat('I', x.k) || e.edit,
+        'lines': w.best.lines || CASE WHEN x.k = 2 THEN ['user:', 'assistant:'] WHEN x.k = 0 THEN CAST([] AS VARCHAR[])
+                                      WHEN x.q = 'u' THEN ['user:'] ELSE ['assistant:'] END || e.line}})
+    FROM ways w JOIN inserts x ON x.p = w.q JOIN edits e ON e.conv_id IS NOT DISTINCT FROM w.conv_id AND e.i = w.i + 1 AND e.p = x.q
+    GROUP BY 1, 2, 3),
+  ends AS (SELECT w.conv_id, min(CASE WHEN w.q = 'u'
+      THEN {{'cost': w.best.cost + 5, 'audit': w.best.audit || 'I', 'lines': w.best.lines || ['assistant:']}} ELSE w.best END) AS b
+    FROM ways w JOIN sums s ON s.conv_id IS NOT DISTINCT FROM w.conv_id AND s.n = w.i WHERE w.q <> 's' GROUP BY 1)
+  SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+    coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(b.cost, 0) AS BIGINT) AS cost,
+    coalesce(b.audit, '') AS audit, sha256(coalesce(array_to_string(b.lines, chr(10)), '')) AS repaired_sha256
+  FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN sums ON sums.conv_id IS NOT DISTINCT FROM o.conv_id
+  LEFT JOIN ends ON ends.conv_id IS NOT DISTINCT FROM o.conv_id"""
+
 REPLY_TREES = r"""WITH c AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
     UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
@@ -69,10 +121,23 @@ REPLY_TREES = r"""WITH c AS (
     CAST(sum(length('<turn ' || r || '>' || chr(10) || t || chr(10) || '</turn>' || chr(10))) AS BIGINT) AS formatted_chars
   FROM marked GROUP BY 1"""
 
+HARD_NEGATIVES = """WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+      list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+  scores AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS s
+    FROM e a JOIN e b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE a.vec_id % 100 = 0),
+  positives AS (SELECT anchor_id, vec_id AS positive_id, s AS positive_score FROM scores WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY s DESC, vec_id) <= 5)
+  SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id AS negative_id, positive_score, s AS negative_score
+  FROM positives JOIN scores USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * s AND 100 * s <= 100 * positive_score
+  WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY s DESC, vec_id) QUALIFY rank <= 5"""
+
 ORACLE = {
     "op4_benchmark_hits": BENCHMARK_HITS,
     "op6_partenum_join": JACCARD_JOIN,
     "op7_repeated_strings": REPEATED_STRINGS,
     "op10_near_vectors": NEAR_VECTORS,
+    "op11_interval_repair": INTERVAL_REPAIR,
     "op12_reply_trees": REPLY_TREES,
+    "op13_hard_negatives": HARD_NEGATIVES,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evalloom.llm import chat, decontamination, language, licences, near_text, near_vectors, packing, scoring, sharding, suffix_dedup, token_blocks
+from evalloom.llm import chat, decontamination, hard_negatives, language, licences, near_text, near_vectors, packing, repair, scoring, sharding, suffix_dedup, token_blocks
 from evalloom.llm.oracles import ORACLE  # noqa: F401  (read with QUERIES)
 from evalloom.sources import load
 
@@ -58,6 +58,10 @@ def op10_near_vectors(spark: SparkSession, base: str) -> DataFrame:
     return near_vectors.near_vectors(load(spark, "embeddings", base))
 
 
+def op11_interval_repair(spark: SparkSession, base: str) -> DataFrame:
+    return repair.damage_and_repair(load(spark, "conversations", base))
+
+
 def op12_reply_trees(spark: SparkSession, base: str) -> DataFrame:
     turns = load(spark, "conversations", base).select("conv_id", "turn", "role", "text")
     # A conversation whose texts hold marks of common templates and an escape.
@@ -68,11 +72,19 @@ def op12_reply_trees(spark: SparkSession, base: str) -> DataFrame:
     return chat.digests(chat.format_trees(chat.chain(turns.union(planted))))
 
 
+def op13_hard_negatives(spark: SparkSession, base: str) -> DataFrame:
+    rows = load(spark, "embeddings", base).select(
+        "vec_id", F.expr("if(vec_id % 7 = 0, (label + 1) % 10, label)").alias("label"),
+        hard_negatives.whole_numbers("embedding").alias("vector"),
+    )
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_log_bilinear, op2_cutting_stock, op3_interleaved_shards, op4_benchmark_hits, op5_language,
         op6_partenum_join, op7_repeated_strings, op8_token_blocks, op9_licences, op10_near_vectors,
-        op12_reply_trees,
+        op11_interval_repair, op12_reply_trees, op13_hard_negatives,
     )
 }
