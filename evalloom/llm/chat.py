@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -71,24 +73,26 @@ def _nodes(messages: DataFrame) -> DataFrame:
 def _climb(nodes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     """Per node its depth and the sum of scores up to its root; and the jumps of 1, 2, 4, ... replies upwards.
 
-    Each round joins the table with itself: what a node knows about the stretch above it is extended by what the end
-    of that stretch knows. The rounds are the logarithm of the deepest reply.
+    Each round joins the nodes that have not reached their root with all nodes: what a node knows about the stretch
+    above it is extended by what the end of that stretch knows. The rounds are the logarithm of the deepest reply.
     """
-    state = stage(nodes.select("row", "up", F.lit(1).cast("long").alias("depth"), F.col("score").alias("total")), "climb")
-    jumps = []
-    while state.filter("up is not null").limit(1).count():
+    done, jumps = [], []
+    active = nodes.select("row", "up", F.lit(1).cast("long").alias("depth"), F.col("score").alias("total"))
+    while True:
+        state = stage(active, "climb")
+        done.append(state.filter("up is null"))
+        active = state.filter("up is not null")
+        if not active.limit(1).count():
+            return reduce(DataFrame.union, done), jumps
         if len(jumps) == MOST_DOUBLINGS:
             raise ValueError("some messages reply to each other in a circle")
-        jumps.append(state.filter("up is not null").select("row", "up"))
-        above = state.select(
+        jumps.append(active.select("row", "up"))
+        above = reduce(DataFrame.union, [*done, active]).select(
             F.col("row").alias("end"), F.col("up").alias("next"), F.col("depth").alias("more"), F.col("total").alias("rest")
         )
-        met = state.join(above, F.col("up") == F.col("end"), "left")
-        state = stage(met.select(
-            "row", F.col("next").alias("up"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
-            (F.col("total") + F.coalesce("rest", F.lit(0.0))).alias("total"),
-        ), "climb")
-    return state, jumps
+        active = active.join(above, F.col("up") == F.col("end")).select(
+            "row", F.col("next").alias("up"), (F.col("depth") + F.col("more")).alias("depth"), (F.col("total") + F.col("rest")).alias("total")
+        )
 
 
 def branches(messages: DataFrame, keep: int | None = None) -> DataFrame:
@@ -108,13 +112,12 @@ def branches(messages: DataFrame, keep: int | None = None) -> DataFrame:
     if keep is not None:
         ranked = ranked.filter(F.col("rank") <= keep)
     chosen = stage(ranked.select(F.col("row").alias("branch"), "tree", "rank", "depth"), "branches")
-    ways = chosen.select("branch", F.col("branch").alias("row"), F.lit(0).cast("long").alias("back"))
+    ways = [chosen.select("branch", "tree", "rank", "depth", F.col("branch").alias("row"), F.lit(0).cast("long").alias("back"))]
     for k, jump in enumerate(jumps):
-        further = ways.join(jump, "row").select("branch", F.col("up").alias("row"), (F.col("back") + (1 << k)).alias("back"))
-        ways = stage(ways.union(further), "ways")
-    return ways.join(chosen, "branch").select(
-        "branch", "tree", "rank", (F.col("depth") - 1 - F.col("back")).alias("place"), "row"
-    )
+        longer = reduce(DataFrame.union, ways).filter(F.col("depth") > (1 << k))
+        further = longer.join(jump, "row").select("branch", "tree", "rank", "depth", F.col("up").alias("row"), (F.col("back") + (1 << k)).alias("back"))
+        ways.append(stage(further, "ways"))
+    return reduce(DataFrame.union, ways).select("branch", "tree", "rank", (F.col("depth") - 1 - F.col("back")).alias("place"), "row")
 
 
 def format_trees(

@@ -245,10 +245,9 @@ def mine(
         "anchor", F.col("rank").alias("place"), F.col("id").alias("positive_id"), F.col("score").alias("positive_score")
     )
     # Of whole numbers: the least n with 100 n >= least * score, the greatest with 100 n <= most * score.
-    score = F.col("positive_score")
-    low, high = (F.expr(f"-((-{least} * positive_score - pmod(-{least} * positive_score, 100)) div 100)"), F.expr(
-        f"({most} * positive_score - pmod({most} * positive_score, 100)) div 100"))
-    asked_for = best.filter(least * score <= most * score).groupBy("anchor").agg(
+    score = F.col("positive_score").cast("decimal(20,0)")
+    low, high = F.ceil(score * least / 100).cast("long"), F.floor(score * most / 100).cast("long")
+    asked_for = best.filter((most - least) * F.signum("positive_score") >= 0).groupBy("anchor").agg(
         F.collect_list(F.struct(F.col("place"), low, high).cast(window)).alias("windows")
     )
     # All tiles but those that lie within the anchor's label.
