@@ -3,7 +3,7 @@
 Queries are `query_id, keywords ARRAY<STRING>`; a corpus is `corpus_pos, content`, where `corpus_pos` is a
 unique integer that fixes the corpus order. A corpus that also has `n_chars`, the length of the content,
 need not have its text read where only lengths are asked for. Until the last step only `(query, position, score, length)`
-moves between tasks, never text.
+moves between tasks, never text. With the stored index of `postings` the text is not even read until then.
 """
 
 from __future__ import annotations
@@ -14,27 +14,28 @@ from pyspark.sql import functions as F
 
 from evalloom import constants as K
 from evalloom.functions.text import fill_prompt, words
+from evalloom.operators.postings import GRAM, KeywordIndex, grams as _grams
 from evalloom.operators.sampling import first_n, top_per_group
 from evalloom.session import stage
 
-# Longest gram used to look keywords up; longer keywords are looked up by one gram and then compared.
-GRAM = 4
+# Documents are dealt into this many slices; what a slice drops of a query, the query would drop.
+SLICES = 256
 
 
 def salient_keywords(
     queries: DataFrame, docs: DataFrame, k: int, *, text: str = "text", content: str = "content",
-    stop_words: tuple[str, ...] = (),
+    stop_words: tuple[str, ...] = (), index: KeywordIndex | None = None,
 ) -> DataFrame:
     """The k words of each query that the fewest documents hold, rarest first; ties by word.
 
     Words no document holds retrieve nothing and are left out. Queries whose words are all unknown get
-    an empty list.
+    an empty list. With an `index` of the documents their text is not read.
     """
     asked = queries.select("query_id", F.explode(F.array_distinct(words(text))).alias("word"))
     if stop_words:
         asked = asked.filter(~F.col("word").isin(*stop_words))
     # Only the asked words are counted: the corpus vocabulary never crosses the network.
-    frequency = (
+    frequency = index.frequencies if index else (
         docs.select(F.explode(F.array_distinct(words(content))).alias("word"))
         .join(asked.select("word").distinct(), "word", "left_semi")
         .groupBy("word").agg(F.count(F.lit(1)).alias("df"))
@@ -66,19 +67,6 @@ def _tokens(text: Column) -> Column:
     return F.array_distinct(F.split(text, r"\s+"))
 
 
-def _grams(text: Column, sizes: list[int]) -> Column:
-    """Every distinct substring of one of the sizes."""
-    length = F.length(text)
-
-    def of_size(n: int) -> Column:
-        starts = F.when(length >= n, F.sequence(F.lit(1), length - n + 1))
-        return F.transform(
-            F.coalesce(starts, F.array().cast("array<int>")), lambda at: F.substring(text, at, F.lit(n))
-        )
-
-    return F.array_distinct(F.concat(*[of_size(n) for n in sizes]))
-
-
 def _hits_by_scan(docs: DataFrame, keywords: list[str]) -> DataFrame:
     """One pass over the corpus testing a short keyword list; no shuffle."""
     wanted = F.array(*[F.lit(word) for word in keywords])
@@ -90,6 +78,37 @@ def _hits_by_scan(docs: DataFrame, keywords: list[str]) -> DataFrame:
     return docs.select("corpus_pos", _n_chars(docs), F.explode(held).alias("keyword"))
 
 
+def _pieces(keywords: DataFrame) -> DataFrame:
+    """`keyword, piece, spaced`: the longest piece of each keyword without white space.
+
+    A keyword that is all white space is its own piece, and `spaced`.
+    """
+    sized = F.transform(
+        _runs(F.col("keyword")), lambda t: F.struct(F.length(t).alias("size"), t.alias("piece"))
+    )
+    spaced = F.size(F.filter(sized, lambda t: ~t["piece"].rlike(r"^\s"))) == 0
+    longest = F.array_max(F.when(spaced, sized).otherwise(F.filter(sized, lambda t: ~t["piece"].rlike(r"^\s"))))
+    return keywords.select("keyword", longest["piece"].alias("piece"), spaced.alias("spaced"))
+
+
+def _sliced(hits: DataFrame) -> DataFrame:
+    """Each (document, keyword) once, `exact` if one of its tokens settles it; documents dealt by slice."""
+    slices = F.pmod(F.xxhash64("corpus_pos"), F.lit(SLICES)).alias("slice")
+    return hits.select("*", slices).repartition("slice").groupBy("slice", "corpus_pos", "n_chars", "keyword").agg(
+        F.max("exact").alias("exact")
+    )
+
+
+def _settled(hits: DataFrame, tokens: DataFrame, docs: DataFrame) -> DataFrame:
+    """The hits that hold. Only keywords of several pieces need a look at the text of their candidates."""
+    sure = hits.filter("exact").drop("exact")
+    if tokens.filter(~F.col("exact")).isEmpty():
+        return sure
+    doubtful = stage(hits.filter(~F.col("exact")).drop("exact"), "phrase-candidates")
+    verified = doubtful.join(docs.select("corpus_pos", F.lower("content").alias("text")), "corpus_pos")
+    return sure.unionByName(verified.filter(F.contains("text", "keyword")).drop("text"))
+
+
 def _hits_by_vocabulary(docs: DataFrame, keywords: DataFrame) -> DataFrame:
     """Match any number of keywords through the corpus vocabulary, with equi-joins only.
 
@@ -99,14 +118,7 @@ def _hits_by_vocabulary(docs: DataFrame, keywords: DataFrame) -> DataFrame:
     keyword) pairs are staged, so the pass over the corpus that follows broadcasts them if
     they are small. Only keywords that hold several pieces need a second look at the text.
     """
-    sized = F.transform(
-        _runs(F.col("keyword")), lambda t: F.struct(F.length(t).alias("size"), t.alias("piece"))
-    )
-    spaced = F.size(F.filter(sized, lambda t: ~t["piece"].rlike(r"^\s"))) == 0
-    longest = F.array_max(F.when(spaced, sized).otherwise(F.filter(sized, lambda t: ~t["piece"].rlike(r"^\s"))))
-    looked_up = keywords.select("keyword", longest["piece"].alias("piece"), spaced.alias("spaced")).withColumn(
-        "gram", F.substring("piece", 1, GRAM)
-    )
+    looked_up = _pieces(keywords).withColumn("gram", F.substring("piece", 1, GRAM))
     # What has to be looked up, at most 2 * GRAM rows: gram sizes, and whether white space is a keyword.
     kinds = looked_up.select(F.length("gram").alias("n"), "spaced").distinct().collect()
     sizes = sorted({row.n for row in kinds})
@@ -120,23 +132,25 @@ def _hits_by_vocabulary(docs: DataFrame, keywords: DataFrame) -> DataFrame:
         .select("token", "keyword", (F.col("piece") == F.col("keyword")).alias("exact")),
         "token-keywords",
     )
-    hits = spread.join(pairs, "token").groupBy("corpus_pos", "n_chars", "keyword").agg(
-        F.max("exact").alias("exact")
-    )
-    sure = hits.filter("exact").drop("exact")
-    if pairs.filter(~F.col("exact")).isEmpty():
-        return sure
-    doubtful = stage(hits.filter(~F.col("exact")).drop("exact"), "phrase-candidates")
-    verified = doubtful.join(docs.select("corpus_pos", F.lower("content").alias("text")), "corpus_pos")
-    return sure.unionByName(verified.filter(F.contains("text", "keyword")).drop("text"))
+    return _settled(_sliced(spread.join(pairs, "token").drop("token")), pairs, docs)
 
 
-def keyword_matches(queries: DataFrame, docs: DataFrame, *, scan_limit: int = 64) -> DataFrame:
-    """Documents that hold at least one keyword of a query, with the keyword score.
+def _hits_by_index(docs: DataFrame, keywords: DataFrame, index: KeywordIndex) -> DataFrame:
+    """Match keywords through the stored index.
 
-    The score counts the query's keywords that occur in the text, letter case aside, inside words too; a
-    repeated keyword counts each time. Up to `scan_limit` distinct keywords are tested in one scan of
-    the corpus; more go through the corpus vocabulary. Both ways give the same rows.
+    The postings hold no white space, so a keyword that is nothing else is looked for in the text.
+    """
+    pieces = stage(_pieces(keywords), "keywords")
+    tokens = index.tokens(pieces.filter("not spaced").drop("spaced"))
+    hits = _settled(_sliced(index.hits(tokens)), tokens, docs)
+    spaced = pieces.filter("spaced").select("keyword")
+    return hits if spaced.isEmpty() else hits.unionByName(_hits_by_vocabulary(docs, spaced))
+
+
+def _matches(queries: DataFrame, docs: DataFrame, scan_limit: int, index: KeywordIndex | None) -> DataFrame:
+    """`slice, query_id, corpus_pos, n_chars, score`, in one shuffle of the documents' hits by slice.
+
+    Pairs of a query and a document come up and are counted inside their slice, and may be cut there.
     """
     wanted = (
         queries.select("query_id", F.explode("keywords").alias("keyword"))
@@ -145,32 +159,49 @@ def keyword_matches(queries: DataFrame, docs: DataFrame, *, scan_limit: int = 64
         .groupBy("query_id", "keyword").agg(F.count(F.lit(1)).alias("times"))
     )
     distinct = wanted.select("keyword").distinct()
-    sample = [row.keyword for row in distinct.limit(scan_limit + 1).collect()]
-    if len(sample) <= scan_limit:
-        hits = _hits_by_scan(docs, sorted(sample))
+    if index is not None:
+        wanted = stage(wanted, "wanted-keywords")
+        hits = _hits_by_index(docs, wanted.select("keyword").distinct(), index)
     else:
-        hits = _hits_by_vocabulary(docs, distinct)
-    return hits.join(wanted, "keyword").groupBy("query_id", "corpus_pos", "n_chars").agg(
-        F.sum("times").alias("score")
-    )
+        sample = [row.keyword for row in distinct.limit(scan_limit + 1).collect()]
+        if len(sample) <= scan_limit:
+            hits = _sliced(_hits_by_scan(docs, sorted(sample)).withColumn("exact", F.lit(True))).drop("exact")
+        else:
+            hits = _hits_by_vocabulary(docs, distinct)
+    return hits.join(wanted, "keyword").groupBy("slice", "query_id", "corpus_pos", "n_chars").agg(F.sum("times").alias("score"))
 
 
-def _add_unmatched(matched: DataFrame, queries: DataFrame, head: DataFrame, salts: int = 8) -> DataFrame:
-    """Offer the documents in `head` to every query with score 0, unless they matched it.
+def keyword_matches(queries: DataFrame, docs: DataFrame, *, scan_limit: int = 64, index: KeywordIndex | None = None) -> DataFrame:
+    """Documents that hold at least one keyword of a query, with the keyword score.
 
-    `head` is a bounded start of the corpus. Both sides carry a slice number, so this is an equi-join
-    spread over `salts` tasks.
+    The score counts the query's keywords that occur in the text, letter case aside, inside words too; a
+    repeated keyword counts each time. With an `index` of `docs` the keywords are looked up there. Without one, up to
+    `scan_limit` distinct keywords are tested in one scan of the corpus, and more go through its vocabulary. All ways
+    give the same rows.
     """
-    slices = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("__salt")
-    asking = queries.filter(F.size("keywords") > 0).select("query_id", slices)
-    offered = (
-        head.withColumn("__salt", F.pmod(F.col("corpus_pos"), F.lit(salts)).cast("int"))
-        .join(asking, "__salt")
-        .select("query_id", "corpus_pos", "n_chars", F.lit(0).cast("bigint").alias("score"))
-    )
-    return matched.unionByName(offered).groupBy("query_id", "corpus_pos", "n_chars").agg(
-        F.max("score").alias("score")
-    )
+    return _matches(queries, docs, scan_limit, index).drop("slice")
+
+
+def _add_unmatched(matched: DataFrame, queries: DataFrame, head: DataFrame, blank: DataFrame | None = None) -> DataFrame:
+    """Offer the documents of `head` and `blank` to every query with score 0, unless they matched it.
+
+    `head` is a bounded start of the corpus: one array that every query unfolds where it lies. `blank` may have any
+    number of documents; they meet the queries in a grid.
+    """
+    asking = queries.filter(F.size("keywords") > 0).select("query_id")
+    offered = head.agg(F.collect_list(F.struct("corpus_pos", F.col("n_chars").cast("int").alias("n_chars"))).alias("held")).scalar()
+    rows = [asking.select("query_id", F.explode(offered).alias("d")).select("query_id", "d.corpus_pos", "d.n_chars")]
+    if blank is not None:
+        down, across = F.pmod(F.xxhash64("query_id"), F.lit(64)), F.pmod(F.xxhash64("corpus_pos"), F.lit(4))
+        rows.append(
+            asking.select("query_id", down.alias("down"), F.explode(F.expr("sequence(0L, 3L)")).alias("across"))
+            .join(blank.select("corpus_pos", F.col("n_chars").cast("int").alias("n_chars"), across.alias("across"),
+                               F.explode(F.expr("sequence(0L, 63L)")).alias("down")), ["down", "across"])
+            .select("query_id", "corpus_pos", "n_chars")
+        )
+    for added in rows:
+        matched = matched.unionByName(added.withColumn("score", F.lit(0).cast("bigint")))
+    return matched.groupBy("query_id", "corpus_pos", "n_chars").agg(F.max("score").alias("score"))
 
 
 def _add_blank_hits(ranked: DataFrame, queries: DataFrame) -> DataFrame:
@@ -188,17 +219,20 @@ def _order() -> list[Column]:
 
 
 def keyword_rank(
-    queries: DataFrame, docs: DataFrame, k: int, *, min_score: int = 0, scan_limit: int = 64
+    queries: DataFrame, docs: DataFrame, k: int, *, min_score: int = 0, scan_limit: int = 64,
+    index: KeywordIndex | None = None,
 ) -> DataFrame:
     """The k best documents of each query: score descending, ties in corpus order.
 
     Documents without a match follow in corpus order unless `min_score` is 1. Of those, the k best can
-    only hold documents among the first k of the corpus, so only these are offered.
+    only hold documents among the first k of the corpus, so only these are offered. `index` is as in `keyword_matches`.
     """
-    matched = keyword_matches(queries, docs, scan_limit=scan_limit)
-    best = top_per_group(matched, ["query_id"], _order(), k, F.col("corpus_pos"), 16)
+    sized = index.documents if index else docs.select("corpus_pos", _n_chars(docs))
+    matched = _matches(queries, docs, scan_limit, index)
+    in_slice = F.row_number().over(W.partitionBy("slice", "query_id").orderBy(*_order()))
+    best = matched.withColumn("place", in_slice).filter(F.col("place") <= k).drop("place", "slice")
     if min_score <= 0:
-        head = first_n(docs.select("corpus_pos", _n_chars(docs)), k)
+        head = first_n(sized, k)
         best = _add_unmatched(best, queries, head)
     best = _add_blank_hits(best, queries)
     place = F.row_number().over(W.partitionBy("query_id").orderBy(*_order()))
@@ -209,7 +243,7 @@ def keyword_rank(
 
 def fit_budget(
     ranked: DataFrame, budget: int, *, group: str = "query_id", order: list[Column] | None = None,
-    spread: str = "corpus_pos", salts: int = 256,
+    spread: str = "corpus_pos", salts: int = SLICES,
 ) -> DataFrame:
     """Keep the best documents of each query until `budget` characters are used.
 
@@ -219,7 +253,8 @@ def fit_budget(
 
     A query's documents are cut into slices first. The characters before a document inside its slice are
     at most those before it overall, so dropping what overflows a slice drops nothing that is kept, and
-    only about `salts * budget` characters' worth of rows per query meet in one task.
+    only about `salts * budget` characters' worth of rows per query meet in one task. Rows that have a `slice`
+    already are cut by that.
     """
     order = order or _order()
 
@@ -227,11 +262,12 @@ def fit_budget(
         window = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
         return F.coalesce(F.sum("n_chars").over(window), F.lit(0))
 
+    if "slice" not in ranked.columns:
+        ranked = ranked.withColumn("slice", F.pmod(F.xxhash64(spread), F.lit(salts)))
     sliced = (
-        ranked.withColumn("__salt", F.pmod(F.xxhash64(spread), F.lit(salts)))
-        .withColumn("__before", before(group, "__salt"))
+        ranked.withColumn("__before", before("slice", group))
         .filter(F.col("__before") <= budget)
-        .drop("__salt", "__before")
+        .drop("slice", "__before")
     )
     placed = sliced.withColumn("__before", before(group)).withColumn(
         "rank", F.row_number().over(W.partitionBy(group).orderBy(*order))
@@ -242,36 +278,37 @@ def fit_budget(
     ).drop("__before")
 
 
-def _corpus_head(docs: DataFrame, budget: int) -> DataFrame:
-    """The start of the corpus that can fill `budget` characters.
+def _corpus_head(sized: DataFrame, budget: int) -> tuple[DataFrame, DataFrame]:
+    """The start of the corpus that can fill `budget` characters: its documents with text, and those without.
 
     An unmatched document is kept only if everything before it, matched or not, fits. At most
     `budget + 1` documents with text do that, and those come from a top-n by position. Documents
     without text use nothing up, so all that lie before the last of them stay in.
     """
-    sized = docs.select("corpus_pos", _n_chars(docs))
-    filled = first_n(sized.filter(F.col("n_chars") > 0), budget + 1)
-    used = F.sum("n_chars").over(W.orderBy("corpus_pos").rowsBetween(W.unboundedPreceding, 0))
-    overflow = filled.withColumn("used", used).filter(F.col("used") > budget)
-    last = overflow.agg(F.min("corpus_pos")).scalar()
-    return sized.filter(last.isNull() | (F.col("corpus_pos") <= last))
+    ahead = W.orderBy("corpus_pos").rowsBetween(W.unboundedPreceding, -1)
+    filled = first_n(sized.filter(F.col("n_chars") > 0), budget + 1).withColumn("used", F.coalesce(F.sum("n_chars").over(ahead), F.lit(0)))
+    filled = stage(filled.filter(F.col("used") <= budget).drop("used"), "corpus-head")
+    whole = F.sum("n_chars") <= budget  # then the corpus may end before the budget does
+    last = filled.agg(F.when(F.coalesce(whole, F.lit(True)), F.lit(None)).otherwise(F.max("corpus_pos"))).scalar()
+    return filled, sized.filter((F.col("n_chars") == 0) & (last.isNull() | (F.col("corpus_pos") <= last)))
 
 
 def retrieve_context(
     queries: DataFrame, docs: DataFrame, *, budget: int = K.MAX_CONTEXT_CHARS, min_score: int = 0,
-    scan_limit: int = 64,
+    scan_limit: int = 64, index: KeywordIndex | None = None,
 ) -> DataFrame:
     """Rank the corpus for each query and keep what fits the context budget.
 
     Returns `query_id, rank, corpus_pos, score, kept_chars`. With `min_score=0` documents without a match
     follow the matched ones in corpus order while there is budget left; with 1 they do not. A query
-    without keywords gets nothing.
+    without keywords gets nothing. `index` is as in `keyword_matches`.
     """
-    matched = keyword_matches(queries, docs, scan_limit=scan_limit)
+    matched = _matches(queries, docs, scan_limit, index)
     if min_score <= 0:
+        sized = index.documents if index else docs.select("corpus_pos", _n_chars(docs))
         # Cut the matches first: a query's rows then stay few when the corpus head joins them.
         best = fit_budget(matched, budget).drop("rank", "kept_chars")
-        matched = _add_unmatched(best, queries, _corpus_head(docs, budget))
+        matched = _add_unmatched(best, queries, *_corpus_head(sized, budget))
     kept = fit_budget(matched, budget)
     return _add_blank_hits(kept, queries).select("query_id", "rank", "corpus_pos", "score", "kept_chars")
 

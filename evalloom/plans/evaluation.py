@@ -21,7 +21,7 @@ from evalloom.operators import udfs as U
 from evalloom.plans.base import corpus, documents, query, sql_sentences, sql_words
 from evalloom.plans.columns import NOTES_SQL, sql_parse_notes
 from evalloom.plans.combining import SELECTED, assessments, status_log
-from evalloom.plans.ranking import PAIRS, benchmark_queries
+from evalloom.plans.ranking import PAIRS, benchmark_queries, keyword_index
 from evalloom.sources import load
 
 
@@ -124,7 +124,7 @@ BEST = f"""{PAIRS}, best AS (
 def best_documents(spark: SparkSession, base: str) -> DataFrame:
     """The three best documents of every benchmark passage, with both texts."""
     docs = corpus(spark, base)
-    ranked = R.keyword_rank(benchmark_queries(spark, base), docs, 3)
+    ranked = R.keyword_rank(benchmark_queries(spark, base), docs, 3, index=keyword_index(spark, base))
     kept = ranked.withColumn("kept_chars", F.col("n_chars"))
     asked = load(spark, "benchmark", base).select(F.col("item_id").alias("query_id"), F.col("text").alias("request"))
     texts = R.with_text(kept, docs, "response").join(asked, "query_id")
@@ -163,7 +163,7 @@ def chunk_precision(spark: SparkSession, base: str) -> DataFrame:
           ON r.query_id = h.query_id AND r.corpus_pos = h.corpus_pos GROUP BY 1""",
 )
 def retrieval_recall(spark: SparkSession, base: str) -> DataFrame:
-    retrieved = R.keyword_rank(benchmark_queries(spark, base), corpus(spark, base), 10)
+    retrieved = R.keyword_rank(benchmark_queries(spark, base), corpus(spark, base), 10, index=keyword_index(spark, base))
     asked = load(spark, "benchmark", base).select(F.col("item_id").alias("query_id"))
     recall = J.recall_of(retrieved, holders(spark, base), "corpus_pos", requests=asked)
     return recall.select("query_id", "expected", "found", F.round("recall", 6).alias("recall"))

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 # Names of staged folders: a label and a random number.
-STAGED = re.compile(r"^[a-z_]+-[0-9a-f]{32}$")
+STAGED = re.compile(r"^[a-z_-]+-[0-9a-f]{32}$")
 
 
 def build_session(app: str = "evalloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -64,6 +67,29 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
+def kept_path(source: DataFrame, label: str, build: Callable[[str], object]) -> str:
+    """The folder of something derived from the stored table `source`, built on first use and kept in the shared folder.
+
+    Its name holds a digest of the paths, sizes and times of the table's files, so a table that changes gets a new one.
+    A build that did not finish is built again. Two sessions that find it missing at once both build it: have one
+    build it first. `clear_staged` removes it.
+    """
+    spark = source.sparkSession
+    files = source.select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
+    mark = files.distinct().agg(F.sum(F.xxhash64("*").cast("decimal(38,0)"))).first()[0]
+    path = f"{shared_folder(spark).rstrip('/')}/{label}-{hashlib.md5(f'{label}:{mark}'.encode()).hexdigest()}"
+    done = f"{path}/built"
+    if not _exists(spark, done):
+        build(path)
+        spark.range(1).coalesce(1).write.mode("overwrite").parquet(done)
+    return path
+
+
 def clear_staged(spark: SparkSession) -> None:
     """Remove the staged tables of this session's folder. Call it when no DataFrame built on them is needed any more."""
     base = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))

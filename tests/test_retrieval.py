@@ -6,6 +6,8 @@ import pytest
 
 from evalloom import constants as K
 from evalloom.operators import retrieval as R
+from evalloom.operators.postings import build_index
+from evalloom.session import kept_path, scratch_path
 
 SCHEMA_DOCS = "corpus_pos bigint, content string"
 SCHEMA_QUERIES = "query_id bigint, keywords array<string>"
@@ -29,9 +31,10 @@ def sequential(keywords, docs, budget, min_score=0):
 
 
 def retrieve(spark, queries, docs, **options):
-    found = R.retrieve_context(
-        spark.createDataFrame(queries, SCHEMA_QUERIES), spark.createDataFrame(docs, SCHEMA_DOCS), **options
-    )
+    table = spark.createDataFrame(docs, SCHEMA_DOCS)
+    if options.get("scan_limit") == "index":
+        options |= {"scan_limit": 64, "index": build_index(table, scratch_path(spark, "index"), buckets=5)}
+    found = R.retrieve_context(spark.createDataFrame(queries, SCHEMA_QUERIES), table, **options)
     out = {query: [] for query, _ in queries}
     for row in sorted(found.collect()):
         out[row.query_id].append((row["rank"], row.corpus_pos, row.score, row.kept_chars))
@@ -45,8 +48,8 @@ QUERIES = [
 ]
 
 
-@pytest.mark.parametrize("scan_limit", [64, 0])
-@pytest.mark.parametrize("budget", [0, 5, 10, 20, 21, 1000])
+@pytest.mark.parametrize("scan_limit", [64, 0, "index"])
+@pytest.mark.parametrize("budget", [0, 5, 20, 21, 1000])
 def test_hand_cases(spark, budget, scan_limit):
     found = retrieve(spark, QUERIES, DOCS, budget=budget, scan_limit=scan_limit)
     for query, keywords in QUERIES:
@@ -64,7 +67,7 @@ def test_random_corpora(spark, seed):
     pool = ["spark", "ark", "k d", "lake", "x", "", "É", "none", "b\tl", " ", "  ", "delta lake"]
     queries = [(q, rng.choices(pool, k=rng.randint(0, 4))) for q in range(8)]
     budget = rng.choice([0, 15, 60, 200, 5000])
-    for scan_limit in (64, 0):
+    for scan_limit in (64, 0, "index"):
         found = retrieve(spark, queries, docs, budget=budget, scan_limit=scan_limit)
         for query, keywords in queries:
             assert found[query] == sequential(keywords, docs, budget), (query, keywords, scan_limit)
@@ -139,3 +142,28 @@ def test_fused_ranks(spark):
     fused = {r.doc: (r["rank"], r.score) for r in R.fuse_ranks(left, right, 3, "doc").collect()}
     assert fused[6] == (1, round(1 / 62 + 1 / 61, 9))
     assert fused[5] == (2, round(1 / 61, 9)) and fused[7][0] == 3
+
+
+def test_no_text_in_a_shuffle(spark, capsys):
+    """Through the index a query set reads postings: no exchange, and no scan, has a text or its tokens."""
+    docs = spark.createDataFrame(DOCS * 1, SCHEMA_DOCS)
+    index = build_index(docs, scratch_path(spark, "index"), buckets=3)
+    queries = spark.createDataFrame([(1, ["beta"]), (2, ["elt", "gam"])], SCHEMA_QUERIES)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        R.retrieve_context(queries, docs, budget=20, index=index).explain()
+        plan = capsys.readouterr().out
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange" in plan and "content" not in plan and "tokens" not in plan
+    assert "PartitionFilters" in plan and "bucket" in plan
+
+
+def test_an_index_is_built_once_per_table(spark, tmp_path):
+    path = str(tmp_path / "docs")
+    spark.createDataFrame(DOCS, SCHEMA_DOCS).write.parquet(path)
+    built = []
+    first = kept_path(spark.read.parquet(path), "some-index", built.append)
+    assert kept_path(spark.read.parquet(path), "some-index", built.append) == first and built == [first]
+    spark.createDataFrame(DOCS[:2], SCHEMA_DOCS).write.mode("append").parquet(path)
+    assert kept_path(spark.read.parquet(path), "some-index", built.append) != first
