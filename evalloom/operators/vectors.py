@@ -53,20 +53,6 @@ def usable(vector: str | Column, *, dimensions: int | None = None, direction: bo
     return F.coalesce(good, F.lit(False))
 
 
-def _lengths(vectors: DataFrame, direction: bool, count: str) -> DataFrame:
-    good = vectors.filter(usable("embedding", direction=direction))
-    return good.groupBy(F.size("embedding").alias("length")).agg(F.count(F.lit(1)).alias(count))
-
-
-def _length(queries: DataFrame, vectors: DataFrame, direction: bool) -> int:
-    """The length by which most pairs of a usable query and a usable vector can be compared, the longer one of two;
-    0 if there is no such pair."""
-    asked = _lengths(queries.filter(F.col("query_id").isNotNull()), direction, "asked")
-    met = asked.join(_lengths(vectors, direction, "held"), "length")
-    best = met.orderBy(F.desc(F.col("asked").cast("double") * F.col("held")), F.desc("length")).first()
-    return best.length if best else 0
-
-
 class _Leaders:
     """The k best vectors of each query seen so far by one task."""
 
@@ -110,20 +96,38 @@ def _rank(scored: DataFrame, k: int) -> DataFrame:
     )
 
 
+def _by_length(rows: list, normalise: bool) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """The ids and the matrix of the query vectors of each length."""
+    held: dict[int, list] = {}
+    for row in rows:
+        held.setdefault(len(row.embedding), []).append(row)
+    return {
+        n: (np.array([r.query_id for r in own], np.int64), _matrix(pa.array([r.embedding for r in own]), normalise))
+        for n, own in held.items()
+    }
+
+
+def _of_lengths(column: pa.Array, wanted: dict[int, object]) -> Iterator[tuple[int, np.ndarray | None]]:
+    """The rows whose vector has one of the wanted lengths, length by length; None stands for all rows."""
+    lengths = column.value_lengths().fill_null(-1).to_numpy(zero_copy_only=False)
+    for n in wanted:
+        at = np.flatnonzero(lengths == n)
+        if len(at):
+            yield n, None if len(at) == len(lengths) else at
+
+
 def _by_broadcast(queries: list, vectors: DataFrame, k: int, normalise: bool, digits: int) -> DataFrame:
-    spark = vectors.sparkSession
-    ids = np.array([row.query_id for row in queries], np.int64)
-    matrix = _matrix(pa.array([row.embedding for row in queries]), normalise)
-    shared = spark.sparkContext.broadcast((ids, matrix))
+    shared = vectors.sparkSession.sparkContext.broadcast(_by_length(queries, normalise))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        leaders = _Leaders(*shared.value, k, digits)
+        leaders = {n: _Leaders(*asked, k, digits) for n, asked in shared.value.items()}
         for batch in batches:
-            if batch.num_rows:
-                leaders.add(
-                    batch.column("vec_id").to_numpy(), _matrix(batch.column("embedding"), normalise)
-                )
-        yield leaders.rows()
+            ids, vectors = batch.column("vec_id"), batch.column("embedding")
+            for n, at in _of_lengths(vectors, leaders):
+                rows = (ids, vectors) if at is None else (ids.take(pa.array(at)), vectors.take(pa.array(at)))
+                leaders[n].add(rows[0].to_numpy(), _matrix(rows[1], normalise))
+        for best in leaders.values():
+            yield best.rows()
 
     return vectors.mapInArrow(search, TOPK_SCHEMA)
 
@@ -131,15 +135,16 @@ def _by_broadcast(queries: list, vectors: DataFrame, k: int, normalise: bool, di
 def _by_grid(
     queries: DataFrame, vectors: DataFrame, k: int, normalise: bool, digits: int, blocks: int, slices: int
 ) -> DataFrame:
-    """Cut queries into blocks and vectors into slices; one task scores one block against one slice."""
+    """Cut queries into blocks and vectors into slices; one task scores one block against one slice of its length."""
     def numbers(n: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
     def cell(key: str, n: int) -> Column:
         return F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
 
-    asked = queries.withColumn("block", cell("query_id", blocks)).withColumn("slice", numbers(slices))
-    held = vectors.withColumn("slice", cell("vec_id", slices)).withColumn("block", numbers(blocks))
+    length = F.size("embedding").alias("length")
+    asked = queries.select("*", length, cell("query_id", blocks).alias("block"), numbers(slices).alias("slice"))
+    held = vectors.select("*", length, cell("vec_id", slices).alias("slice"), numbers(blocks).alias("block"))
 
     def search(asked: pa.Table, held: pa.Table) -> pa.Table:
         ids = asked.column("query_id").to_numpy()
@@ -148,10 +153,8 @@ def _by_grid(
             leaders.add(held.column("vec_id").to_numpy(), _matrix(held.column("embedding"), normalise))
         return pa.Table.from_batches([leaders.rows()])
 
-    return (
-        asked.groupBy("block", "slice").cogroup(held.groupBy("block", "slice"))
-        .applyInArrow(search, TOPK_SCHEMA)
-    )
+    keys = ["length", "block", "slice"]
+    return asked.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInArrow(search, TOPK_SCHEMA)
 
 
 def vector_topk(
@@ -163,17 +166,14 @@ def vector_topk(
     Up to `max_queries` queries are broadcast, and the corpus is read once in Arrow batches, where every
     task keeps only its k best per query. More queries than that are cut into blocks and the corpus into
     slices of about `slice_rows`, joined as a grid. Scores are rounded to `digits` before they are ranked.
-    Vectors that are not `usable` are never near anything, and neither are those of another length than
-    `dimensions`, by default the length by which most pairs of a query and a vector can be compared; rows without
-    an id are left out.
+    A query meets the vectors of its own length, whatever other queries are asked; `dimensions` leaves only one length.
+    Vectors that are not `usable` are never near anything; rows without an id are left out.
     """
     if metric not in ("cosine", "dot"):
         raise ValueError(f"metric must be 'cosine' or 'dot', not {metric!r}")
     normalise = metric == "cosine"
     queries = queries.select("query_id", "embedding")
     vectors = vectors.select("vec_id", "embedding").filter(F.col("vec_id").isNotNull())
-    if dimensions is None:
-        dimensions = _length(queries, vectors, normalise)
     good = usable("embedding", dimensions=dimensions, direction=normalise)
     queries = queries.filter(good & F.col("query_id").isNotNull())
     vectors = vectors.filter(good)
@@ -254,24 +254,20 @@ def vector_topk_ann(
 
 
 def centroids(vectors: DataFrame, label: str = "label", *, dimensions: int | None = None) -> DataFrame:
-    """The mean vector of each label as `query_id, embedding`.
+    """The mean vectors of each label as `query_id, embedding`, one for each length its vectors have.
 
-    Values are averaged per (label, dimension), which folds map-side however large a label is. Vectors that are
-    not `usable`, those of another length than `dimensions` (by default the length that most of the labelled vectors
-    have, the longer one of two) and rows without a label are left out.
+    Values are averaged per (label, length, dimension), which folds map-side however large a label is. Vectors that
+    are not `usable`, those of another length than `dimensions` if it is given, and rows without a label are left out.
     """
-    if dimensions is None:
-        lengths = _lengths(vectors.filter(F.col(label).isNotNull()), False, "n")
-        most = lengths.orderBy(F.desc("n"), F.desc("length")).first()
-        dimensions = most.length if most else 0
     good = usable("embedding", dimensions=dimensions, direction=False) & F.col(label).isNotNull()
     means = (
-        vectors.filter(good).select(F.col(label).cast("bigint").alias("query_id"), F.posexplode("embedding").alias("at", "x"))
-        .groupBy("query_id", "at").agg(F.avg("x").alias("x"))
+        vectors.filter(good)
+        .select(F.col(label).cast("bigint").alias("query_id"), F.size("embedding").alias("length"), F.posexplode("embedding").alias("at", "x"))
+        .groupBy("query_id", "length", "at").agg(F.avg("x").alias("x"))
     )
-    return means.groupBy("query_id").agg(
+    return means.groupBy("query_id", "length").agg(
         F.array_sort(F.collect_list(F.struct("at", "x"))).getField("x").alias("embedding")
-    )
+    ).drop("length")
 
 
 def nearest_topic(
@@ -280,45 +276,40 @@ def nearest_topic(
 ) -> DataFrame:
     """The nearest topic centroid of every vector: `vec_id, topic, score`, ties to the lower topic.
 
-    Up to `max_topics` topics are broadcast and the vectors are read once; more go through the grid of
-    blocks and slices, where each vector asks for its one nearest topic. A vector that is not `usable`, or of
-    another length than `dimensions`, has a null topic; by default that is the length by which most pairs of a topic
-    and a vector can be compared.
+    A vector is compared with the topics of its own length; `dimensions` leaves only one length. One that is not
+    `usable`, or of a length no topic has, has a null topic. Up to `max_topics` topics are broadcast and the vectors
+    are read once; more go through the grid of blocks and slices, where each vector asks for its one nearest topic.
     """
-    if dimensions is None:
-        dimensions = _length(topics, vectors, True)
     good = usable("embedding", dimensions=dimensions)
     vectors = vectors.select("vec_id", F.when(good, F.col("embedding")).alias("embedding"))
     topics = topics.select("query_id", "embedding").filter(good & F.col("query_id").isNotNull())
-    head = topics.orderBy("query_id").limit(max_topics + 1).collect()
-    if 0 < len(head) <= max_topics:
-        return _nearest_of(head, vectors, digits)
+    head = topics.limit(max_topics + 1).collect()
+    if len(head) <= max_topics:
+        return _nearest_of(sorted(head, key=lambda row: row.query_id), vectors, digits)
     none = (F.lit(None).cast("bigint").alias("topic"), F.lit(None).cast("double").alias("score"))
-    if not head:
-        return vectors.select("vec_id", *none)
-    asking = vectors.filter(F.col("embedding").isNotNull()).withColumnRenamed("vec_id", "query_id")
+    known = topics.select(F.size("embedding").alias("length")).distinct().withColumn("known", F.lit(True))
+    sized = vectors.withColumn("length", F.size("embedding")).join(known, "length", "left")
+    asking = sized.filter("known").select(F.col("vec_id").alias("query_id"), "embedding")
     held = topics.withColumnRenamed("query_id", "vec_id")
     blocks = max(1, -(-asking.count() // slice_rows))
     slices = -(-held.count() // max_topics)
     best = _rank(_by_grid(asking, held, 1, True, digits, blocks, slices), 1)
     named = best.select(F.col("query_id").alias("vec_id"), F.col("vec_id").alias("topic"), "score")
-    return named.unionByName(vectors.filter(F.col("embedding").isNull()).select("vec_id", *none))
+    return named.unionByName(sized.filter(F.col("known").isNull()).select("vec_id", *none))
 
 
 def _nearest_of(topics: list, vectors: DataFrame, digits: int) -> DataFrame:
-    ids = np.array([row.query_id for row in topics], np.int64)
-    matrix = _matrix(pa.array([row.embedding for row in topics]), True)
-    shared = vectors.sparkSession.sparkContext.broadcast((ids, matrix))
+    shared = vectors.sparkSession.sparkContext.broadcast(_by_length(topics, True))
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, matrix = shared.value
         for batch in batches:
             embedding = batch.column("embedding")
-            given = embedding.is_valid().to_numpy(zero_copy_only=False)
-            topic, score = np.zeros(len(given), np.int64), np.zeros(len(given))
-            if given.any():
-                scores = np.round(_matrix(embedding.drop_null(), True) @ matrix.T, digits)
-                topic[given], score[given] = ids[scores.argmax(axis=1)], scores.max(axis=1)
+            topic, score, given = np.zeros(len(embedding), np.int64), np.zeros(len(embedding)), np.zeros(len(embedding), bool)
+            for n, at in _of_lengths(embedding, shared.value):
+                ids, matrix = shared.value[n]
+                at = np.arange(len(embedding)) if at is None else at
+                scores = np.round(_matrix(embedding.take(pa.array(at)), True) @ matrix.T, digits)
+                topic[at], score[at], given[at] = ids[scores.argmax(axis=1)], scores.max(axis=1), True
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("vec_id"),

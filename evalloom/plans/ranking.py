@@ -12,6 +12,7 @@ from evalloom.operators import predicates as P
 from evalloom.operators.postings import KeywordIndex, build_index, open_index
 from evalloom.operators import retrieval as R
 from evalloom.operators import sampling as S
+from evalloom.operators import vector_index as VI
 from evalloom.operators import vectors as V
 from evalloom.plans.base import LOG, as_text, corpus, documents, query, request_log, sql_text, sql_words
 from evalloom.session import kept_path, stage
@@ -182,6 +183,45 @@ def vector_topk_ann(spark: SparkSession, base: str) -> DataFrame:
     return V.vector_topk_ann(asked, index, 10)
 
 
+def cells_sql(sample: int = VI.SAMPLE, rounds: int = VI.ROUNDS) -> str:
+    """The trained cells: as many as the root of the vectors, from the first in order of digests, in rounds of means."""
+    def scaled(v: str) -> str:
+        return f"list_transform({v}, lambda x: x / sqrt(list_inner_product({v}, {v})))"
+
+    def nearest(rows: str, centres: str) -> str:
+        return f"""SELECT vec_id, cell, u FROM {rows}, {centres} WHERE true
+          QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY list_inner_product(u, c) DESC, cell) = 1"""
+
+    steps = [
+        f"""units AS MATERIALIZED (SELECT vec_id, {scaled('v')} AS u, row_number() OVER (ORDER BY md5('0:' || vec_id), vec_id) - 1 AS place
+              FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)),
+          trained AS (SELECT * FROM units WHERE place < {sample}),
+          cells0 AS (SELECT place AS cell, u AS c FROM trained WHERE place < (SELECT ceil(sqrt(count(*))) FROM units))"""
+    ]
+    for i in range(rounds):
+        steps.append(f"""near{i} AS MATERIALIZED ({nearest('trained', f'cells{i}')}),
+          mean{i} AS (SELECT cell, list(x ORDER BY d) AS m FROM (
+            SELECT cell, d, avg(u[d]) AS x FROM near{i}, range(1, 65) ds(d) GROUP BY 1, 2) GROUP BY 1),
+          cells{i + 1} AS MATERIALIZED (SELECT cell, coalesce({scaled('m')}, c) AS c FROM cells{i} LEFT JOIN mean{i} USING (cell))""")
+    return ", ".join([*steps, f"celled AS MATERIALIZED ({nearest('units', f'cells{rounds}')})"])
+
+
+@query(
+    "vector_topk_index",
+    f"""WITH {CENTROIDS}, {cells_sql()},
+        probed AS (SELECT label AS query_id, cell FROM centroids, cells{VI.ROUNDS} WHERE true
+          QUALIFY row_number() OVER (PARTITION BY label ORDER BY list_inner_product(centre, c) DESC, cell)
+            <= ceil((SELECT count(*) FROM cells0) ^ {VI.PROBE_POWER}))
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+        FROM near JOIN celled USING (vec_id) JOIN probed USING (query_id, cell) QUALIFY rank <= 10""",
+)
+def vector_topk_index(spark: SparkSession, base: str) -> DataFrame:
+    """Through the stored index, which the first query over a table builds."""
+    vectors = load(spark, "embeddings", base)
+    path = kept_path(vectors, "vector-index", lambda path: VI.build_vector_index(vectors, path, dimensions=64))
+    return VI.search_index(topic_queries(spark, base), VI.open_vector_index(spark, path), 10)
+
+
 @query(
     "hybrid_topk",
     f"""WITH {topk_sql(20)}, spread AS (

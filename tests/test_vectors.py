@@ -92,7 +92,9 @@ def test_bad_vectors_change_nothing_for_the_others(spark, queries, vectors, limi
     bad = spark.createDataFrame(BAD, "vec_id bigint, embedding array<double>")
     asked = queries.union(spark.createDataFrame([(q, v) for q, v in BAD], "query_id bigint, embedding array<double>"))
     found = V.vector_topk(asked, vectors.union(bad), 5, **limits).collect()
-    assert sorted(found) == sorted(V.vector_topk(queries, vectors, 5).collect())
+    # The one bad query of another length finds the one vector of that length.
+    assert sorted(r for r in found if r.query_id != 2004) == sorted(V.vector_topk(queries, vectors, 5).collect())
+    assert [tuple(r) for r in found if r.query_id == 2004] == [(2004, 1, 2004, 1.0)]
 
 
 @pytest.mark.parametrize("limits", [{}, {"max_topics": 1, "slice_rows": 50}])
@@ -111,27 +113,38 @@ LONG_OR_SHORT = [(-2, [1.0] * 11, -1), (-1, [5.0] * 5, 0), (2010, [5.0] * 5, 1)]
 
 
 @pytest.mark.parametrize("limits", [{}, {"max_queries": 2, "slice_rows": 50}])
-def test_a_wrong_length_at_the_lowest_id_empties_no_search(spark, queries, vectors, limits):
-    bad = spark.createDataFrame([x[:2] for x in LONG_OR_SHORT], "vec_id bigint, embedding array<double>")
-    asked = spark.createDataFrame([x[:2] for x in LONG_OR_SHORT], "query_id bigint, embedding array<double>").union(queries)
+def test_each_query_meets_its_own_length(spark, queries, vectors, limits):
+    kind = "id bigint, embedding array<double>"
+    rng = np.random.default_rng(9)
+    short = [(3000 + i, rng.normal(size=5).tolist()) for i in range(40)]
+    other = spark.createDataFrame([x[:2] for x in LONG_OR_SHORT] + short, kind)
+    held = other.withColumnRenamed("id", "vec_id").union(vectors)
+    asked = other.filter("id < 3010").withColumnRenamed("id", "query_id").union(queries)
     clean = sorted(V.vector_topk(queries, vectors, 5).collect())
-    assert clean and sorted(V.vector_topk(asked, bad.union(vectors), 5, **limits).collect()) == clean
-    # One query of either length: the one that has vectors counts, and a caller may ask for any length.
-    two = asked.filter("query_id IN (-2, 0)")
-    assert {r.query_id for r in V.vector_topk(two, vectors, 5, **limits).collect()} == {0}
-    other = V.vector_topk(asked, bad.union(vectors), 5, dimensions=11, **limits).collect()
-    assert [(r.query_id, r.vec_id, r.score) for r in other] == [(-2, -2, 1.0)]
+    found = V.vector_topk(asked, held, 5, **limits).collect()
+    assert clean and sorted(r for r in found if 0 <= r.query_id < 2000) == clean
+    points = {i: np.array(v) for i, v in [x[:2] for x in LONG_OR_SHORT] + short if len(v) == 5}
+    for q in (-1, 2010, 3003):
+        cosine = {i: round(float(v @ points[q] / np.linalg.norm(v) / np.linalg.norm(points[q])), 6) for i, v in points.items()}
+        best = sorted(cosine, key=lambda i: (-cosine[i], i))[:5]
+        assert [r.vec_id for r in sorted(found, key=lambda r: r["rank"]) if r.query_id == q] == best
+    assert [(r.vec_id, r.score) for r in found if r.query_id == -2] == [(-2, 1.0)]
+    # The answer to a query does not depend on the others, and a caller may ask for one length only.
+    alone = V.vector_topk(asked.filter("query_id = 3003"), held, 5, **limits).collect()
+    assert sorted(alone) == sorted(r for r in found if r.query_id == 3003)
+    assert {r.query_id for r in V.vector_topk(asked, held, 5, dimensions=11, **limits).collect()} == {-2}
 
 
 @pytest.mark.parametrize("limits", [{}, {"max_topics": 1, "slice_rows": 50}])
-def test_a_wrong_length_in_the_lowest_label_moves_no_topic(spark, vectors, limits):
+def test_topics_have_a_centre_for_each_length(spark, vectors, limits):
     labelled = vectors.filter("vec_id < 60").withColumn("label", F.col("vec_id") % 3)
-    # One too long and one too short in the lowest label, one too short in the next.
     bad = spark.createDataFrame([(i, v, max(k, 0)) for i, v, k in LONG_OR_SHORT], "vec_id bigint, embedding array<double>, label bigint")
     both = bad.union(labelled)
-    centres = {r.query_id: r.embedding for r in V.centroids(both).collect()}
-    clean = {r.query_id: r.embedding for r in V.centroids(labelled).collect()}
-    assert {k: pytest.approx(v) for k, v in clean.items()} == centres
+    centres = {(r.query_id, len(r.embedding)): r.embedding for r in V.centroids(both).collect()}
+    clean = {(r.query_id, 8): r.embedding for r in V.centroids(labelled).collect()}
+    assert {k: pytest.approx(v) for k, v in (clean | {(0, 11): [1.0] * 11, (0, 5): [5.0] * 5, (1, 5): [5.0] * 5}).items()} == centres
     topics = {r.vec_id: r.topic for r in V.nearest_topic(labelled, V.centroids(labelled), **limits).collect()}
     found = {r.vec_id: r.topic for r in V.nearest_topic(both, V.centroids(both), **limits).collect()}
-    assert found == topics | {-2: None, -1: None, 2010: None}
+    assert found == topics | {-2: 0, -1: 0, 2010: 0}
+    some = V.nearest_topic(both, V.centroids(labelled), **limits).collect()
+    assert {r.vec_id: r.topic for r in some} == topics | {-2: None, -1: None, 2010: None}
