@@ -18,7 +18,8 @@ from evalloom.session import stage
 
 # Longest gram used to look keywords up; longer keywords are looked up by one gram and then compared.
 GRAM = 4
-BUCKETS = 64
+# Characters of text to a bucket of postings, and the least number of buckets.
+BUCKET_CHARS, MIN_BUCKETS = 256 << 20, 8
 
 
 def grams(text: Column, sizes: list[int]) -> Column:
@@ -49,37 +50,42 @@ class KeywordIndex:
     frequencies: DataFrame
     buckets: int
 
-    def _of(self, table: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-        """The rows of the buckets that the keys lie in: all others are pruned before they are read."""
-        wanted = keys.select(_bucket(key, self.buckets)).distinct().collect()
-        return table.filter(F.col("bucket").isin([row.bucket for row in wanted])).drop("bucket")
+    def lookup(self, pieces: DataFrame) -> tuple[DataFrame, bool, bool]:
+        """For `keyword, piece, spaced`: every posting `corpus_pos, n_chars, keyword, exact` of a token with the piece.
 
-    def tokens(self, pieces: DataFrame) -> DataFrame:
-        """`token, keyword, exact` for `keyword, piece`, pieces without white space: the tokens that hold the piece.
-
-        `exact` says that the piece is the keyword itself, so that every text with the token holds it.
+        `exact` says that the piece is the keyword itself, so that every text with the token holds it. Keywords that are
+        white space alone (`spaced`) are not looked up. The other two values say whether there are postings that are
+        not exact, and keywords that were not looked up. Only the buckets of the asked grams and tokens are read.
         """
-        asked = stage(pieces.withColumn("gram", F.substring("piece", 1, GRAM)), "keyword-pieces")
-        held = self._of(self.grams, asked, "gram").join(asked, "gram").filter(F.contains("token", "piece"))
-        return stage(held.select("token", "keyword", (F.col("piece") == F.col("keyword")).alias("exact")), "token-keywords")
-
-    def hits(self, tokens: DataFrame) -> DataFrame:
-        """`corpus_pos, n_chars, keyword, exact` for every posting of one of the tokens."""
-        return self._of(self.postings, tokens, "token").join(tokens, "token").drop("token")
-
-
-def build_index(docs: DataFrame, path: str, *, buckets: int = BUCKETS) -> KeywordIndex:
+        gram = F.when(~F.col("spaced"), F.substring("piece", 1, GRAM))
+        asked = stage(pieces.withColumn("gram", gram).withColumn("bucket", _bucket("gram", self.buckets)), "keyword-pieces")
+        found = [row.bucket for row in asked.select(F.when(~F.col("spaced"), F.col("bucket")).alias("bucket")).distinct().collect()]
+        held = self.grams.filter(F.col("bucket").isin([b for b in found if b is not None]))
+        pairs = held.join(asked.drop("spaced"), ["bucket", "gram"]).filter(F.contains("token", "piece"))
+        tokens = stage(pairs.select(
+            "token", "keyword", (F.col("piece") == F.col("keyword")).alias("exact"), _bucket("token", self.buckets)
+        ), "token-keywords")
+        kinds = tokens.select("bucket", "exact").distinct().collect()
+        postings = self.postings.filter(F.col("bucket").isin(sorted({row.bucket for row in kinds})))
+        hits = postings.join(tokens, ["bucket", "token"]).drop("bucket", "token")
+        return hits, not all(row.exact for row in kinds), None in found
+
+
+def build_index(docs: DataFrame, path: str, *, buckets: int | None = None) -> KeywordIndex:
     """Write the index of `corpus_pos, content` (and `n_chars`) to `path`, and open it.
 
     Each text is read and cut into its distinct tokens once; postings, grams and word frequencies follow from those.
-    A bucket of a frequent token is split over several tasks and files by its size. `buckets` should grow with the
-    corpus, so that a bucket is some hundred megabytes. A null text has no tokens.
+    A bucket of a frequent token is split over several tasks and files by its size. The number of `buckets` grows with
+    the corpus unless it is given. A null text has no tokens.
     """
     spark = docs.sparkSession
     n_chars = F.col("n_chars").cast("int") if "n_chars" in docs.columns else F.length("content")
     tokens = F.array_distinct(F.split(F.lower("content"), r"\s+"))
     docs.select("corpus_pos", n_chars.alias("n_chars"), tokens.alias("tokens")).write.mode("overwrite").parquet(f"{path}/documents")
     held = spark.read.parquet(f"{path}/documents")
+    if buckets is None:
+        total = held.agg(F.sum(F.col("n_chars").cast("bigint"))).first()[0] or 0
+        buckets = max(MIN_BUCKETS, -(-total // BUCKET_CHARS))
 
     def store(table: DataFrame, name: str, key: str) -> None:
         spread = table.withColumn("bucket", _bucket(key, buckets)).hint("rebalance", "bucket")
@@ -90,11 +96,12 @@ def build_index(docs: DataFrame, path: str, *, buckets: int = BUCKETS) -> Keywor
     store(vocabulary.select(F.explode(grams(F.col("token"), list(range(1, GRAM + 1)))).alias("gram"), "token"), "grams", "gram")
     spelled = held.select(F.explode(F.array_distinct(F.flatten(F.transform("tokens", words)))).alias("word"))
     spelled.groupBy("word").agg(F.count(F.lit(1)).alias("df")).write.mode("overwrite").parquet(f"{path}/frequencies")
-    return open_index(spark, path, buckets=buckets)
+    spark.range(buckets, buckets + 1).coalesce(1).write.mode("overwrite").parquet(f"{path}/buckets")
+    return open_index(spark, path)
 
 
-def open_index(spark: SparkSession, path: str, *, buckets: int = BUCKETS) -> KeywordIndex:
-    """The index stored at `path`, built with the same number of `buckets`."""
+def open_index(spark: SparkSession, path: str) -> KeywordIndex:
+    """The index stored at `path`."""
     def table(name: str, schema: str) -> DataFrame:
         return spark.read.schema(schema).parquet(f"{path}/{name}")
 
@@ -103,5 +110,5 @@ def open_index(spark: SparkSession, path: str, *, buckets: int = BUCKETS) -> Key
         table("postings", "token string, corpus_pos bigint, n_chars int, bucket int"),
         table("grams", "gram string, token string, bucket int"),
         table("frequencies", "word string, df bigint"),
-        buckets,
+        table("buckets", "id bigint").first().id,
     )

@@ -99,10 +99,10 @@ def _sliced(hits: DataFrame) -> DataFrame:
     )
 
 
-def _settled(hits: DataFrame, tokens: DataFrame, docs: DataFrame) -> DataFrame:
+def _settled(hits: DataFrame, all_exact: bool, docs: DataFrame) -> DataFrame:
     """The hits that hold. Only keywords of several pieces need a look at the text of their candidates."""
     sure = hits.filter("exact").drop("exact")
-    if tokens.filter(~F.col("exact")).isEmpty():
+    if all_exact:
         return sure
     doubtful = stage(hits.filter(~F.col("exact")).drop("exact"), "phrase-candidates")
     verified = doubtful.join(docs.select("corpus_pos", F.lower("content").alias("text")), "corpus_pos")
@@ -132,7 +132,8 @@ def _hits_by_vocabulary(docs: DataFrame, keywords: DataFrame) -> DataFrame:
         .select("token", "keyword", (F.col("piece") == F.col("keyword")).alias("exact")),
         "token-keywords",
     )
-    return _settled(_sliced(spread.join(pairs, "token").drop("token")), pairs, docs)
+    all_exact = pairs.filter(~F.col("exact")).isEmpty()
+    return _settled(_sliced(spread.join(pairs, "token").drop("token")), all_exact, docs)
 
 
 def _hits_by_index(docs: DataFrame, keywords: DataFrame, index: KeywordIndex) -> DataFrame:
@@ -140,11 +141,10 @@ def _hits_by_index(docs: DataFrame, keywords: DataFrame, index: KeywordIndex) ->
 
     The postings hold no white space, so a keyword that is nothing else is looked for in the text.
     """
-    pieces = stage(_pieces(keywords), "keywords")
-    tokens = index.tokens(pieces.filter("not spaced").drop("spaced"))
-    hits = _settled(_sliced(index.hits(tokens)), tokens, docs)
-    spaced = pieces.filter("spaced").select("keyword")
-    return hits if spaced.isEmpty() else hits.unionByName(_hits_by_vocabulary(docs, spaced))
+    pieces = _pieces(keywords)
+    found, doubtful, spaced = index.lookup(pieces)
+    hits = _settled(_sliced(found), not doubtful, docs)
+    return hits.unionByName(_hits_by_vocabulary(docs, pieces.filter("spaced").select("keyword"))) if spaced else hits
 
 
 def _matches(queries: DataFrame, docs: DataFrame, scan_limit: int, index: KeywordIndex | None) -> DataFrame:

@@ -80,8 +80,8 @@ def kept_path(source: DataFrame, label: str, build: Callable[[str], object]) ->
     build it first. `clear_staged` removes it.
     """
     spark = source.sparkSession
-    files = source.select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
-    mark = files.distinct().agg(F.sum(F.xxhash64("*").cast("decimal(38,0)"))).first()[0]
+    file = F.xxhash64("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").alias("file")
+    mark = tuple(source.select(file).agg(F.count(F.lit(1)), F.min("file"), F.max("file"), F.sum(F.col("file") % 1_048_573)).first())
     path = f"{shared_folder(spark).rstrip('/')}/{label}-{hashlib.md5(f'{label}:{mark}'.encode()).hexdigest()}"
     done = f"{path}/built"
     if not _exists(spark, done):
