@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evalloom import constants as K
+from evalloom import sources as S
 from evalloom.functions import text as X
 from evalloom.operators import evalset as E
 from evalloom.operators import joins as J
@@ -13,6 +14,7 @@ from evalloom.operators import monitoring as MO
 from evalloom.operators import predicates as P
 from evalloom.operators import traces as T
 from evalloom.plans.base import EVALS, LOG, eval_rows, query, request_log
+from evalloom.session import scratch_path, stage
 from evalloom.sources import load
 
 # Unjudged requests are those without a rating; the error events stand for human feedback.
@@ -98,6 +100,27 @@ def merge_matched(spark: SparkSession, base: str) -> DataFrame:
     return J.merge_matched(log.select("request_id", "version", "latency_ms"), updates, "request_id")
 
 
+@query(
+    "stored_merge",
+    f"""WITH {LOG}, updates AS (
+          SELECT request_id, CASE WHEN tokens >= 10 THEN latency_ms END AS latency_ms, rating AS verdict
+          FROM log WHERE version = 'error' AND date > (SELECT max(date) FROM log) - INTERVAL 5 DAY)
+        SELECT l.request_id, CAST(l.date AS VARCHAR) AS date, l.version, u.verdict,
+          CASE WHEN u.request_id IS NOT NULL THEN u.latency_ms ELSE l.latency_ms END AS latency_ms
+        FROM log l LEFT JOIN updates u ON l.request_id = u.request_id""",
+)
+def stored_merge(spark: SparkSession, base: str) -> DataFrame:
+    """Verdicts of the last days merged into the log stored by date; the partitions of other days are not written."""
+    log, path = request_log(spark, base), scratch_path(spark, "log")
+    log.select("request_id", "date", "version", "latency_ms").write.partitionBy("date").parquet(path)
+    latest = log.agg(F.max("date")).scalar()
+    updates = log.filter((F.col("version") == "error") & (F.col("date") > F.date_sub(latest, 5))).select(
+        "request_id", F.when(F.col("tokens") >= 10, F.col("latency_ms")).alias("latency_ms"), F.col("rating").alias("verdict")
+    )
+    S.merge_stored(path, stage(updates, "updates"), "request_id", lambda rows, new: J.merge_matched(rows, new, "request_id"))
+    return S.read_stored(spark, path).withColumn("date", F.col("date").cast("string"))
+
+
 @query(
     "merge_set_expr",
     f"""WITH {LOG} SELECT request_id, version, CASE WHEN rating = 'no' THEN upper(version) END AS topic FROM log""",

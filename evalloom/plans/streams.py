@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from evalloom import constants as K
 from evalloom import streaming as ST
 from evalloom.functions.text import pass_flag
+from evalloom.operators.joins import merge_set
 from evalloom.plans.base import as_text, query, sql_text
 from evalloom.session import scratch_path
-from evalloom.sources import load
+from evalloom.sources import load, read_stored
 
 
 def _event_stream(spark: SparkSession, base: str) -> DataFrame:
@@ -73,6 +74,33 @@ def stream_foreach_batch(spark: SparkSession, base: str) -> DataFrame:
     return batches.groupBy("version").agg(F.sum("requests").alias("requests"), F.sum("passed").alias("passed"))
 
 
+@query(
+    "stream_merge",
+    f"""WITH {JUDGED} SELECT request_id, version, CAST(pass AS BIGINT) AS pass, CAST(1 AS INTEGER) AS times FROM judged""",
+)
+def stream_merge(spark: SparkSession, base: str) -> DataFrame:
+    """Verdicts merged into the stored log batch by batch; then every batch comes again and must change nothing."""
+    log, arriving, ledger = (scratch_path(spark, x) for x in ("log", "arriving", "ledger"))
+    events = load(spark, "events", base)
+    events.select(
+        F.col("event_id").alias("request_id"), F.to_date("ts").alias("date"), F.col("event_type").alias("version"), F.lit(0).alias("times")
+    ).write.partitionBy("date").parquet(log)
+    events.repartition(3, "event_id").write.parquet(arriving)
+
+    def evaluate(batch: DataFrame) -> DataFrame:
+        tokens = F.from_json("props", "k INT")["k"]
+        rating = F.when(tokens >= 50, "yes").when(tokens >= 10, "no")
+        return batch.withColumn("rating", rating).select(F.col("event_id").alias("request_id"), pass_flag("rating").cast("bigint").alias("pass"))
+
+    for _ in range(2):  # a new checkpoint makes the stream deliver the same batches under the same numbers
+        stream = ST.request_stream(spark, arriving, events.schema, files_per_batch=1)
+        ST.merge_batches(
+            stream, evaluate, log, ledger, scratch_path(spark, "merge-checkpoint"), "request_id",
+            merge=lambda rows, new: merge_set(rows, new, "request_id", "times", F.col("times") + 1),
+        )
+    return read_stored(spark, log).select("request_id", "version", "pass", "times")
+
+
 @query("stream_dedup", "SELECT DISTINCT user_id FROM events")
 def stream_dedup(spark: SparkSession, base: str) -> DataFrame:
     # Within 60 days, so over the whole log each user is kept once; which of their requests is open.

@@ -67,6 +67,21 @@ def append_evolving(spark: SparkSession, base: str) -> DataFrame:
     return S.append_evolving(old, events.filter("event_type <> 'error'").select("event_id", "event_type", "value"))
 
 
+@query(
+    "stored_append",
+    """SELECT event_id, event_type, CAST(NULL AS DOUBLE) AS value, CAST(NULL AS BIGINT) AS user_id FROM events WHERE event_type = 'error'
+       UNION ALL SELECT event_id, event_type, value, NULL FROM events WHERE event_type = 'click'
+       UNION ALL SELECT event_id, NULL, NULL, user_id FROM events WHERE event_type NOT IN ('error', 'click')""",
+)
+def stored_append(spark: SparkSession, base: str) -> DataFrame:
+    """Three appends to one stored table, each with other columns."""
+    events, path = S.load(spark, "events", base), scratch_path(spark, "appended")
+    S.append_stored(events.filter("event_type = 'error'").select("event_id", "event_type"), path)
+    S.append_stored(events.filter("event_type = 'click'").select("event_id", "event_type", "value"), path)
+    S.append_stored(events.filter("event_type NOT IN ('error', 'click')").select("user_id", "event_id"), path)
+    return S.read_stored(spark, path)
+
+
 @query("sink_jsonl_roundtrip", "SELECT l.doc_id, d.lang, l.quality, l.toxic FROM labels l JOIN documents d USING (doc_id)")
 def sink_jsonl_roundtrip(spark: SparkSession, base: str) -> DataFrame:
     docs = S.load(spark, "documents", base).select("doc_id", "lang")

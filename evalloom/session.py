@@ -67,8 +67,9 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+def stored(spark: SparkSession, path: str) -> bool:
+    """Whether a job has finished writing the folder `path`, or a part of it."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
 
 
@@ -84,7 +85,7 @@ def kept_path(source: DataFrame, label: str, build: Callable[[str], object]) ->
     mark = tuple(source.select(file).agg(F.count(F.lit(1)), F.min("file"), F.max("file"), F.sum(F.col("file") % 1_048_573)).first())
     path = f"{shared_folder(spark).rstrip('/')}/{label}-{hashlib.md5(f'{label}:{mark}'.encode()).hexdigest()}"
     done = f"{path}/built"
-    if not _exists(spark, done):
+    if not stored(spark, done):
         build(path)
         spark.range(1).coalesce(1).write.mode("overwrite").parquet(done)
     return path
