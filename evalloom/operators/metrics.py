@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -10,6 +12,8 @@ from pyspark.sql import functions as F
 
 from evalloom.functions.text import pass_flag, words
 from evalloom.operators.predicates import since
+from evalloom.operators.ranks import count_values, percentiles_of
+from evalloom.session import stage
 
 
 def pass_rate(
@@ -65,75 +69,41 @@ def dedup_first(df: DataFrame, key: str, *order: Column) -> DataFrame:
     return ranked.filter("__rank = 1").drop("__rank")
 
 
-def exact_percentiles(
-    df: DataFrame, by: Sequence[str], value: str, probabilities: dict[str, float], *, bin_width: float
-) -> DataFrame:
-    """Exact interpolated percentiles without holding a group in one task.
-
-    Rows are counted per distinct value and then per bin of `bin_width`. The running counts of the bins
-    say which bins hold the wanted ranks, and only inside those are the values ranked.
-    """
-    bin_of = F.floor(F.col(value) / bin_width)
-    counted = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*by, bin_of.alias("__bin"), F.col(value).alias("__value"))
-        .agg(F.count(F.lit(1)).alias("__n"))
-    )
-    group = W.partitionBy(*by)
-    bins = (
-        counted.groupBy(*by, "__bin").agg(F.sum("__n").alias("__in_bin"))
-        .withColumn("__through", F.sum("__in_bin").over(group.orderBy("__bin")))
-        .withColumn("__total", F.sum("__in_bin").over(group))
-    )
-    spots = F.array(
-        *[
-            F.struct(F.lit(name).alias("name"), ((F.col("__total") - 1) * p).alias("spot"))
-            for name, p in probabilities.items()
-        ]
-    )
-    wanted = (
-        bins.select(*by, "__bin", "__in_bin", "__through", F.explode(spots).alias("s"))
-        .withColumn("__from", F.col("__through") - F.col("__in_bin"))
-        .filter((F.floor("s.spot") < F.col("__through")) & (F.ceil("s.spot") >= F.col("__from")))
-        .select(*by, "__bin", "__from", F.col("s.name").alias("__name"), F.col("s.spot").alias("__spot"))
-    )
-    keys = [*by, "__bin"]
-    needed = counted.join(wanted.select(*keys, "__from").distinct(), keys)
-    upto = F.sum("__n").over(W.partitionBy(*keys).orderBy("__value"))
-    ranked = needed.withColumn("__last", F.col("__from") + upto - 1).withColumn(
-        "__first", F.col("__last") - F.col("__n") + 1
-    )
-    low, high = F.floor("__spot"), F.ceil("__spot")
-    held = ranked.drop("__from").join(wanted.drop("__from"), keys).filter(
-        (low <= F.col("__last")) & (high >= F.col("__first"))
-    )
+def exact_percentiles(df: DataFrame, by: Sequence[str], value: str, probabilities: dict[str, float]) -> DataFrame:
+    """Exact interpolated percentiles, by levels of counters, without holding a group in one task."""
+    return percentiles_of(count_values(df, by, value), by, probabilities)
 
-    def at(rank: Column) -> Column:
-        return F.max(F.when(rank.between(F.col("__first"), F.col("__last")), F.col("__value")))
 
-    picked = held.groupBy(*by, "__name", "__spot").agg(at(low).alias("__low"), at(high).alias("__high"))
-    between = F.col("__low") + (F.col("__high") - F.col("__low")) * (F.col("__spot") - low)
-    columns = [F.max(F.when(F.col("__name") == name, between)).alias(name) for name in probabilities]
-    return picked.groupBy(*by).agg(*columns)
+def beside(sums: DataFrame, tails: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Two tables with one row per group at most, side by side; groups may have null names."""
+    renamed = tails.withColumnsRenamed({c: f"__{c}" for c in by})
+    same = reduce(and_, [F.col(f"`{c}`").eqNullSafe(F.col(f"`__{c}`")) for c in by], F.lit(True))
+    return sums.join(renamed, same, "left").drop(*[f"__{c}" for c in by])
 
 
-def run_scorecard(results: DataFrame, run: str = "run_id", *, exact_bin: float | None = None) -> DataFrame:
+def run_scorecard(results: DataFrame, run: str = "run_id", *, exact: bool = False) -> DataFrame:
     """Quality, cost and latency per run, from columns `rating, tokens, latency_ms`.
 
-    Latency percentiles are sketches by default; with `exact_bin` they are exact.
+    Latency percentiles are sketches by default. With `exact` they are exact, and all sums follow from the counted
+    latencies, so the rows are read once.
     """
-    sums = [
-        F.count(F.lit(1)).alias("requests"),
-        F.avg(pass_flag("rating")).alias("pass_rate"),
-        F.sum("tokens").alias("tokens"),
-        F.avg("latency_ms").alias("avg_latency_ms"),
-    ]
     wanted = {"p50_latency_ms": 0.5, "p95_latency_ms": 0.95}
-    if exact_bin is None:
+    if not exact:
         sketches = [F.percentile_approx("latency_ms", p, 10000).alias(n) for n, p in wanted.items()]
-        return results.groupBy(run).agg(*sums, *sketches)
-    tails = exact_percentiles(results, [run], "latency_ms", wanted, bin_width=exact_bin)
-    return results.groupBy(run).agg(*sums).join(tails, run, "left")
+        return results.groupBy(run).agg(
+            F.count(F.lit(1)).alias("requests"), F.avg(pass_flag("rating")).alias("pass_rate"),
+            F.sum("tokens").alias("tokens"), F.avg("latency_ms").alias("avg_latency_ms"), *sketches,
+        )
+    flag = pass_flag("rating")
+    counted = count_values(results, [run], "latency_ms", {
+        "tokens": F.col("tokens"), "passed": flag, "judged": F.when(flag.isNotNull(), 1).otherwise(0)
+    })
+    known = F.when(F.col("value").isNotNull(), F.col("n"))
+    sums = counted.groupBy(F.col("group")[run].alias(run)).agg(
+        F.sum("n").alias("requests"), (F.sum("passed") / F.nullif(F.sum("judged"), F.lit(0))).alias("pass_rate"),
+        F.sum("tokens").alias("tokens"), (F.sum(F.col("value") * known) / F.sum(known)).alias("avg_latency_ms"),
+    )
+    return beside(sums, percentiles_of(counted, [run], wanted), [run])
 
 
 def root_causes(results: DataFrame, judges: Sequence[str]) -> DataFrame:
@@ -175,18 +145,16 @@ def review_progress(evals: DataFrame) -> DataFrame:
     return evals.groupBy("review_status").agg(F.count(F.lit(1)).alias("evals"))
 
 
-def profile(
-    df: DataFrame, by: Sequence[str], user: str, size: str, *, exact_bin: float | None = None
-) -> DataFrame:
-    """Rows, distinct users and size percentiles per group; sketches unless `exact_bin` is given."""
+def profile(df: DataFrame, by: Sequence[str], user: str, size: str, *, exact: bool = False) -> DataFrame:
+    """Rows, distinct users and size percentiles per group; sketches unless `exact` is set, which reads the rows once."""
     wanted = {"p50": 0.5, "p90": 0.9}
-    if exact_bin is None:
+    if not exact:
         return df.groupBy(*by).agg(
             F.count(F.lit(1)).alias("rows"),
             F.approx_count_distinct(user).alias("users"),
             *[F.percentile_approx(size, p, 10000).alias(n) for n, p in wanted.items()],
         )
-    counted = df.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("rows"), F.count_distinct(F.col(user)).alias("users")
-    )
-    return counted.join(exact_percentiles(df, by, size, wanted, bin_width=exact_bin), list(by), "left")
+    narrow = stage(df.select(*by, user, size), "profiled")
+    counted = count_values(narrow, by, size)
+    users = narrow.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(F.col(user)).alias("users"))
+    return beside(users, percentiles_of(counted, by, wanted), by)

@@ -9,6 +9,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from evalloom import constants as K
+from evalloom.operators.ranks import values_at
+from evalloom.session import stage
 
 
 def hash_order(key: str, seed: int | str) -> Column:
@@ -67,39 +69,18 @@ def cap_per_hour(
     return top_per_group(timed, ["__hour"], order, n, F.col(key), salts).drop("__hour", "__draw")
 
 
-RANGES = 65_536
+def position_at_rank(df: DataFrame, rank: Callable[[Column], Column], position: str = "corpus_pos") -> Column:
+    """The position with a given rank (1 for the lowest) as a constant; null if there is none.
 
-
-def position_at_rank(
-    df: DataFrame, rank: Callable[[Column], Column], position: str = "corpus_pos", width: int | None = None
-) -> Column:
-    """The position with a given rank (1 for the lowest), as a scalar subquery; null if there is none.
-
-    `rank` gets the number of rows. Positions are unique integers, dense or as sparse as digests. They are counted
-    per range of `width`, the running count says which one range holds the rank, and only that range is sorted.
-    Without a `width` their span is cut into RANGES equal ranges, so the running count never sees more.
+    `rank` gets the number of rows. Positions are unique integers, dense or as sparse as digests. They are read once;
+    levels of counters find the one (see `ranks`), so no task sorts more than 65,536 of them, whatever their spread.
     """
-    if width is None:
-        # As a double a position keeps its order, and a span of 64 bits does not overflow.
-        low, high = (df.agg(f(position).cast("double")).scalar() for f in (F.min, F.max))
-        step = F.greatest((high - low + 1) / RANGES, F.lit(1.0))
-        place = F.floor((F.col(position).cast("double") - low) / step)
-    else:
-        place = F.floor(F.col(position) / width)
-    ranged = df.select(position, place.alias("__range"))
-    counts = ranged.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"))
-    through = F.sum("__n").over(W.orderBy("__range").rowsBetween(W.unboundedPreceding, 0))
-    total = F.sum("__n").over(W.partitionBy())
-    target = (
-        counts.withColumn("__through", through).withColumn("__rank", rank(total))
-        .filter((F.col("__rank") <= F.col("__through")) & (F.col("__rank") > F.col("__through") - F.col("__n")))
-        .select("__range", (F.col("__rank") - F.col("__through") + F.col("__n")).alias("__wanted"))
-    )
-    # The ranges do not overlap, so the target is one row at most.
-    inside = ranged.join(F.broadcast(target), "__range")
-    row = F.row_number().over(W.partitionBy("__range").orderBy(position))
-    found = inside.withColumn("__row", row).filter(F.col("__row") == F.col("__wanted"))
-    return found.agg(F.max(position)).scalar()
+    held = stage(df.select(
+        F.struct(F.lit(0).alias("all")).alias("group"), F.col(position).cast("bigint").alias("key"),
+        F.col(position).alias("value"), F.lit(1).cast("bigint").alias("n"),
+    ).filter("key IS NOT NULL"), "positions")
+    row = values_at(held, F.array(rank(F.col("total")).cast("bigint") - 1)).first()
+    return F.lit(row.value if row else None).cast(df.schema[position].dataType)
 
 
 def segmented_lag(

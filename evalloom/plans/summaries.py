@@ -103,7 +103,7 @@ def dedup_first(spark: SparkSession, base: str) -> DataFrame:
         round(quantile_cont(latency_ms, 0.95), 6) AS p95_latency_ms FROM log GROUP BY version""",
 )
 def run_scorecard(spark: SparkSession, base: str) -> DataFrame:
-    card = M.run_scorecard(request_log(spark, base), "version", exact_bin=1.0)
+    card = M.run_scorecard(request_log(spark, base), "version", exact=True)
     rounded = ("pass_rate", "avg_latency_ms", "p50_latency_ms", "p95_latency_ms")
     return card.select("version", "requests", "tokens", *[F.round(c, 6).alias(c) for c in rounded])
 
@@ -178,7 +178,7 @@ def review_progress(spark: SparkSession, base: str) -> DataFrame:
        round(quantile_cont(value, 0.9), 6) AS p90 FROM events GROUP BY event_type""",
 )
 def log_profile(spark: SparkSession, base: str) -> DataFrame:
-    profiled = M.profile(load(spark, "events", base), ["event_type"], "user_id", "value", exact_bin=1.0)
+    profiled = M.profile(load(spark, "events", base), ["event_type"], "user_id", "value", exact=True)
     return profiled.select(
         "event_type", "rows", "users", F.round("p50", 6).alias("p50"), F.round("p90", 6).alias("p90")
     )
@@ -260,6 +260,6 @@ def trace_spans(spark: SparkSession, base: str) -> DataFrame:
         FROM d GROUP BY span_type""",
 )
 def span_latency(spark: SparkSession, base: str) -> DataFrame:
-    latency = T.span_latency(T.spans(traced_requests(spark, base), "trace"), exact_bin=100)
+    latency = T.span_latency(T.spans(traced_requests(spark, base), "trace"), exact=True)
     rounded = ("avg_duration", "p50_duration", "p95_duration")
     return latency.select("span_type", "spans", *[F.round(c, 6).alias(c) for c in rounded])

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from evalloom.operators import metrics as M
+from evalloom.operators import ranks
 
 
 def test_pass_rate_ignores_missing_ratings_and_old_dates(spark):
@@ -27,28 +28,51 @@ def test_dedup_keeps_the_first_by_order(spark):
     assert sorted(tuple(r) for r in M.dedup_first(once, "id", F.col("n")).collect()) == [("a", 1, "x"), ("b", 1, "z")]
 
 
-@pytest.mark.parametrize("width", [0.1, 3.0, 1000.0])
-def test_exact_percentiles_equal_numpy(spark, width):
+@pytest.mark.parametrize("counters", [65_536, 1])
+def test_exact_percentiles_equal_numpy(spark, counters, monkeypatch):
+    monkeypatch.setattr(ranks, "COUNTERS", counters)  # 1: every level is gone through
     rng = random.Random(3)
     groups = {
         "skewed": [round(rng.expovariate(0.1), 2) for _ in range(400)],
         "ties": [5.0] * 50 + [-7.5] * 3,
         "single": [1.25],
         "pair": [-2.0, 9.0],
+        "outlier": [float(i) / 1e6 for i in range(300)] + [1e300],
+        "spread": [rng.choice([-1, 1]) * 10.0 ** rng.uniform(-320, 308) for _ in range(200)] + [0.0, -0.0, 5e-324, -5e-324],
+        None: [float(i) for i in range(9)],
     }
     rows = [(g, v) for g, values in groups.items() for v in values] + [("ties", None), ("empty", None)]
     table = spark.createDataFrame(rows, "g string, v double")
     wanted = {"lo": 0.0, "p37": 0.37, "p50": 0.5, "p95": 0.95, "hi": 1.0}
-    found = {r.g: r for r in M.exact_percentiles(table, ["g"], "v", wanted, bin_width=width).collect()}
+    found = {r.g: r for r in M.exact_percentiles(table, ["g"], "v", wanted).collect()}
     assert set(found) == set(groups)
     for group, values in groups.items():
         for name, p in wanted.items():
-            assert found[group][name] == pytest.approx(np.quantile(values, p), abs=1e-9)
+            assert found[group][name] == pytest.approx(np.quantile(values, p), rel=1e-12, abs=1e-9)
+
+
+def test_keys_keep_the_order(spark):
+    rng = random.Random(1)
+    values = [rng.choice([-1, 1]) * 10.0 ** rng.uniform(-323, 308) for _ in range(3000)]
+    values += [s * 2.0**e * f for s in (-1, 1) for e in range(-1074, 1024, 7) for f in (1.0, 1 - 2**-53, 1 + 2**-52)]
+    values += [0.0, float("inf"), float("-inf"), 1.7976931348623157e308]
+    table = spark.createDataFrame([(v,) for v in values], "v double")
+    rows = sorted(table.select("v", ranks.ordered_key(table, "v").alias("k")).collect(), key=lambda r: (r.v, r.k))
+    assert all(a.k <= b.k for a, b in zip(rows, rows[1:], strict=False))
+    assert len({r.k for r in rows}) > 0.8 * len({r.v for r in rows})
+
+
+def test_no_window_sees_more_than_the_counters_of_a_cell(spark):
+    """Random 64-bit ids, more than one level can tell apart, and one scan of the rows."""
+    table = spark.range(200_000).select(F.xxhash64("id").alias("v"))
+    ids = sorted(r.v for r in table.collect())
+    row = M.exact_percentiles(table, [], "v", {"p50": 0.5}).first()
+    assert row.p50 == pytest.approx((ids[99_999] + ids[100_000]) / 2, rel=1e-9)
 
 
 def test_exact_percentiles_without_groups(spark):
     table = spark.range(101).select(F.col("id").cast("double").alias("v"))
-    row = M.exact_percentiles(table, [], "v", {"p50": 0.5, "p90": 0.9}, bin_width=7.0).first()
+    row = M.exact_percentiles(table, [], "v", {"p50": 0.5, "p90": 0.9}).first()
     assert (row.p50, row.p90) == (50.0, 90.0)
 
 
@@ -57,7 +81,7 @@ def test_scorecard_sketches_are_close_to_exact(spark):
         F.lit("r").alias("run_id"), F.lit("yes").alias("rating"), F.lit(1).alias("tokens"),
         (F.col("id") % 997).cast("double").alias("latency_ms"),
     )
-    exact = M.run_scorecard(runs, exact_bin=10.0).first()
+    exact = M.run_scorecard(runs, exact=True).first()
     sketch = M.run_scorecard(runs).first()
     assert exact.tokens == sketch.tokens == 2000
     assert sketch.p50_latency_ms == pytest.approx(exact.p50_latency_ms, abs=2)

@@ -4,6 +4,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
+from evalloom.operators import ranks
 from evalloom.operators import sampling as S
 
 
@@ -37,14 +38,15 @@ def test_prefixes(spark):
     assert some == [r.corpus_pos for r in S.random_n(rows.repartition(3), 4, "corpus_pos", 1).collect()]
 
 
-@pytest.mark.parametrize("width", [None, 1, 4, 1000])
-def test_position_at_rank_over_gaps(spark, width):
+@pytest.mark.parametrize("counters", [65_536, 1])
+def test_position_at_rank_over_gaps(spark, counters, monkeypatch):
+    monkeypatch.setattr(ranks, "COUNTERS", counters)
     positions = [0, 3, 4, 17, 18, 19, 400]
     table = spark.createDataFrame([(p,) for p in positions], "corpus_pos bigint")
-    ranks = [0, 1, 3, 4, 7, 8]
+    asked = [0, 1, 3, 4, 7, 8]
     found = spark.range(1).select(
-        *[S.position_at_rank(table, lambda total, r=r: F.lit(r), width=width).alias(f"r{r}") for r in ranks],
-        S.position_at_rank(table, lambda total: total - 1, width=width).alias("last"),
+        *[S.position_at_rank(table, lambda total, r=r: F.lit(r)).alias(f"r{r}") for r in asked],
+        S.position_at_rank(table, lambda total: total - 1).alias("last"),
     ).first()
     assert tuple(found) == (None, 0, 4, 17, 400, None, 19)
 
@@ -71,6 +73,13 @@ def test_top_per_group_is_exact_for_a_hot_group(spark):
         assert sorted((-r.s, r.id) for r in best.collect() if r.g == group) == wanted
 
 
+def test_one_outlier_leaves_the_rest_apart(spark):
+    """200,000 dense positions and one far away: the second level tells them apart again."""
+    table = spark.range(200_000).select(F.when(F.col("id") == 7, 9 * 10**18).otherwise(F.col("id")).alias("corpus_pos"))
+    found = [spark.range(1).select(S.position_at_rank(table, lambda total, n=n: F.lit(n)).alias("p")).first().p for n in (7, 8, 199_999, 200_000)]
+    assert found == [6, 8, 199_999, 9 * 10**18]
+
+
 def test_rank_among_sparse_positions(spark):
     import random
 

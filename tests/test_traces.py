@@ -48,7 +48,7 @@ def test_spans(spark):
     table = spark.createDataFrame([("a", trace), ("b", "no json"), ("c", "[]"), ("d", None)], "request_id string, trace string")
     found = [(r.request_id, r.span_no, r.span_type, r.duration) for r in T.spans(table, "trace", "request_id").collect()]
     assert found == [("a", 0, "AGENT", 9), ("a", 1, "CHAT_MODEL", None)]
-    latency = {r.span_type: (r.spans, r.p50_duration) for r in T.span_latency(T.spans(table), exact_bin=1).collect()}
+    latency = {r.span_type: (r.spans, r.p50_duration) for r in T.span_latency(T.spans(table), exact=True).collect()}
     assert latency == {"AGENT": (1, 9.0), "CHAT_MODEL": (1, None)}
     assert {r.span_type: r.spans for r in T.span_latency(T.spans(table)).collect()} == {"AGENT": 1, "CHAT_MODEL": 1}
 
