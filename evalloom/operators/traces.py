@@ -84,6 +84,56 @@ def tool_depth(
     return turns.groupBy(key).agg(depth.alias("depth")).withColumn("at_limit", F.col("depth") >= limit)
 
 
+_OPEN = "struct<span_no: int, parent: int, depth: int, until: bigint, used: bigint>"
+
+
+def _sweep(parsed: Column) -> Column:
+    """For each span, by number: the number of the innermost span around it, its depth, and the time of its children.
+
+    Spans are taken by start, longer ones first. Those that end before the next one does are closed; the innermost that
+    is still open is its parent. A span around a closed one's later parts would be around the newer one as well, so a
+    closed span is never needed again, and the sweep is linear in the spans but for the copying of arrays.
+    """
+    numbered = F.transform(parsed, lambda s, i: F.struct(
+        s["start"].alias("start"), (-s["end"]).alias("back"), i.cast("int").alias("span_no"), s["end"].alias("end")
+    ))
+    # Of one start, spans that never ended come last.
+    ordered = F.array_sort(numbered, lambda a, b: F.coalesce(
+        F.nullif(F.when(a["start"] < b["start"], -1).when(a["start"] > b["start"], 1).otherwise(0), F.lit(0)),
+        F.nullif(F.when(a["back"].isNull() & b["back"].isNotNull(), 1).when(a["back"].isNotNull() & b["back"].isNull(), -1)
+                 .when(a["back"] < b["back"], -1).when(a["back"] > b["back"], 1).otherwise(0), F.lit(0)),
+        a["span_no"] - b["span_no"],
+    ))
+    placed = F.filter(ordered, lambda s: s["start"].isNotNull())
+    none = F.array().cast(f"array<{_OPEN}>")
+
+    def step(held: Column, span: Column) -> Column:
+        around = lambda s: s["until"] >= F.coalesce(span["end"], span["start"])
+        kept = F.filter(held["open"], around)
+        parent = F.try_element_at(kept, F.lit(-1))
+        own = F.struct(
+            span["span_no"].alias("span_no"), parent["span_no"].alias("parent"), (F.coalesce(parent["depth"], F.lit(-1)) + 1).alias("depth"),
+            span["end"].alias("until"), F.lit(0).cast("bigint").alias("used"),
+        ).cast(_OPEN)
+        longer = F.transform(kept, lambda s, i: F.struct(
+            s["span_no"].alias("span_no"), s["parent"].alias("parent"), s["depth"].alias("depth"), s["until"].alias("until"),
+            F.when(i == F.size(kept) - 1, s["used"] + span["end"] - span["start"]).otherwise(s["used"]).alias("used"),
+        ).cast(_OPEN))
+        ended = span["end"].isNotNull()
+        return F.struct(
+            F.when(ended, F.concat(longer, F.array(own))).otherwise(held["open"]).alias("open"),
+            F.concat(held["done"], F.when(ended, F.filter(held["open"], lambda s: ~around(s))).otherwise(F.array(own))).alias("done"),
+        )
+
+    swept = F.aggregate(placed, F.struct(none.alias("open"), none.alias("done")), step, lambda h: F.concat(h["done"], h["open"]))
+    # Spans without a start lie nowhere: they have no parent and are nobody's.
+    lost = F.transform(F.filter(ordered, lambda s: s["start"].isNull()), lambda s: F.struct(
+        s["span_no"].alias("span_no"), F.lit(None).cast("int").alias("parent"), F.lit(0).alias("depth"),
+        F.lit(None).cast("bigint").alias("until"), F.lit(0).cast("bigint").alias("used"),
+    ).cast(_OPEN))
+    return F.array_sort(F.concat(swept, lost))
+
+
 def spans(df: DataFrame, trace: str = "trace", *keys: str) -> DataFrame:
     """One row per span of a JSON trace, in span order. A trace that is not JSON has no spans."""
     parsed = F.from_json(F.col(trace), schemas.SPANS)
@@ -91,6 +141,23 @@ def spans(df: DataFrame, trace: str = "trace", *keys: str) -> DataFrame:
     return flat.select(*keys, "span_no", "span.*").withColumn("duration", F.col("end") - F.col("start"))
 
 
+def span_tree(df: DataFrame, trace: str = "trace", *keys: str) -> DataFrame:
+    """The rows of `spans`, each with its place in the tree of spans of its trace.
+
+    `parent` is the number of the innermost span that lies around it in time (of spans of equal extent the earlier
+    is around the later), null for the outermost, which have `depth` 0. `self_time` is what is left of the duration
+    without the children, at least 0. A span that never ended is around nothing; one without a start has no place.
+    """
+    parsed = df.select(*keys, F.from_json(F.col(trace), schemas.SPANS).alias("spans")).filter("spans IS NOT NULL")
+    swept = parsed.withColumn("tree", _sweep(F.col("spans")))
+    flat = swept.select(*keys, F.posexplode(F.arrays_zip("spans", "tree")).alias("span_no", "s"))
+    duration = F.col("s.spans.end") - F.col("s.spans.start")
+    return flat.select(
+        *keys, "span_no", "s.spans.*", duration.alias("duration"), F.col("s.tree.parent").alias("parent"),
+        F.col("s.tree.depth").alias("depth"), F.greatest(duration - F.col("s.tree.used"), F.when(duration.isNotNull(), 0)).alias("self_time"),
+    )
+
+
 def span_latency(spans: DataFrame, *, exact: bool = False) -> DataFrame:
     """Count and latency per span type; spans that never ended count but have no latency.
 

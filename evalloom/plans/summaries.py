@@ -217,13 +217,26 @@ def turn_sequence(spark: SparkSession, base: str) -> DataFrame:
     return T.turn_sequence(load(spark, "conversations", base).select("conv_id", "turn", "role"))
 
 
-# A trace per request: the agent's span, then one for its search, and one for the model unless it failed.
+# A trace per request: the agent's span, then one for its search, one for the model, which has no end if it failed,
+# and one for the embedding inside the search.
 SPANS = """spans AS (
   SELECT request_id, 0 AS span_no, 'rag_agent' AS name, 'AGENT' AS span_type, 0 AS "start",
          CAST(1000 + tokens AS BIGINT) AS "end" FROM log
   UNION ALL SELECT request_id, 1, 'search', 'RETRIEVER', 0, CAST(tokens AS BIGINT) FROM log
   UNION ALL SELECT request_id, 2, 'model', 'CHAT_MODEL', tokens,
-         CASE WHEN version <> 'error' THEN CAST(tokens + floor(latency_ms) AS BIGINT) END FROM log)"""
+         CASE WHEN version <> 'error' THEN CAST(tokens + floor(latency_ms) AS BIGINT) END FROM log
+  UNION ALL SELECT request_id, 3, 'embed', 'EMBEDDING', 0, CAST(tokens // 2 AS BIGINT) FROM log)"""
+# The parent of a span is the last before it, by start and falling end, that ends with it or after it.
+SPAN_TREE = """around AS (
+    SELECT x.request_id, x.span_no, arg_max(y.span_no, (y."start", -y."end", y.span_no)) AS parent
+    FROM spans x JOIN spans y ON x.request_id = y.request_id AND y."end" >= coalesce(x."end", x."start")
+      AND (y."start" < x."start" OR y."start" = x."start" AND (x."end" IS NULL OR y."end" > x."end" OR y."end" = x."end" AND y.span_no < x.span_no))
+    GROUP BY 1, 2),
+  tree AS (SELECT s.*, parent FROM spans s LEFT JOIN around USING (request_id, span_no)),
+  depths AS (
+    SELECT request_id, span_no, 0 AS depth FROM tree WHERE parent IS NULL
+    UNION ALL SELECT t.request_id, t.span_no, d.depth + 1 FROM tree t JOIN depths d ON d.request_id = t.request_id AND d.span_no = t.parent),
+  used AS (SELECT request_id, parent AS span_no, CAST(sum("end" - "start") AS BIGINT) AS used FROM tree GROUP BY 1, 2)"""
 
 
 def traced_requests(spark: SparkSession, base: str) -> DataFrame:
@@ -239,17 +252,20 @@ def traced_requests(spark: SparkSession, base: str) -> DataFrame:
         span("rag_agent", "AGENT", F.lit(0), tokens + 1000),
         span("search", "RETRIEVER", F.lit(0), tokens),
         span("model", "CHAT_MODEL", tokens, answered),
+        span("embed", "EMBEDDING", F.lit(0), F.floor(tokens / 2)),
     )
     return request_log(spark, base).select("request_id", F.to_json(made).alias("trace"))
 
 
 @query(
     "trace_spans",
-    f"""WITH {LOG}, {SPANS} SELECT request_id, span_no, name, span_type, CAST("start" AS BIGINT) AS "start", "end",
-        "end" - "start" AS duration FROM spans""",
+    f"""WITH RECURSIVE {LOG}, {SPANS}, {SPAN_TREE} SELECT t.request_id, t.span_no, name, span_type, CAST("start" AS BIGINT) AS "start",
+          "end", "end" - "start" AS duration, parent, depth, CASE WHEN "end" IS NOT NULL
+            THEN greatest("end" - "start" - coalesce(used, 0), 0) END AS self_time
+        FROM tree t JOIN depths USING (request_id, span_no) LEFT JOIN used USING (request_id, span_no)""",
 )
 def trace_spans(spark: SparkSession, base: str) -> DataFrame:
-    return T.spans(traced_requests(spark, base), "trace", "request_id")
+    return T.span_tree(traced_requests(spark, base), "trace", "request_id")
 
 
 @query(

@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import random
 
 from pyspark.sql import functions as F
 
@@ -53,6 +54,35 @@ def test_spans(spark):
     assert {r.span_type: r.spans for r in T.span_latency(T.spans(table)).collect()} == {"AGENT": 1, "CHAT_MODEL": 1}
 
 
+def test_span_tree_is_the_brute_force_one(spark):
+    rng = random.Random(2)
+    traces = {}
+    for n in range(60):
+        spans = [{"name": "root", "start": 0, "end": 40}] if n % 3 else []
+        for i in range(rng.randrange(12)):
+            start = rng.choice([None, *range(30)]) if i % 5 == 4 else rng.randrange(30)
+            spans.append({"name": f"s{i}", "start": start, "end": None if start is None or rng.random() < 0.1 else start + rng.randrange(12)})
+        traces[n] = spans
+    table = spark.createDataFrame([(n, json.dumps(t)) for n, t in traces.items()] + [(99, "no json"), (98, None)], "id int, trace string")
+    found = {(r.id, r.span_no): (r.parent, r.depth, r.self_time) for r in T.span_tree(table, "trace", "id").collect()}
+    expected = {}
+    for n, spans in traces.items():
+        order = sorted((i for i, s in enumerate(spans) if s["start"] is not None),
+                       key=lambda i: (spans[i]["start"], spans[i]["end"] is None, -(spans[i]["end"] or 0), i))
+        parent = dict.fromkeys(range(len(spans)))
+        for at, i in enumerate(order):
+            until = spans[i]["end"] if spans[i]["end"] is not None else spans[i]["start"]
+            parent[i] = next((j for j in reversed(order[:at]) if spans[j]["end"] is not None and spans[j]["end"] >= until), None)
+        for i, s in enumerate(spans):
+            depth, up = 0, parent[i]
+            while up is not None:
+                depth, up = depth + 1, parent[up]
+            took = None if s["end"] is None else s["end"] - s["start"]
+            used = sum(x["end"] - x["start"] for j, x in enumerate(spans) if parent[j] == i and x["end"] is not None)
+            expected[n, i] = (parent[i], depth, None if took is None else max(0, took - used))
+    assert found == expected and max(x[1] for x in expected.values()) >= 3
+
+
 def test_loop_depth(spark):
     chats = [("few", [("tool", "x")] * 9), ("limit", [("tool", "x")] * 10), ("none", [])]
     table = spark.createDataFrame(chats, "id string, messages array<struct<role:string,content:string>>")
