@@ -18,10 +18,14 @@ def hash_order(key: str, seed: int | str) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
 
 
+def hash_draw(key: str, seed: int | str) -> Column:
+    """A number below 2 to the 32 by the digest of the key."""
+    return F.conv(F.substring(hash_order(key, seed), 1, 8), 16, 10).cast("bigint")
+
+
 def hash_sample(df: DataFrame, rate: float, key: str, seed: int | str = 0) -> DataFrame:
     """Keep each key with probability `rate`, decided by its hash: a plain filter, no shuffle."""
-    draw = F.conv(F.substring(hash_order(key, seed), 1, 8), 16, 10).cast("bigint")
-    return df.filter(draw < F.lit(rate) * 4294967296)
+    return df.filter(hash_draw(key, seed) < F.lit(rate) * 4294967296)
 
 
 def bernoulli_sample(df: DataFrame, rate: float, seed: int | None = None) -> DataFrame:

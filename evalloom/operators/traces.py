@@ -76,6 +76,34 @@ def answered(
     return turns.unionByName(added.select(*turns.columns))
 
 
+def with_prompt(
+    turns: DataFrame, prompts: DataFrame, place: str = "user", *, key: str = "conv_id", turn: str = "turn", role: str = "role",
+    text: str = "text", prompt: str = "prompt",
+) -> DataFrame:
+    """The turns of each conversation with its prompt, from `prompts` (one row per key), put in its place.
+
+    With `place="user"` the prompt takes the place of the last turn. With `place="system"` it becomes the first turn: in
+    place of a system turn that opens the conversation, or before the first one. Conversations without a prompt stay.
+    """
+    if place not in ("user", "system"):
+        raise ValueError(f"place must be 'user' or 'system', not {place!r}")
+    end = F.max if place == "user" else F.min
+    ends = turns.groupBy(key).agg(end(turn).alias("__end"), F.min_by(role, turn).alias("__opens"))
+    asked = ends.join(prompts.select(key, F.col(prompt).alias("__prompt")), key)
+    joined = turns.select(key, turn, role, text).join(asked, key, "left")
+    replaces = F.lit(True) if place == "user" else F.coalesce(F.col("__opens") == "system", F.lit(False))
+    here = F.coalesce((F.col(turn) == F.col("__end")) & replaces, F.lit(False))
+    changed = joined.select(
+        key, turn, F.when(here, F.lit(place)).otherwise(F.col(role)).alias(role), F.when(here, F.col("__prompt")).otherwise(F.col(text)).alias(text)
+    )
+    if place == "user":
+        return changed
+    added = asked.filter(~F.col("__opens").eqNullSafe("system")).select(
+        key, (F.col("__end") - 1).cast(turns.schema[turn].dataType).alias(turn), F.lit(place).alias(role), F.col("__prompt").alias(text)
+    )
+    return changed.unionByName(added)
+
+
 def tool_depth(
     turns: DataFrame, *, key: str = "conv_id", role: str = "role", limit: int = K.MAX_TOOL_ITERATIONS
 ) -> DataFrame:

@@ -144,3 +144,53 @@ def chunk_docs(docs: DataFrame, text: str, size: int, overlap: int = 0) -> DataF
     return spread.withColumn("chunk", chunk).withColumn(
         "chunk_no", (F.col("chunk_no") / step).cast("int")
     ).drop(text)
+
+
+class _TableSearch:
+    """The best rows of each partition of a table by how many of the topic's words their text holds."""
+
+    @staticmethod
+    def analyze(rows, topic, k, text, key):
+        from pyspark.sql.types import IntegerType, StructType
+        from pyspark.sql.udtf import AnalyzeResult
+
+        if not rows.isTable:
+            raise ValueError("the first argument must be a TABLE")
+        missing = [name.value for name in (text, key) if name.value not in rows.dataType.fieldNames()]
+        if missing:
+            raise ValueError(f"the table has no column {', '.join(missing)}")
+        return AnalyzeResult(StructType([*rows.dataType.fields]).add("search_score", IntegerType()).add("search_rank", IntegerType()))
+
+    def __init__(self):
+        self.best = []
+
+    def eval(self, row, topic, k, text, key):
+        import re
+
+        self.k = k
+        words = {w for w in re.split(r"[\W_]+", (topic or "").lower()) if w}
+        held = {w for w in re.split(r"[\W_]+", (row[text] or "").lower()) if w}
+        if (score := len(words & held)) > 0:
+            self.best.append(((-score, row[key] is None, row[key]), tuple(row)))
+            if len(self.best) > 2 * k + 100:
+                self._cut()
+
+    def _cut(self):
+        self.best.sort(key=lambda x: x[0])
+        del self.best[self.k :]
+
+    def terminate(self):
+        if self.best:
+            self._cut()
+        for rank, (order, row) in enumerate(self.best, 1):
+            yield (*row, -order[0], rank)
+
+
+def register_table_search(spark: SparkSession, name: str = "search_table") -> None:
+    """Register `(TABLE rows PARTITION BY ..., topic, k, text, key)`: the k best rows of each partition for a topic.
+
+    The result has the columns of whatever table it is given, and `search_score`, the number of words of the topic that
+    the column `text` holds (rows with none are left out), and `search_rank`; ties go to the lower `key`. A partition is
+    streamed through one task that keeps a few times k rows of it.
+    """
+    spark.udtf.register(name, F.udtf(_TableSearch))

@@ -308,3 +308,25 @@ def error_struct(spark: SparkSession, base: str) -> DataFrame:
 def facts_from_answer(spark: SparkSession, base: str) -> DataFrame:
     answers = load(spark, "conversations", base).filter("role = 'assistant'")
     return answers.select("conv_id", "turn", F.array_join(E.facts_from_answer("text"), "|").alias("facts"))
+
+
+@query(
+    "prompt_places",
+    f"""WITH ends AS (SELECT conv_id, max(turn) AS last, min(turn) AS first, arg_min(role, turn) AS opens, arg_max(text, turn) AS question
+          FROM conversations GROUP BY 1),
+        prompts AS (SELECT *, replace(replace('{K.PROMPT}', '{{user_query}}', question), '{{context}}', opens) AS prompt FROM ends),
+        placed AS (
+          SELECT 'user' AS place, conv_id, turn, CASE WHEN turn = last THEN 'user' ELSE role END AS role,
+            CASE WHEN turn = last THEN prompt ELSE text END AS text FROM conversations JOIN prompts USING (conv_id)
+          UNION ALL SELECT 'system', conv_id, turn, role, CASE WHEN turn = first AND opens = 'system' THEN prompt ELSE text END
+            FROM conversations JOIN prompts USING (conv_id)
+          UNION ALL SELECT 'system', conv_id, first - 1, 'system', prompt FROM prompts WHERE opens <> 'system')
+        SELECT place, conv_id, turn, role, md5(text) AS text_md5 FROM placed""",
+)
+def prompt_places(spark: SparkSession, base: str) -> DataFrame:
+    """The prompt of every conversation in each of its two places; the role that opens it stands for the context."""
+    turns = load(spark, "conversations", base)
+    ends = turns.groupBy("conv_id").agg(F.max_by("text", "turn").alias("question"), F.min_by("role", "turn").alias("opens"))
+    prompts = ends.select("conv_id", X.fill_prompt("opens", "question").alias("prompt"))
+    placed = [T.with_prompt(turns, prompts, place).withColumn("place", F.lit(place)) for place in ("user", "system")]
+    return placed[0].union(placed[1]).select("place", "conv_id", "turn", "role", F.md5("text").alias("text_md5"))

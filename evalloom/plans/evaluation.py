@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from evalloom import constants as K
 from evalloom.functions import judging as JF
+from evalloom.functions import messages as MS
 from evalloom.functions import text as X
 from evalloom.operators import evalset as E
 from evalloom.operators import joins as JN
@@ -22,7 +23,8 @@ from evalloom.plans.base import corpus, documents, query, sql_sentences, sql_wor
 from evalloom.plans.columns import NOTES_SQL, sql_parse_notes
 from evalloom.plans.combining import SELECTED, assessments, status_log
 from evalloom.plans.ranking import PAIRS, benchmark_queries, keyword_index
-from evalloom.sources import load
+from evalloom.session import scratch_path
+from evalloom.sources import load, read_stored
 
 
 def sql_overlap(claim: str, support: str) -> str:
@@ -365,6 +367,68 @@ def monitoring_cycle(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+CYCLE_TOPICS = {"theme": ["the", "th"], "error": ["er", "or"], "nation": ["tion", "ing"]}
+
+
+def _sql_cycle_topic(text: str) -> str:
+    scores = ", ".join(
+        "{'s': " + " + ".join(f"CAST(contains(lower({text}), '{t}') AS INTEGER)" for t in terms) + f", 'o': {-n}, 't': '{name}'}}"
+        for n, (name, terms) in enumerate(CYCLE_TOPICS.items())
+    )
+    return f"CASE WHEN list_reverse_sort([{scores}])[1].s > 0 THEN list_reverse_sort([{scores}])[1].t ELSE 'other' END"
+
+
+@query(
+    "monitoring_judged",
+    f"""WITH asked AS (
+          SELECT conv_id AS request_id, arg_min(text, turn) FILTER (role = 'user') AS request, arg_max(text, turn) FILTER (role = 'assistant') AS response,
+            TIMESTAMP '2024-01-01' + conv_id * INTERVAL 37 MINUTE AS ts FROM conversations GROUP BY 1),
+        picked AS (SELECT *, request_id % 10 = 0 OR CAST('0x' || substr(md5('7:' || request_id), 1, 8) AS BIGINT) < 0.5 * 4294967296
+            AND ts >= (SELECT max(ts) FROM asked) - INTERVAL 10 DAY AS chosen FROM asked),
+        capped AS (SELECT request_id FROM picked WHERE chosen
+          QUALIFY row_number() OVER (PARTITION BY date_trunc('hour', ts) ORDER BY md5('7:' || request_id), request_id) <= 1),
+        judged AS (SELECT p.*, CASE WHEN response IS NOT NULL THEN {sql_yes_no(sql_overlap('request', 'response') + ' >= 0.2')} END AS relevance,
+            {sql_yes_no('NOT (' + PII_ANY.replace('(text', '(response') + ')')} AS safety, {_sql_cycle_topic('request')} AS topic
+          FROM picked p JOIN capped USING (request_id)),
+        rated AS (SELECT *, CASE WHEN relevance IS NULL AND safety IS NULL THEN NULL
+          WHEN coalesce(relevance = 'no', false) OR coalesce(safety = 'no', false) THEN 'no' ELSE 'yes' END AS rating FROM judged),
+        after AS (SELECT p.request_id, topic, rating, CASE WHEN r.request_id IS NOT NULL THEN 'run-2' WHEN p.chosen THEN 'to_process' ELSE 'skipped' END AS run_id
+          FROM picked p LEFT JOIN rated r USING (request_id))
+        SELECT topic, run_id, count(*) AS requests, round(avg(CASE rating WHEN 'yes' THEN 1 WHEN 'no' THEN 0 END), 6) AS pass_rate
+        FROM after GROUP BY 1, 2""",
+)
+def monitoring_judged(spark: SparkSession, base: str) -> DataFrame:
+    """The whole cycle over a stored log: parse, choose, de-duplicate, cap, judge, topic, merge, and the pass rates.
+
+    Requests are conversations: the first user turn as a chat body, the last assistant turn as the answer.
+    """
+    turns, path = load(spark, "conversations", base), scratch_path(spark, "request-log")
+    role = lambda name, column: F.when(F.col("role") == name, F.col(column))
+    asked = turns.groupBy(F.col("conv_id").alias("request_id")).agg(
+        F.min_by(role("user", "text"), role("user", "turn")).alias("request"),
+        F.max_by(role("assistant", "text"), role("assistant", "turn")).alias("response"),
+    )
+    body = F.to_json(F.struct(F.array(F.struct(F.lit("user").alias("role"), F.col("request").alias("content"))).alias("messages")))
+    started = F.timestamp_seconds(F.lit(1704067200) + F.col("request_id") * 37 * 60)
+    log = asked.select(
+        "request_id", body.alias("request_raw"), "response", started.alias("ts"), F.to_date(started).alias("date"),
+        F.lit(None).cast("string").alias("run_id"),
+    )
+    log.write.partitionBy("date").parquet(path)
+    stored = read_stored(spark, path)
+    feedback = stored.filter("request_id % 10 = 0").select("request_id", F.lit("2100-01-01").cast("timestamp").alias("ts"))
+
+    def judge(rows: DataFrame) -> DataFrame:
+        query = MS.user_query(MS.parse_request("request_raw")["messages"])
+        answered = rows.select("request_id", "response", query.alias("request"))
+        judged = J.with_overall(J.run_judges(answered, ["relevance_to_query", "safety"]), "rating")
+        return judged.withColumn("topic", JF.topic_keyword("request", CYCLE_TOPICS)).drop("request", "response")
+
+    MO.run_stored_cycle(path, feedback, P.latest(stored, "ts"), judge, "run-2", rate=0.5, days=10, cap=1, ts="ts", seed=7)
+    rated = read_stored(spark, path).withColumn("pass", X.pass_flag("rating"))
+    return rated.groupBy("topic", "run_id").agg(F.count(F.lit(1)).alias("requests"), F.round(F.avg("pass"), 6).alias("pass_rate"))
+
+
 # --- a whole evaluation run -----------------------------------------------------------------------
 
 

@@ -110,6 +110,22 @@ def udtf_chunks(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+@query(
+    "table_search",
+    """WITH words AS (SELECT *, len(list_intersect(['red', 'steel', 'ring', 'bolt'], list_distinct(string_split(p_name, ' ')))) AS score FROM part)
+       SELECT p_partkey, p_name, p_brand, CAST(score AS INTEGER) AS search_score,
+         CAST(row_number() OVER (PARTITION BY p_brand ORDER BY score DESC, p_partkey) AS INTEGER) AS search_rank
+       FROM words WHERE score > 0 QUALIFY search_rank <= 3""",
+)
+def table_search(spark: SparkSession, base: str) -> DataFrame:
+    """The three best products of each brand for a topic, through a table function that takes the table."""
+    U.register_table_search(spark)
+    load(spark, "part", base).select("p_partkey", "p_name", "p_brand").createOrReplaceTempView("products_to_search")
+    return spark.sql(
+        "SELECT * FROM search_table(TABLE(products_to_search) PARTITION BY (p_brand), 'Red steel ring, bolt', 3, 'p_name', 'p_partkey')"
+    )
+
+
 @query("chunk_docs", CHUNKS)
 def chunk_docs(spark: SparkSession, base: str) -> DataFrame:
     return U.chunk_docs(documents(spark, base).select("doc_id", "text"), "text", 400, 50)

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from evalloom.operators import evalset as E
 from evalloom.operators import metrics as M
 from evalloom.operators import predicates as P
+from evalloom.operators import sketches as SK
 from evalloom.operators import traces as T
 from evalloom.plans.base import EVALS, LOG, as_text, documents, eval_rows, query, request_log, sql_text, sql_words
+from evalloom.session import scratch_path
 from evalloom.sources import load
 
 PASS = "CASE rating WHEN 'yes' THEN 1 WHEN 'no' THEN 0 END"
@@ -279,3 +281,38 @@ def span_latency(spark: SparkSession, base: str) -> DataFrame:
     latency = T.span_latency(T.spans(traced_requests(spark, base), "trace"), exact=True)
     rounded = ("avg_duration", "p50_duration", "p95_duration")
     return latency.select("span_type", "spans", *[F.round(c, 6).alias(c) for c in rounded])
+
+
+@query(
+    "sketch_levels",
+    f"""WITH {LOG}, levels AS (
+          SELECT version, CAST(date AS VARCHAR) AS day, count(*) AS requests FROM log GROUP BY ROLLUP (version, date))
+        SELECT *, true AS users_close, true AS p50_close, true AS p95_close FROM levels WHERE version IS NOT NULL OR day IS NULL""",
+)
+def sketch_levels(spark: SparkSession, base: str) -> DataFrame:
+    """Per version and day, per version and in total, from the stored hourly sketches, each held against the exact value.
+
+    Distinct users must be within 5 %. A percentile must lie between the exact ones 3 % of the ranks below and above.
+    """
+    log, path = request_log(spark, base), scratch_path(spark, "sketches")
+    SK.sketch_hours(log, ["version"]).write.parquet(path)
+    stored = spark.read.parquet(path).withColumn("day", F.to_date("hour").cast("string"))
+    sized = log.withColumn("day", F.col("date").cast("string"))
+    wanted = {"p50": 0.5, "p95": 0.95}
+    found = []
+    for levels in (["version", "day"], ["version"], []):
+        near = SK.from_sketches(stored, levels, wanted)
+        bounds = [
+            F.percentile_approx("latency_ms", min(max(p + d, 0.0), 1.0), 10000).alias(f"{n}_{side}")
+            for n, p in wanted.items() for side, d in (("low", -0.03), ("high", 0.03))
+        ]
+        exact = sized.groupBy(*levels).agg(F.count_distinct("user_id").alias("exact_users"), *bounds)
+        # Side by side by a union and a fold, which has no join for the level without a key.
+        rows = near.unionByName(exact, allowMissingColumns=True)
+        both = rows.groupBy(*levels).agg(*[F.max(c).alias(c) for c in rows.columns if c not in levels])
+        closes = [F.col(n).between(F.col(f"{n}_low"), F.col(f"{n}_high")).alias(f"{n}_close") for n in wanted]
+        names = [(F.col(c) if c in levels else F.lit(None).cast("string")).alias(c) for c in ("version", "day")]
+        found.append(both.select(
+            *names, "requests", (F.abs(F.col("users") - F.col("exact_users")) <= 0.05 * F.col("exact_users")).alias("users_close"), *closes
+        ))
+    return found[0].union(found[1]).union(found[2])

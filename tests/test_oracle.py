@@ -18,7 +18,7 @@ SQL_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR"
 # Only these run Python: vector products, user callables and user functions.
 PYTHON = {
     "batch_predict", "evaluation_run", "filtered_search", "hybrid_topk", "prompt_judge", "similarity_threshold", "topic_centroid",
-    "udf_scalar", "udtf_chunks", "vector_topk", "vector_topk_ann",
+    "table_search", "udf_scalar", "udtf_chunks", "vector_topk", "vector_topk_ann",
 }
 PYTHON_NODES = ("PythonUDF", "MapInArrow", "MapInPandas", "ArrowEvalPython", "BatchEvalPython", "FlatMap", "PythonUDTF")
 
