@@ -17,6 +17,7 @@ from evalloom.llm.common import as_bytes, numbered, portions, ranges, settled, s
 from evalloom.session import stage
 
 END = 0  # the class of the end mark, and of what stands before a text
+REMEMBERED = 1 << 17  # words whose class a task looks up but does not work out again
 LONGEST_HEAD = 64
 LEVELS = 64  # of counts, from one power of two to the next
 COUNTS = "word binary, bucket int, n long"
@@ -53,7 +54,10 @@ class Classes(dict):
         self.first, self.buckets = 1 + shape.words, shape.buckets
 
     def __missing__(self, word: bytes) -> int:
-        return self.first + zlib.crc32(word[-3:]) % self.buckets
+        found = self.first + zlib.crc32(word[-3:]) % self.buckets
+        if len(self) < REMEMBERED and len(word) <= LONGEST_HEAD:
+            self[word] = found
+        return found
 
 
 class LogBilinear:
@@ -299,14 +303,24 @@ def score(docs: DataFrame, training: Column, held_out: Column, *, text: str = "t
                 found = found / np.log(10.0) + within[token]
                 sums = np.bincount(owner, found, len(documents))
                 out: list[list] = [[] for _ in names]
-                for i, words in enumerate(documents):
-                    values = list(map(known, words))
-                    tail = [w for w, x in zip(words, values, strict=True) if x is None]
-                    values = [x for x in values if x is not None]
-                    shared = [x for w, x in zip(words, map(known, words), strict=True) if x is not None and classes[w] > shape.words]
+                # The logs of all words at once, unknown ones as NaN; those of a class of many count for the model too.
+                flat = list(chain.from_iterable(documents))
+                log = np.array(list(map(known, flat)), np.float64)
+                sizes = np.fromiter(map(len, documents), np.int64, len(documents))
+                word = np.ones(len(token), bool)
+                word[np.cumsum(sizes + 1) - 1] = False
+                in_many, of = token[word] > shape.words, owner[word]
+                seen = ~np.isnan(log)
+                n_known = np.bincount(of[seen], minlength=len(documents)).tolist()
+                base = np.bincount(of[seen], log[seen], len(documents)).tolist()
+                many = np.bincount(of[seen & in_many], log[seen & in_many], len(documents)).tolist()
+                tails: list[list[bytes]] = [[] for _ in documents]
+                for at in np.flatnonzero(~seen).tolist():
+                    tails[of[at]].append(flat[at])
+                for i, (words, tail) in enumerate(zip(documents, tails, strict=True)):
                     row = [
-                        *(x[a + i] for x in ids), len(words) + 1, len(values) + known_end,
-                        sum(values) + end_log + (len(words) + 1) * least, float(sums[i]) + sum(shared), tail[:50_000],
+                        *(x[a + i] for x in ids), len(words) + 1, n_known[i] + known_end,
+                        base[i] + end_log + (len(words) + 1) * least, float(sums[i]) + many[i], tail[:50_000],
                     ]
                     for x, y in zip(out, row, strict=True):
                         x.append(y)
