@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evalloom import constants as K
@@ -13,6 +13,8 @@ from evalloom.functions import text as X
 from evalloom.functions.messages import tag_list
 from evalloom.operators.metrics import dedup_first
 from evalloom.operators.sampling import position_at_rank, segmented_lag
+from evalloom.session import stage, stored
+from evalloom.sources import append_stored, fold_kv, legacy_layout, read_stored
 
 REQUEST = "What does {} state in part {}?"
 GENERATED = "doc_uri string, question_no int, request string, expected_facts array<string>"
@@ -135,6 +137,32 @@ def add_evals(existing: DataFrame, evals: DataFrame) -> DataFrame:
     return existing.unionByName(new_evals(existing, evals), allowMissingColumns=True)
 
 
+def migrate_dataset(spark: SparkSession, old: str, path: str) -> DataFrame:
+    """Bring the legacy dataset `old` into the dataset stored at `path`, and return its metadata, one row per key.
+
+    The catalog has either a table `old` of keys and values beside the rows `old_view`, or the rows `old` beside
+    `old_metadata`; `old_tags` holds the tag names, if there is one. Rows are converted by `migrate_evals` and appended to
+    `path/evals`, tag names to `path/tags`; what is there already is not added again, so a migration may be repeated.
+    """
+    if legacy_layout(spark.table(old).columns) == "metadata":
+        rows, metadata = spark.table(f"{old}_view"), spark.table(old)
+    else:
+        rows, metadata = spark.table(old), spark.table(f"{old}_metadata")
+    parts = {"evals": (migrate_evals(rows), new_evals)}
+    if spark.catalog.tableExists(f"{old}_tags"):
+        parts["tags"] = (tag_names_of(spark.table(f"{old}_tags")), lambda held, new: new.join(held, "tag_name", "left_anti"))
+    for name, (converted, missing) in parts.items():
+        held = read_stored(spark, f"{path}/{name}") if stored(spark, f"{path}/{name}") else spark.createDataFrame([], converted.schema)
+        # Staged, since the rows are appended to the table that they are compared with.
+        append_stored(stage(missing(held, converted), f"migrated-{name}"), f"{path}/{name}")
+    return fold_kv(metadata)
+
+
+def tag_names_of(tags: DataFrame) -> DataFrame:
+    """Distinct names of a table of tags."""
+    return tags.select("tag_name").filter("tag_name IS NOT NULL").distinct()
+
+
 def latest_revision(history: DataFrame, key: str = "request_id", revision: str = "revision") -> DataFrame:
     """The newest version of each evaluation row."""
     return dedup_first(history, key, F.desc(revision))

@@ -24,7 +24,7 @@ from evalloom.plans.columns import NOTES_SQL, sql_parse_notes
 from evalloom.plans.combining import SELECTED, assessments, status_log
 from evalloom.plans.ranking import PAIRS, benchmark_queries, keyword_index
 from evalloom.session import scratch_path
-from evalloom.sources import load, read_stored
+from evalloom.sources import append_stored, load, read_stored
 
 
 def sql_overlap(claim: str, support: str) -> str:
@@ -93,9 +93,16 @@ ANSWER_FACTS = f"list_filter({sql_sentences('response')}, lambda f, i: list_posi
           WHEN response <> '' THEN {ANSWER_FACTS} ELSE expected_facts END, '|') AS facts FROM legacy""",
 )
 def migrate_evals(spark: SparkSession, base: str) -> DataFrame:
+    return E.migrate_evals(legacy_evals(spark, base)).select(
+        "request_id", "source_type", "source_id", F.array_join("tags", ",").alias("tags"), "review_status",
+        F.array_join("expected_facts", "|").alias("facts"),
+    )
+
+
+def legacy_evals(spark: SparkSession, base: str) -> DataFrame:
     docs = documents(spark, base)
     third = F.col("n_chars") % 3
-    legacy = docs.select(
+    return docs.select(
         F.concat(F.lit("old-"), F.col("doc_id").cast("string")).alias("request_id"),
         F.when(F.col("n_chars") % 4 != 0, F.array("lang")).alias("expected_facts"),
         F.when(third == 0, X.render_notes(X.sentences("text"))).when(third == 1, "").alias("grading_notes"),
@@ -110,9 +117,34 @@ def migrate_evals(spark: SparkSession, base: str) -> DataFrame:
         F.when(F.col("n_chars") % 2 == 0, "ACCEPTED").otherwise("").alias("review_status"),
         F.lit("DRAFT").alias("status"),
     )
-    return E.migrate_evals(legacy).select(
-        "request_id", "source_type", "source_id", F.array_join("tags", ",").alias("tags"), "review_status",
-        F.array_join("expected_facts", "|").alias("facts"),
+
+
+@query(
+    "migrate_dataset",
+    f"""WITH {LEGACY}, moved AS (SELECT request_id, source_type, review_status, array_to_string(CASE
+          WHEN grading_notes IS NOT NULL THEN list_concat(expected_facts, {sql_parse_notes('grading_notes')})
+          WHEN response <> '' THEN {ANSWER_FACTS} ELSE expected_facts END, '|') AS facts FROM legacy),
+        dataset AS (
+          SELECT request_id, NULL AS source_type, NULL AS review_status, 'kept' AS facts FROM moved WHERE request_id LIKE '%7'
+          UNION ALL SELECT * FROM moved WHERE request_id NOT LIKE '%7')
+        SELECT d.*, (SELECT count(DISTINCT lang) FROM documents) AS n_tags, 'evals of ' || (SELECT max(source) FROM documents) AS name FROM dataset d""",
+)
+def migrate_dataset(spark: SparkSession, base: str) -> DataFrame:
+    """A legacy dataset with its metadata and tags, moved twice into a dataset that has some of its rows already."""
+    path = scratch_path(spark, "dataset")
+    legacy, docs = legacy_evals(spark, base), load(spark, "documents", base)
+    legacy.createOrReplaceTempView("legacy_dataset_view")
+    name = F.concat(F.lit("evals of "), F.max("source"))
+    docs.agg(name.alias("value")).select(F.lit("name").alias("key"), "value").createOrReplaceTempView("legacy_dataset")
+    docs.select(F.col("lang").alias("tag_name")).createOrReplaceTempView("legacy_dataset_tags")
+    there = E.migrate_evals(legacy).filter("request_id LIKE '%7'").select("request_id", F.array(F.lit("kept")).alias("expected_facts"))
+    append_stored(there, f"{path}/evals")
+    for _ in range(2):  # the second migration finds nothing to add
+        metadata = E.migrate_dataset(spark, "legacy_dataset", path)
+    named = metadata.filter("key = 'name'").select("value").scalar()
+    n_tags = read_stored(spark, f"{path}/tags").agg(F.count(F.lit(1))).scalar()
+    return read_stored(spark, f"{path}/evals").select(
+        "request_id", "source_type", "review_status", F.array_join("expected_facts", "|").alias("facts"), n_tags.alias("n_tags"), named.alias("name")
     )
 
 

@@ -91,3 +91,21 @@ def test_revisions(spark):
     assert sorted((r.request_id, r.revision) for r in E.latest_revision(history).collect()) == [("a", 9), ("b", 3)]
     changes = sorted(tuple(r) for r in E.revision_diff(history, "note").collect())
     assert changes == [("a", 1, None, "x"), ("a", 5, "x", None), ("b", 3, None, "y")]
+
+
+@pytest.mark.parametrize("layout", ["metadata", "view"])
+def test_a_dataset_moves_with_its_metadata_and_tags(spark, tmp_path, layout):
+    name, path = f"old_{layout}", str(tmp_path / "new")
+    rows = spark.createDataFrame([("a", "q1", ["f"]), ("b", "q2", None)], "request_id string, request string, expected_facts array<string>")
+    metadata = spark.createDataFrame([("k", "1"), ("k", "2"), ("m", None)], "key string, value string")
+    rows.createOrReplaceTempView(f"{name}_view" if layout == "metadata" else name)
+    metadata.createOrReplaceTempView(name if layout == "metadata" else f"{name}_metadata")
+    for _ in range(2):
+        found = E.migrate_dataset(spark, name, path)
+        assert {r.key: r.value for r in found.collect()} == {"k": "2", "m": None}
+        assert {r.request_id: r.expected_facts for r in spark.read.parquet(f"{path}/evals").collect()} == {"a": ["f"], "b": []}
+    spark.createDataFrame([("x",), ("x",), (None,)], "tag_name string").createOrReplaceTempView(f"{name}_tags")
+    for _ in range(2):
+        E.migrate_dataset(spark, name, path)
+        assert [r.tag_name for r in spark.read.parquet(f"{path}/tags").collect()] == ["x"]
+    assert spark.read.parquet(f"{path}/evals").count() == 2
