@@ -144,6 +144,7 @@ def _cuts(bucket: np.ndarray) -> list[tuple[int, int]]:
 def repeats(
     docs: DataFrame, *, text: str = "text", key: str = "doc_id", length: int = LENGTH, gram: int = GRAM,
     bucket_bytes: int = BUCKET_BYTES, anchor_bytes: int = ANCHOR_BYTES, chunk_bytes: int = CHUNK_BYTES,
+    whole_characters: bool = False,
 ) -> DataFrame:
     """Per document: bytes, removed bytes, maximal removed runs, and digest and bytes of what is left.
 
@@ -161,6 +162,8 @@ def repeats(
     The pieces of an anchor with more than `anchor_bytes` of them, before equal ones are folded, do not meet by anchor:
     each distinct window of them goes once per chunk, as a piece of its own, to the bucket that its bytes name.
 
+    With `whole_characters` the bytes that are left, but not their digest, are without those of cut characters.
+
     Nulls: a null text is empty. A null key is larger than any other. Of equal keys neither is smaller; repeated rows
     are judged each. An empty table gives no rows. Other columns are left out.
     """
@@ -376,7 +379,10 @@ def repeats(
             lost = int(mask.sum())
             kept = np.frombuffer(data, np.uint8)[~mask].tobytes() if lost else data
             edges = int(mask[0]) + int((mask[1:] & ~mask[:-1]).sum()) if lost else 0
-            for x, y in zip(out, (n, lost, edges, hashlib.sha256(kept).hexdigest(), kept if lost else None), strict=True):
+            digest = hashlib.sha256(kept).hexdigest()
+            if whole_characters and lost:
+                kept = kept.decode("utf-8", "ignore").encode()
+            for x, y in zip(out, (n, lost, edges, digest, kept if lost else None), strict=True):
                 x.append(y)
         doc_id = pa.array(keys, mask=keys == LAST)
         return pa.table([table.column("row"), doc_id, *(pa.array(x, k) for x, k in zip(out, kinds[2:], strict=True))], names=names)
@@ -394,16 +400,11 @@ def without_repeats(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
     A character that loses some of its bytes loses all. Documents of which nothing is left stay, with an empty text.
     """
     docs = fixed(docs)
-    changed = repeats(docs, text=text, key=key, **options).filter("n_removed > 0")
-
-    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kept = [x.decode("utf-8", "ignore") for x in batch.column("kept").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(kept, pa.string())], names=[row, new])
-
+    changed = repeats(docs, text=text, key=key, whole_characters=True, **options).filter("n_removed > 0")
     row, new = "__row_of_repeats", "__kept_of_repeats"
     while {row, new} & {*docs.columns}:
         row, new = row + "_", new + "_"
-    changed = stage(changed.select("row", "kept").mapInArrow(settled(decode), f"{row} long, {new} string"), "repeats")
+    # Not decoded in Python: a second worker for each task would stay beside the first for the rest of the job.
+    changed = stage(changed.select(F.col("row").alias(row), F.col("kept").cast("string").alias(new)), "repeats")
     counted = docs.withColumn(row, F.monotonically_increasing_id())
     return counted.join(changed, row, "left").withColumn(text, F.coalesce(new, text)).select(*docs.columns)
