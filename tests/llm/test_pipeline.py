@@ -40,5 +40,5 @@ def test_stages(spark, tmp_path):
 
 
 def test_every_operator_is_registered():
-    assert [name.split("_")[0] for name in queries.QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in queries.QUERIES] == [f"op{n}" for n in range(1, 14)]
     assert list(corpus_pipeline.QUERIES) == ["pipeline"]
