@@ -76,6 +76,33 @@ def parse(expression: str) -> list[str] | None:
     return output + stack[::-1]
 
 
+def parse_start(written: str) -> list[str] | None:
+    """The postfix form of a tag's expression; of its longest valid start if prose follows on the same line.
+
+    In such a start all licences but the first must be known ones, so that a word of the prose after `and` is none.
+    """
+    if (whole := parse(written)) is not None:
+        return whole
+    tokens = [t.rstrip(".") or t for t in TOKEN.findall(written)]
+    depth, operand, before, complete = 0, True, "", 0
+    for n, token in enumerate(tokens, 1):
+        word = token.lower()
+        if token == "(" if operand else token == ")":
+            depth += 1 if operand else -1
+        elif operand and token != ")" and word not in RANK and (before in ("", "with") or strictness(token) is not None):
+            operand = False
+        elif not operand and token != "(" and word in RANK:
+            operand = True
+        else:
+            break
+        before = word if token not in "()" else before or token
+        if depth < 0:
+            break
+        if not operand and not depth:
+            complete = n
+    return parse(" ".join(tokens[:complete])) if complete else None
+
+
 def evaluate(postfix: list[str]) -> tuple[set[str], int | None]:
     """The licences named, and the level of the whole: `or` lets the user choose, `and` binds to both.
 
@@ -122,7 +149,7 @@ def scan(text: bytes, phrases: ahocorasick.Automaton) -> tuple:
     expressions, level = [], None
     for match in TAGGED.finditer(text) if tagged else ():
         written = match.group(1).decode("ascii").strip()
-        postfix = parse(written)
+        postfix = parse_start(written)
         if postfix:
             named, strict = evaluate(postfix)
             expressions.append(" ".join(postfix))
@@ -156,7 +183,8 @@ def licence_scan(docs: DataFrame, *, text: str = "text", key: str = "doc_id") ->
     the belief that the text states a licence.
 
     Nulls: a null or empty text has no words, labels or places, and score 0; a null key stays null. Repeated rows
-    are scanned each. Malformed expressions name nothing.
+    are scanned each. An empty table gives no rows. Other columns are left out. Of an expression that prose follows
+    the longest valid start is taken; malformed ones name nothing.
     """
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
 

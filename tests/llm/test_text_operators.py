@@ -186,6 +186,16 @@ def test_malformed_licence_expressions(expression):
     assert licences.parse(expression) is None
 
 
+@pytest.mark.parametrize(("written", "postfix"), [
+    ("MIT This file is part of", ["MIT"]), ("MIT. Other text", ["MIT"]), ("MIT and all rights", ["MIT"]), ("Foo-1.0 is ours", ["Foo-1.0"]),
+    ("MIT OR Apache-2.0 see the notice", ["MIT", "Apache-2.0", "or"]), ("(MIT OR GPL-2.0) AND BSD-3-Clause or not this", ["MIT", "GPL-2.0", "or", "BSD-3-Clause", "and"]),
+    ("GPL-2.0 WITH Classpath-exception-2.0 The end", ["GPL-2.0", "Classpath-exception-2.0", "with"]), ("(MIT", None), ("and MIT", None),
+    ("", None), (") MIT", None), ("MIT ) more", ["MIT"]), ("(MIT OR GPL-2.0 text", None), ("MIT OR (Apache-2.0 more", ["MIT"]),
+])
+def test_prose_behind_a_tag(written, postfix):
+    assert licences.parse_start(written) == postfix
+
+
 def test_licence_scan(spark, messy):
     texts = [
         (1, "Released under the MIT License. the mit-license mit license"), (2, None), (3, ""), (4, "mitlicense mit licenses"),
