@@ -23,7 +23,9 @@ from evalloom.operators.sampling import hash_order
 from evalloom.operators.vectors import TOPK_SCHEMA, _matrix, _rank, dot, usable
 from evalloom.session import stage
 
-SAMPLE = 65_536  # vectors that train the centres
+SAMPLE = 65_536  # vectors that train the centres, fewer of very long ones
+SAMPLE_VALUES = 1 << 24
+BLOCK = 1 << 22  # products held at once
 MAX_CELLS = 16_384
 ROUNDS = 2
 PROBE_POWER = 0.87
@@ -49,11 +51,22 @@ def probes_for(cells: int) -> int:
     return min(cells, math.ceil(cells**PROBE_POWER))
 
 
+def _nearest(unit: np.ndarray, centres: np.ndarray, count: int = 1) -> np.ndarray:
+    """The `count` nearest centres of each row, the nearest first and ties to the lower cell, some rows at a time."""
+    step = max(1, BLOCK // max(1, len(centres)))
+    parts = [
+        np.argsort(-(unit[a : a + step] @ centres.T), axis=1, kind="stable")[:, :count] if count > 1
+        else np.argmax(unit[a : a + step] @ centres.T, axis=1)[:, None]
+        for a in range(0, len(unit), step)
+    ]
+    return np.concatenate(parts) if parts else np.empty((0, count), np.int64)
+
+
 def train(sample: np.ndarray, cells: int, rounds: int = ROUNDS) -> np.ndarray:
     """Centres of unit vectors by cosine, starting from the first rows. A centre nothing is near to stays."""
     centres = sample[:cells].copy()
     for _ in range(rounds if len(centres) else 0):
-        nearest = np.argmax(sample @ centres.T, axis=1)
+        nearest = _nearest(sample, centres)[:, 0]
         for cell in np.unique(nearest):
             mean = sample[nearest == cell].mean(axis=0)
             if (norm := np.linalg.norm(mean)) > 0:
@@ -80,8 +93,9 @@ def build_vector_index(
     spark = vectors.sparkSession
     vectors = vectors.select("vec_id", "embedding").filter(F.col("vec_id").isNotNull() & usable("embedding", dimensions=dimensions))
     cells = min(MAX_CELLS, cells or math.ceil(math.sqrt(vectors.count())))
-    first = vectors.orderBy(hash_order("vec_id", seed), "vec_id").limit(sample).collect()
-    unit = _matrix(pa.array([row.embedding for row in first]), True) if first else np.zeros((0, dimensions))
+    sample = min(sample, max(1, SAMPLE_VALUES // max(1, dimensions)))
+    first = vectors.orderBy(hash_order("vec_id", seed), "vec_id").limit(sample).toArrow().column("embedding")
+    unit = _matrix(first, True) if len(first) else np.zeros((0, dimensions))
     centres = train(unit, min(cells, len(unit)))
     shared = spark.sparkContext.broadcast(centres)
 
@@ -93,7 +107,7 @@ def build_vector_index(
             code, scale, error = _encoded(rows)
             yield pa.RecordBatch.from_arrays([
                 batch.column("vec_id").cast(pa.int64()), batch.column("embedding").cast(pa.list_(pa.float32())),
-                pa.array(np.argmax(rows @ shared.value.T, axis=1).astype(np.int32)), pa.array([x.tobytes() for x in code], pa.binary()),
+                pa.array(_nearest(rows, shared.value)[:, 0].astype(np.int32)), pa.array([x.tobytes() for x in code], pa.binary()),
                 pa.array(scale), pa.array(error),
             ], names=[x.split()[0] for x in CODED.split(", ")])
 
@@ -214,7 +228,7 @@ def search_index(
         for batch in batches:
             if not batch.num_rows:
                 continue
-            near = np.argsort(-(_matrix(batch.column("embedding"), True) @ shared.value.T), axis=1, kind="stable")[:, :probes]
+            near = _nearest(_matrix(batch.column("embedding"), True), shared.value, probes)
             row = np.repeat(np.arange(batch.num_rows), probes)
             yield pa.RecordBatch.from_arrays([
                 batch.column("query_id").cast(pa.int64()).take(pa.array(row)),

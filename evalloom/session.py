@@ -68,22 +68,23 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
 
 def stored(spark: SparkSession, path: str) -> bool:
-    """Whether a job has finished writing the folder `path`, or a part of it."""
+    """Whether a job has finished writing the folder `path`, or a part of it, by the mark that Spark leaves by default."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
 
 
-def kept_path(source: DataFrame, label: str, build: Callable[[str], object]) -> str:
+def kept_path(source: DataFrame, label: str, build: Callable[[str], object], *, layout: int = 1) -> str:
     """The folder of something derived from the stored table `source`, built on first use and kept in the shared folder.
 
-    Its name holds a digest of the paths, sizes and times of the table's files, so a table that changes gets a new one.
+    Its name holds a digest of the paths, sizes and times of the table's files, so a table that changes gets a new one;
+    so does a `layout` that changes.
     A build that did not finish is built again. Two sessions that find it missing at once both build it: have one
     build it first. `clear_staged` removes it.
     """
     spark = source.sparkSession
     file = F.xxhash64("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").alias("file")
     mark = tuple(source.select(file).agg(F.count(F.lit(1)), F.min("file"), F.max("file"), F.sum(F.col("file") % 1_048_573)).first())
-    path = f"{shared_folder(spark).rstrip('/')}/{label}-{hashlib.md5(f'{label}:{mark}'.encode()).hexdigest()}"
+    path = f"{shared_folder(spark).rstrip('/')}/{label}-{hashlib.md5(f'{label}:{layout}:{mark}'.encode()).hexdigest()}"
     done = f"{path}/built"
     if not stored(spark, done):
         build(path)

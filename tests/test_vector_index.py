@@ -70,6 +70,14 @@ def test_codes_bound_the_cosine():
     assert (np.abs(unit @ unit.T - (code * scale[:, None]) @ unit.T) <= error[:, None] + 1e-12).all()
 
 
+def test_nearest_centres_block_by_block(monkeypatch):
+    rng = np.random.default_rng(5)
+    rows, centres = rng.normal(size=(30, 4)), rng.normal(size=(7, 4))
+    whole = I._nearest(rows, centres, 3)
+    monkeypatch.setattr(I, "BLOCK", 14)
+    assert (I._nearest(rows, centres, 3) == whole).all() and (I._nearest(rows, centres)[:, 0] == whole[:, 0]).all()
+
+
 def test_nothing_to_find(spark):
     empty = I.build_vector_index(spark.createDataFrame([], KIND), scratch_path(spark, "ivf"), dimensions=16)
     queries = spark.createDataFrame([(1, [1.0] * 16)], "query_id long, embedding array<float>")
