@@ -14,28 +14,42 @@ from evalloom.session import stage
 from evalloom.sources import load
 
 
+# Bytes of text that a task hands to Python at once; ten thousand rows, the default, may be far more.
+BATCH_BYTES = 4 << 20
+
+
+def _bounded(spark: SparkSession) -> None:
+    """Keep what a task holds beside the rows it works on small, in this session's jobs."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text parses into phrases of a labelled language; texts without letters go."""
+    _bounded(spark)
     return language.keep_languages(docs, language.fit(docs, F.lit(True)))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that is linked by a Jaccard similarity of 0.75 on five-word shingles."""
+    _bounded(spark)
     return near_text.one_of_each(docs)
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, without the strings of 50 bytes and more that a document of a smaller id has as well."""
+    _bounded(spark)
     return suffix_dedup.without_repeats(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no ten words of a benchmark item in a row."""
+    _bounded(spark)
     return decontamination.decontaminate(docs, load(spark, "benchmark", sf_dir))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all remaining documents in sequences of 1024 tokens."""
+    _bounded(spark)
     return packing.pack(docs)
 
 
