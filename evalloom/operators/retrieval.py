@@ -3,11 +3,15 @@
 Queries are `query_id, keywords ARRAY<STRING>`; a corpus is `corpus_pos, content`, where `corpus_pos` is a
 unique integer that fixes the corpus order. A corpus that also has `n_chars`, the length of the content,
 need not have its text read where only lengths are asked for. Until the last step only `(query, position, score, length)`
-moves between tasks, never text. With the stored index of `postings` the text is not even read until then.
+moves between tasks, never text. With the stored index of `postings` the text is not even read until then; an index costs
+more than some passes over the text, so it is for a corpus that many query sets are put to.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -91,19 +95,23 @@ def _pieces(keywords: DataFrame) -> DataFrame:
     return keywords.select("keyword", longest["piece"].alias("piece"), spaced.alias("spaced"))
 
 
+def _slice() -> Column:
+    return F.pmod(F.xxhash64("corpus_pos"), F.lit(SLICES))
+
+
 def _sliced(hits: DataFrame) -> DataFrame:
     """Each (document, keyword) once, `exact` if one of its tokens settles it; documents dealt by slice."""
-    slices = F.pmod(F.xxhash64("corpus_pos"), F.lit(SLICES)).alias("slice")
-    return hits.select("*", slices).repartition("slice").groupBy("slice", "corpus_pos", "n_chars", "keyword").agg(
+    return hits.withColumn("slice", _slice()).repartition("slice").groupBy("slice", "corpus_pos", "n_chars", "keyword").agg(
         F.max("exact").alias("exact")
     )
 
 
 def _settled(hits: DataFrame, all_exact: bool, docs: DataFrame) -> DataFrame:
     """The hits that hold. Only keywords of several pieces need a look at the text of their candidates."""
-    sure = hits.filter("exact").drop("exact")
     if all_exact:
-        return sure
+        return hits.drop("exact")
+    hits = stage(hits, "hits")  # read twice
+    sure = hits.filter("exact").drop("exact")
     doubtful = stage(hits.filter(~F.col("exact")).drop("exact"), "phrase-candidates")
     verified = doubtful.join(docs.select("corpus_pos", F.lower("content").alias("text")), "corpus_pos")
     return sure.unionByName(verified.filter(F.contains("text", "keyword")).drop("text"))
@@ -147,39 +155,64 @@ def _hits_by_index(docs: DataFrame, keywords: DataFrame, index: KeywordIndex) ->
     return hits.unionByName(_hits_by_vocabulary(docs, pieces.filter("spaced").select("keyword"))) if spaced else hits
 
 
-def _matches(queries: DataFrame, docs: DataFrame, scan_limit: int, index: KeywordIndex | None) -> DataFrame:
+def _matches(
+    queries: DataFrame, docs: DataFrame, scan_limit: int, index: KeywordIndex | None, hits: DataFrame | None = None,
+) -> DataFrame:
     """`slice, query_id, corpus_pos, n_chars, score`, in one shuffle of the documents' hits by slice.
 
     Pairs of a query and a document come up and are counted inside their slice, and may be cut there.
     """
-    wanted = (
+    wanted = _wanted(queries)
+    if hits is not None:
+        hits = hits.withColumn("slice", _slice()).repartition("slice")
+    else:
+        if index is not None:
+            wanted = stage(wanted, "wanted-keywords")
+        hits = _hits(wanted.select("keyword").distinct(), docs, scan_limit, index)
+    return hits.join(wanted, "keyword").groupBy("slice", "query_id", "corpus_pos", "n_chars").agg(F.sum("times").alias("score"))
+
+
+def _wanted(queries: DataFrame) -> DataFrame:
+    """`query_id, keyword, times`: the keywords as they are compared, without empty ones."""
+    return (
         queries.select("query_id", F.explode("keywords").alias("keyword"))
         .withColumn("keyword", F.lower("keyword"))
         .filter(F.col("keyword") != "")
         .groupBy("query_id", "keyword").agg(F.count(F.lit(1)).alias("times"))
     )
-    distinct = wanted.select("keyword").distinct()
+
+
+def _hits(keywords: DataFrame, docs: DataFrame, scan_limit: int, index: KeywordIndex | None = None) -> DataFrame:
+    """`slice, corpus_pos, n_chars, keyword` of every document that holds a keyword."""
     if index is not None:
-        wanted = stage(wanted, "wanted-keywords")
-        hits = _hits_by_index(docs, wanted.select("keyword").distinct(), index)
-    else:
-        sample = [row.keyword for row in distinct.limit(scan_limit + 1).collect()]
-        if len(sample) <= scan_limit:
-            hits = _sliced(_hits_by_scan(docs, sorted(sample)).withColumn("exact", F.lit(True))).drop("exact")
-        else:
-            hits = _hits_by_vocabulary(docs, distinct)
-    return hits.join(wanted, "keyword").groupBy("slice", "query_id", "corpus_pos", "n_chars").agg(F.sum("times").alias("score"))
+        return _hits_by_index(docs, keywords, index)
+    sample = [row.keyword for row in keywords.limit(scan_limit + 1).collect()]
+    if len(sample) <= scan_limit:
+        return _sliced(_hits_by_scan(docs, sorted(sample)).withColumn("exact", F.lit(True))).drop("exact")
+    return _hits_by_vocabulary(docs, keywords)
+
 
+def keyword_hits(query_sets: Sequence[DataFrame], docs: DataFrame, *, scan_limit: int = 64) -> DataFrame:
+    """`corpus_pos, n_chars, keyword` for the keywords of several query sets at once, staged.
 
-def keyword_matches(queries: DataFrame, docs: DataFrame, *, scan_limit: int = 64, index: KeywordIndex | None = None) -> DataFrame:
+    Given as `hits` to `keyword_matches` and `keyword_rank`, one pass over the text serves all the sets.
+    """
+    keywords = [_wanted(queries).select("keyword") for queries in query_sets]
+    asked = stage(reduce(DataFrame.union, keywords).distinct(), "asked-keywords")
+    return stage(_hits(asked, docs, scan_limit).drop("slice"), "keyword-hits")
+
+
+def keyword_matches(
+    queries: DataFrame, docs: DataFrame, *, scan_limit: int = 64, index: KeywordIndex | None = None, hits: DataFrame | None = None,
+) -> DataFrame:
     """Documents that hold at least one keyword of a query, with the keyword score.
 
     The score counts the query's keywords that occur in the text, letter case aside, inside words too; a
     repeated keyword counts each time. With an `index` of `docs` the keywords are looked up there. Without one, up to
     `scan_limit` distinct keywords are tested in one scan of the corpus, and more go through its vocabulary. All ways
-    give the same rows.
+    give the same rows. `hits` are those of `keyword_hits`, if the keywords have been looked up already.
     """
-    return _matches(queries, docs, scan_limit, index).drop("slice")
+    return _matches(queries, docs, scan_limit, index, hits).drop("slice")
 
 
 def _add_unmatched(matched: DataFrame, queries: DataFrame, head: DataFrame, blank: DataFrame | None = None) -> DataFrame:
@@ -220,15 +253,16 @@ def _order() -> list[Column]:
 
 def keyword_rank(
     queries: DataFrame, docs: DataFrame, k: int, *, min_score: int = 0, scan_limit: int = 64,
-    index: KeywordIndex | None = None,
+    index: KeywordIndex | None = None, hits: DataFrame | None = None,
 ) -> DataFrame:
     """The k best documents of each query: score descending, ties in corpus order.
 
     Documents without a match follow in corpus order unless `min_score` is 1. Of those, the k best can
-    only hold documents among the first k of the corpus, so only these are offered. `index` is as in `keyword_matches`.
+    only hold documents among the first k of the corpus, so only these are offered. `index` and `hits` are as in
+    `keyword_matches`.
     """
     sized = index.documents if index else docs.select("corpus_pos", _n_chars(docs))
-    matched = _matches(queries, docs, scan_limit, index)
+    matched = _matches(queries, docs, scan_limit, index, hits)
     in_slice = F.row_number().over(W.partitionBy("slice", "query_id").orderBy(*_order()))
     best = matched.withColumn("place", in_slice).filter(F.col("place") <= k).drop("place", "slice")
     if min_score <= 0:

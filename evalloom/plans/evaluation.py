@@ -22,8 +22,8 @@ from evalloom.operators import udfs as U
 from evalloom.plans.base import corpus, documents, query, sql_sentences, sql_words
 from evalloom.plans.columns import NOTES_SQL, sql_parse_notes
 from evalloom.plans.combining import SELECTED, assessments, status_log
-from evalloom.plans.ranking import PAIRS, benchmark_queries, keyword_index
-from evalloom.session import scratch_path
+from evalloom.plans.ranking import PAIRS, benchmark_queries
+from evalloom.session import scratch_path, stage
 from evalloom.sources import append_stored, load, read_stored
 
 
@@ -155,22 +155,28 @@ BEST = f"""{PAIRS}, best AS (
   FROM ranked r JOIN benchmark b ON b.item_id = r.query_id JOIN documents d ON d.doc_id = r.corpus_pos WHERE rank <= 3)"""
 
 
-def best_documents(spark: SparkSession, base: str) -> DataFrame:
+def best_documents(spark: SparkSession, base: str, asked: DataFrame | None = None, hits: DataFrame | None = None) -> DataFrame:
     """The three best documents of every benchmark passage, with both texts."""
     docs = corpus(spark, base)
-    ranked = R.keyword_rank(benchmark_queries(spark, base), docs, 3, index=keyword_index(spark, base))
+    asked = benchmark_queries(spark, base) if asked is None else asked
+    ranked = R.keyword_rank(asked, docs, 3, hits=hits)
     kept = ranked.withColumn("kept_chars", F.col("n_chars"))
-    asked = load(spark, "benchmark", base).select(F.col("item_id").alias("query_id"), F.col("text").alias("request"))
-    texts = R.with_text(kept, docs, "response").join(asked, "query_id")
+    requests = load(spark, "benchmark", base).select(F.col("item_id").alias("query_id"), F.col("text").alias("request"))
+    texts = R.with_text(kept, docs, "response").join(requests, "query_id")
     return texts.select("query_id", "rank", "corpus_pos", "request", "response")
 
 
-def holders(spark: SparkSession, base: str) -> DataFrame:
-    """`query_id, corpus_pos` of the documents that hold a benchmark passage."""
-    passages = load(spark, "benchmark", base).select(
-        F.col("item_id").alias("query_id"), F.array("text").alias("keywords")
-    )
-    return R.keyword_matches(passages, corpus(spark, base)).select("query_id", "corpus_pos")
+def passages(spark: SparkSession, base: str) -> DataFrame:
+    """Every benchmark passage as its own and only keyword."""
+    return load(spark, "benchmark", base).select(F.col("item_id").alias("query_id"), F.array("text").alias("keywords"))
+
+
+def looked_up(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The benchmark queries, the hits of their keywords and of the whole passages, and `query_id, corpus_pos` of the
+    documents that hold a passage: one look into the corpus serves both sets."""
+    docs, asked, whole = corpus(spark, base), benchmark_queries(spark, base), passages(spark, base)
+    hits = R.keyword_hits([asked, whole], docs)
+    return asked, hits, R.keyword_matches(whole, docs, hits=hits).select("query_id", "corpus_pos")
 
 
 HOLDERS = """holders AS (SELECT item_id AS query_id, doc_id AS corpus_pos FROM benchmark b, documents d
@@ -197,9 +203,9 @@ def chunk_precision(spark: SparkSession, base: str) -> DataFrame:
           ON r.query_id = h.query_id AND r.corpus_pos = h.corpus_pos GROUP BY 1""",
 )
 def retrieval_recall(spark: SparkSession, base: str) -> DataFrame:
-    retrieved = R.keyword_rank(benchmark_queries(spark, base), corpus(spark, base), 10, index=keyword_index(spark, base))
-    asked = load(spark, "benchmark", base).select(F.col("item_id").alias("query_id"))
-    recall = J.recall_of(retrieved, holders(spark, base), "corpus_pos", requests=asked)
+    asked, hits, holders = looked_up(spark, base)
+    retrieved = R.keyword_rank(asked, corpus(spark, base), 10, hits=hits)
+    recall = J.recall_of(retrieved, holders, "corpus_pos", requests=asked.select("query_id"))
     return recall.select("query_id", "expected", "found", F.round("recall", 6).alias("recall"))
 
 
@@ -293,10 +299,11 @@ def panel(spark: SparkSession, base: str) -> DataFrame:
     One document is retrieved. Whether it is all that is expected shows in the lowest and highest of those that
     hold the passage, so they need not be gathered.
     """
-    ends = holders(spark, base).groupBy("query_id").agg(
+    asked, hits, holders = looked_up(spark, base)
+    ends = holders.groupBy("query_id").agg(
         F.array_distinct(F.array(F.min("corpus_pos"), F.max("corpus_pos"))).alias("expected")
     )
-    best = best_documents(spark, base)
+    best = stage(best_documents(spark, base, asked, hits), "best-documents")  # read twice
     second = best.filter("rank = 2").select("query_id", F.col("response").alias("context"))
     rows = best.filter("rank = 1").join(ends, "query_id", "left").join(second, "query_id", "left").select(
         "query_id", "request", "response",

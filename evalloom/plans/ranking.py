@@ -9,7 +9,6 @@ from evalloom import constants as K
 from evalloom.functions import text as X
 from evalloom.operators import judges as JD
 from evalloom.operators import predicates as P
-from evalloom.operators.postings import KeywordIndex, build_index, open_index
 from evalloom.operators import retrieval as R
 from evalloom.operators import sampling as S
 from evalloom.operators import vector_index as VI
@@ -39,17 +38,13 @@ PAIRS = f"""{KEYWORDS}, pairs AS (
     FROM ranked WHERE before <= {K.MAX_CONTEXT_CHARS})"""
 
 
-def keyword_index(spark: SparkSession, base: str) -> KeywordIndex:
-    """The index of the documents: built by the first query that asks for it, opened by all others."""
-    path = kept_path(load(spark, "documents", base), "keyword-index", lambda path: build_index(corpus(spark, base), path))
-    return open_index(spark, path)
+def benchmark_queries(spark: SparkSession, base: str) -> DataFrame:
+    """`query_id, keywords` for every benchmark passage, staged because retrieval reads it repeatedly.
 
-
-def benchmark_queries(spark: SparkSession, base: str, index: KeywordIndex | None = None) -> DataFrame:
-    """`query_id, keywords` for every benchmark passage, staged because retrieval reads it repeatedly."""
+    One query set is worth no index of the corpus: here and below its keywords are looked up in the text.
+    """
     asked = load(spark, "benchmark", base).withColumnRenamed("item_id", "query_id")
-    index = index or keyword_index(spark, base)
-    return stage(R.salient_keywords(asked, corpus(spark, base), 5, index=index), "benchmark-queries")
+    return stage(R.salient_keywords(asked, corpus(spark, base), 5), "benchmark-queries")
 
 
 @query(
@@ -60,7 +55,7 @@ def benchmark_queries(spark: SparkSession, base: str, index: KeywordIndex | None
 )
 def salient_keywords(spark: SparkSession, base: str) -> DataFrame:
     asked = load(spark, "benchmark", base).withColumnRenamed("item_id", "query_id")
-    picked = R.salient_keywords(asked, corpus(spark, base), 5, index=keyword_index(spark, base))
+    picked = R.salient_keywords(asked, corpus(spark, base), 5)
     return picked.select("query_id", F.array_join("keywords", ",").alias("keywords"))
 
 
@@ -80,21 +75,18 @@ def keyword_scores(spark: SparkSession, base: str) -> DataFrame:
 
 @query("keyword_matches", f"WITH {PAIRS} SELECT query_id, corpus_pos, score FROM pairs WHERE score > 0")
 def keyword_matches(spark: SparkSession, base: str) -> DataFrame:
-    index = keyword_index(spark, base)
-    matches = R.keyword_matches(benchmark_queries(spark, base, index), corpus(spark, base), index=index)
+    matches = R.keyword_matches(benchmark_queries(spark, base), corpus(spark, base))
     return matches.select("query_id", "corpus_pos", "score")
 
 
 @query("keyword_rank", f"WITH {PAIRS} SELECT query_id, rank, corpus_pos, score FROM ranked WHERE rank <= 10")
 def keyword_rank(spark: SparkSession, base: str) -> DataFrame:
-    index = keyword_index(spark, base)
-    return R.keyword_rank(benchmark_queries(spark, base, index), corpus(spark, base), 10, index=index).drop("n_chars")
+    return R.keyword_rank(benchmark_queries(spark, base), corpus(spark, base), 10).drop("n_chars")
 
 
 @query("context_budget", f"WITH {PAIRS} SELECT query_id, rank, corpus_pos, score, kept_chars FROM kept")
 def context_budget(spark: SparkSession, base: str) -> DataFrame:
-    index = keyword_index(spark, base)
-    return R.retrieve_context(benchmark_queries(spark, base, index), corpus(spark, base), index=index)
+    return R.retrieve_context(benchmark_queries(spark, base), corpus(spark, base))
 
 
 @query(
@@ -110,8 +102,7 @@ def context_budget(spark: SparkSession, base: str) -> DataFrame:
 def build_prompt(spark: SparkSession, base: str) -> DataFrame:
     docs = corpus(spark, base)
     asked = load(spark, "benchmark", base).withColumnRenamed("item_id", "query_id")
-    index = keyword_index(spark, base)
-    kept = R.retrieve_context(benchmark_queries(spark, base, index), docs, index=index)
+    kept = R.retrieve_context(benchmark_queries(spark, base), docs)
     prompts = R.build_prompts(asked, kept, docs)
     return prompts.select("query_id", F.length("prompt").alias("prompt_chars"), F.md5("prompt").alias("prompt_md5"))
 
@@ -249,7 +240,7 @@ def hybrid_topk(spark: SparkSession, base: str) -> DataFrame:
     labelled = docs.join(vectors.select(F.col("vec_id").alias("doc_id"), "label"), "doc_id")
     terms = JD.term_frequency_topics(labelled, "text", "label", 4, min_letters=6)
     asked = stage(terms.select(F.col("label").cast("bigint").alias("query_id"), "keywords"), "topic-terms")
-    by_keyword = R.keyword_rank(asked, corpus(spark, base), 20, min_score=1, index=keyword_index(spark, base))
+    by_keyword = R.keyword_rank(asked, corpus(spark, base), 20, min_score=1)
     by_vector = V.vector_topk(topic_queries(spark, base), vectors, 20)
     return R.fuse_ranks(
         by_keyword.withColumnRenamed("corpus_pos", "doc_id"),
