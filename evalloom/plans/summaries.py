@@ -302,13 +302,14 @@ def sketch_levels(spark: SparkSession, base: str) -> DataFrame:
     found = []
     for levels in (["version", "day"], ["version"], []):
         near = SK.from_sketches(stored, levels, wanted)
-        bounds = [
-            F.percentile_approx("latency_ms", min(max(p + d, 0.0), 1.0), 10000).alias(f"{n}_{side}")
-            for n, p in wanted.items() for side, d in (("low", -0.03), ("high", 0.03))
-        ]
-        exact = sized.groupBy(*levels).agg(F.count_distinct("user_id").alias("exact_users"), *bounds)
+        sides = [(f"{n}_{side}", min(max(p + d, 0.0), 1.0)) for n, p in wanted.items() for side, d in (("low", -0.03), ("high", 0.03))]
+        # Distinct users on their own: next to another aggregate each user of a level would get digests of its own.
+        users = sized.groupBy(*levels).agg(F.count_distinct("user_id").alias("exact_users"))
+        bounds = sized.groupBy(*levels).agg(F.percentile_approx("latency_ms", [p for _, p in sides], 10000).alias("bounds")).select(
+            *levels, *[F.col("bounds")[i].alias(name) for i, (name, _) in enumerate(sides)]
+        )
         # Side by side by a union and a fold, which has no join for the level without a key.
-        rows = near.unionByName(exact, allowMissingColumns=True)
+        rows = near.unionByName(users, allowMissingColumns=True).unionByName(bounds, allowMissingColumns=True)
         both = rows.groupBy(*levels).agg(*[F.max(c).alias(c) for c in rows.columns if c not in levels])
         closes = [F.col(n).between(F.col(f"{n}_low"), F.col(f"{n}_high")).alias(f"{n}_close") for n in wanted]
         names = [(F.col(c) if c in levels else F.lit(None).cast("string")).alias(c) for c in ("version", "day")]

@@ -38,3 +38,10 @@ def test_one_look_serves_several_query_sets(spark, scan_limit):
         for made in (R.keyword_matches, lambda *a, **o: R.keyword_rank(*a, 3, **o)):
             assert sorted(made(asked, docs, hits=hits).collect()) == sorted(made(asked, docs, scan_limit=scan_limit).collect())
     assert hits.count() == 9
+
+
+def test_no_percentile_digest_per_user(spark, capsys):
+    QUERIES["sketch_levels"](spark, SMOKE).explain()
+    lines = capsys.readouterr().out.splitlines()
+    digests = [line for line in lines if "percentile_approx" in line]
+    assert digests and not any("user_id" in line for line in digests)
