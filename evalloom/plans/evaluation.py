@@ -453,7 +453,7 @@ def monitoring_judged(spark: SparkSession, base: str) -> DataFrame:
         "request_id", body.alias("request_raw"), "response", started.alias("ts"), F.to_date(started).alias("date"),
         F.lit(None).cast("string").alias("run_id"),
     )
-    log.write.partitionBy("date").parquet(path)
+    append_stored(log, path, partition_by="date")
     stored = read_stored(spark, path)
     feedback = stored.filter("request_id % 10 = 0").select("request_id", F.lit("2100-01-01").cast("timestamp").alias("ts"))
 

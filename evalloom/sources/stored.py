@@ -35,6 +35,9 @@ def append_stored(df: DataFrame, path: str, *, partition_by: str | None = None)
     if stored(spark, path):
         old = read_stored(spark, path)
         _checked(old.drop(partition_by).schema if partition_by else old.schema, df.schema)
+    if partition_by:
+        # Else each task would write a file of its own into every partition it has a row of.
+        df = df.hint("rebalance", partition_by)
     df.write.mode("append").partitionBy(*([partition_by] if partition_by else [])).parquet(path)
 
 
@@ -61,7 +64,7 @@ def merge_stored(path: str, updates: DataFrame, key: str, merge: Merge, *, parti
     rows = target.filter(F.col(partition_by).isin([x for x in touched if x is not None]) | unnamed)
     merged = stage(merge(rows, updates.drop(partition_by)), "merged")
     _checked(rows.schema, merged.schema)
-    writer = merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer = merged.hint("rebalance", partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(partition_by).parquet(path)
     return touched
 

@@ -3,10 +3,12 @@
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from evalloom.operators import retrieval as R
 from evalloom.plans import QUERIES
 from evalloom.session import shared_folder
+from evalloom.sources import append_stored, merge_stored, read_stored
 
 SMOKE = "/root/testdata/sf0.001"
 DOCS = [(10, "alpha beta"), (20, ""), (30, "BETA gamma"), (40, "delta"), (50, "gamma delta beta"), (60, "")]
@@ -45,3 +47,18 @@ def test_no_percentile_digest_per_user(spark, capsys):
     lines = capsys.readouterr().out.splitlines()
     digests = [line for line in lines if "percentile_approx" in line]
     assert digests and not any("user_id" in line for line in digests)
+
+
+def test_a_stored_partition_gets_few_files(spark, tmp_path):
+    path = tmp_path / "log"
+    rows = spark.range(0, 400, 1, 8).withColumn("date", F.col("id") % 20)
+    append_stored(rows, str(path), partition_by="date")
+    assert len(list(path.glob("date=*/*.parquet"))) == 20
+
+    def merge(old, new):
+        return old.join(new, "id", "left")
+
+    updates = spark.range(0, 400, 3, 8).withColumn("seen", F.lit(True))
+    assert len(merge_stored(str(path), updates, "id", merge)) == 20
+    assert len(list(path.glob("date=*/*.parquet"))) == 20
+    assert read_stored(spark, str(path)).filter("seen").count() == 134
