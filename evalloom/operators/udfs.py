@@ -8,10 +8,12 @@ import random
 import time
 import typing
 from concurrent.futures import ThreadPoolExecutor
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +21,8 @@ from pyspark.sql import types as T
 from evalloom import constants as K
 from evalloom.functions.text import fill_template
 
+PORTION = 1 << 20  # bytes of a column that are Python objects at once, about
+
 _SQL_TYPES: dict[Any, T.DataType] = {
     str: T.StringType(), int: T.LongType(), float: T.DoubleType(), bool: T.BooleanType(),
 }
@@ -86,34 +90,52 @@ def batch_predict(
     """
     fields = ", ".join(f"`{name}` {kind}" for name, kind in df.dtypes)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         call = with_retry(make_client(), attempts, min_seconds=min_seconds)
 
-        def ask(value: Any) -> tuple[Any, str | None]:
+        def ask(value: Any) -> tuple[str | None, str | None]:
             try:
-                return call(value), None
+                found = call(value)
+                return None if found is None else str(found), None
             except Exception as error:
                 return None, f"{type(error).__name__}: {error}"
 
         with ThreadPoolExecutor(concurrency) as threads:
             for batch in batches:
-                found = list(threads.map(ask, batch[column]))
-                yield batch.assign(**{output: pd.Series([x for x, _ in found], batch.index, dtype=object),
-                                      "error": pd.Series([x for _, x in found], batch.index, dtype=object)})
+                for part in _portions(batch, column):
+                    found = list(threads.map(ask, part.column(column).to_pandas()))
+                    texts = [pa.array([row[i] for row in found], pa.string()) for i in (0, 1)]
+                    yield pa.RecordBatch.from_arrays([*part.columns, *texts], names=[*part.schema.names, output, "error"])
+
+    return df.mapInArrow(run, f"{fields}, `{output}` string, error string")
+
 
-    return df.mapInPandas(run, f"{fields}, `{output}` string, error string")
+def _portions(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """Slices of the batch with about PORTION bytes of the column, which count 1,000 a row if it is no text."""
+    values = batch.column(column)
+    sizes = np.full(len(values), 1000)
+    if pa.types.is_string(values.type) or pa.types.is_large_string(values.type):
+        sizes = pc.fill_null(pc.binary_length(values), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    number = (np.cumsum(sizes) - sizes) // PORTION
+    cuts = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), len(values)]
+    for start, end in zip(cuts, cuts[1:], strict=False):
+        if end > start:
+            yield batch.slice(start, end - start)
 
 
 def prompt_judge(
     df: DataFrame, name: str, template: str, make_client: Callable[[], Callable[[str], Any]], *,
-    response: str = "response", attempts: int = K.RETRY_ATTEMPTS,
+    response: str = "response", attempts: int = K.RETRY_ATTEMPTS, keep: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Add a judge defined by a prompt template holding `{response}`, answered by a user callable."""
+    """Add a judge defined by a prompt template holding `{response}`, answered by a user callable.
+
+    Of the table only the columns of `keep`, by default all, go through the task that asks: name those that are needed.
+    """
     if "{response}" not in template:
         raise ValueError("the template must hold {response}")
     prompt = fill_template(template, response=response)
     judged = batch_predict(
-        df.withColumn("__prompt", prompt), make_client, "__prompt", output=name, attempts=attempts
+        df.select(*("*" if keep is None else keep), prompt.alias("__prompt")), make_client, "__prompt", output=name, attempts=attempts
     )
     return judged.drop("__prompt").withColumnRenamed("error", f"{name}_error")
 

@@ -93,7 +93,7 @@ def email_judge() -> Callable[[str], str]:
 def prompt_judge(spark: SparkSession, base: str) -> DataFrame:
     docs = documents(spark, base).select("doc_id", "text")
     template = "Rate 5 if this text shows no address and 1 if it does: '{response}'"
-    return U.prompt_judge(docs, "no_email", template, email_judge, response="text", attempts=1).drop("text")
+    return U.prompt_judge(docs, "no_email", template, email_judge, response="text", attempts=1, keep=["doc_id"])
 
 
 CHUNKS = """WITH starts AS (

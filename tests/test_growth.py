@@ -2,10 +2,12 @@
 
 from pathlib import Path
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from evalloom.operators import retrieval as R
+from evalloom.operators import udfs as U
 from evalloom.plans import QUERIES
 from evalloom.session import shared_folder
 from evalloom.sources import append_stored, merge_stored, read_stored
@@ -62,3 +64,19 @@ def test_a_stored_partition_gets_few_files(spark, tmp_path):
     assert len(merge_stored(str(path), updates, "id", merge)) == 20
     assert len(list(path.glob("date=*/*.parquet"))) == 20
     assert read_stored(spark, str(path)).filter("seen").count() == 134
+
+
+def test_only_a_portion_of_a_batch_is_python_objects():
+    texts = ["a" * 300_000, None, "", "b" * 3_000_000, *["c"] * 5_000, "d" * 900_000] * 2
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["id", "text"])
+    parts = list(U._portions(batch, "text"))
+    assert [x for part in parts for x in part.column("text").to_pylist()] == texts
+    assert all(sum(map(len, filter(None, part.column("text").to_pylist()[:-1]))) <= U.PORTION for part in parts)
+    assert [part.num_rows for part in U._portions(batch, "id")][:2] == [1049, 1049]
+    assert list(U._portions(batch.slice(0, 0), "text")) == []
+
+
+def test_a_judge_takes_only_the_columns_it_needs(spark):
+    table = spark.createDataFrame([(1, "x", 2.5), (2, None, None)], "id int, text string, other double")
+    judged = U.prompt_judge(table, "echo", "<{response}>", lambda: str, response="text", attempts=1, keep=["id"])
+    assert [tuple(r) for r in judged.orderBy("id").collect()] == [(1, "<x>", None), (2, "None", None)]
