@@ -167,6 +167,11 @@ def _possible(percent: int) -> Column:
     return size & (differ * (100 + percent) <= (100 - percent) * (F.col("a_n") + F.col("b_n")))
 
 
+def _with_sketches(pairs: DataFrame, described: DataFrame) -> DataFrame:
+    full = described.select("row", "n", "sketch", "wide")
+    return pairs.join(full.toDF("a", "a_n", "a_sketch", "a_wide"), "a").join(full.toDF("b", "b_n", "b_sketch", "b_wide"), "b")
+
+
 def _by_wide_sketch(pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs whose wide sketches, where both sets are large, leave it open that they are similar."""
 
@@ -182,28 +187,38 @@ def _by_wide_sketch(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "b", "a_n", "b_n", "a_wide", "b_wide").mapInArrow(run, "a long, b long")
 
 
-def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose sets have a Jaccard similarity of at least `percent`, exactly."""
+def _common(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """`a, b`, the sizes of their sets and what these have in common, exactly."""
     both = pairs.join(sets.select(F.col("row").alias("a"), F.col("members").alias("x")), "a").join(
         sets.select(F.col("row").alias("b"), F.col("members").alias("y")), "b"
     ).select("a", "b", "x", "y")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
+            counts = np.zeros((3, batch.num_rows), np.int64)
+            for i, (x, y) in enumerate(zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True)):
                 x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
                 at = np.searchsorted(x, y)
-                common = int((x[np.minimum(at, len(x) - 1)] == y).sum())
-                keep.append(100 * common >= percent * (len(x) + len(y) - common))
-            found = batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-            yield pa.RecordBatch.from_arrays(found.columns, names=["u", "v"])
+                counts[:, i] = len(x), len(y), int((x[np.minimum(at, len(x) - 1)] == y).sum())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a"), batch.column("b"), *map(pa.array, counts)], names=["a", "b", "a_n", "b_n", "common"]
+            )
 
-    return both.mapInArrow(settled(run), "u long, v long")
+    return both.mapInArrow(settled(run), "a long, b long, a_n long, b_n long, common long")
+
+
+def _linked(common: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose sets have a Jaccard similarity of at least `percent`."""
+    return common.filter(100 * F.col("common") >= percent * (F.col("a_n") + F.col("b_n") - F.col("common"))).select(
+        F.col("a").alias("u"), F.col("b").alias("v")
+    )
 
 
 def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """The rarest shingles of each set: similar sets, which share `percent` of the larger, have one in common."""
+    """The rarest shingles of each set: similar sets, which share `percent` of the larger, have one in common.
+
+    With each comes the size of the set and how many shingles it alone has.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -217,55 +232,100 @@ def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
 
     each = sets.select("row", "members").mapInArrow(run, "row long, shingle long, most long")
     often = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("often"))
-    rare = W.partitionBy("row").orderBy("often", "shingle")
-    kept = each.join(often, "shingle").withColumn("place", F.row_number().over(rare)).filter("place <= most and often > 1")
-    return kept.select(F.col("shingle").alias("signature"), "row")
+    whole = W.partitionBy("row")
+    kept = each.join(often, "shingle").select(
+        "shingle", "row", "most", "often", F.row_number().over(whole.orderBy("often", "shingle")).alias("place"),
+        F.count(F.lit(1)).over(whole).alias("n"), F.sum((F.col("often") == 1).cast("long")).over(whole).alias("alone"),
+    ).filter("place <= most and often > 1")
+    return kept.select(F.col("shingle").alias("signature"), "row", "n", "alone")
+
+
+def _cell_pairs(cells: DataFrame, classes: DataFrame, info: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a cell that may be similar, of different components, one of them near the leader.
+
+    With D the shingles in which a set and the leader differ, two sets differ in |Da| + |Db| - 2 |Da & Db| shingles.
+    What a set alone has is in its D and in no other one, so |Da & Db| <= min(|Da| - alone_a, |Db| - alone_b). They
+    are similar only if `needs` of each is at most `gives` of the other. Most sets that are left need more than any set
+    of their cell gives.
+    """
+    more, less = 100 + percent, 100 - percent
+    member = cells.join(classes, cells.row == classes.node, "left").drop("node").withColumnRenamed("component", "class")
+    member = member.withColumn("class", F.coalesce("class", "row")).join(
+        classes.toDF("leader", "led"), "leader", "left").withColumn("led", F.coalesce("led", "leader"))
+    member = stage(member.select(
+        "leader", "row", "n", "alone", "near", "class", "led", (more * F.col("apart") - less * F.col("n")).alias("needs"),
+        (less * F.col("n") - more * (2 * F.col("alone") - F.col("apart"))).alias("gives"),
+    ), "cells")
+    most = member.groupBy("leader").agg(F.max("gives").alias("most_given"), F.min("needs").alias("least_needed"))
+    open_ = member.filter("class <> led").join(most, "leader").filter("needs <= most_given and least_needed <= gives")
+    names = ["row", "class", "n", "alone", "near", "needs", "gives"]
+    one = open_.join(info, "row").select(
+        "leader", *(F.col(x).alias(f"a_{x}") for x in names[1:]), F.col("sketch").alias("a_sketch"), F.col("row").alias("a"))
+    other = member.join(open_.select("leader").distinct(), "leader", "left_semi").join(info, "row").select(
+        "leader", "led", *(F.col(x).alias(f"b_{x}") for x in names[1:]), F.col("sketch").alias("b_sketch"), F.col("row").alias("b"))
+    # Of two that are both open, each asks: the pair is one in the end.
+    return one.join(other, "leader").filter(
+        (F.col("a_class") != F.col("b_class")) & (F.col("a_near") | F.col("b_near"))
+        & (F.col("a_needs") <= F.col("b_gives")) & (F.col("b_needs") <= F.col("a_gives"))
+        & (more * (F.col("a_alone") + F.col("b_alone")) <= less * (F.col("a_n") + F.col("b_n"))) & _possible(percent)
+    ).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
+def _group_pairs(groups: DataFrame, classes: DataFrame, info: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a group that may be similar, of different components."""
+    more, less = 100 + percent, 100 - percent
+    full = groups.join(classes, groups.row == classes.node, "left").withColumn("class", F.coalesce("component", "row")).join(info, "row")
+    a, b = (
+        full.select("signature", *(F.col(x).alias(f"{side}_{x}") for x in ("class", "n", "alone", "sketch")), F.col("row").alias(side))
+        for side in "ab"
+    )
+    return a.join(b, "signature").filter(
+        (F.col("a") < F.col("b")) & (F.col("a_class") != F.col("b_class"))
+        & (more * (F.col("a_alone") + F.col("b_alone")) <= less * (F.col("a_n") + F.col("b_n"))) & _possible(percent)
+    ).select("a", "b")
 
 
 def _crowded(groups: DataFrame, described: DataFrame, sets: DataFrame, links: DataFrame, percent: int) -> DataFrame:
     """All links, with those between members of the same large group that the components need.
 
-    In some rounds the first member of each group is held against those of other components. Most groups are families
-    of near copies and fall into one component. What is left then is held against the rest of its group, by sizes and
-    sketches in the join itself, so that only pairs that may be similar come out.
+    A group's leader is the set with the least share of shingles that it alone has: of a family of near copies the one
+    that strays least from what they have in common. The groups of a leader are one cell, and each member's set is held
+    against the leader's. Members with a third of the union in common with the leader are near: what is similar to one
+    of them has (3 * percent - 200) / 300 in common with the leader (Jaccard distances are a metric) and stays in the cell.
+    Only pairs without a near member are left to the next leaders of the group, and in the end to the group itself.
     """
-    info = described.select("row", "n", "sketch")
-    for turn in range(LEADERS + 1):
+    info = described.select("row", "sketch")
+    cells = None
+    for _ in range(LEADERS):
         classes = components(links)
         state = stage(
             groups.join(classes, groups.row == classes.node, "left")
-            .select("signature", "row", F.coalesce("component", "row").alias("class")), "groups",
+            .select("signature", "row", "n", "alone", F.coalesce("component", "row").alias("class")), "groups",
         )
         open_ = state.groupBy("signature").agg(
-            F.min("row").alias("leader"), F.min_by("class", "row").alias("led"),
+            F.min_by("row", F.struct(F.col("alone") / F.col("n"), "row")).alias("leader"),
             F.min("class").alias("low"), F.max("class").alias("high"),
-        ).filter("low < high").select("signature", "leader", "led")
-        left = state.join(open_, "signature")
+        ).filter("low < high").select("signature", "leader")
+        left = stage(state.join(open_, "signature").filter("row <> leader").drop("class"), "left")
         if left.isEmpty():
+            groups = left.select("signature", "row", "n", "alone")
             break
-        if turn < LEADERS:
-            pairs = left.filter(F.col("class") != F.col("led")).select(
-                F.col("leader").alias("a"), F.col("row").alias("b")
-            ).distinct()
-            pairs = pairs.join(info.toDF("a", "a_n", "a_sketch"), "a").join(info.toDF("b", "b_n", "b_sketch"), "b")
-            groups = left.filter("row <> leader").select("signature", "row")
-        else:
-            full = left.join(info, "row")
-            one = full.filter(F.col("class") != F.col("led")).select(
-                "signature", F.col("row").alias("a"), F.col("class").alias("a_class"), F.col("n").alias("a_n"),
-                F.col("sketch").alias("a_sketch"))
-            other = full.select(
-                "signature", F.col("row").alias("b"), F.col("class").alias("b_class"), F.col("led").alias("b_led"),
-                F.col("n").alias("b_n"), F.col("sketch").alias("b_sketch"))
-            # Of two that are both left, the smaller row asks.
-            pairs = one.join(other, "signature").filter(
-                (F.col("a_class") != F.col("b_class"))
-                & ((F.col("b_class") == F.col("b_led")) | (F.col("a") < F.col("b")))
-                & _possible(percent)
-            )
-        found = _similar(pairs.filter(_possible(percent)).select("a", "b").distinct(), sets, percent)
-        links = stage(links.union(found), "links")
-    return links
+        pairs = left.select(F.col("leader").alias("a"), F.col("row").alias("b")).distinct()
+        held = stage(_common(pairs, sets).withColumn("near", 3 * F.col("common") >= F.col("a_n") + F.col("b_n") - F.col("common")), "held")
+        links = stage(links.union(_linked(held, percent)), "links")
+        guests = held.filter(300 * F.col("common") >= (3 * percent - 200) * (F.col("a_n") + F.col("b_n") - F.col("common"))).select(
+            F.col("a").alias("leader"), F.col("b").alias("row"), "near", (F.col("a_n") + F.col("b_n") - 2 * F.col("common")).alias("apart"))
+        alone = left.select("leader", "row", "n", "alone").distinct()
+        found = stage(guests.join(alone, ["leader", "row"]), "cells")
+        cells = found if cells is None else cells.union(found).distinct()
+        far = held.filter(~F.col("near")).select(F.col("a").alias("leader"), F.col("b").alias("row"))
+        groups = left.join(far, ["leader", "row"], "left_semi").select("signature", "row", "n", "alone")
+    if cells is None:
+        return links
+    classes = stage(components(links), "classes")
+    pairs = _cell_pairs(cells, classes, info, percent).union(_group_pairs(groups, classes, info, percent)).distinct()
+    pairs = _by_wide_sketch(_with_sketches(pairs, described), percent)
+    return stage(links.union(_linked(_common(pairs, sets), percent)), "links")
 
 
 def near_text(
@@ -281,7 +341,8 @@ def near_text(
     2. Sets meet by PartEnum signatures (see `shingles.signatures`), dealt in buckets. A signature of up to `crowd`
        documents makes pairs. A set with more partitions outside crowded signatures than its limit has met all its
        links that way. The others, families of near copies as a rule, also meet by their rarest shingles.
-    3. Pairs are cut by sizes and sketches, which never lose a link, and then judged on the whole sets.
+    3. Pairs are cut by sizes and sketches, which never lose a link, and then judged on the whole sets. Families are
+       held against their cleanest members first, and only pairs that this leaves open are looked at (`_crowded`).
     Shingles are 64-bit numbers: two that differ are taken as equal with a chance of about 1e-19 a pair.
 
     Nulls: a null text, and one without words, has the empty set and links with nothing. A null key may link but
@@ -310,10 +371,7 @@ def near_text(
 
     pairs = of_class(of_class(met.filter("b is not null").select("a", "b").distinct(), "a"), "b")
     pairs = pairs.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    full = described.select("row", "n", "sketch", "wide")
-    pairs = pairs.join(full.toDF("a", "a_n", "a_sketch", "a_wide"), "a").join(
-        full.toDF("b", "b_n", "b_sketch", "b_wide"), "b").filter(_possible(percent))
-    pairs = stage(_by_wide_sketch(pairs, percent), "pairs")
+    pairs = stage(_by_wide_sketch(_with_sketches(pairs, described).filter(_possible(percent)), percent), "pairs")
     # A set may have missed a link if its partitions outside crowded signatures are not more than its limit.
     crowded = met.filter("b is null").groupBy(F.col("a").alias("row")).agg(
         F.sum((F.col("kind") == OWN).cast("int")).alias("own_crowded"),
@@ -339,7 +397,7 @@ def near_text(
     sets = stage(
         rows.select("row", "text").join(wanted, "row", "left_semi").mapInArrow(settled(members), "row long, members binary"), "members"
     )
-    links = stage(_similar(pairs, sets, percent), "links")
+    links = stage(_linked(_common(pairs, sets), percent), "links")
     groups = _prefixes(sets.join(unsure, "row", "left_semi"), percent)
     links = _crowded(groups, described, sets, links, percent)
     joined = components(links)

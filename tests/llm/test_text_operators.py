@@ -43,6 +43,33 @@ def test_jaccard_join_in_families_of_distant_copies(spark):
     same(found.collect(), brute.near_text(rows))
 
 
+def test_jaccard_join_looks_at_few_pairs_of_a_family(spark, monkeypatch):
+    """Members that stray from their family are held against its cleanest one, not against each other."""
+    import random
+
+    rng = random.Random(4)
+    base = [f"b{i}" for i in range(200)]
+    rows = []
+    for i in range(120):
+        words = list(base)
+        for k in rng.sample(range(200), rng.choice([1, 2, 3, 9, 10, 11])):
+            words[k] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    looked = []
+    for name in ("_cell_pairs", "_group_pairs"):
+        def counted(*args, f=getattr(near_text, name)):
+            found = f(*args)
+            looked.append(found.count())
+            return found
+
+        monkeypatch.setattr(near_text, name, counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    found = near_text.near_text(docs, crowd=2).select("doc_id", "n_shingles", "component_id").collect()
+    same(found, brute.near_text(rows))
+    assert len({r.component_id for r in found}) > 20
+    assert looked and sum(looked) < 2 * len(rows)
+
+
 def test_jaccard_join_at_the_lowest_threshold(spark):
     """Two of three shingles are similar by 66.7: that threshold and lower ones are refused, the next one is exact."""
     words = [f"w{i}" for i in range(20)]
