@@ -15,7 +15,7 @@ from evalloom.llm.graph import components
 from evalloom.llm.shingles import (
     OWN, SKETCH, SMALLEST, WORDS, WordHashes, differing, fingerprint, shingle_sets, signatures, sketch, wide_sketch,
 )
-from evalloom.session import stage
+from evalloom.session import stage, stage_alone
 
 PERCENT = 75
 CROWD = 8  # signatures of more documents than this do not make pairs by themselves
@@ -418,7 +418,7 @@ def one_of_each(docs: DataFrame, *, text: str = "text", key: str = "doc_id", **o
     Of each component the row of the smallest key stays, of equal keys the first.
     """
     docs = fixed(docs)
-    gone = stage(near_text(docs, text=text, key=key, **options).filter("row <> first_row").select("row"), "gone")
+    gone = stage_alone(lambda: near_text(docs, text=text, key=key, **options).filter("row <> first_row").select("row"), "gone")
     name = "__row_of_near_text"
     while name in docs.columns:
         name += "_"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import partial
 
 import numpy as np
@@ -12,11 +12,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 from evalloom.llm.anchors import GRAM, Anchors
 from evalloom.llm.bwt import least_of_equal
 from evalloom.llm.common import as_bytes, fixed, numbered, portions, ranges, settle, settled
-from evalloom.session import stage
 
 LENGTH = 50
 ROWS = 512  # of a chunk at most
@@ -144,7 +145,7 @@ def _cuts(bucket: np.ndarray) -> list[tuple[int, int]]:
 def repeats(
     docs: DataFrame, *, text: str = "text", key: str = "doc_id", length: int = LENGTH, gram: int = GRAM,
     bucket_bytes: int = BUCKET_BYTES, anchor_bytes: int = ANCHOR_BYTES, chunk_bytes: int = CHUNK_BYTES,
-    whole_characters: bool = False,
+    whole_characters: bool = False, carry: Sequence[str] = (),
 ) -> DataFrame:
     """Per document: bytes, removed bytes, maximal removed runs, and digest and bytes of what is left.
 
@@ -163,12 +164,17 @@ def repeats(
     each distinct window of them goes once per chunk, as a piece of its own, to the bucket that its bytes name.
 
     With `whole_characters` the bytes that are left, but not their digest, are without those of cut characters.
+    Columns to `carry` go with the texts and come back as c0, c1, ...; then `kept` also has the texts that lose nothing.
 
     Nulls: a null text is empty. A null key is larger than any other. Of equal keys neither is smaller; repeated rows
     are judged each. An empty table gives no rows. Other columns are left out.
     """
     rows = numbered(fixed(docs), F.coalesce(F.col(key).cast("long"), F.lit(int(LAST))).alias("doc_id"),
-                    F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8").alias("text"))
+                    F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8").alias("text"),
+                    *(F.col(f"`{x}`").alias(f"c{i}") for i, x in enumerate(carry)))
+    carried = rows.schema.fields[3:]
+    carried_kinds = [(x.name, to_arrow_type(x.dataType)) for x in carried]
+    result = StructType(StructType.fromDDL(RESULT).fields + carried)
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = min(28, max(0, int(np.ceil(np.log2(max(1, total / bucket_bytes))))))
     buckets = 1 << bits  # of anchors; those of single windows come after them
@@ -330,8 +336,8 @@ def repeats(
 
     def remove(left: pa.Table, right: pa.Table) -> pa.Table:
         settle()
-        names = [x.split()[0] for x in RESULT.split(", ")]
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
+        names = [x.split()[0] for x in RESULT.split(", ")] + [x for x, _ in carried_kinds]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), *(k for _, k in carried_kinds)]
         if not left.num_rows:
             return pa.table([pa.array([], k) for k in kinds], names=names)
         table = _unpacked(left.column("texts")[0].as_py())
@@ -382,29 +388,34 @@ def repeats(
             digest = hashlib.sha256(kept).hexdigest()
             if whole_characters and lost:
                 kept = kept.decode("utf-8", "ignore").encode()
-            for x, y in zip(out, (n, lost, edges, digest, kept if lost else None), strict=True):
+            for x, y in zip(out, (n, lost, edges, digest, kept if lost or carried_kinds else None), strict=True):
                 x.append(y)
         doc_id = pa.array(keys, mask=keys == LAST)
-        return pa.table([table.column("row"), doc_id, *(pa.array(x, k) for x, k in zip(out, kinds[2:], strict=True))], names=names)
+        more = [table.column(x).cast(k) for x, k in carried_kinds]
+        return pa.table([table.column("row"), doc_id, *(pa.array(x, k) for x, k in zip(out, kinds[2:7], strict=True)), *more], names=names)
 
     texts = rows.mapInArrow(settled(partial(_packed, most=chunk_bytes)), CHUNKS)
-    shared = rows.mapInArrow(settled(see), SEEN).groupBy("bucket").applyInArrow(meet, SHARED)
+    shared = rows.select("row", "text").mapInArrow(settled(see), SEEN).groupBy("bucket").applyInArrow(meet, SHARED)
     pieces = texts.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(cut, PIECES)
     least = pieces.groupBy("bucket").applyInArrow(compare, LEAST)
-    return texts.groupBy("chunk").cogroup(least.groupBy("chunk")).applyInArrow(remove, RESULT)
+    return texts.groupBy("chunk").cogroup(least.groupBy("chunk")).applyInArrow(remove, result)
 
 
 def without_repeats(docs: DataFrame, *, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
     """The documents with all their columns, their text without what `repeats` removes.
 
-    A character that loses some of its bytes loses all. Documents of which nothing is left stay, with an empty text.
+    A character that loses some of its bytes loses all. Documents of which nothing is left stay, with an empty text. All
+    columns travel with the texts, so no join brings them back: they must be of types that Arrow has.
     """
-    docs = fixed(docs)
-    changed = repeats(docs, text=text, key=key, whole_characters=True, **options).filter("n_removed > 0")
-    row, new = "__row_of_repeats", "__kept_of_repeats"
-    while {row, new} & {*docs.columns}:
-        row, new = row + "_", new + "_"
+    name = text if text in docs.columns else next(x for x in docs.columns if x.lower() == text.lower())
+    others = [x for x in docs.columns if x != name]
+    none = "__none_of_repeats"
+    while none in docs.columns:
+        none += "_"
+    found = repeats(
+        docs.withColumn(none, F.col(name).isNull()), text=name, key=key, whole_characters=True, carry=[none, *others], **options
+    )
     # Not decoded in Python: a second worker for each task would stay beside the first for the rest of the job.
-    changed = stage(changed.select(F.col("row").alias(row), F.col("kept").cast("string").alias(new)), "repeats")
-    counted = docs.withColumn(row, F.monotonically_increasing_id())
-    return counted.join(changed, row, "left").withColumn(text, F.coalesce(new, text)).select(*docs.columns)
+    kept = F.when(~F.col("c0"), F.col("kept").cast("string")).alias(name)
+    back = {x: F.col(f"c{i}").alias(x) for i, x in enumerate(others, 1)}
+    return found.select(*(back.get(x, kept) for x in docs.columns))

@@ -5,7 +5,9 @@ from __future__ import annotations
 import hashlib
 import re
 import uuid
+from collections import deque
 from collections.abc import Callable
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +15,8 @@ from pyspark.sql import functions as F
 
 # Names of staged folders: a label and a random number.
 STAGED = re.compile(r"^[a-z_-]+-[0-9a-f]{32}$")
+# Paths that `stage` has written to inside of `stage_alone`.
+_within: ContextVar[list[str] | deque] = ContextVar("within", default=deque(maxlen=0))
 
 
 def build_session(app: str = "evalloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -63,10 +67,26 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
+    _within.get().append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_alone(make: Callable[[], DataFrame], label: str) -> DataFrame:
+    """Stage what `make` returns, and then remove the tables that `make` itself has staged: nothing else may read them."""
+    mark = _within.set([])
+    try:
+        df = make()
+        inner = _within.get()
+    finally:
+        _within.reset(mark)
+    out = stage(df, label)
+    for path in inner:
+        at = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    return out
+
+
 def stored(spark: SparkSession, path: str) -> bool:
     """Whether a job has finished writing the folder `path`, or a part of it, by the mark that Spark leaves by default."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")

@@ -145,6 +145,26 @@ def test_texts_without_repeats(messy):
             assert hashlib.sha256(found[doc_id].text.encode()).hexdigest() == digest
 
 
+def test_texts_without_repeats_meet_no_second_time(spark, messy):
+    """All columns come back with the texts: nothing is staged and no join deals the documents once more."""
+    from pathlib import Path
+    from urllib.parse import urlparse
+
+    from evalloom.session import shared_folder
+
+    folder = Path(urlparse(shared_folder(spark)).path)
+    before = {x.name for x in folder.glob("*-*")}
+    kept = suffix_dedup.without_repeats(messy)
+    assert "Join" not in kept._jdf.queryExecution().executedPlan().toString()
+    assert kept.dtypes == messy.dtypes
+    assert {x.name for x in folder.glob("*-*")} == before
+    others = [x for x in messy.columns if x != "text"]
+    same(kept.select(*others).collect(), [tuple(r) for r in messy.select(*others).collect()])
+    assert kept.filter("text is null").count() == messy.filter("text is null").count() > 0
+    assert near_text.one_of_each(messy).columns == messy.columns
+    assert {x.name.split("-")[0] for x in folder.glob("*-*") if x.name not in before} == {"gone"}
+
+
 def test_least_of_equal_windows():
     rng = np.random.default_rng(1)
     strings = [bytes(rng.integers(97, 100, rng.integers(6, 60)).astype(np.uint8)) for _ in range(80)]
