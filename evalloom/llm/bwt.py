@@ -9,25 +9,44 @@ from evalloom.llm.common import ranges
 MARK = 255  # ends a string; no byte of UTF-8 text
 
 
-def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
-    """Places in order of the `depth` bytes from there on, around the end; ranks of 8 bytes are doubled."""
+def _sorted(key: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of some numbers, and these in order. Sorting numbers that end in their places is far cheaper than argsort."""
+    n = len(key)
+    if n.bit_length() + bits <= 64:
+        shift = np.uint64(n.bit_length())
+        key = np.sort((key << shift) | np.arange(n, dtype=np.uint64))
+        return (key & ((np.uint64(1) << shift) - np.uint64(1))).astype(np.int64), key >> shift
+    order = np.argsort(key)
+    return order, key[order]
+
+
+def suffix_order(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Places in order of the `depth` bytes from there on, around the end; ranks of a few bytes are doubled.
+
+    Also where the first of those few bytes differ from the ones before in that order, and how many they are: at most `depth`.
+    """
     n = len(text)
-    around = np.resize(text, n + 8).astype(np.uint64)
+    known = np.bincount(text, minlength=256) > 0
+    code = (np.cumsum(known) - 1).astype(np.uint64)[text]
+    bits = max(1, int(known.sum() - 1).bit_length())
+    width = max(1, min(depth, (64 - n.bit_length()) // bits))
+    around = np.resize(code, n + width)
     key = np.zeros(n, np.uint64)
-    for i in range(8):
-        key = (key << np.uint64(8)) | around[i : i + n]
-    order = np.argsort(key, kind="stable")
-    width = 8
+    for i in range(width):
+        key = (key << np.uint64(bits)) | around[i : i + n]
+    order, placed = _sorted(key, width * bits)
+    few, first = width, None
     while True:
-        placed = key[order]
-        new = np.concatenate([[False], placed[1:] != placed[:-1]])
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(new)
+        new = np.concatenate([[True], placed[1:] != placed[:-1]])
+        rank = np.empty(n, np.uint64)
+        rank[order] = np.cumsum(new, dtype=np.uint64) - np.uint64(1)
+        first = rank if first is None else first
         if width >= depth or rank[order[-1]] == n - 1:
-            return order
-        key = rank * n + np.roll(rank, -width % n)
-        order = np.argsort(key, kind="stable")
+            break
+        order, placed = _sorted(rank * np.uint64(n) + np.roll(rank, -width % n), (n * n).bit_length())
         width *= 2
+    first = first[order]
+    return order, np.concatenate([[True], first[1:] != first[:-1]]), few
 
 
 def deep_prefixes(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -37,26 +56,31 @@ def deep_prefixes(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray
     transform within it, to that of cw. All strings of one length are done before the next, so common prefixes come
     out by increasing value: where an interval ends and no value is set yet, it is the length of w. Only intervals
     that set a value go on, hence each place is expanded a few times; values from `length` on are never worked out.
+    The sort has the intervals of all strings of a few bytes, so it begins with these.
     """
     n = len(text)
-    order = suffix_order(text, length)
+    order, new, few = suffix_order(text, length)
     transform = text[order - 1]
     by_byte = np.argsort(transform, kind="stable")
     back = np.empty(n, np.int64)
     back[by_byte] = np.arange(n)
     first_byte = transform[by_byte]
+    # A byte and a place in one number: places that follow each other in the same byte differ by one.
+    step = np.arange(n) + first_byte.astype(np.int64)
     open_ = np.ones(n + 1, bool)
-    open_[0] = open_[n] = False
-    low, high = np.zeros(1, np.int64), np.full(1, n)
-    for _ in range(length):
+    low = np.flatnonzero(new)
+    high = np.append(low[1:], n)
+    open_[low] = open_[n] = False
+    for _ in range(few, length):
         if not len(low):
             break
         size = high - low
         place = back[ranges(low, size)]
-        both = np.sort((place << np.int64(31)) | np.repeat(np.arange(len(low)), size))
-        place, owner = both >> np.int64(31), both & np.int64((1 << 31) - 1)
+        both = np.sort((np.repeat(np.arange(len(low)), size) << np.int64(31)) | place)
+        place, owner = both & np.int64((1 << 31) - 1), both >> np.int64(31)
         start = np.ones(len(place), bool)
-        start[1:] = (place[1:] != place[:-1] + 1) | (owner[1:] != owner[:-1]) | (first_byte[place[1:]] != first_byte[place[:-1]])
+        near = step[place]
+        start[1:] = (near[1:] != near[:-1] + 1) | (owner[1:] != owner[:-1])
         at = np.flatnonzero(start)
         low = place[at]
         high = place[np.append(at[1:], len(place)) - 1] + 1
@@ -82,4 +106,5 @@ def least_of_equal(strings: list[bytes], values: np.ndarray, length: int) -> lis
     first = np.flatnonzero(~shared)
     least = np.minimum.reduceat(value[order], first)
     value[order] = np.repeat(least, np.diff(np.append(first, len(order))))
-    return np.split(value[place], np.cumsum(windows)[:-1])
+    ends, value = np.cumsum(windows), value[place]
+    return [value[a:b] for a, b in zip((ends - windows).tolist(), ends.tolist(), strict=True)]

@@ -83,9 +83,12 @@ def portions(values: list[bytes | None], most: int = 1 << 20) -> Iterator[tuple[
 
 def mix(x: np.ndarray) -> np.ndarray:
     """Scramble 64-bit numbers one to one."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> np.uint64(30))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:

@@ -165,6 +165,48 @@ def test_texts_without_repeats_meet_no_second_time(spark, messy):
     assert {x.name.split("-")[0] for x in folder.glob("*-*") if x.name not in before} == {"gone"}
 
 
+def test_windows_of_one_anchor(monkeypatch):
+    """Equal windows have one anchor, also where grams repeat and where long texts are cut."""
+    import random
+
+    rng = random.Random(5)
+    texts = [bytes(rng.choices(b"ab", k=rng.randrange(150))) for _ in range(60)] + [b"ab" * 300, b"a" * 700, b"abc" * 90 + b"ab" * 90]
+    texts += [texts[3 * i][5:] + texts[i] for i in range(20)]
+    monkeypatch.setattr(suffix_dedup._sections, "__defaults__", (200,))
+    for length, gram in ((50, 20), (12, 5), (7, 9), (3, 2)):
+        runs = suffix_dedup.Runs(texts, length, gram, 3)
+        known, seen = {}, []
+        for t, start, count, key in zip(*(x.tolist() for x in (runs.text, runs.start, runs.count, runs.key)), strict=True):
+            for place in range(start, start + count):
+                seen.append((t, place))
+                assert known.setdefault(texts[t][place : place + length], key) == key
+        assert sorted(seen) == [(t, place) for t, x in enumerate(texts) for place in range(len(x) - length + 1)]
+
+
+def test_a_shared_gram_is_no_shared_anchor():
+    """30 bytes in common are no window in common: nothing of such texts meets."""
+    import random
+
+    rng = random.Random(6)
+    own = [[bytes(rng.choices(range(97, 123), k=60)) for _ in range(200)] for _ in range(5)]
+    left, right = (suffix_dedup.Runs([x + common[:30] + y for x, common, y in zip(own[i], own[4], own[i + 1], strict=True)], 50, 20, 3) for i in (0, 2))
+    assert not set(left.key.tolist()) & set(right.key.tolist())
+
+
+def test_rows_of_a_chunk():
+    """Tasks exchange a row for each chunk and bucket, so neither a chunk nor a bucket may be small."""
+    import pyarrow as pa
+
+    batches = [
+        pa.RecordBatch.from_arrays([pa.array(range(1000 * i, 1000 * i + 1000), pa.int64()), pa.array([b"x" * 2000] * 1000, pa.binary())], names=["row", "text"])
+        for i in range(20)
+    ]
+    sizes = [table.num_rows for _, table in suffix_dedup._chunks(iter(batches), suffix_dedup.CHUNK_BYTES)]
+    assert sum(sizes) == 20_000 and len(sizes) <= 5
+    text = 10 << 30
+    assert text / suffix_dedup.CHUNK_BYTES * 2 * text / suffix_dedup.BUCKET_BYTES * (1 + suffix_dedup.SPREAD) < 5e6
+
+
 def test_least_of_equal_windows():
     rng = np.random.default_rng(1)
     strings = [bytes(rng.integers(97, 100, rng.integers(6, 60)).astype(np.uint8)) for _ in range(80)]
