@@ -123,9 +123,9 @@ class Runs:
         find, parts = Anchors(length, gram), []
         for section, place, held in _sections(texts, length):
             text, start, count, anchor = find(held)
-            parts.append((section[text], place[text] + start, count, anchor >> np.uint64(32 - bits)))
+            parts.append((section[text].astype(np.int32), (place[text] + start).astype(np.int32), count.astype(np.int32), anchor >> np.uint64(32 - bits)))
         self.text, self.start, self.count, self.key = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (
-            np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64))
+            np.empty(0, np.int32), np.empty(0, np.int32), np.empty(0, np.int32), np.empty(0, np.uint64))
 
     def shared(self, keys: np.ndarray) -> None:
         """Keep the runs with one of the keys, which come in order; the runs then do as well."""
@@ -221,7 +221,8 @@ def repeats(
     Nulls: a null text is empty. A null key is larger than any other. Of equal keys neither is smaller; repeated rows
     are judged each. An empty table gives no rows. Other columns are left out.
     """
-    rows = numbered(fixed(docs), F.coalesce(F.col(key).cast("long"), F.lit(int(LAST))).alias("doc_id"),
+    docs = fixed(docs)
+    rows = numbered(docs, F.coalesce(F.col(key).cast("long"), F.lit(int(LAST))).alias("doc_id"),
                     F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8").alias("text"),
                     *(F.col(f"`{x}`").alias(f"c{i}") for i, x in enumerate(carry)))
     carried = rows.schema.fields[3:]
@@ -261,10 +262,12 @@ def repeats(
             order = np.argsort(runs.key)
             anchor, owner = runs.key[order], runs.text[order]
             first = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
-            size = np.add.reduceat(runs.count[order] + length - 1, first)
+            size = np.add.reduceat(runs.count[order].astype(np.int64) + length - 1, first)
             several = (np.minimum.reduceat(owner, first) != np.maximum.reduceat(owner, first)) | (size > 2 * length)
             held.append((chunk, anchor[first], several, np.minimum(size, (1 << 32) - 1).astype("<u4")))
             seen += sum(map(len, texts))
+            del texts, runs, order, anchor, owner
+            settle()
             if seen >= SEEN_BYTES:
                 yield report(*map(list, zip(*held, strict=True)))
                 held, seen = [], 0
