@@ -25,7 +25,7 @@ ROWS = 16384  # of a chunk at most
 CHUNK_BYTES = 8 << 20  # of a chunk of several rows at most
 BUCKET_BYTES = 16 << 20  # of text for each bucket of anchors
 LEAST_BUCKETS = 64  # where this leaves each at least a sixteenth of BUCKET_BYTES
-SEEN_BYTES = 64 << 20  # of text whose anchors are reported in one row for each bucket
+SEEN_BYTES = 16 << 20  # of text whose anchors are reported in one row for each bucket
 PORTION = 64 << 10  # of text whose anchors are worked out at once
 ANCHOR_BYTES = 1 << 20  # of an anchor's pieces that are compared in one task
 SORTED_BYTES = 128 << 10
@@ -235,11 +235,12 @@ def repeats(
 
     def report(chunks: list[int], anchors: list[np.ndarray], several: list[np.ndarray], sizes: list[np.ndarray]) -> pa.RecordBatch:
         """A row for each bucket, in it the anchors of one chunk after the other."""
-        owner = np.repeat(np.arange(len(chunks)), [len(x) for x in anchors])
+        owner = np.repeat(np.arange(len(chunks), dtype=np.int32), [len(x) for x in anchors])
         anchor, many, size = (np.concatenate(x) for x in (anchors, several, sizes))
-        bucket = (anchor >> np.uint64(32)).astype(np.int64)
-        order = np.argsort(bucket.astype(np.uint16) if bits <= 16 else bucket, kind="stable")
-        anchor, many, size, bucket, owner = anchor.astype("<u4")[order], many[order], size[order], bucket[order], owner[order]
+        bucket = (anchor >> np.uint64(32)).astype(np.uint16 if bits <= 16 else np.int64)
+        anchor = anchor.astype("<u4")
+        order = np.argsort(bucket, kind="stable")
+        anchor, many, size, bucket, owner = (x[order] for x in (anchor, many, size, bucket, owner))
         spans = _cuts(bucket)
         return pa.RecordBatch.from_arrays([
             pa.array([int(bucket[a]) for a, _ in spans], pa.int32()),
